@@ -75,33 +75,33 @@ def _cross(px: Column, py: Column, e: Column) -> Column:
     return (e["x2"] - e["x1"]) * (py - e["y1"]) - (e["y2"] - e["y1"]) * (px - e["x1"])
 
 
+_ON_EDGE = 1 << 20  # added once per edge the point lies on; dwarfs any crossing count
+
+
 def point_in_polygon(px: Column | str, py: Column | str, edges: Column | str) -> Column:
     """Strict containment (OGC *within*): inside by even-odd, and not on an edge.
 
-    Division-free, so it cannot raise under ANSI mode, and the same cross
-    product decides both the crossing test and the on-edge test, so a point
-    is never both "crossing" and "on edge" through rounding.
+    One pass over the edges: an edge whose y-range misses the point is
+    skipped after two comparisons; otherwise the cross product decides both
+    "point on this edge" and "ray crosses this edge", so rounding can never
+    make a point both. Division-free, hence safe under ANSI mode.
     """
     x, y, E = _c(px), _c(py), _c(edges)
 
-    def crosses(e):
-        straddles = (e["y1"] > y) != (e["y2"] > y)
+    def score(acc, e):
+        lo_y, hi_y = F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])
         d = _cross(x, y, e)
-        return straddles & ((d > 0) == (e["y2"] > e["y1"])) & (d != 0)
-
-    def on_edge(e):
-        return (
-            (_cross(x, y, e) == 0)
-            & (x >= F.least(e["x1"], e["x2"]))
-            & (x <= F.greatest(e["x1"], e["x2"]))
-            & (y >= F.least(e["y1"], e["y2"]))
-            & (y <= F.greatest(e["y1"], e["y2"]))
+        on_edge = (d == 0) & (x >= F.least(e["x1"], e["x2"])) & (x <= F.greatest(e["x1"], e["x2"]))
+        crosses = ((e["y1"] > y) != (e["y2"] > y)) & ((d > 0) == (e["y2"] > e["y1"]))
+        return acc + (
+            F.when((y < lo_y) | (y > hi_y), 0)
+            .when(on_edge, _ON_EDGE)
+            .when(crosses, 1)
+            .otherwise(0)
         )
 
-    n_cross = F.aggregate(
-        E, F.lit(0), lambda acc, e: acc + F.when(crosses(e), 1).otherwise(0)
-    )
-    return ((n_cross % 2) == 1) & ~F.exists(E, on_edge)
+    total = F.aggregate(E, F.lit(0), score)
+    return (total < _ON_EDGE) & ((total % 2) == 1)
 
 
 def cell_of(coord: Column | str, size: float | Column) -> Column:

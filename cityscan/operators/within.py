@@ -48,13 +48,36 @@ def zone_cells(
     )
 
 
-def default_cell_deg(zones: DataFrame) -> float:
-    """Median bbox span of the zones (one bounded scalar aggregate)."""
+def _span() -> "F.Column":
+    return F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"))
+
+
+def grid_plan(zones: DataFrame, cell_deg: float | None = None, max_cells: int = 16) -> dict:
+    """One bounded aggregate over the zones: zone count, the cell size and
+    the grid levels that can occur.
+
+    The default cell size is the median bbox span. Levels are derived from
+    ``ceil(log2(span))`` classes, a superset of the exact levels (at most one
+    spare levels per class); a spare level only adds a probe that matches nothing.
+    """
+    k = max(int(math.isqrt(max_cells)), 2)
     r = zones.agg(
-        F.percentile_approx(F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y")), 0.5).alias("m")
+        F.count(F.lit(1)).alias("n"),
+        F.percentile_approx(_span(), 0.5).alias("median"),
+        F.collect_set(F.ceil(F.log2(F.greatest(_span(), F.lit(1e-300))))).alias("classes"),
     ).first()
-    m = r["m"] if r is not None else None
-    return float(m) if m and m > 0 else 0.01
+    n = int(r["n"] or 0)
+    if cell_deg is None:
+        m = r["median"]
+        cell_deg = float(m) if m and m > 0 else 0.01
+    base = math.log2(cell_deg * (k - 1))
+    levels = set()
+    for e in r["classes"] or []:
+        # log2(span) lies in (e - 1, e]; one more level absorbs rounding of
+        # the per-zone level computed on the executors
+        for v in (e - 1, e, e + 1):
+            levels.add(max(0, math.ceil(v - base)))
+    return {"n_zones": n, "cell_deg": cell_deg, "levels": sorted(levels), "k": k}
 
 
 def points_in_zones(
@@ -76,13 +99,12 @@ def points_in_zones(
     table is at most ``broadcast_max_rows`` rows, else both sides shuffle on
     the cell (AQE splits skewed cells).
     """
-    if cell_deg is None:
-        cell_deg = default_cell_deg(zones)
+    plan = grid_plan(zones, cell_deg, max_cells)
+    cell_deg, levels = plan["cell_deg"], plan["levels"]
     carry = [*zone_cols, edges_col]
     cells = zone_cells(zones, cell_deg, max_cells, carry)
-    levels = [r["_level"] for r in cells.select("_level").distinct().collect()]  # a handful of ints
-    n_cells = cells.limit(broadcast_max_rows + 1).count()
-    if n_cells <= broadcast_max_rows:
+    # every zone covers at most max_cells cells: a proven bound on the cell table
+    if plan["n_zones"] * max_cells <= broadcast_max_rows:
         cells = F.broadcast(cells)
     pcols = points.columns
     p = ensure_parallelism(points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull()))
