@@ -68,6 +68,7 @@ def nearest_site(
     id_cols: Sequence[str] | None = None,
     method: str = "auto",
     array_max_sites: int = 256,
+    fallback_max_sites: int = 100_000,
     broadcast_max_rows: int = 5_000_000,
     cell_deg: float | None = None,
     radius_m: float = EARTH_RADIUS_M,
@@ -83,9 +84,11 @@ def nearest_site(
     site_cols = [c for c in site_cols if c != site_key]
     pts = points.where(F.col(point_lon).isNotNull() & F.col(point_lat).isNotNull())
     st = _site_frame(sites, site_lon, site_lat, site_key, site_cols)
-    if method == "auto":
-        n = st.limit(array_max_sites + 1).count()
-        method = "array" if n <= array_max_sites else "grid"
+    plan = None
+    if method in ("auto", "grid"):
+        plan = _grid_levels(st, cell_deg)  # one bounded aggregate: site count and extent
+        if method == "auto":
+            method = "array" if plan[1] <= array_max_sites else "grid"
     if method == "array":
         n = st.limit(array_max_sites + 1).count()
         if n > array_max_sites:
@@ -94,27 +97,36 @@ def nearest_site(
     if method == "grid":
         return _nearest_grid(
             pts, st, point_lon, point_lat, site_key, site_cols, id_cols,
-            broadcast_max_rows, cell_deg, radius_m, dist_col,
+            broadcast_max_rows, plan, radius_m, dist_col, fallback_max_sites,
         )
     raise ValueError(f"method must be 'auto', 'array' or 'grid', not {method!r}")
 
 
-def _nearest_array(pts, st, point_lon, point_lat, site_key, site_cols, id_cols, radius_m, dist_col):
-    site_struct = F.struct("_slon", "_slat", site_key, *site_cols)
-    arr = st.agg(F.collect_list(site_struct).alias("_sites"))  # one row, size-checked by caller
-    keep = list(id_cols or [])
-    p = ensure_parallelism(
-        pts.select(*keep, F.col(point_lon).alias("_lon"), F.col(point_lat).alias("_lat"))
-    )
-    p = p.crossJoin(F.broadcast(arr))  # attaches one array per row; emits no pairs
+def _site_array(st: DataFrame, site_key: str, site_cols: Sequence[str]) -> DataFrame:
+    """All sites as one array in one row (callers check the site count first)."""
+    return st.agg(F.collect_list(F.struct("_slon", "_slat", site_key, *site_cols)).alias("_sites"))
+
+
+def _array_best(site_key, site_cols, radius_m, dist_col) -> Column:
+    """Closest entry of the attached ``_sites`` array for the row's (_lon, _lat)."""
     cands = F.transform(
         "_sites",
         lambda s: _best_struct(
             haversine_km("_lon", "_lat", s["_slon"], s["_slat"], radius_m), s, site_key, site_cols, dist_col
         ),
     )
-    best = p.select(*keep, F.array_min(cands).alias("_best")).where(F.col("_best").isNotNull())
-    return _finish(best, id_cols, None)
+    return F.array_min(cands)
+
+
+def _nearest_array(pts, st, point_lon, point_lat, site_key, site_cols, id_cols, radius_m, dist_col):
+    keep = list(id_cols or [])
+    p = ensure_parallelism(
+        pts.select(*keep, F.col(point_lon).alias("_lon"), F.col(point_lat).alias("_lat"))
+    )
+    # attaches one array per row; emits no point x site rows
+    p = p.crossJoin(F.broadcast(_site_array(st, site_key, site_cols)))
+    best = p.select(*keep, _array_best(site_key, site_cols, radius_m, dist_col).alias("_best"))
+    return _finish(best.where(F.col("_best").isNotNull()), id_cols, None)
 
 
 # Offsets of the 3x3 window around a cell.
@@ -154,8 +166,40 @@ def _window_bound_km(lon: Column, lat: Column, cx: Column, cy: Column, c: float,
     return F.when(inside_globe, F.least(b_lat, b_lon)).otherwise(F.lit(0.0))
 
 
+def _window_sites(st: DataFrame, c: float, site_struct_cols: Sequence[str]) -> DataFrame:
+    """Each site repeated under the 9 cells whose 3x3 window contains it."""
+    offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _WINDOW])
+    return st.select("_slon", "_slat", *site_struct_cols, F.explode(offsets).alias("_o")).select(
+        "_slon", "_slat", *site_struct_cols,
+        (F.floor(F.col("_slon") / c) + F.col("_o.dx")).cast("long").alias("_cx"),
+        (F.floor(F.col("_slat") / c) + F.col("_o.dy")).cast("long").alias("_cy"),
+    )
+
+
+def _grid_level(cur, st, key, c, top, small, radius_m, site_key, site_cols, dist_col):
+    """Best site inside each point's 3x3 window at cell size ``c``, the
+    window-border bound, and whether the best is proven nearest (``_ok``)."""
+    site_struct_cols = [site_key, *site_cols]
+    s9 = _window_sites(st, c, site_struct_cols)
+    if small:
+        s9 = F.broadcast(s9)
+    p = cur.withColumns({
+        "_cx": F.floor(F.col("_lon") / c).cast("long"),
+        "_cy": F.floor(F.col("_lat") / c).cast("long"),
+    })
+    bound = F.lit(float("inf")) if top else _window_bound_km(
+        F.col("_lon"), F.col("_lat"), F.col("_cx"), F.col("_cy"), c, radius_m / 1000.0)
+    p = p.withColumn("_bound", bound)
+    j = p.join(s9, ["_cx", "_cy"], "left")
+    d = haversine_km("_lon", "_lat", "_slon", "_slat", radius_m)
+    cand = F.when(F.col("_slon").isNotNull(), F.struct(d.alias(dist_col), *[F.col(x) for x in site_struct_cols]))
+    lvl = j.groupBy(*key, "n_points", "_bound").agg(F.min(cand).alias("_best"))
+    ok = F.col("_best").isNotNull() & (F.col(f"_best.{dist_col}") < F.col("_bound") * (1.0 - _REL_MARGIN))
+    return lvl.withColumn("_ok", ok)
+
+
 def _nearest_grid(pts, st, point_lon, point_lat, site_key, site_cols, id_cols,
-                  broadcast_max_rows, cell_deg, radius_m, dist_col):
+                  broadcast_max_rows, plan, radius_m, dist_col, fallback_max_sites=100_000):
     keep = list(id_cols or [])
     key = keep + ["_lon", "_lat"]
     # One row per distinct (id, point): duplicates and hot spots collapse in
@@ -165,44 +209,28 @@ def _nearest_grid(pts, st, point_lon, point_lat, site_key, site_cols, id_cols,
         .groupBy(*key)
         .agg(F.count(F.lit(1)).alias("n_points"))
     )
-    levels, n_sites = _grid_levels(st, cell_deg)
+    levels, n_sites = plan
+    small = n_sites * len(_WINDOW) <= broadcast_max_rows
+    if 0 < n_sites <= fallback_max_sites:
+        # Bounded site list: one grid level answers almost every point; the
+        # few it cannot prove get the exact scan of the broadcast site array,
+        # computed in the same pass and only for those rows.
+        lvl = _grid_level(cur, st, key, levels[0], False, small, radius_m, site_key, site_cols, dist_col)
+        lvl = lvl.crossJoin(F.broadcast(_site_array(st, site_key, site_cols)))
+        best = F.when(F.col("_ok"), F.col("_best")).otherwise(
+            _array_best(site_key, site_cols, radius_m, dist_col))
+        out = lvl.select(*key, "n_points", best.alias("_best"))
+        return _finish(out.where(F.col("_best").isNotNull()), id_cols, F.col("n_points"))
     if n_sites == 0:
         levels = levels[-1:]  # nothing to search: one pass yields no rows
-    small = n_sites * len(_WINDOW) <= broadcast_max_rows
-    radius_km = radius_m / 1000.0
-    site_struct_cols = [site_key, *site_cols]
+    # Unbounded site list: coarsen 3x per level until every point is proven;
+    # each level is written once so both of its branches read the same rows.
     done: list[DataFrame] = []
     for i, c in enumerate(levels):
         top = i == len(levels) - 1
-        s9 = st.select(
-            "_slon", "_slat", *site_struct_cols,
-            F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _WINDOW])).alias("_o"),
-        ).select(
-            "_slon", "_slat", *site_struct_cols,
-            (F.floor(F.col("_slon") / c) + F.col("_o.dx")).cast("long").alias("_cx"),
-            (F.floor(F.col("_slat") / c) + F.col("_o.dy")).cast("long").alias("_cy"),
-        )
-        if small:
-            s9 = F.broadcast(s9)
-        p = cur.withColumns({
-            "_cx": F.floor(F.col("_lon") / c).cast("long"),
-            "_cy": F.floor(F.col("_lat") / c).cast("long"),
-        })
-        p = p.withColumn(
-            "_bound",
-            F.lit(float("inf")) if top else _window_bound_km(F.col("_lon"), F.col("_lat"), F.col("_cx"), F.col("_cy"), c, radius_km),
-        )
-        j = p.join(s9, ["_cx", "_cy"], "left")
-        d = haversine_km("_lon", "_lat", "_slon", "_slat", radius_m)
-        cand = F.when(F.col("_slon").isNotNull(), F.struct(
-            d.alias(dist_col), *[F.col(x) for x in site_struct_cols]))
-        lvl = j.groupBy(*key, "n_points", "_bound").agg(F.min(cand).alias("_best"))
-        ok = F.col("_best").isNotNull() & (
-            F.col(f"_best.{dist_col}") < F.col("_bound") * (1.0 - _REL_MARGIN)
-        )
-        lvl = lvl.withColumn("_ok", ok if not top else F.col("_best").isNotNull())
+        lvl = _grid_level(cur, st, key, c, top, small, radius_m, site_key, site_cols, dist_col)
         if top:
-            done.append(lvl.where("_ok"))
+            done.append(lvl.where(F.col("_best").isNotNull()))
             break
         checkpoint_dir(lvl.sparkSession)
         lvl = lvl.checkpoint(eager=True)  # cut lineage: used for both branches below

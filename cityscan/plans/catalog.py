@@ -22,7 +22,7 @@ from cityscan.plans import inputs
 from cityscan.plans.inputs import table
 from cityscan.plans import sql as sqlq
 from cityscan.sources.csv import codes_from_lines, union_periods
-from cityscan.session import ensure_parallelism
+from cityscan.session import ensure_parallelism, materialize
 
 # ---------------------------------------------------------------- P1
 
@@ -181,7 +181,8 @@ def q_zone_income(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _per_zone(spark: SparkSession, d: str) -> DataFrame:
-    blocks = _blocks_with_income(spark, d)
+    # zones are a bounded dimension: parse the GeoJSON once, reuse the written copy
+    blocks = materialize(_blocks_with_income(spark, d))
     pts = inputs.customer_points(spark, d, specials=True).where(valid_coords("lon", "lat", drop_zero=False))
     hits = points_in_zones(pts.select("c_custkey", "lon", "lat"), blocks, "lon", "lat", zone_cols=["zone"])
     per = zone_counts(hits, blocks, "zone", ["COMM", "POP20", "Income_per_block"])

@@ -37,27 +37,70 @@ def topk_share_sql(spark: SparkSession, events: DataFrame, lookup: DataFrame, k:
     return spark.sql(TOPK_SHARE_SQL.replace("{k}", str(int(k))), events=events, lookup=lookup)
 
 
+_HAV = """2.0D * {r_km}D * asin(sqrt(
+    pow(sin(radians({lat2} - {lat1}) / 2), 2)
+    + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2)))"""
+
+# Exact nearest site in one statement: a 3x3 cell window gives candidates and
+# a proven lower bound for everything outside it; a point whose window
+# cannot prove its answer scans the broadcast site array instead (only those
+# rows evaluate it). The site list is a bounded dimension (size-checked).
 NEAREST_SQL = """
-WITH site_list AS (
-    SELECT collect_list(struct(lon AS slon, lat AS slat, s_suppkey, s_name)) AS sites
-    FROM {sites}
-    WHERE lon IS NOT NULL AND lat IS NOT NULL
+WITH s AS (
+    SELECT s_suppkey, s_name, lon, lat FROM {sites} WHERE lon IS NOT NULL AND lat IS NOT NULL
+),
+cell AS (
+    SELECT CASE WHEN count(*) > 1 AND (max(lon) - min(lon)) * (max(lat) - min(lat)) > 0
+                THEN least(greatest(sqrt(2.0D * (max(lon) - min(lon)) * (max(lat) - min(lat)) / count(*)), 1e-4D), 180.0D)
+                ELSE 1.0D END AS c
+    FROM s
+),
+s9 AS (
+    SELECT s.s_suppkey, s.s_name, s.lon AS slon, s.lat AS slat,
+           CAST(floor(s.lon / cell.c) AS BIGINT) + o.dx AS cx,
+           CAST(floor(s.lat / cell.c) AS BIGINT) + o.dy AS cy
+    FROM s CROSS JOIN cell
+    LATERAL VIEW inline(array(
+        named_struct('dx', -1, 'dy', -1), named_struct('dx', -1, 'dy', 0), named_struct('dx', -1, 'dy', 1),
+        named_struct('dx', 0, 'dy', -1), named_struct('dx', 0, 'dy', 0), named_struct('dx', 0, 'dy', 1),
+        named_struct('dx', 1, 'dy', -1), named_struct('dx', 1, 'dy', 0), named_struct('dx', 1, 'dy', 1))) o AS dx, dy
+),
+p AS (
+    SELECT pt.c_custkey, pt.lon, pt.lat, cell.c,
+           CAST(floor(pt.lon / cell.c) AS BIGINT) AS cx, CAST(floor(pt.lat / cell.c) AS BIGINT) AS cy
+    FROM {points} pt CROSS JOIN cell
+),
+pb AS (
+    SELECT *,
+      CASE WHEN (cy - 1) * c >= -90.0D AND (cy + 2) * c <= 90.0D AND (cx - 1) * c >= -180.0D AND (cx + 2) * c <= 180.0D
+                AND least(lon - (cx - 1) * c, (cx + 2) * c - lon) < 90.0D
+           THEN least(radians(least(lat - (cy - 1) * c, (cy + 2) * c - lat)) * {r_km}D,
+                      asin(cos(radians(lat)) * sin(radians(least(lon - (cx - 1) * c, (cx + 2) * c - lon)))) * {r_km}D)
+           ELSE 0.0D END AS bound
+    FROM p
+),
+cand AS (
+    SELECT /*+ BROADCAST(s9) */ pb.c_custkey, pb.lon, pb.lat, pb.bound,
+           min(CASE WHEN s9.s_suppkey IS NOT NULL THEN struct(
+                 HAV_WINDOW AS distance_km, s9.s_suppkey AS s_suppkey, s9.s_name AS s_name) END) AS best
+    FROM pb LEFT JOIN s9 ON pb.cx = s9.cx AND pb.cy = s9.cy
+    GROUP BY pb.c_custkey, pb.lon, pb.lat, pb.bound
+),
+site_list AS (
+    SELECT collect_list(struct(lon AS slon, lat AS slat, s_suppkey, s_name)) AS sites FROM s
 ),
-best AS (
-    SELECT /*+ BROADCAST(s) */ p.c_custkey,
-           array_min(transform(s.sites, x -> struct(
-               2.0D * {r_km}D * asin(sqrt(
-                   pow(sin(radians(x.slat - p.lat) / 2), 2)
-                   + cos(radians(p.lat)) * cos(radians(x.slat))
-                     * pow(sin(radians(x.slon - p.lon) / 2), 2))) AS distance_km,
-               x.s_suppkey AS s_suppkey, x.s_name AS s_name))) AS b
-    FROM {points} p CROSS JOIN site_list s
+resolved AS (
+    SELECT /*+ BROADCAST(l) */ c.c_custkey,
+           CASE WHEN c.best IS NOT NULL AND c.best.distance_km < c.bound * (1.0D - 1e-9D) THEN c.best
+                ELSE array_min(transform(l.sites, x -> struct(
+                       HAV_ARRAY AS distance_km, x.s_suppkey AS s_suppkey, x.s_name AS s_name))) END AS b
+    FROM cand c CROSS JOIN site_list l
 ),
 nearest AS (
     SELECT * FROM (
         SELECT c_custkey, b,
                ROW_NUMBER() OVER (PARTITION BY c_custkey ORDER BY b.distance_km, b.s_suppkey) AS rn
-        FROM best WHERE b IS NOT NULL
+        FROM resolved WHERE b IS NOT NULL
     ) WHERE rn = 1
 )
 SELECT b.s_name AS site, ROUND(AVG(b.distance_km), 6) AS average_distance,
@@ -69,11 +112,19 @@ ORDER BY number_of_points DESC, site
 
 
 def nearest_site_sql(spark: SparkSession, points: DataFrame, sites: DataFrame,
-                     radius_m: float = EARTH_RADIUS_M) -> DataFrame:
+                     radius_m: float = EARTH_RADIUS_M, max_sites: int = 100_000) -> DataFrame:
     """``points(c_custkey, lon, lat)`` valid coordinates; ``sites(s_suppkey, s_name, lon, lat)``.
 
-    The site list is one broadcast array (a bounded dimension); each point
-    takes its minimum in place, so no point × site rows are produced.
+    Same answers as ``nearest_site(..., id_cols=[c_custkey])``; the site list
+    must have at most ``max_sites`` rows (checked), beyond that use the
+    DataFrame grid path, which needs no site array.
     """
-    q = NEAREST_SQL.replace("{r_km}", repr(radius_m / 1000.0))
+    n = sites.limit(max_sites + 1).count()
+    if n > max_sites:
+        raise ValueError(f"{n} sites exceed max_sites={max_sites}; use operators.nearest_site")
+    r_km = repr(radius_m / 1000.0)
+    hav_w = _HAV.format(r_km=r_km, lon1="pb.lon", lat1="pb.lat", lon2="s9.slon", lat2="s9.slat")
+    hav_a = _HAV.format(r_km=r_km, lon1="c.lon", lat1="c.lat", lon2="x.slon", lat2="x.slat")
+    q = (NEAREST_SQL.replace("{r_km}", r_km)
+         .replace("HAV_WINDOW", hav_w).replace("HAV_ARRAY", hav_a))
     return spark.sql(q, points=points, sites=sites)

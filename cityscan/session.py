@@ -79,3 +79,15 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     if df.rdd.getNumPartitions() < want:
         return df.repartition(want)
     return df
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a bounded intermediate (a parsed dimension table) to the shared
+    checkpoint folder and continue from the written copy.
+
+    Cuts lineage, so a lost executor re-reads files instead of replaying
+    the parse, and keeps later plans small. Use only for data whose size is
+    bounded by a dimension (zones, sites), never for the fact stream.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
