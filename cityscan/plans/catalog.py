@@ -171,7 +171,8 @@ def q_geojson_zones(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _blocks_with_income(spark: SparkSession, d: str) -> DataFrame:
-    return zone_income(inputs.zones(spark, d), inputs.zip_income(spark, d),
+    zones = inputs.zones(spark, d).where(F.col("CITY") == "Los Angeles")
+    return zone_income(zones, inputs.zip_income(spark, d),
                        zone_zip="ZCTA20", income_zip="Zip_Code",
                        income_text="Estimated_Median_Income", housing_col="HOUSING20")
 

@@ -49,7 +49,8 @@ ZONE_DX, ZONE_DY = 0.1, 0.12
 ZONE_W, ZONE_H = 0.08, 0.10
 HOLE_X0, HOLE_X1, HOLE_Y0, HOLE_Y1 = 0.03, 0.05, 0.04, 0.06
 
-ZONE_PROPS = {"zone": "int", "COMM": "int", "POP20": "bigint", "HOUSING20": "bigint", "ZCTA20": "string"}
+ZONE_PROPS = {"zone": "int", "CITY": "string", "COMM": "int", "POP20": "bigint", "HOUSING20": "bigint",
+              "ZCTA20": "string"}
 
 
 def _pt(x: Column, y: Column) -> Column:
@@ -80,7 +81,7 @@ def zone_geojson_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     housing = (F.lit(40) + n * 7).cast("bigint")
     zip_text = F.when(n == 13, F.lit("N/A9")).otherwise((F.lit(90000) + n).cast("string"))
     props = F.to_json(F.struct(
-        n.alias("zone"), (n % 12).alias("COMM"), pop.alias("POP20"),
+        n.alias("zone"), F.lit("Los Angeles").alias("CITY"), (n % 12).alias("COMM"), pop.alias("POP20"),
         housing.alias("HOUSING20"), zip_text.alias("ZCTA20"),
     ))
     text = F.concat(

@@ -128,6 +128,14 @@ def codes_from_lines(lines: DataFrame, line_col: str = "value",
     return lines.select(F.get(parts, 0).alias(code_col), F.get(parts, 1).alias(desc_col))
 
 
+def ingest_columns(df: DataFrame, ts_format: str = EVENT_TS_FORMAT) -> DataFrame:
+    """Typed, Parquet-friendly incident columns: parsed ``ts_occ``, ``year``,
+    and names without spaces or dashes. Works on batch and streaming frames."""
+    ts = parse_ts(F.col("DATE OCC"), ts_format)
+    out = df.withColumn("ts_occ", ts).withColumn("year", F.year(ts))
+    return out.toDF(*[c.replace(" ", "_").replace("-", "_") for c in out.columns])
+
+
 def ingest_incidents(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -141,8 +149,5 @@ def ingest_incidents(
     typed column that Parquet can prune, instead of re-parsing text in
     every query.
     """
-    df = read_incidents(spark, paths)
-    ts = parse_ts(F.col("DATE OCC"), ts_format)
-    out = df.withColumn("ts_occ", ts).withColumn("year", F.year(ts))
-    clean = out.toDF(*[c.replace(" ", "_").replace("-", "_") for c in out.columns])
+    clean = ingest_columns(read_incidents(spark, paths), ts_format)
     clean.write.mode(mode).partitionBy("year").parquet(out_path)
