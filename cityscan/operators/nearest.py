@@ -76,6 +76,10 @@ def nearest_site(
 ) -> DataFrame:
     """Closest site for each point (or each id).
 
+    ``method="auto"`` takes the array path up to ``array_max_sites`` sites (the
+    per-point cost is linear in the site count) and the grid above it.
+    ``fallback_max_sites`` bounds every broadcast of the whole site list.
+
     Points with a NULL coordinate are skipped; filter zero or out-of-range
     coordinates beforehand (:func:`cityscan.functions.valid_coords`).
     Output: ``id_cols``, ``site_key``, ``site_cols``, ``dist_col`` (km) and
@@ -90,9 +94,10 @@ def nearest_site(
         if method == "auto":
             method = "array" if plan[1] <= array_max_sites else "grid"
     if method == "array":
-        n = st.limit(array_max_sites + 1).count()
-        if n > array_max_sites:
-            raise ValueError(f"{n} sites exceed array_max_sites={array_max_sites}; use method='grid'")
+        # the whole site list is broadcast: enforce the broadcast bound
+        n = plan[1] if plan is not None else st.limit(fallback_max_sites + 1).count()
+        if n > fallback_max_sites:
+            raise ValueError(f"{n} sites exceed fallback_max_sites={fallback_max_sites}; use method='grid'")
         return _nearest_array(pts, st, point_lon, point_lat, site_key, site_cols, id_cols, radius_m, dist_col)
     if method == "grid":
         return _nearest_grid(
@@ -198,10 +203,52 @@ def _grid_level(cur, st, key, c, top, small, radius_m, site_key, site_cols, dist
     return lvl.withColumn("_ok", ok)
 
 
+def _nearest_cells(pts, st, point_lon, point_lat, site_key, site_cols, id_cols, c, radius_m, dist_col):
+    """Bounded site list: everything happens inside the point's own task.
+
+    Each cell carries the list of sites in its 3x3 window (9 entries per
+    site in total, so the broadcast is bounded by the site count); a point
+    looks up its cell, takes the closest candidate and keeps it when it beats
+    the window-border bound. The rare point the window cannot prove scans the
+    whole (size-checked) site array, evaluated only for that row.
+    """
+    site_struct_cols = [site_key, *site_cols]
+    cells = (
+        _window_sites(st, c, site_struct_cols)
+        .groupBy("_cx", "_cy")
+        .agg(F.collect_list(F.struct("_slon", "_slat", *site_struct_cols)).alias("_cands"))
+    )
+    keep = list(id_cols or [])
+    p = ensure_parallelism(pts.select(*keep, F.col(point_lon).alias("_lon"), F.col(point_lat).alias("_lat")))
+    p = p.withColumns({
+        "_cx": F.floor(F.col("_lon") / c).cast("long"),
+        "_cy": F.floor(F.col("_lat") / c).cast("long"),
+    })
+    p = p.withColumn("_bound", _window_bound_km(F.col("_lon"), F.col("_lat"), F.col("_cx"), F.col("_cy"),
+                                                c, radius_m / 1000.0))
+    p = p.join(F.broadcast(cells), ["_cx", "_cy"], "left")
+    window_best = F.array_min(F.transform(
+        "_cands",
+        lambda s: _best_struct(haversine_km("_lon", "_lat", s["_slon"], s["_slat"], radius_m),
+                               s, site_key, site_cols, dist_col),
+    ))
+    p = p.withColumn("_wbest", window_best)
+    ok = F.col("_wbest").isNotNull() & (F.col(f"_wbest.{dist_col}") < F.col("_bound") * (1.0 - _REL_MARGIN))
+    p = p.crossJoin(F.broadcast(_site_array(st, site_key, site_cols)))  # one row: attaches, emits no pairs
+    best = F.when(ok, F.col("_wbest")).otherwise(_array_best(site_key, site_cols, radius_m, dist_col))
+    out = p.select(*keep, best.alias("_best"))
+    return _finish(out.where(F.col("_best").isNotNull()), id_cols, None)
+
+
 def _nearest_grid(pts, st, point_lon, point_lat, site_key, site_cols, id_cols,
                   broadcast_max_rows, plan, radius_m, dist_col, fallback_max_sites=100_000):
+    levels, n_sites = plan
+    if 0 < n_sites <= fallback_max_sites:
+        return _nearest_cells(pts, st, point_lon, point_lat, site_key, site_cols, id_cols,
+                              levels[0], radius_m, dist_col)
     keep = list(id_cols or [])
     key = keep + ["_lon", "_lat"]
+    small = n_sites * len(_WINDOW) <= broadcast_max_rows
     # One row per distinct (id, point): duplicates and hot spots collapse in
     # the map-side partial aggregate; later steps keep this partitioning.
     cur = (
@@ -209,18 +256,6 @@ def _nearest_grid(pts, st, point_lon, point_lat, site_key, site_cols, id_cols,
         .groupBy(*key)
         .agg(F.count(F.lit(1)).alias("n_points"))
     )
-    levels, n_sites = plan
-    small = n_sites * len(_WINDOW) <= broadcast_max_rows
-    if 0 < n_sites <= fallback_max_sites:
-        # Bounded site list: one grid level answers almost every point; the
-        # few it cannot prove get the exact scan of the broadcast site array,
-        # computed in the same pass and only for those rows.
-        lvl = _grid_level(cur, st, key, levels[0], False, small, radius_m, site_key, site_cols, dist_col)
-        lvl = lvl.crossJoin(F.broadcast(_site_array(st, site_key, site_cols)))
-        best = F.when(F.col("_ok"), F.col("_best")).otherwise(
-            _array_best(site_key, site_cols, radius_m, dist_col))
-        out = lvl.select(*key, "n_points", best.alias("_best"))
-        return _finish(out.where(F.col("_best").isNotNull()), id_cols, F.col("n_points"))
     if n_sites == 0:
         levels = levels[-1:]  # nothing to search: one pass yields no rows
     # Unbounded site list: coarsen 3x per level until every point is proven;

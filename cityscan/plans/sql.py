@@ -41,10 +41,11 @@ _HAV = """2.0D * {r_km}D * asin(sqrt(
     pow(sin(radians({lat2} - {lat1}) / 2), 2)
     + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2)))"""
 
-# Exact nearest site in one statement: a 3x3 cell window gives candidates and
-# a proven lower bound for everything outside it; a point whose window
-# cannot prove its answer scans the broadcast site array instead (only those
-# rows evaluate it). The site list is a bounded dimension (size-checked).
+# Exact nearest site in one statement: each cell carries the sites of its 3x3
+# window (a broadcast bounded by 9 x sites); a point takes the closest of its
+# cell's list and keeps it when it beats the window-border bound, else it
+# scans the broadcast site array (only those rows evaluate it). The site list
+# is a bounded dimension (size-checked). No point x site rows are formed.
 NEAREST_SQL = """
 WITH s AS (
     SELECT s_suppkey, s_name, lon, lat FROM {sites} WHERE lon IS NOT NULL AND lat IS NOT NULL
@@ -55,15 +56,18 @@ cell AS (
                 ELSE 1.0D END AS c
     FROM s
 ),
-s9 AS (
-    SELECT s.s_suppkey, s.s_name, s.lon AS slon, s.lat AS slat,
-           CAST(floor(s.lon / cell.c) AS BIGINT) + o.dx AS cx,
-           CAST(floor(s.lat / cell.c) AS BIGINT) + o.dy AS cy
-    FROM s CROSS JOIN cell
-    LATERAL VIEW inline(array(
-        named_struct('dx', -1, 'dy', -1), named_struct('dx', -1, 'dy', 0), named_struct('dx', -1, 'dy', 1),
-        named_struct('dx', 0, 'dy', -1), named_struct('dx', 0, 'dy', 0), named_struct('dx', 0, 'dy', 1),
-        named_struct('dx', 1, 'dy', -1), named_struct('dx', 1, 'dy', 0), named_struct('dx', 1, 'dy', 1))) o AS dx, dy
+cells AS (
+    SELECT cx, cy, collect_list(struct(slon, slat, s_suppkey, s_name)) AS cands
+    FROM (
+        SELECT s.s_suppkey, s.s_name, s.lon AS slon, s.lat AS slat,
+               CAST(floor(s.lon / cell.c) AS BIGINT) + o.dx AS cx,
+               CAST(floor(s.lat / cell.c) AS BIGINT) + o.dy AS cy
+        FROM s CROSS JOIN cell
+        LATERAL VIEW inline(array(
+            named_struct('dx', -1, 'dy', -1), named_struct('dx', -1, 'dy', 0), named_struct('dx', -1, 'dy', 1),
+            named_struct('dx', 0, 'dy', -1), named_struct('dx', 0, 'dy', 0), named_struct('dx', 0, 'dy', 1),
+            named_struct('dx', 1, 'dy', -1), named_struct('dx', 1, 'dy', 0), named_struct('dx', 1, 'dy', 1))) o AS dx, dy
+    ) GROUP BY cx, cy
 ),
 p AS (
     SELECT pt.c_custkey, pt.lon, pt.lat, cell.c,
@@ -80,11 +84,10 @@ pb AS (
     FROM p
 ),
 cand AS (
-    SELECT /*+ BROADCAST(s9) */ pb.c_custkey, pb.lon, pb.lat, pb.bound,
-           min(CASE WHEN s9.s_suppkey IS NOT NULL THEN struct(
-                 HAV_WINDOW AS distance_km, s9.s_suppkey AS s_suppkey, s9.s_name AS s_name) END) AS best
-    FROM pb LEFT JOIN s9 ON pb.cx = s9.cx AND pb.cy = s9.cy
-    GROUP BY pb.c_custkey, pb.lon, pb.lat, pb.bound
+    SELECT /*+ BROADCAST(w) */ pb.c_custkey, pb.lon, pb.lat, pb.bound,
+           array_min(transform(w.cands, y -> struct(
+               HAV_WINDOW AS distance_km, y.s_suppkey AS s_suppkey, y.s_name AS s_name))) AS best
+    FROM pb LEFT JOIN cells w ON pb.cx = w.cx AND pb.cy = w.cy
 ),
 site_list AS (
     SELECT collect_list(struct(lon AS slon, lat AS slat, s_suppkey, s_name)) AS sites FROM s
@@ -123,7 +126,7 @@ def nearest_site_sql(spark: SparkSession, points: DataFrame, sites: DataFrame,
     if n > max_sites:
         raise ValueError(f"{n} sites exceed max_sites={max_sites}; use operators.nearest_site")
     r_km = repr(radius_m / 1000.0)
-    hav_w = _HAV.format(r_km=r_km, lon1="pb.lon", lat1="pb.lat", lon2="s9.slon", lat2="s9.slat")
+    hav_w = _HAV.format(r_km=r_km, lon1="pb.lon", lat1="pb.lat", lon2="y.slon", lat2="y.slat")
     hav_a = _HAV.format(r_km=r_km, lon1="c.lon", lat1="c.lat", lon2="x.slon", lat2="x.slat")
     q = (NEAREST_SQL.replace("{r_km}", r_km)
          .replace("HAV_WINDOW", hav_w).replace("HAV_ARRAY", hav_a))

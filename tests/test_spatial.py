@@ -124,7 +124,7 @@ def _brute(pts, sites, by_id):
     return best
 
 
-@pytest.mark.parametrize("method,fallback", [("array", 0), ("grid", 100_000), ("grid", 0)])
+@pytest.mark.parametrize("method,fallback", [("array", 100_000), ("grid", 100_000), ("grid", 0)])
 def test_nearest_per_id_equals_brute_force(spark, method, fallback):
     pdf, sdf, pts, sites = _nearest_fixture(spark)
     out = nearest_site(pdf, sdf, "lon", "lat", "lon", "lat", "skey", ["name"], id_cols=["id"], method=method,
@@ -136,7 +136,7 @@ def test_nearest_per_id_equals_brute_force(spark, method, fallback):
         assert got[k][1] == s and abs(got[k][0] - d) < 1e-6
 
 
-@pytest.mark.parametrize("method,fallback", [("array", 0), ("grid", 100_000), ("grid", 0)])
+@pytest.mark.parametrize("method,fallback", [("array", 100_000), ("grid", 100_000), ("grid", 0)])
 def test_nearest_per_row_counts_every_row(spark, method, fallback):
     pdf, sdf, pts, sites = _nearest_fixture(spark)
     pdf = pdf.union(pdf.limit(5))  # duplicate rows count twice without id_cols
@@ -158,6 +158,6 @@ def test_nearest_skips_null_coordinates_and_handles_no_sites(spark):
     sdf = spark.createDataFrame([(1, 1.0, 1.5)], "skey long, lon double, lat double")
     assert [r.id for r in nearest_site(pdf, sdf, "lon", "lat", "lon", "lat", "skey", id_cols=["id"]).collect()] == ["b"]
     empty = sdf.where("false")
-    for m, fb in (("array", 0), ("grid", 100_000), ("grid", 0)):
+    for m, fb in (("array", 100_000), ("grid", 100_000), ("grid", 0)):
         assert nearest_site(pdf, empty, "lon", "lat", "lon", "lat", "skey", id_cols=["id"], method=m,
                             fallback_max_sites=fb).count() == 0
