@@ -186,8 +186,7 @@ def _grid_level(cur, st, key, c, top, small, radius_m, site_key, site_cols, dist
     window-border bound, and whether the best is proven nearest (``_ok``)."""
     site_struct_cols = [site_key, *site_cols]
     s9 = _window_sites(st, c, site_struct_cols)
-    if small:
-        s9 = F.broadcast(s9)
+    s9 = F.broadcast(s9) if small else s9.hint("merge")
     p = cur.withColumns({
         "_cx": F.floor(F.col("_lon") / c).cast("long"),
         "_cy": F.floor(F.col("_lat") / c).cast("long"),

@@ -54,6 +54,15 @@ def test_lattice_any_cell_size(spark, cell):
     assert points_in_zones(p, z, "x", "y", ["zone"], cell_deg=cell, max_cells=4).count() == 1440
 
 
+def test_lattice_shuffle_path_when_zones_exceed_broadcast_bound(spark):
+    p, z = _lattice(spark)
+    df = points_in_zones(p, z, "x", "y", ["zone"], cell_deg=7.0, broadcast_max_edges=10)
+    assert df.count() == 1440
+    plan = plan_text(df)
+    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+    assert "BroadcastNestedLoopJoin" not in plan
+
+
 def test_points_in_zones_plan_has_no_nested_loop(spark):
     p, z = _lattice(spark)
     df = points_in_zones(p, z, "x", "y", ["zone"])
