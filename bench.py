@@ -35,6 +35,7 @@ HEADLINE = [
     "nearest_site",
     "nearest_site_grid",
     "nearest_site_sql",
+    "geojson_zones",
     "zone_income",
     "points_in_zones",
     "zone_rollup",

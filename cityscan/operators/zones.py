@@ -19,17 +19,25 @@ def zone_income(
     income_text: str,
     housing_col: str,
     out_col: str = "Income_per_block",
+    check_unique: bool = True,
 ) -> DataFrame:
     """Join zones to a zip → median-income table; income per zone = housing × income.
 
     The zone zip is text: it is cast tolerantly, so a malformed code drops the
     zone (inner join) instead of failing the query. Income text such as
-    ``"$52,806"`` is parsed; ``N/A`` gives a NULL income.
+    ``"$52,806"`` is parsed; ``N/A`` gives a NULL income. The lookup is a
+    dimension: with ``check_unique`` a repeated zip raises (one small job)
+    instead of silently duplicating zones.
     """
     inc = income.select(
         F.col(income_zip).try_cast("int").alias("_zip"),
         money_to_int(F.col(income_text)).alias("_income"),
     )
+    if check_unique:
+        # a repeated zip would repeat its zones and double their point counts
+        dup = inc.where(F.col("_zip").isNotNull()).groupBy("_zip").count().where("count > 1").limit(1).collect()
+        if dup:
+            raise ValueError(f"income lookup has repeated zip code {dup[0]['_zip']}")
     z = zones.withColumn("_zip", F.col(zone_zip).try_cast("int"))
     out = z.join(inc, "_zip").withColumn(out_col, F.col(housing_col) * F.col("_income"))
     return out.drop("_zip", "_income")

@@ -87,3 +87,10 @@ def test_geojson_empty_collection(spark, tmp_path):
     p = tmp_path / "empty.geojson"
     p.write_text(json.dumps({"type": "FeatureCollection", "features": []}))
     assert features_to_zones(read_geojson(spark, str(p), PROPS)).count() == 0
+
+
+def test_csv_binds_by_position_not_header_names(spark, tmp_path):
+    p = tmp_path / "h.csv"
+    p.write_text("Vict Descent,Something Else\nH,Hispanic\n")
+    df = read_delimited(spark, str(p), "`Vict_Descent` string, `Vict_Descent_Full` string")
+    assert [tuple(r) for r in df.collect()] == [("H", "Hispanic")]
