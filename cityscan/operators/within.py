@@ -25,8 +25,16 @@ def zone_cells(
     cell_deg: float,
     max_cells: int = 16,
     carry: Sequence[str] = (),
+    edges_col: str | None = None,
 ) -> DataFrame:
-    """Zones → one row per covered cell: (level, cx, cy, bbox, carry...)."""
+    """Zones → one row per covered cell: (level, cx, cy, bbox, carry...).
+
+    With ``edges_col``, each row keeps only the edges a point of that cell can
+    need: a ray cast to +x from a point in the cell can only cross (or the
+    point lie on) an edge whose y-range meets the cell's row band and which
+    reaches the cell's left side. The band is widened by a margin, so the
+    clipping never drops a needed edge.
+    """
     k = max(int(math.isqrt(max_cells)), 2)
     span = F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"))
     # smallest level l with span / (cell * 2^l) <= k - 1  → at most k cells per axis
@@ -35,7 +43,7 @@ def zone_cells(
         F.ceil(F.log2(F.greatest(span, F.lit(1e-300)) / F.lit(cell_deg * (k - 1)))).cast("int"),
     )
     z = zones.withColumn("_level", lvl).withColumn("_c", F.lit(cell_deg) * F.pow(F.lit(2.0), F.col("_level")))
-    return z.select(
+    cells = z.select(
         "_level",
         F.explode(F.sequence(F.floor(F.col("min_x") / F.col("_c")), F.floor(F.col("max_x") / F.col("_c")))).alias("_cx"),
         F.col("min_y"), F.col("max_y"), F.col("min_x"), F.col("max_x"), F.col("_c"),
@@ -43,9 +51,20 @@ def zone_cells(
     ).select(
         "_level", "_cx",
         F.explode(F.sequence(F.floor(F.col("min_y") / F.col("_c")), F.floor(F.col("max_y") / F.col("_c")))).alias("_cy"),
-        "min_x", "min_y", "max_x", "max_y",
+        "min_x", "min_y", "max_x", "max_y", "_c",
         *carry,
     )
+    if edges_col:
+        c = F.col("_c")
+        m = c * F.lit(1e-6)
+        y0, y1, x0 = F.col("_cy") * c - m, (F.col("_cy") + 1) * c + m, F.col("_cx") * c - m
+        cells = cells.withColumn(edges_col, F.filter(
+            edges_col,
+            lambda e: (F.greatest(e["y1"], e["y2"]) >= y0)
+            & (F.least(e["y1"], e["y2"]) <= y1)
+            & (F.greatest(e["x1"], e["x2"]) >= x0),
+        ))
+    return cells.drop("_c")
 
 
 def _span() -> "F.Column":
@@ -106,7 +125,7 @@ def points_in_zones(
     plan = grid_plan(zones, cell_deg, max_cells)
     cell_deg, levels = plan["cell_deg"], plan["levels"]
     carry = [*zone_cols, edges_col]
-    cells = zone_cells(zones, cell_deg, max_cells, carry)
+    cells = zone_cells(zones, cell_deg, max_cells, carry, edges_col=edges_col)
     # every zone covers at most max_cells cells: a proven bound on the cell
     # table's rows and on the edges they carry
     if (plan["n_zones"] * max_cells <= broadcast_max_rows
