@@ -5,11 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+import cityscan.functions.buckets as _buckets
 from cityscan.functions.buckets import AGE_ELSE, AGE_GROUPS, bucket_label_py, bucketize
 
+# The UDF's helper travels with the UDF itself, so Python workers need no
+# installed copy of this package.
+cloudpickle.register_pickle_by_value(_buckets)
+
 
 def bucket_udf(
     groups: Sequence[tuple[float, str]] = AGE_GROUPS,
