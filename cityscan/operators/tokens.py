@@ -23,9 +23,9 @@ def token_counts(df: DataFrame, text_col: str, token_col: str = "token", sep: st
     field contributes nothing. Counting is partial per task before the
     shuffle, so a hot token costs one row per task, not one per occurrence.
     """
-    toks = F.filter(F.split(F.col(text_col), sep), lambda t: t != F.lit(""))
     return (
-        df.select(F.explode(toks).alias(token_col))
+        df.select(F.explode(F.split(F.col(text_col), sep)).alias(token_col))
+        .where(F.col(token_col) != "")
         .groupBy(token_col)
         .agg(F.count(F.lit(1)).alias("count"))
     )
