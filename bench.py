@@ -56,13 +56,19 @@ def main() -> None:
         extra={"spark.driver.memory": "16g", "spark.sql.files.maxPartitionBytes": str(32 << 20)},
     )
     times: dict[str, float] = {}
+    failed: dict[str, str] = {}
     for k in only:
-        QUERIES[k](spark, sf_dir).collect()  # warm-up
-        best = float("inf")
-        for _ in range(reps):
-            t0 = time.perf_counter()
-            QUERIES[k](spark, sf_dir).collect()
-            best = min(best, time.perf_counter() - t0)
+        try:
+            QUERIES[k](spark, sf_dir).collect()  # warm-up
+            best = float("inf")
+            for _ in range(reps):
+                t0 = time.perf_counter()
+                QUERIES[k](spark, sf_dir).collect()
+                best = min(best, time.perf_counter() - t0)
+        except Exception as e:  # report and keep measuring the others
+            failed[k] = f"{type(e).__name__}: {str(e)[:200]}"
+            print(f"{k}: FAILED {failed[k]}", file=sys.stderr)
+            continue
         times[k] = round(best, 3)
         print(f"{k}: {best:.3f}s", file=sys.stderr)
     m = re.search(r"sf([0-9.]+)", sf_dir)
@@ -74,6 +80,8 @@ def main() -> None:
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
     }
+    if failed:
+        out["failed"] = failed
     print(json.dumps(out))
     spark.stop()
 
