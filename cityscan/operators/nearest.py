@@ -98,7 +98,8 @@ def nearest_site(
         n = plan[1] if plan is not None else st.limit(fallback_max_sites + 1).count()
         if n > fallback_max_sites:
             raise ValueError(f"{n} sites exceed fallback_max_sites={fallback_max_sites}; use method='grid'")
-        return _nearest_array(pts, st, point_lon, point_lat, site_key, site_cols, id_cols, radius_m, dist_col)
+        return _nearest_array(pts, st, point_lon, point_lat, site_key, site_cols, id_cols, radius_m, dist_col,
+                              empty=(n == 0))
     if method == "grid":
         return _nearest_grid(
             pts, st, point_lon, point_lat, site_key, site_cols, id_cols,
@@ -123,7 +124,8 @@ def _array_best(site_key, site_cols, radius_m, dist_col) -> Column:
     return F.array_min(cands)
 
 
-def _nearest_array(pts, st, point_lon, point_lat, site_key, site_cols, id_cols, radius_m, dist_col):
+def _nearest_array(pts, st, point_lon, point_lat, site_key, site_cols, id_cols, radius_m, dist_col,
+                   empty=False):
     keep = list(id_cols or [])
     p = ensure_parallelism(
         pts.select(*keep, F.col(point_lon).alias("_lon"), F.col(point_lat).alias("_lat"))
@@ -131,7 +133,10 @@ def _nearest_array(pts, st, point_lon, point_lat, site_key, site_cols, id_cols,
     # attaches one array per row; emits no point x site rows
     p = p.crossJoin(F.broadcast(_site_array(st, site_key, site_cols)))
     best = p.select(*keep, _array_best(site_key, site_cols, radius_m, dist_col).alias("_best"))
-    return _finish(best.where(F.col("_best").isNotNull()), id_cols, None)
+    # With at least one site every (non-NULL) point has a best site, so no
+    # NULL filter is needed - one would be pushed into the join condition
+    # and evaluate the array minimum twice.
+    return _finish(best.where(F.lit(False)) if empty else best, id_cols, None)
 
 
 # Offsets of the 3x3 window around a cell.
@@ -235,8 +240,8 @@ def _nearest_cells(pts, st, point_lon, point_lat, site_key, site_cols, id_cols,
     ok = F.col("_wbest").isNotNull() & (F.col(f"_wbest.{dist_col}") < F.col("_bound") * (1.0 - _REL_MARGIN))
     p = p.crossJoin(F.broadcast(_site_array(st, site_key, site_cols)))  # one row: attaches, emits no pairs
     best = F.when(ok, F.col("_wbest")).otherwise(_array_best(site_key, site_cols, radius_m, dist_col))
-    out = p.select(*keep, best.alias("_best"))
-    return _finish(out.where(F.col("_best").isNotNull()), id_cols, None)
+    out = p.select(*keep, best.alias("_best"))  # never NULL: there is at least one site
+    return _finish(out, id_cols, None)
 
 
 def _nearest_grid(pts, st, point_lon, point_lat, site_key, site_cols, id_cols,
