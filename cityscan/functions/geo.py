@@ -102,8 +102,3 @@ def point_in_polygon(px: Column | str, py: Column | str, edges: Column | str) ->
 
     total = F.aggregate(E, F.lit(0), score)
     return (total < _ON_EDGE) & ((total % 2) == 1)
-
-
-def cell_of(coord: Column | str, size: float | Column) -> Column:
-    """Grid cell index of a coordinate for a cell edge length (degrees)."""
-    return F.floor(_c(coord) / size).cast("long")
