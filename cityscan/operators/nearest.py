@@ -289,10 +289,15 @@ def site_load(
     dist_col: str = "distance_km",
     avg_col: str = "average_distance",
     count_col: str = "number_of_points",
+    top: int | None = None,
 ) -> DataFrame:
-    """Per site: mean distance and number of points assigned, busiest first."""
+    """Per site: mean distance and number of points assigned, busiest first.
+
+    ``top`` keeps only the busiest sites (a report; planned as a top-k
+    without a full sort); by default every site is returned.
+    """
     w = F.col("n_points")
-    return (
+    out = (
         nearest.groupBy(*group_cols)
         .agg(
             F.sum(F.col(dist_col) * w).alias("_sd"),
@@ -301,3 +306,4 @@ def site_load(
         .select(*group_cols, (F.col("_sd") / F.col(count_col)).alias(avg_col), count_col)
         .orderBy(F.desc(count_col), *[F.asc(c) for c in group_cols])
     )
+    return out.limit(top) if top is not None else out

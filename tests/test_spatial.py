@@ -170,3 +170,12 @@ def test_nearest_skips_null_coordinates_and_handles_no_sites(spark):
     for m, fb in (("array", 100_000), ("grid", 100_000), ("grid", 0)):
         assert nearest_site(pdf, empty, "lon", "lat", "lon", "lat", "skey", id_cols=["id"], method=m,
                             fallback_max_sites=fb).count() == 0
+
+
+def test_site_load_top_is_a_top_k(spark):
+    pdf, sdf, pts, sites = _nearest_fixture(spark)
+    near = nearest_site(pdf, sdf, "lon", "lat", "lon", "lat", "skey", ["name"], method="array")
+    full = [tuple(r) for r in site_load(near, ["skey"]).collect()]
+    top = site_load(near, ["skey"], top=5)
+    assert [tuple(r) for r in top.collect()] == full[:5]
+    assert "TakeOrderedAndProject" in plan_text(top)
