@@ -37,25 +37,53 @@ def feature_schema(properties: Mapping[str, str] | str) -> str:
     )
 
 
+# a feature's own type marker (not "FeatureCollection")
+_FEATURE_MARK = r'"type"\s*:\s*"Feature"'
+
+
 def read_geojson(
     spark: SparkSession,
     paths: str | Sequence[str],
     properties: Mapping[str, str] | str,
     newline_delimited: bool = False,
+    layout: str | None = None,
 ) -> DataFrame:
     """Read features as rows (type, properties, geometry).
 
-    ``newline_delimited=False`` reads FeatureCollection documents (each file is
-    one record, so one task); ``True`` reads one feature per line, which
-    splits across tasks. Either way the feature rows are spread over the
-    cluster before geometry work starts.
+    ``layout`` (``newline_delimited=True`` is the same as ``"sequence"``):
+
+    * ``"document"`` (default): FeatureCollection documents, parsed whole -
+      each file is one record in one task, fine for city-sized files.
+    * ``"sequence"``: one feature per line (GeoJSON text sequence); splits
+      across tasks.
+    * ``"feature_lines"``: a FeatureCollection written one feature per line
+      (the usual GDAL layout), read as splittable text. Every line's feature
+      markers are counted against the features parsed, and a mismatch raises
+      instead of silently losing features.
+
+    Either way the feature rows are spread over the cluster before geometry
+    work starts.
     """
+    layout = layout or ("sequence" if newline_delimited else "document")
     fschema = feature_schema(properties)
-    if newline_delimited:
+    if layout == "sequence":
         feats = spark.read.schema(fschema).json(paths)
-    else:
+    elif layout == "document":
         doc = spark.read.schema(f"type string, features array<struct<{fschema}>>")
         feats = doc.option("multiLine", True).json(paths).select(F.inline("features"))
+    elif layout == "feature_lines":
+        lines = spark.read.text(paths)
+        text = F.regexp_replace(F.trim("value"), r",$", "")
+        marks = F.size(F.split(F.col("value"), _FEATURE_MARK)) - 1
+        parsed = lines.select(F.from_json(text, fschema).alias("f"), marks.alias("_marks"))
+        ok = parsed.where((F.col("_marks") == 1) & (F.col("f.type") == "Feature"))
+        check = parsed.agg(F.sum("_marks").alias("marks"),
+                           F.count(F.when((F.col("_marks") == 1) & (F.col("f.type") == "Feature"), 1)).alias("n")).first()
+        if (check["marks"] or 0) != check["n"]:
+            raise ValueError("features are not one per line; read with layout='document'")
+        feats = ok.select("f.*")
+    else:
+        raise ValueError(f"unknown layout {layout!r}")
     return ensure_parallelism(feats)
 
 

@@ -94,3 +94,16 @@ def test_csv_binds_by_position_not_header_names(spark, tmp_path):
     p.write_text("Vict Descent,Something Else\nH,Hispanic\n")
     df = read_delimited(spark, str(p), "`Vict_Descent` string, `Vict_Descent_Full` string")
     assert [tuple(r) for r in df.collect()] == [("H", "Hispanic")]
+
+
+def test_geojson_feature_lines_layout_is_splittable_and_checked(spark, tmp_path):
+    p = tmp_path / "gdal.geojson"
+    body = ",\n".join(json.dumps(f) for f in FEATURES)
+    p.write_text('{\n"type": "FeatureCollection",\n"name": "blocks",\n"features": [\n' + body + "\n]\n}\n")
+    _check_zones(features_to_zones(read_geojson(spark, str(p), PROPS, layout="feature_lines")))
+    compact = tmp_path / "compact.geojson"
+    compact.write_text(json.dumps({"type": "FeatureCollection", "features": FEATURES}))
+    import pytest
+
+    with pytest.raises(ValueError):
+        read_geojson(spark, str(compact), PROPS, layout="feature_lines")
