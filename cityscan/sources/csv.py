@@ -136,6 +136,13 @@ def ingest_columns(df: DataFrame, ts_format: str = EVENT_TS_FORMAT) -> DataFrame
     return out.toDF(*[c.replace(" ", "_").replace("-", "_") for c in out.columns])
 
 
+def canonical_incidents(df: DataFrame) -> DataFrame:
+    """Ingested incident Parquet → the canonical column names (``Vict_Age`` →
+    ``Vict Age``); ``ts_occ`` and the ``year`` partition column are kept."""
+    names = {n.replace(" ", "_").replace("-", "_"): n for n, _ in INCIDENT_COLUMNS}
+    return df.withColumnsRenamed({c: names[c] for c in df.columns if c in names and names[c] != c})
+
+
 def ingest_incidents(
     spark: SparkSession,
     paths: str | Sequence[str],
