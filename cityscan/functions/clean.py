@@ -41,9 +41,10 @@ def year_in(ts: Column | str, years: Iterable[int]) -> Column:
 
 
 def valid_coords(lon: Column | str, lat: Column | str, drop_zero: bool = True) -> Column:
-    """Both coordinates present; with ``drop_zero`` also both non-zero."""
+    """Both coordinates present (not NULL, not NaN); with ``drop_zero`` also
+    both non-zero."""
     x, y = _c(lon), _c(lat)
-    cond = x.isNotNull() & y.isNotNull()
+    cond = x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y)
     if drop_zero:
         cond = cond & (x != 0) & (y != 0)
     return cond

@@ -21,7 +21,8 @@ def test_money_to_int(spark):
 
 
 def test_valid_coords(spark):
-    df = spark.createDataFrame([(1.0, 2.0), (0.0, 2.0), (None, 2.0), (1.0, 0.0)], "lon double, lat double")
+    df = spark.createDataFrame([(1.0, 2.0), (0.0, 2.0), (None, 2.0), (1.0, 0.0), (float("nan"), 1.0)],
+                               "lon double, lat double")
     assert df.where(valid_coords("lon", "lat")).count() == 1
     assert df.where(valid_coords("lon", "lat", drop_zero=False)).count() == 3
 
