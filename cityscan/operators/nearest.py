@@ -53,7 +53,57 @@ def _site_frame(sites, site_lon, site_lat, site_key, site_cols):
         F.col(site_lat).alias("_slat"),
         site_key,
         *site_cols,
+    ).withColumns(_trig("_slon", "_slat", "_s"))
+
+
+def _trig(lon: str, lat: str, prefix: str) -> dict[str, Column]:
+    """Radians and cos(latitude), computed once per row in generated code so
+    the per-candidate lambda only does the remaining haversine arithmetic."""
+    phi = F.radians(F.col(lat))
+    return {f"{prefix}phi": phi, f"{prefix}lam": F.radians(F.col(lon)), f"{prefix}cphi": F.cos(phi)}
+
+
+def _hav_term(s: Column) -> Column:
+    """Haversine term ``a`` between the row's point (_pphi, _plam, _pcphi) and
+    candidate ``s``; distance is increasing in ``a``, so candidates are
+    ranked by it and the distance is computed once, for the winner."""
+    return (F.pow(F.sin((s["_sphi"] - F.col("_pphi")) * 0.5), 2)
+            + F.col("_pcphi") * s["_scphi"] * F.pow(F.sin((s["_slam"] - F.col("_plam")) * 0.5), 2))
+
+
+def _km_from_term(a: Column, radius_m: float) -> Column:
+    return F.asin(F.least(F.sqrt(a), F.lit(1.0))) * F.lit(2 * radius_m / 1000.0)
+
+
+def _cand_array_best(arr_col: str, site_key: str) -> Column:
+    """Closest entry of a candidate array as struct(_a, site_key); ties in
+    ``_a`` (e.g. sites at the same spot) go to the smaller key."""
+    return F.array_min(F.transform(arr_col, lambda s: F.struct(_hav_term(s).alias("_a"), s[site_key].alias(site_key))))
+
+
+def _finish_lean(best: DataFrame, id_cols, st: DataFrame, site_key: str, site_cols, radius_m: float,
+                 dist_col: str) -> DataFrame:
+    """``_best`` = struct(_a, key) → id cols, key, site cols, distance, n_points.
+
+    Site attributes come from the site table (a bounded dimension already
+    checked for broadcast) by key, after the per-id reduction.
+    """
+    if id_cols:
+        best = best.groupBy(*id_cols).agg(F.min("_best").alias("_best"))
+    out = best.select(
+        *(id_cols or []),
+        F.col(f"_best.{site_key}").alias(site_key),
+        _km_from_term(F.col("_best._a"), radius_m).alias(dist_col),
+        F.lit(1).cast("long").alias("n_points"),
     )
+    if site_cols:
+        attrs = st.select(site_key, *site_cols).dropDuplicates([site_key])
+        # left join: every key exists, and an inner join would make the
+        # optimizer infer isnotnull(key) and push it - with the whole
+        # candidate scan substituted in - below the projection, evaluating
+        # the scan twice
+        out = out.join(F.broadcast(attrs), site_key, "left")
+    return out
 
 
 def nearest_site(
@@ -108,20 +158,9 @@ def nearest_site(
     raise ValueError(f"method must be 'auto', 'array' or 'grid', not {method!r}")
 
 
-def _site_array(st: DataFrame, site_key: str, site_cols: Sequence[str]) -> DataFrame:
+def _site_array(st: DataFrame, site_key: str) -> DataFrame:
     """All sites as one array in one row (callers check the site count first)."""
-    return st.agg(F.collect_list(F.struct("_slon", "_slat", site_key, *site_cols)).alias("_sites"))
-
-
-def _array_best(site_key, site_cols, radius_m, dist_col) -> Column:
-    """Closest entry of the attached ``_sites`` array for the row's (_lon, _lat)."""
-    cands = F.transform(
-        "_sites",
-        lambda s: _best_struct(
-            haversine_km("_lon", "_lat", s["_slon"], s["_slat"], radius_m), s, site_key, site_cols, dist_col
-        ),
-    )
-    return F.array_min(cands)
+    return st.agg(F.collect_list(F.struct("_sphi", "_slam", "_scphi", site_key)).alias("_sites"))
 
 
 def _nearest_array(pts, st, point_lon, point_lat, site_key, site_cols, id_cols, radius_m, dist_col,
@@ -129,14 +168,15 @@ def _nearest_array(pts, st, point_lon, point_lat, site_key, site_cols, id_cols,
     keep = list(id_cols or [])
     p = ensure_parallelism(
         pts.select(*keep, F.col(point_lon).alias("_lon"), F.col(point_lat).alias("_lat"))
-    )
+    ).withColumns(_trig("_lon", "_lat", "_p"))
     # attaches one array per row; emits no point x site rows
-    p = p.crossJoin(F.broadcast(_site_array(st, site_key, site_cols)))
-    best = p.select(*keep, _array_best(site_key, site_cols, radius_m, dist_col).alias("_best"))
+    p = p.crossJoin(F.broadcast(_site_array(st, site_key)))
+    best = p.select(*keep, _cand_array_best("_sites", site_key).alias("_best"))
     # With at least one site every (non-NULL) point has a best site, so no
     # NULL filter is needed - one would be pushed into the join condition
     # and evaluate the array minimum twice.
-    return _finish(best.where(F.lit(False)) if empty else best, id_cols, None)
+    return _finish_lean(best.where(F.lit(False)) if empty else best, id_cols, st, site_key, site_cols,
+                        radius_m, dist_col)
 
 
 # Offsets of the 3x3 window around a cell.
@@ -179,8 +219,9 @@ def _window_bound_km(lon: Column, lat: Column, cx: Column, cy: Column, c: float,
 def _window_sites(st: DataFrame, c: float, site_struct_cols: Sequence[str]) -> DataFrame:
     """Each site repeated under the 9 cells whose 3x3 window contains it."""
     offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _WINDOW])
-    return st.select("_slon", "_slat", *site_struct_cols, F.explode(offsets).alias("_o")).select(
-        "_slon", "_slat", *site_struct_cols,
+    trig = ["_sphi", "_slam", "_scphi"]
+    return st.select("_slon", "_slat", *trig, *site_struct_cols, F.explode(offsets).alias("_o")).select(
+        "_slon", "_slat", *trig, *site_struct_cols,
         (F.floor(F.col("_slon") / c) + F.col("_o.dx")).cast("long").alias("_cx"),
         (F.floor(F.col("_slat") / c) + F.col("_o.dy")).cast("long").alias("_cy"),
     )
@@ -216,32 +257,30 @@ def _nearest_cells(pts, st, point_lon, point_lat, site_key, site_cols, id_cols,
     the window-border bound. The rare point the window cannot prove scans the
     whole (size-checked) site array, evaluated only for that row.
     """
-    site_struct_cols = [site_key, *site_cols]
     cells = (
-        _window_sites(st, c, site_struct_cols)
+        _window_sites(st, c, [site_key])
         .groupBy("_cx", "_cy")
-        .agg(F.collect_list(F.struct("_slon", "_slat", *site_struct_cols)).alias("_cands"))
+        .agg(F.collect_list(F.struct("_sphi", "_slam", "_scphi", site_key)).alias("_cands"))
     )
     keep = list(id_cols or [])
     p = ensure_parallelism(pts.select(*keep, F.col(point_lon).alias("_lon"), F.col(point_lat).alias("_lat")))
     p = p.withColumns({
         "_cx": F.floor(F.col("_lon") / c).cast("long"),
         "_cy": F.floor(F.col("_lat") / c).cast("long"),
+        **_trig("_lon", "_lat", "_p"),
     })
     p = p.withColumn("_bound", _window_bound_km(F.col("_lon"), F.col("_lat"), F.col("_cx"), F.col("_cy"),
                                                 c, radius_m / 1000.0))
     p = p.join(F.broadcast(cells), ["_cx", "_cy"], "left")
-    window_best = F.array_min(F.transform(
-        "_cands",
-        lambda s: _best_struct(haversine_km("_lon", "_lat", s["_slon"], s["_slat"], radius_m),
-                               s, site_key, site_cols, dist_col),
-    ))
-    p = p.withColumn("_wbest", window_best)
-    ok = F.col("_wbest").isNotNull() & (F.col(f"_wbest.{dist_col}") < F.col("_bound") * (1.0 - _REL_MARGIN))
-    p = p.crossJoin(F.broadcast(_site_array(st, site_key, site_cols)))  # one row: attaches, emits no pairs
-    best = F.when(ok, F.col("_wbest")).otherwise(_array_best(site_key, site_cols, radius_m, dist_col))
+    p = p.withColumn("_wbest", _cand_array_best("_cands", site_key))
+    p = p.withColumn("_ok", F.col("_wbest").isNotNull() & (
+        _km_from_term(F.col("_wbest._a"), radius_m) < F.col("_bound") * (1.0 - _REL_MARGIN)))
+    # The one-row site array is attached only where the window did not prove
+    # the answer (a left join on NOT _ok): proven rows carry no copy of it.
+    p = p.join(F.broadcast(_site_array(st, site_key)), on=~F.col("_ok"), how="left")
+    best = F.when(F.col("_ok"), F.col("_wbest")).otherwise(_cand_array_best("_sites", site_key))
     out = p.select(*keep, best.alias("_best"))  # never NULL: there is at least one site
-    return _finish(out, id_cols, None)
+    return _finish_lean(out, id_cols, st, site_key, site_cols, radius_m, dist_col)
 
 
 def _nearest_grid(pts, st, point_lon, point_lat, site_key, site_cols, id_cols,

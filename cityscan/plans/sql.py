@@ -44,8 +44,9 @@ _HAV = """2.0D * {r_km}D * asin(sqrt(
 # Exact nearest site in one statement: each cell carries the sites of its 3x3
 # window (a broadcast bounded by 9 x sites); a point takes the closest of its
 # cell's list and keeps it when it beats the window-border bound, else it
-# scans the broadcast site array (only those rows evaluate it). The site list
-# is a bounded dimension (size-checked). No point x site rows are formed.
+# scans the broadcast site array, which is joined only to those rows. The
+# site list is a bounded dimension (size-checked). No point x site rows are
+# formed.
 NEAREST_SQL = """
 WITH s AS (
     SELECT s_suppkey, s_name, lon, lat FROM {sites} WHERE lon IS NOT NULL AND lat IS NOT NULL
@@ -93,12 +94,15 @@ cand AS (
 site_list AS (
     SELECT collect_list(struct(lon AS slon, lat AS slat, s_suppkey, s_name)) AS sites FROM s
 ),
+proved AS (
+    SELECT *, best IS NOT NULL AND best.distance_km < bound * (1.0D - 1e-9D) AS ok FROM cand
+),
 resolved AS (
     SELECT /*+ BROADCAST(l) */ c.c_custkey,
-           CASE WHEN c.best IS NOT NULL AND c.best.distance_km < c.bound * (1.0D - 1e-9D) THEN c.best
+           CASE WHEN c.ok THEN c.best
                 ELSE array_min(transform(l.sites, x -> struct(
                        HAV_ARRAY AS distance_km, x.s_suppkey AS s_suppkey, x.s_name AS s_name))) END AS b
-    FROM cand c CROSS JOIN site_list l
+    FROM proved c LEFT JOIN site_list l ON NOT c.ok
 ),
 nearest AS (
     SELECT * FROM (
