@@ -75,7 +75,7 @@ def _cross(px: Column, py: Column, e: Column) -> Column:
     return (e["x2"] - e["x1"]) * (py - e["y1"]) - (e["y2"] - e["y1"]) * (px - e["x1"])
 
 
-_ON_EDGE = 1 << 20  # added once per edge the point lies on; dwarfs any crossing count
+_ON_EDGE = -(1 << 20)  # added per edge the point lies on: drives the total negative
 
 
 def point_in_polygon(px: Column | str, py: Column | str, edges: Column | str) -> Column:
@@ -84,7 +84,10 @@ def point_in_polygon(px: Column | str, py: Column | str, edges: Column | str) ->
     One pass over the edges: an edge whose y-range misses the point is
     skipped after two comparisons; otherwise the cross product decides both
     "point on this edge" and "ray crosses this edge", so rounding can never
-    make a point both. Division-free, hence safe under ANSI mode.
+    make a point both. An on-edge hit adds a large negative amount, so the
+    single test ``total % 2 == 1`` (remainder keeps the sign) means "odd
+    crossings and on no edge" - the edge loop is referenced, and run, once.
+    Division-free, hence safe under ANSI mode.
     """
     x, y, E = _c(px), _c(py), _c(edges)
 
@@ -100,5 +103,4 @@ def point_in_polygon(px: Column | str, py: Column | str, edges: Column | str) ->
             .otherwise(0)
         )
 
-    total = F.aggregate(E, F.lit(0), score)
-    return (total < _ON_EDGE) & ((total % 2) == 1)
+    return (F.aggregate(E, F.lit(0), score) % 2) == 1
