@@ -169,8 +169,8 @@ def _nearest_array(pts, st, point_lon, point_lat, site_key, site_cols, id_cols,
     p = ensure_parallelism(
         pts.select(*keep, F.col(point_lon).alias("_lon"), F.col(point_lat).alias("_lat"))
     ).withColumns(_trig("_lon", "_lat", "_p"))
-    # attaches one array per row; emits no point x site rows
-    p = p.crossJoin(F.broadcast(_site_array(st, site_key)))
+    # attaches the one-row site array to every point; emits no point x site rows
+    p = p.join(F.broadcast(_site_array(st, site_key)), F.lit(True), "left")
     best = p.select(*keep, _cand_array_best("_sites", site_key).alias("_best"))
     # With at least one site every (non-NULL) point has a best site, so no
     # NULL filter is needed - one would be pushed into the join condition

@@ -61,20 +61,22 @@ cells AS (
     SELECT cx, cy, collect_list(struct(slon, slat, s_suppkey, s_name)) AS cands
     FROM (
         SELECT s.s_suppkey, s.s_name, s.lon AS slon, s.lat AS slat,
-               CAST(floor(s.lon / cell.c) AS BIGINT) + o.dx AS cx,
-               CAST(floor(s.lat / cell.c) AS BIGINT) + o.dy AS cy
-        FROM s CROSS JOIN cell
+               CAST(floor(s.lon / (SELECT c FROM cell)) AS BIGINT) + o.dx AS cx,
+               CAST(floor(s.lat / (SELECT c FROM cell)) AS BIGINT) + o.dy AS cy
+        FROM s
         LATERAL VIEW inline(array(
             named_struct('dx', -1, 'dy', -1), named_struct('dx', -1, 'dy', 0), named_struct('dx', -1, 'dy', 1),
             named_struct('dx', 0, 'dy', -1), named_struct('dx', 0, 'dy', 0), named_struct('dx', 0, 'dy', 1),
             named_struct('dx', 1, 'dy', -1), named_struct('dx', 1, 'dy', 0), named_struct('dx', 1, 'dy', 1))) o AS dx, dy
     ) GROUP BY cx, cy
 ),
+p0 AS (
+    SELECT c_custkey, lon, lat, (SELECT c FROM cell) AS c
+    FROM {points}
+    WHERE lon IS NOT NULL AND lat IS NOT NULL
+),
 p AS (
-    SELECT pt.c_custkey, pt.lon, pt.lat, cell.c,
-           CAST(floor(pt.lon / cell.c) AS BIGINT) AS cx, CAST(floor(pt.lat / cell.c) AS BIGINT) AS cy
-    FROM {points} pt CROSS JOIN cell
-    WHERE pt.lon IS NOT NULL AND pt.lat IS NOT NULL
+    SELECT *, CAST(floor(lon / c) AS BIGINT) AS cx, CAST(floor(lat / c) AS BIGINT) AS cy FROM p0
 ),
 pb AS (
     SELECT *,
