@@ -25,22 +25,26 @@ def zone_income(
 
     The zone zip is text: it is cast tolerantly, so a malformed code drops the
     zone (inner join) instead of failing the query. Income text such as
-    ``"$52,806"`` is parsed; ``N/A`` gives a NULL income. The lookup is a
-    dimension: with ``check_unique`` a repeated zip raises (one small job)
-    instead of silently duplicating zones.
+    ``"$52,806"`` is parsed; ``N/A`` gives a NULL income. With
+    ``check_unique`` the lookup is reduced to one row per zip (zones are
+    never duplicated) and a zone whose zip repeats raises when its income is
+    computed, instead of silently picking one.
     """
     inc = income.select(
         F.col(income_zip).try_cast("int").alias("_zip"),
         money_to_int(F.col(income_text)).alias("_income"),
     )
-    if check_unique:
-        # a repeated zip would repeat its zones and double their point counts
-        dup = inc.where(F.col("_zip").isNotNull()).groupBy("_zip").count().where("count > 1").limit(1).collect()
-        if dup:
-            raise ValueError(f"income lookup has repeated zip code {dup[0]['_zip']}")
     z = zones.withColumn("_zip", F.col(zone_zip).try_cast("int"))
-    out = z.join(inc, "_zip").withColumn(out_col, F.col(housing_col) * F.col("_income"))
-    return out.drop("_zip", "_income")
+    value = F.col(housing_col) * F.col("_income")
+    if check_unique:
+        # one row per zip, so a repeated zip can never repeat its zones; an
+        # ambiguous income raises inside the query when it is used
+        inc = inc.groupBy("_zip").agg(F.count(F.lit(1)).alias("_n"), F.first("_income").alias("_income"))
+        value = F.when(F.col("_n") > 1, F.raise_error(
+            F.concat(F.lit("income lookup has repeated zip code "), F.col("_zip").cast("string")))
+        ).otherwise(value)
+    out = z.join(inc, "_zip").withColumn(out_col, value)
+    return out.drop("_zip", "_income", "_n")
 
 
 def zone_counts(
