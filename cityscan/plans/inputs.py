@@ -53,30 +53,32 @@ ZONE_PROPS = {"zone": "int", "CITY": "string", "COMM": "int", "POP20": "bigint",
               "ZCTA20": "string"}
 
 
-def _pt(x: Column, y: Column) -> Column:
-    return F.concat(F.lit("["), x.cast("string"), F.lit(","), y.cast("string"), F.lit("]"))
-
-
-def _ring(pts: list[tuple[Column, Column]]) -> Column:
-    return F.concat(F.lit("["), F.concat_ws(",", *[_pt(x, y) for x, y in pts]), F.lit("]"))
+_RING = "[" + ",".join(["[%s,%s]"] * 5) + "]"  # closed ring of a rectangle: 5 vertices
 
 
 def zone_geojson_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One GeoJSON Feature text per nation: a square with a square hole.
 
     Even nations are written as Polygon, odd ones as a one-part MultiPolygon,
-    so the reader's two geometry paths are both exercised.
+    so the reader's two geometry paths are both exercised. Coordinates are
+    written as shortest round-trip decimals, so parsing returns the same
+    doubles the oracle computes.
     """
     n = F.col("n_nationkey")
-    ox = F.lit(-118.7) + F.lit(ZONE_DX) * (n % ZONE_COLS)
-    oy = F.lit(33.7) + F.lit(ZONE_DY) * F.floor(n / ZONE_COLS)
-    outer = _ring([(ox, oy), (ox + ZONE_W, oy), (ox + ZONE_W, oy + ZONE_H), (ox, oy + ZONE_H), (ox, oy)])
+    base = table(spark, sf_dir, "nation").select(
+        n,
+        (F.lit(-118.7) + F.lit(ZONE_DX) * (n % ZONE_COLS)).alias("ox"),
+        (F.lit(33.7) + F.lit(ZONE_DY) * F.floor(n / ZONE_COLS)).alias("oy"),
+    )
+    ox, oy = F.col("ox"), F.col("oy")
+    x1, y1 = ox + ZONE_W, oy + ZONE_H
     hx0, hx1, hy0, hy1 = ox + HOLE_X0, ox + HOLE_X1, oy + HOLE_Y0, oy + HOLE_Y1
-    hole = _ring([(hx0, hy0), (hx0, hy1), (hx1, hy1), (hx1, hy0), (hx0, hy0)])
-    rings = F.concat(F.lit("["), outer, F.lit(","), hole, F.lit("]"))
+    outer = F.format_string(_RING, ox, oy, x1, oy, x1, y1, ox, y1, ox, oy)
+    hole = F.format_string(_RING, hx0, hy0, hx0, hy1, hx1, hy1, hx1, hy0, hx0, hy0)
+    rings = F.format_string("[%s,%s]", outer, hole)
     is_multi = (n % 2) == 1
     gtype = F.when(is_multi, F.lit("MultiPolygon")).otherwise(F.lit("Polygon"))
-    coords = F.when(is_multi, F.concat(F.lit("["), rings, F.lit("]"))).otherwise(rings)
+    coords = F.when(is_multi, F.format_string("[%s]", rings)).otherwise(rings)
     pop = F.when(n % 6 == 0, F.lit(0)).otherwise(F.lit(100) + n * 17).cast("bigint")
     housing = (F.lit(40) + n * 7).cast("bigint")
     zip_text = F.when(n == 13, F.lit("N/A9")).otherwise((F.lit(90000) + n).cast("string"))
@@ -84,11 +86,9 @@ def zone_geojson_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         n.alias("zone"), F.lit("Los Angeles").alias("CITY"), (n % 12).alias("COMM"), pop.alias("POP20"),
         housing.alias("HOUSING20"), zip_text.alias("ZCTA20"),
     ))
-    text = F.concat(
-        F.lit('{"type":"Feature","properties":'), props,
-        F.lit(',"geometry":{"type":"'), gtype, F.lit('","coordinates":'), coords, F.lit("}}"),
-    )
-    return table(spark, sf_dir, "nation").select(text.alias("feature"))
+    text = F.format_string('{"type":"Feature","properties":%s,"geometry":{"type":"%s","coordinates":%s}}',
+                           props, gtype, coords)
+    return base.select(text.alias("feature"))
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
