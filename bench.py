@@ -6,11 +6,13 @@ Runs each query at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 
 Each query is built and fully evaluated (all result rows fetched) once to
 warm the JVM, then timed as the best of ``$BENCH_REPS`` (default 2) runs.
-Build time (planning actions such as a site count) is included.
+Build time (planning actions such as a site count) is included; garbage from
+earlier runs is collected between runs, outside the timed region.
 """
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
@@ -57,11 +59,20 @@ def main() -> None:
     )
     times: dict[str, float] = {}
     failed: dict[str, str] = {}
+
+    def settle() -> None:
+        # release the previous query's broadcasts, shuffles and checkpoints
+        # (cleaned once both sides drop their references) outside the timing
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+
     for k in only:
+        settle()
         try:
             QUERIES[k](spark, sf_dir).collect()  # warm-up
             best = float("inf")
             for _ in range(reps):
+                settle()
                 t0 = time.perf_counter()
                 QUERIES[k](spark, sf_dir).collect()
                 best = min(best, time.perf_counter() - t0)
