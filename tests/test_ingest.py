@@ -44,3 +44,15 @@ def test_stream_ingest_processes_each_file_once(spark, tmp_path):
     got = spark.read.parquet(out)
     assert sorted(r.DR_NO for r in got.collect()) == ["1", "2", "3"]
     assert got.where(F.col("year") == 2021).count() == 2
+
+
+def test_unclustered_ingest_writes_the_same_rows(spark, tmp_path):
+    src = tmp_path / "src"
+    src.mkdir()
+    _write(src / "a.csv", [_row(str(i), f"202{i % 2} Jan 0{i % 9 + 1} 01:30:00 PM", 30, 34.0, -118.2)
+                           for i in range(20)])
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    ingest_incidents(spark, str(src / "a.csv"), a)
+    ingest_incidents(spark, str(src / "a.csv"), b, clustered=False)
+    rows = lambda p: sorted(tuple(r) for r in spark.read.parquet(p).select("DR_NO", "year", "ts_occ").collect())
+    assert rows(a) == rows(b) and len(rows(a)) == 20

@@ -179,3 +179,16 @@ def test_site_load_top_is_a_top_k(spark):
     top = site_load(near, ["skey"], top=5)
     assert [tuple(r) for r in top.collect()] == full[:5]
     assert "TakeOrderedAndProject" in plan_text(top)
+
+
+def test_point_in_polygon_degenerate_and_collinear(spark):
+    # square with an extra collinear vertex on the bottom edge, plus a degenerate 2-point ring
+    square = [(0.0, 0.0, 2.0, 0.0), (2.0, 0.0, 4.0, 0.0), (4.0, 0.0, 4.0, 4.0), (4.0, 4.0, 0.0, 4.0),
+              (0.0, 4.0, 0.0, 0.0), (1.0, 1.0, 1.0, 1.0)]
+    pts = [(1, 1.0, 2.0), (2, 2.0, 0.0), (3, 4.0, 4.0), (4, 3.0, 3.0), (5, 5.0, 2.0), (6, 1.0, 1.0), (7, 2.0, 4.0)]
+    df = spark.createDataFrame([(i, x, y, square) for i, x, y in pts],
+                               "pid int, x double, y double, edges array<struct<x1:double,y1:double,x2:double,y2:double>>")
+    got = {r.pid for r in df.where(point_in_polygon("x", "y", "edges")).collect()}
+    # inside: 1 and 4; on the boundary (edge, vertex, collinear vertex): 2, 3, 7; outside: 5;
+    # point 6 lies on the degenerate zero-length edge, which counts as boundary
+    assert got == {1, 4}
