@@ -20,6 +20,11 @@ from cityscan.functions.geo import point_in_polygon
 from cityscan.session import ensure_parallelism
 
 
+# Size model of one cell-table row: fixed columns, plus one edge struct.
+_ROW_BYTES = 96
+_EDGE_BYTES = 40
+
+
 def zone_cells(
     zones: DataFrame,
     cell_deg: float,
@@ -84,7 +89,6 @@ def grid_plan(zones: DataFrame, cell_deg: float | None = None, max_cells: int =
         F.count(F.lit(1)).alias("n"),
         F.percentile_approx(_span(), 0.5).alias("median"),
         F.collect_set(F.ceil(F.log2(F.greatest(_span(), F.lit(1e-300))))).alias("classes"),
-        F.sum(F.size("edges")).alias("n_edges"),
     ).first()
     n = int(r["n"] or 0)
     if cell_deg is None:
@@ -97,8 +101,7 @@ def grid_plan(zones: DataFrame, cell_deg: float | None = None, max_cells: int =
         # the per-zone level computed on the executors
         for v in (e - 1, e, e + 1):
             levels.add(max(0, math.ceil(v - base)))
-    return {"n_zones": n, "n_edges": int(r["n_edges"] or 0), "cell_deg": cell_deg,
-            "levels": sorted(levels), "k": k}
+    return {"n_zones": n, "cell_deg": cell_deg, "levels": sorted(levels), "k": k}
 
 
 def points_in_zones(
@@ -110,29 +113,28 @@ def points_in_zones(
     edges_col: str = "edges",
     cell_deg: float | None = None,
     max_cells: int = 16,
-    broadcast_max_rows: int = 2_000_000,
-    broadcast_max_edges: int = 20_000_000,
+    broadcast_max_bytes: int = 256 << 20,
 ) -> DataFrame:
     """Inner spatial join: every (point, zone) with the point strictly within.
 
     ``zones`` needs ``edges`` and ``min_x, min_y, max_x, max_y`` columns (see
     :func:`cityscan.sources.geojson.features_to_zones`). Output: all point
     columns plus ``zone_cols``. The zone side is broadcast when its cell
-    table is provably within ``broadcast_max_rows`` rows and
-    ``broadcast_max_edges`` edges; otherwise both sides shuffle on the cell
-    (AQE splits a skewed cell on the point side).
+    table - measured by one aggregate over the zone dimension, after edge
+    clipping - is estimated within ``broadcast_max_bytes``; otherwise both
+    sides shuffle on the cell (AQE splits a skewed cell on the point side).
     """
     plan = grid_plan(zones, cell_deg, max_cells)
     cell_deg, levels = plan["cell_deg"], plan["levels"]
     carry = [*zone_cols, edges_col]
     cells = zone_cells(zones, cell_deg, max_cells, carry, edges_col=edges_col)
-    # every zone covers at most max_cells cells: a proven bound on the cell
-    # table's rows and on the edges they carry
-    if (plan["n_zones"] * max_cells <= broadcast_max_rows
-            and plan["n_edges"] * max_cells <= broadcast_max_edges):
+    # measured size of the (bounded) cell table: rows and clipped edges
+    size = cells.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size(edges_col)).alias("edges")).first()
+    est_bytes = int(size["rows"] or 0) * _ROW_BYTES + int(size["edges"] or 0) * _EDGE_BYTES
+    if est_bytes <= broadcast_max_bytes:
         cells = F.broadcast(cells)
     else:
-        cells = cells.hint("merge")  # no size proof: shuffle both sides, never broadcast
+        cells = cells.hint("merge")  # too large to copy to every executor: shuffle both sides
     pcols = points.columns
     p = ensure_parallelism(points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull()))
     per_level = F.array(*[

@@ -56,7 +56,7 @@ def test_lattice_any_cell_size(spark, cell):
 
 def test_lattice_shuffle_path_when_zones_exceed_broadcast_bound(spark):
     p, z = _lattice(spark)
-    df = points_in_zones(p, z, "x", "y", ["zone"], cell_deg=7.0, broadcast_max_edges=10)
+    df = points_in_zones(p, z, "x", "y", ["zone"], cell_deg=7.0, broadcast_max_bytes=1000)
     assert df.count() == 1440
     plan = plan_text(df)
     assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
