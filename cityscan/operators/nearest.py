@@ -23,6 +23,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from cityscan.functions.geo import EARTH_RADIUS_M, haversine_km
 from cityscan.session import checkpoint_dir, ensure_parallelism
@@ -89,7 +90,16 @@ def _finish_lean(best: DataFrame, id_cols, st: DataFrame, site_key: str, site_co
     checked for broadcast) by key, after the per-id reduction.
     """
     if id_cols:
-        best = best.groupBy(*id_cols).agg(F.min("_best").alias("_best"))
+        key_type = st.schema[site_key].dataType
+        if isinstance(key_type, NumericType):
+            # fixed-width buffers -> hash aggregate; each row's winner is
+            # already tie-broken by key, and repeated rows of an id repeat the
+            # same (a, key), so min_by is deterministic here
+            best = best.groupBy(*id_cols).agg(
+                F.struct(F.min("_best._a").alias("_a"),
+                         F.min_by(f"_best.{site_key}", "_best._a").alias(site_key)).alias("_best"))
+        else:
+            best = best.groupBy(*id_cols).agg(F.min("_best").alias("_best"))
     out = best.select(
         *(id_cols or []),
         F.col(f"_best.{site_key}").alias(site_key),
