@@ -7,15 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityscan.llm import langid, mixing
+from cityscan.llm import langid, mixing, quality, toxicity
 from cityscan.llm.common import documents, held_out
 
 
+def op1_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs = documents(spark, d).select("doc_id", "text").withColumn("held_out", held_out())
+    model = toxicity.train(docs.where(~F.col("held_out")), documents(spark, d, "labels"))
+    return toxicity.score(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
 def op3_mix_sources(spark: SparkSession, d: str) -> DataFrame:
     docs = documents(spark, d).select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_quality(spark: SparkSession, d: str) -> DataFrame:
+    """Grades: 0 poor, 1 good but toxic, 2 good; selected are texts likelier than not at least 1."""
+    docs = documents(spark, d).select("doc_id", "text").withColumn("held_out", held_out())
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 2)
+    ratings = documents(spark, d, "labels").select("doc_id", grade.alias("grade"))
+    model = quality.train(docs.where(~F.col("held_out")), ratings)
+    return quality.rate(docs.select("doc_id", "held_out", "text"), model, select_grade=1).drop("text")
+
+
 def op8_language_id(spark: SparkSession, d: str) -> DataFrame:
     docs = documents(spark, d).select("doc_id", "text", "lang").withColumn("held_out", held_out())
     profiles = langid.learn_profiles(docs.where(~F.col("held_out")))
@@ -23,7 +38,9 @@ def op8_language_id(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op3_mix_sources": op3_mix_sources,
+    "op7_quality": op7_quality,
     "op8_language_id": op8_language_id,
 }
 
