@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityscan.llm import langid, mixing, quality, toxicity
-from cityscan.llm.common import documents, held_out
+from cityscan.llm import langid, mixing, quality, toxicity, warc
+from cityscan.llm.common import documents, held_out, shared_path
 
 
 def op1_toxicity(spark: SparkSession, d: str) -> DataFrame:
@@ -37,11 +37,20 @@ def op8_language_id(spark: SparkSession, d: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "held_out", "text"), profiles).drop("text")
 
 
+def op9_warc(spark: SparkSession, d: str) -> DataFrame:
+    path = shared_path(spark, "warc")
+    warc.write_archives(documents(spark, d, "pages").select("page_id", "url", "html"), path)
+    return warc.read_archives(spark, path).select(
+        F.expr("try_cast(id as bigint)").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.expr("try_cast(refers_to as bigint)").alias("refers_to"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op3_mix_sources": op3_mix_sources,
     "op7_quality": op7_quality,
     "op8_language_id": op8_language_id,
+    "op9_warc": op9_warc,
 }
 
 ORACLE_SQL: dict[str, str] = {}

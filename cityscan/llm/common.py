@@ -41,13 +41,18 @@ def split_words(text: Column) -> Column:
 # ---------------------------------------------------------------- tables
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path under the cluster's shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def shared_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the cluster's shared checkpoint folder and read it back.
 
     Cuts the lineage: a lost executor rereads files, and the file sizes let
     AQE plan the joins that follow.
     """
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.table_path = path
@@ -70,7 +75,7 @@ def n_buckets(df: DataFrame, bytes_per_row_byte: float, text_col: str = "text",
     return max(least, int(total * bytes_per_row_byte / bucket_bytes) + 1)
 
 
-def with_ids(df: DataFrame, ids: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
+def with_ids(df: DataFrame, ids: DataFrame, key: str | list[str], how: str = "left_semi") -> DataFrame:
     """Rows of ``df`` joined with the written table ``ids``, which is broadcast only if its
     counted rows fit ``BROADCAST_ROWS``; beyond that both sides are shuffled."""
     side = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
