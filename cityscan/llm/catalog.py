@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityscan.llm import langid, mixing, quality, toxicity, warc
+from cityscan.llm import langid, mixing, quality, secret_scan, toxicity, warc
 from cityscan.llm.common import documents, held_out, shared_path
 
 
@@ -17,6 +17,15 @@ def op1_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.score(docs.select("doc_id", "held_out", "text"), model).drop("text")
 
 
+def op2_secret_scan(spark: SparkSession, d: str) -> DataFrame:
+    found = secret_scan.scan(documents(spark, d).select("doc_id", "text"))
+    base = tuple(r.kind for r in secret_scan.BASE_RULES)
+    count = [secret_scan.count(F.col("spans"), k).alias(f"n_{k}") for k in base]
+    return found.select(
+        "doc_id", *count, F.sha2(secret_scan.digest(F.col("spans"), base).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.digest(F.col("spans"), tuple(r.kind for r in secret_scan.RULES)).alias("spans"))
+
+
 def op3_mix_sources(spark: SparkSession, d: str) -> DataFrame:
     docs = documents(spark, d).select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -47,10 +56,13 @@ def op9_warc(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_secret_scan": op2_secret_scan,
     "op3_mix_sources": op3_mix_sources,
     "op7_quality": op7_quality,
     "op8_language_id": op8_language_id,
     "op9_warc": op9_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_secret_scan": secret_scan.oracle_sql(),
+}
