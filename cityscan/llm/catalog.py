@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityscan.llm import langid, mixing, quality, secret_scan, toxicity, warc
+from cityscan.llm import decontam, langid, mixing, quality, secret_scan, toxicity, warc
 from cityscan.llm.common import documents, held_out, shared_path
 
 
@@ -54,6 +54,11 @@ def op9_warc(spark: SparkSession, d: str) -> DataFrame:
         F.expr("try_cast(refers_to as bigint)").alias("refers_to"))
 
 
+def op10_decontaminate(spark: SparkSession, d: str) -> DataFrame:
+    docs, items = documents(spark, d).select("doc_id", "text"), documents(spark, d, "benchmark").select("item_id", "text")
+    return decontam.contained(docs, items).drop("doc_key")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_secret_scan": op2_secret_scan,
@@ -61,8 +66,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality": op7_quality,
     "op8_language_id": op8_language_id,
     "op9_warc": op9_warc,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_secret_scan": secret_scan.oracle_sql(),
+    "op10_decontaminate": decontam.ORACLE_SQL,
 }

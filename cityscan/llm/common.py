@@ -75,11 +75,15 @@ def n_buckets(df: DataFrame, bytes_per_row_byte: float, text_col: str = "text",
     return max(least, int(total * bytes_per_row_byte / bucket_bytes) + 1)
 
 
+def checked_broadcast(table: DataFrame) -> DataFrame:
+    """A written table, with the broadcast hint only if its counted rows fit ``BROADCAST_ROWS``."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
 def with_ids(df: DataFrame, ids: DataFrame, key: str | list[str], how: str = "left_semi") -> DataFrame:
     """Rows of ``df`` joined with the written table ``ids``, which is broadcast only if its
     counted rows fit ``BROADCAST_ROWS``; beyond that both sides are shuffled."""
-    side = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-    return df.join(side, key, how)
+    return df.join(checked_broadcast(ids), key, how)
 
 
 # ---------------------------------------------------------------- components

@@ -61,7 +61,7 @@ def postings(docs: DataFrame, vocabulary: list[str], text: str = "text") -> Data
     """``(key, trigram)``: which of ``vocabulary`` each document's lower-cased text holds."""
     low = F.lower(F.coalesce(F.col(text), F.lit("")))
     held = F.filter(F.array(*map(F.lit, vocabulary)), lambda t: F.contains(F.col("__low"), t))
-    return docs.select(_KEY, low.alias("__low")).select(_KEY, F.explode(held).alias("trigram"))
+    return docs.select(_KEY, low.alias("__low")).select(_KEY, F.explode_outer(held).alias("trigram"))
 
 
 def candidates(docs: DataFrame, rules: tuple[Rule, ...], text: str = "text") -> DataFrame:
