@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityscan.llm import decontam, langid, mixing, quality, secret_scan, toxicity, warc
+from cityscan.llm import decontam, langid, mixing, quality, secret_scan, substring, toxicity, warc
 from cityscan.llm.common import documents, held_out, shared_path
 
 
@@ -31,6 +31,11 @@ def op3_mix_sources(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    out = substring.remove_repeats(documents(spark, d).select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op7_quality(spark: SparkSession, d: str) -> DataFrame:
     """Grades: 0 poor, 1 good but toxic, 2 good; selected are texts likelier than not at least 1."""
     docs = documents(spark, d).select("doc_id", "text").withColumn("held_out", held_out())
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_secret_scan": op2_secret_scan,
     "op3_mix_sources": op3_mix_sources,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_quality": op7_quality,
     "op8_language_id": op8_language_id,
     "op9_warc": op9_warc,
