@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityscan.llm import decontam, langid, mixing, quality, secret_scan, substring, toxicity, warc
+from cityscan.llm import ann, decontam, langid, mixing, ngram_join, quality, secret_scan, substring, toxicity, warc
 from cityscan.llm.common import documents, held_out, shared_path
 
 
@@ -31,6 +31,14 @@ def op3_mix_sources(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_nearest(spark: SparkSession, d: str) -> DataFrame:
+    return ann.nearest(documents(spark, d, "embeddings").select("vec_id", "embedding"), lambda i: i % 20 == 0)
+
+
+def op5_ngram_join(spark: SparkSession, d: str) -> DataFrame:
+    return ngram_join.similar_components(documents(spark, d).select("doc_id", "text"))
+
+
 def op6_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
     out = substring.remove_repeats(documents(spark, d).select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -68,6 +76,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_secret_scan": op2_secret_scan,
     "op3_mix_sources": op3_mix_sources,
+    "op4_nearest": op4_nearest,
+    "op5_ngram_join": op5_ngram_join,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_quality": op7_quality,
     "op8_language_id": op8_language_id,
