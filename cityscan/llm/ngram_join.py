@@ -64,6 +64,19 @@ def _sizes(k: int):
     return run
 
 
+def _classed(k: int, names: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHash()
+        for b in batches:
+            sets = [ngram_set(t, words, k) for t in text_bytes(b.column("__text"))]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(c) for c in names] + [pa.array([_class(g)[0] for g in sets], pa.int64()),
+                                                pa.array([len(g) for g in sets], pa.int64())],
+                names=[*names, "__f1", "__n"])
+
+    return run
+
+
 def _extra(n):
     """How many shared n-grams beyond the first the document filter asks for, of n."""
     return n // 10
@@ -174,17 +187,8 @@ def _between(rows: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
 
 
-def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 4,
-                       percent: int = 85) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)``, one row a row of ``docs``.
-
-    Two documents link when 100 * intersection >= percent * union of their sets of
-    ``k``-word runs (words split at ASCII white space, A-Z lowered; a shorter
-    text is one run). component_id is the smallest id reachable by links, its own
-    included. A text without words (null, empty) links with nothing. Rows may share an
-    id; equal texts under any ids are one component. A row without id has a size but no
-    component (null). Runs are compared by 64-bit hashes.
-    """
+def _labelled(docs: DataFrame, doc_id: str, text: str, k: int, percent: int) -> DataFrame:
+    """``(__id, n, f1, comp, component)``: each row's class, and its component's label and smallest id."""
     d = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text"))
     base = shared_table(d.mapInArrow(_sizes(k), d.schema["__id"].simpleString().replace("__id:", "__id ")
                                      + ", n long, f1 long, f2 long"), "ngram-sizes")
@@ -217,8 +221,53 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         "f1", "f2", "n", "rep", F.coalesce("comp", "f1").alias("comp"), F.col("comp").isNotNull().alias("linked"))
     smallest = labels.where("linked").groupBy("comp").agg(F.min("rep").alias("least"))
     labels = labels.join(smallest, "comp", "left").select(
-        "f1", "f2", F.when(F.col("linked"), F.col("least")).otherwise(F.col("rep")).alias("component"))
-    out = base.join(labels, ["f1", "f2"], "left")
-    return out.select(
-        F.col("__id").alias(doc_id), F.col("n").alias("n_shingles"),
-        F.when((F.col("n") > 0) & F.col("__id").isNotNull(), F.col("component")).otherwise(F.col("__id")).alias("component_id"))
+        "f1", "f2", "comp", F.when(F.col("linked"), F.col("least")).otherwise(F.col("rep")).alias("component"))
+    return base.join(labels, ["f1", "f2"], "left").select(
+        "__id", "n", "f1", "comp",
+        F.when((F.col("n") > 0) & F.col("__id").isNotNull(), F.col("component")).otherwise(F.col("__id")).alias("component"))
+
+
+def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 4,
+                       percent: int = 85) -> DataFrame:
+    """``(doc_id, n_shingles, component_id)``, one row a row of ``docs``.
+
+    Two documents link when 100 * intersection >= percent * union of their sets of
+    ``k``-word runs (words split at ASCII white space, A-Z lowered; a shorter
+    text is one run). component_id is the smallest id reachable by links, its own
+    included. A text without words (null, empty) links with nothing. Rows may share an
+    id; equal texts under any ids are one component. A row without id has a size but no
+    component (null). Runs are compared by 64-bit hashes. Other columns do not matter.
+    """
+    return _labelled(docs, doc_id, text, k, percent).select(
+        F.col("__id").alias(doc_id), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5,
+                    percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each component, one row of its smallest id.
+
+    Rows without words or without id link with nothing and stay. Columns are kept. Where
+    ids repeat, the rows of an id are told apart by their n-gram sets, and of equal rows one stays.
+    """
+    rows = shared_table(_labelled(docs, doc_id, text, k, percent), "ngram-labelled")
+    free = F.col("n").eqNullSafe(0) | F.col("__id").isNull()
+    rows = rows.withColumn("__free", free)
+    ids = rows.where("__id is not null").groupBy("__id").agg(
+        F.count(F.lit(1)).alias("rows"), F.max(F.col("__free") | (F.col("component") == F.col("__id"))).alias("stays"))
+    ids = shared_table(ids, "ngram-ids")
+    d = docs.withColumn("__id", F.col(doc_id))
+    once = with_ids(d, shared_table(ids.where("rows = 1 and not stays").select("__id"), "ngram-gone"), "__id", "left_anti")
+    many = shared_table(ids.where("rows > 1").select("__id"), "ngram-many")
+    if many.isEmpty():
+        return once.select(*docs.columns)
+    once = with_ids(once, many, "__id", "left_anti")
+    first = Window.partitionBy("comp").orderBy("f1")
+    kept = rows.where("not __free and component = __id").withColumn("r", F.min("f1").over(first)).where("f1 = r")
+    kept = shared_table(kept.select("__id", "f1").distinct(), "ngram-kept")
+    names = [c for c in d.columns if c not in ("__f1", "__n")]
+    again = with_ids(d, many, "__id").select(*names, F.col(text).alias("__text")).mapInArrow(
+        _classed(k, names), d.select(*names).schema.add("__f1", "long").add("__n", "long"))
+    one = (again.where("__n > 0").join(kept.select("__id", F.col("f1").alias("__f1")), ["__id", "__f1"], "left_semi")
+           .dropDuplicates(["__id", "__f1"]))
+    return (once.select(*docs.columns).unionByName(again.where("__n = 0").select(*docs.columns))
+            .unionByName(one.select(*docs.columns)))

@@ -68,12 +68,14 @@ class OrdinalModel:
         return np.append(1 / (1 + np.exp(-np.clip(self.thresholds - s, -500, 500))), 1.0)
 
 
-def fit_ordinal(ids: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, grades: list[int],
+def fit_ordinal(lengths: np.ndarray, col: np.ndarray, val: np.ndarray, y: np.ndarray, grades: list[int],
                 l2: float = 1e-4, steps: int = 250) -> OrdinalModel:
-    """Maximum likelihood by Adam; thresholds are a first one plus exponentials, so they stay in order."""
+    """Maximum likelihood by Adam; thresholds are a first one plus exponentials, so they stay in order.
+
+    Row i has ``lengths[i]`` of the features ``col`` with values ``val``; ``y`` numbers its grade.
+    """
     width, n, k = 1 << _BITS, len(y), len(grades)
-    row = np.repeat(np.arange(n), [len(i) for i in ids])
-    col, val = np.concatenate(ids), np.concatenate(values)
+    row = np.repeat(np.arange(n), lengths)
     share = np.cumsum(np.bincount(y, minlength=k))[:-1] / n
     t = np.log(share / (1 - share))
     p = np.concatenate((np.zeros(width), [t[0]], np.log(np.maximum(np.diff(t), 1e-3))))
@@ -111,7 +113,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str = "text", grade: str = "grade",
-          max_rows: int = 8_000) -> OrdinalModel:
+          max_rows: int = 6_000) -> OrdinalModel:
     """Fit on about ``max_rows`` rated rows (a documented bound), chosen by a hash of the id.
 
     Rows without a grade are left out and a repeated rating counts as its
@@ -124,12 +126,13 @@ def train(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str
     share = min(1.0, max_rows / max(1, sum(counts.values())))
     sample = rows.where(F.pmod(F.xxhash64("__id"), F.lit(1_000_000)) < int(share * 1_000_000))
     got = sample.select("grade", "text").mapInArrow(_features, "grade int, ids array<int>, values array<float>").toArrow()
-    data = sorted(zip(got.column("grade").to_pylist(), got.column("ids").to_pylist(), got.column("values").to_pylist()))
-    grades = sorted({r[0] for r in data})
+    y = got.column("grade").to_numpy()
+    grades = [int(g) for g in np.unique(y)]
     if len(grades) < 2:
         return OrdinalModel(grades or [0], np.zeros(1 << _BITS), np.zeros(0))
-    y = np.searchsorted(grades, [r[0] for r in data])
-    return fit_ordinal([np.array(r[1], np.int64) for r in data], [np.array(r[2]) for r in data], y, grades)
+    ids, values = got.column("ids").combine_chunks(), got.column("values").combine_chunks()
+    lengths = np.diff(ids.offsets.to_numpy())
+    return fit_ordinal(lengths, ids.values.to_numpy(), values.values.to_numpy(), np.searchsorted(grades, y), grades)
 
 
 def rate(docs: DataFrame, model: OrdinalModel, select_grade: int, text: str = "text", least: float = 0.5) -> DataFrame:
