@@ -66,6 +66,13 @@ def drop_table(table: DataFrame) -> None:
     path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few constant rows as literals of the plan, without a Python task."""
+    fields = ",".join(":".join(f.split()) for f in schema.split(","))
+    rows_of = F.array(*[F.struct(*map(F.lit, r)) for r in rows]).cast(f"array<struct<{fields}>>")
+    return spark.range(1, numPartitions=1).select(F.inline(rows_of))
+
+
 def n_buckets(df: DataFrame, bytes_per_row_byte: float, text_col: str = "text",
               bucket_bytes: int = 8 << 20) -> int:
     """How many hash buckets keep one bucket near ``bucket_bytes``, from the whole text's size."""

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cityscan.llm.common import shared_table, with_ids
+from cityscan.llm.common import literal_table, shared_table, with_ids
 from cityscan.llm.trigrams import trigram_query
 
 
@@ -71,8 +71,8 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...], text: str = "text") ->
     full = [(i, j, (1 << len(conj)) - 1) for i, r in enumerate(rules)
             for j, conj in enumerate(trigram_query(r.pattern) or [])]
     spark = docs.sparkSession
-    terms_df = spark.createDataFrame(terms, "trigram string, rule int, part int, bit long")
-    full_df = spark.createDataFrame(full, "rule int, part int, all long")
+    terms_df = literal_table(spark, terms, "trigram string, rule int, part int, bit long")
+    full_df = literal_table(spark, full, "rule int, part int, all long")
     hits = (postings(docs, sorted({t[0] for t in terms}), text).join(F.broadcast(terms_df), "trigram")
             .groupBy(_KEY, "rule", "part").agg(F.bit_or("bit").alias("bits"))
             .join(F.broadcast(full_df), ["rule", "part"]).where("bits = all"))
