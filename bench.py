@@ -34,7 +34,9 @@ HEADLINE = [
     "token_count_lookup",
     "token_join_merge",
     "token_join_shuffle_hash",
+    "token_join_broadcast",
     "nearest_site",
+    "nearest_site_array",
     "nearest_site_grid",
     "nearest_site_sql",
     "geojson_zones",
@@ -42,6 +44,7 @@ HEADLINE = [
     "points_in_zones",
     "zone_rollup",
     "zone_corr",
+    "zone_corr_nullzero",
     "zone_corr_extremes",
 ]
 

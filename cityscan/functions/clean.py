@@ -25,19 +25,23 @@ def year_of(text: Column | str, fmt: str = EVENT_TS_FORMAT) -> Column:
 
 
 def year_in(ts: Column | str, years: Iterable[int]) -> Column:
-    """``year(ts) IN years`` written as half-open timestamp ranges.
+    """``year(ts) IN years``.
 
-    Same rows as ``year(ts).isin(years)``, but each range is a plain
-    comparison on the stored column, so Parquet can skip row groups.
+    A stored column (given by name) is compared with half-open timestamp ranges,
+    so Parquet can skip row groups. An expression, such as parsed text, is
+    evaluated once, by its year.
     """
-    t = _c(ts)
-    cond = None
-    for y in sorted(set(int(y) for y in years)):
+    wanted = sorted(set(int(y) for y in years))
+    if not wanted:
+        return F.lit(False)
+    if not isinstance(ts, str):
+        return F.year(ts).isin(wanted)
+    cond = F.lit(False)
+    for y in wanted:
         lo = F.lit(f"{y:04d}-01-01 00:00:00").cast("timestamp")
         hi = F.lit(f"{y + 1:04d}-01-01 00:00:00").cast("timestamp")
-        c = (t >= lo) & (t < hi)
-        cond = c if cond is None else (cond | c)
-    return cond if cond is not None else F.lit(False)
+        cond = cond | ((F.col(ts) >= lo) & (F.col(ts) < hi))
+    return cond
 
 
 def valid_coords(lon: Column | str, lat: Column | str, drop_zero: bool = True) -> Column:

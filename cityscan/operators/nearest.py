@@ -1,60 +1,48 @@
 """P4: nearest site per point by great-circle distance, and the load per site.
 
-Two exact strategies, no all-pairs join of points and sites:
-
-* ``array``: the (size-checked) site list travels as one broadcast array and
-  every point takes the minimum over it inside its own task - no shuffle.
-  Right for tens of sites (a city's stations).
-* ``grid``: sites are bucketed in square cells; a point looks only at sites
-  in its 3x3 cell window and keeps the best one if it is closer than the
-  window border (a proven lower bound for every site outside). The rest move
-  to a 3x coarser grid, up to a level whose window spans the globe, so every
-  point is answered exactly.
-
-Ties in distance go to the smaller site key. With ``id_cols`` the result has
-one row per id (the closest of that id's rows, NULL ids forming one group);
-without, one row per point.
+Exact, without an all-pairs join of points and sites. Sites are bucketed in
+square cells sized by how densely the sites lie (not by their extent, so one
+stray site does not coarsen the grid). A point looks at the sites of its 3x3 cell
+window and keeps the best one if it is closer than the window border, a proven
+lower bound for every site outside. The rest look at a nine times wider window,
+and what that does not prove either is compared with all sites.
+
+The result is the same however many sites there are; their measured number only
+decides how a point meets them: as lists in broadcast cells (``nearest_site``
+below ``broadcast_sites``) or, beyond that, by shuffled equi-joins on the cell, level by level.
+
+Ties in distance go to the smaller site key (NULL first), then to the smaller
+site attributes. The winner's own attributes are returned, so keys may repeat or
+be NULL. With ``id_cols`` the result has one row per id (the closest of that id's
+rows, NULL ids forming one group); without, one row per point.
 """
 
 from __future__ import annotations
 
-import math
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
 
-from cityscan.functions.geo import EARTH_RADIUS_M, haversine_km
-from cityscan.session import checkpoint_dir, ensure_parallelism
+from cityscan.functions.geo import EARTH_RADIUS_M
+from cityscan.session import checkpoint_dir
 
 _REL_MARGIN = 1e-9  # keep a grid answer only when clearly inside the bound
 
-
-def _best_struct(dist: Column, site: Column, site_key: str, site_cols: Sequence[str], dist_col: str) -> Column:
-    return F.struct(
-        dist.alias(dist_col),
-        site[site_key].alias(site_key),
-        *[site[c].alias(c) for c in site_cols],
-    )
-
-
-def _finish(best: DataFrame, id_cols: Sequence[str] | None, weight: Column | None) -> DataFrame:
-    """``_best`` struct column → flat output, deduplicated per id if asked."""
-    w = weight if weight is not None else F.lit(1).cast("long")
-    if id_cols:
-        best = best.groupBy(*id_cols).agg(F.min("_best").alias("_best"))
-        return best.select(*id_cols, "_best.*", F.lit(1).cast("long").alias("n_points"))
-    return best.select("_best.*", w.alias("n_points"))
+#: Cell sizes tried, in degrees, and the mean number of sites a cell may hold.
+_CELL_SIZES = [60.0 / 3**j for j in range(13)]
+_SITES_PER_CELL = 4.0
 
 
 def _site_frame(sites, site_lon, site_lat, site_key, site_cols):
-    return sites.where(F.col(site_lon).isNotNull() & F.col(site_lat).isNotNull()).select(
-        F.col(site_lon).alias("_slon"),
-        F.col(site_lat).alias("_slat"),
-        site_key,
-        *site_cols,
-    ).withColumns(_trig("_slon", "_slat", "_s"))
+    """Sites with usable coordinates; ``_site`` holds what is compared and returned, in tie order."""
+    x, y = F.col(site_lon), F.col(site_lat)
+    ok = x.between(-180.0, 180.0) & y.between(-90.0, 90.0)  # also drops NULL and NaN
+    st = sites.where(ok).select(
+        x.alias("_slon"), y.alias("_slat"),
+        F.struct(F.col(site_key).alias("k"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(site_cols)]).alias("_site"))
+    return st.withColumns(_trig("_slon", "_slat", "_s"))
 
 
 def _trig(lon: str, lat: str, prefix: str) -> dict[str, Column]:
@@ -76,44 +64,26 @@ def _km_from_term(a: Column, radius_m: float) -> Column:
     return F.asin(F.least(F.sqrt(a), F.lit(1.0))) * F.lit(2 * radius_m / 1000.0)
 
 
-def _cand_array_best(arr_col: str, site_key: str) -> Column:
-    """Closest entry of a candidate array as struct(_a, site_key); ties in
-    ``_a`` (e.g. sites at the same spot) go to the smaller key."""
-    return F.array_min(F.transform(arr_col, lambda s: F.struct(_hav_term(s).alias("_a"), s[site_key].alias(site_key))))
+def _best_of(candidates: Column) -> Column:
+    """The closest entry of a candidate list as struct(_a, site)."""
+    return F.array_min(F.transform(candidates, lambda s: F.struct(_hav_term(s).alias("_a"), s["_site"].alias("_site"))))
 
 
-def _finish_lean(best: DataFrame, id_cols, st: DataFrame, site_key: str, site_cols, radius_m: float,
-                 dist_col: str) -> DataFrame:
-    """``_best`` = struct(_a, key) → id cols, key, site cols, distance, n_points.
+def _entry() -> Column:
+    return F.struct("_sphi", "_slam", "_scphi", "_site")
 
-    Site attributes come from the site table (a bounded dimension already
-    checked for broadcast) by key, after the per-id reduction.
-    """
+
+def _finish(best: DataFrame, id_cols, site_key, site_cols, radius_m, dist_col) -> DataFrame:
+    """``_best`` = struct(_a, site) to id columns, key, site columns, distance, n_points."""
     if id_cols:
-        key_type = st.schema[site_key].dataType
-        if isinstance(key_type, NumericType):
-            # fixed-width buffers -> hash aggregate; each row's winner is
-            # already tie-broken by key, and repeated rows of an id repeat the
-            # same (a, key), so min_by is deterministic here
-            best = best.groupBy(*id_cols).agg(
-                F.struct(F.min("_best._a").alias("_a"),
-                         F.min_by(f"_best.{site_key}", "_best._a").alias(site_key)).alias("_best"))
-        else:
-            best = best.groupBy(*id_cols).agg(F.min("_best").alias("_best"))
-    out = best.select(
+        best = best.groupBy(*id_cols).agg(F.min("_best").alias("_best"))
+    return best.select(
         *(id_cols or []),
-        F.col(f"_best.{site_key}").alias(site_key),
+        F.col("_best._site.k").alias(site_key),
+        *[F.col(f"_best._site.c{i}").alias(c) for i, c in enumerate(site_cols)],
         _km_from_term(F.col("_best._a"), radius_m).alias(dist_col),
         F.lit(1).cast("long").alias("n_points"),
     )
-    if site_cols:
-        attrs = st.select(site_key, *site_cols).dropDuplicates([site_key])
-        # left join: every key exists, and an inner join would make the
-        # optimizer infer isnotnull(key) and push it - with the whole
-        # candidate scan substituted in - below the projection, evaluating
-        # the scan twice
-        out = out.join(F.broadcast(attrs), site_key, "left")
-    return out
 
 
 def nearest_site(
@@ -127,91 +97,80 @@ def nearest_site(
     site_cols: Sequence[str] = (),
     id_cols: Sequence[str] | None = None,
     method: str = "auto",
-    array_max_sites: int = 256,
-    fallback_max_sites: int = 100_000,
-    broadcast_max_rows: int = 5_000_000,
+    broadcast_sites: int = 100_000,
     cell_deg: float | None = None,
     radius_m: float = EARTH_RADIUS_M,
     dist_col: str = "distance_km",
 ) -> DataFrame:
     """Closest site for each point (or each id).
 
-    ``method="auto"`` takes the array path up to ``array_max_sites`` sites (the
-    per-point cost is linear in the site count) and the grid above it.
-    ``fallback_max_sites`` bounds every broadcast of the whole site list.
+    ``method="auto"`` or ``"grid"`` uses the cells. ``"array"`` compares every point
+    with every site of a short list (a city's stations); above
+    ``broadcast_sites`` sites it warns and uses the cells. One aggregate over the
+    sites runs when the plan is built; the points are not touched.
 
-    Points with a NULL coordinate are skipped; filter zero or out-of-range
-    coordinates beforehand (:func:`cityscan.functions.valid_coords`).
+    Points with a NULL coordinate are skipped, as are sites without a valid one;
+    filter zero coordinates beforehand (:func:`cityscan.functions.valid_coords`).
     Output: ``id_cols``, ``site_key``, ``site_cols``, ``dist_col`` (km) and
-    ``n_points`` (how many input rows the row stands for).
+    ``n_points`` (1: how many input rows the row stands for).
     """
+    if method not in ("auto", "array", "grid"):
+        raise ValueError(f"method must be 'auto', 'array' or 'grid', not {method!r}")
     site_cols = [c for c in site_cols if c != site_key]
-    pts = points.where(F.col(point_lon).isNotNull() & F.col(point_lat).isNotNull())
     st = _site_frame(sites, site_lon, site_lat, site_key, site_cols)
-    plan = None
-    if method in ("auto", "grid"):
-        plan = _grid_levels(st, cell_deg)  # one bounded aggregate: site count and extent
-        if method == "auto":
-            method = "array" if plan[1] <= array_max_sites else "grid"
-    if method == "array":
-        # the whole site list is broadcast: enforce the broadcast bound
-        n = plan[1] if plan is not None else st.limit(fallback_max_sites + 1).count()
-        if n > fallback_max_sites:
-            raise ValueError(f"{n} sites exceed fallback_max_sites={fallback_max_sites}; use method='grid'")
-        return _nearest_array(pts, st, point_lon, point_lat, site_key, site_cols, id_cols, radius_m, dist_col,
-                              empty=(n == 0))
-    if method == "grid":
-        return _nearest_grid(
-            pts, st, point_lon, point_lat, site_key, site_cols, id_cols,
-            broadcast_max_rows, plan, radius_m, dist_col, fallback_max_sites,
-        )
-    raise ValueError(f"method must be 'auto', 'array' or 'grid', not {method!r}")
+    cell, n_sites = _cell_size(st, cell_deg)
+    keep = list(id_cols or [])
+    pts = points.where(F.col(point_lon).isNotNull() & F.col(point_lat).isNotNull()).select(
+        *keep, F.col(point_lon).alias("_lon"), F.col(point_lat).alias("_lat"))
+    if n_sites == 0:
+        best = pts.select(*keep, F.lit(None).cast(_best_type(st)).alias("_best")).where(F.lit(False))
+    elif n_sites > broadcast_sites:
+        if method == "array":
+            warnings.warn(f"{n_sites} sites exceed broadcast_sites; the grid is used", stacklevel=2)
+        best = _by_levels(pts, st, keep, cell, radius_m)
+    elif method == "array":
+        best = _by_array(pts, st, keep)
+    else:
+        best = _by_cells(pts, st, keep, cell, radius_m)
+    return _finish(best, id_cols, site_key, site_cols, radius_m, dist_col)
 
 
-def _site_array(st: DataFrame, site_key: str) -> DataFrame:
-    """All sites as one array in one row (callers check the site count first)."""
-    return st.agg(F.collect_list(F.struct("_sphi", "_slam", "_scphi", site_key)).alias("_sites"))
+def _best_type(st: DataFrame) -> str:
+    return f"struct<_a:double,_site:{st.schema['_site'].dataType.simpleString()}>"
 
 
-def _nearest_array(pts, st, point_lon, point_lat, site_key, site_cols, id_cols, radius_m, dist_col,
-                   empty=False):
-    keep = list(id_cols or [])
-    p = ensure_parallelism(
-        pts.select(*keep, F.col(point_lon).alias("_lon"), F.col(point_lat).alias("_lat"))
-    ).withColumns(_trig("_lon", "_lat", "_p"))
-    # attaches the one-row site array to every point; emits no point x site rows
-    p = p.join(F.broadcast(_site_array(st, site_key)), F.lit(True), "left")
-    best = p.select(*keep, _cand_array_best("_sites", site_key).alias("_best"))
-    # With at least one site every (non-NULL) point has a best site, so no
-    # NULL filter is needed - one would be pushed into the join condition
-    # and evaluate the array minimum twice.
-    return _finish_lean(best.where(F.lit(False)) if empty else best, id_cols, st, site_key, site_cols,
-                        radius_m, dist_col)
+def _site_list(st: DataFrame) -> DataFrame:
+    """All sites as one list in one row (callers check the number of sites first)."""
+    return st.agg(F.collect_list(_entry()).alias("_sites"))
+
+
+def _by_array(pts: DataFrame, st: DataFrame, keep: list[str]) -> DataFrame:
+    # attaches the one-row site list to every point; emits no point x site rows
+    p = pts.withColumns(_trig("_lon", "_lat", "_p")).join(F.broadcast(_site_list(st)), F.lit(True), "left")
+    # Every point has a best site, so no NULL filter is needed: one would be
+    # pushed into the join condition and evaluate the minimum twice.
+    return p.select(*keep, _best_of(F.col("_sites")).alias("_best"))
 
 
 # Offsets of the 3x3 window around a cell.
 _WINDOW = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
 
 
-def _grid_levels(st: DataFrame, cell_deg: float | None) -> tuple[list[float], int]:
-    """Cell sizes (3x apart) from fine to a top level whose window spans the globe."""
-    s = st.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("_slon").alias("x0"), F.max("_slon").alias("x1"),
-        F.min("_slat").alias("y0"), F.max("_slat").alias("y1"),
-    ).first()
-    n = int(s["n"] or 0)
-    if cell_deg is None:
-        if n > 1:
-            area = max((s["x1"] - s["x0"]) * (s["y1"] - s["y0"]), 0.0)
-            cell_deg = math.sqrt(2.0 * area / n) if area > 0 else 0.01
-        else:
-            cell_deg = 1.0
-        cell_deg = min(max(cell_deg, 1e-4), 180.0)
-    levels = [cell_deg]
-    while levels[-1] < 180.0:
-        levels.append(levels[-1] * 3.0)
-    return levels, n
+def _cell_size(st: DataFrame, cell_deg: float | None) -> tuple[float, int]:
+    """The widest cell that holds few sites, as a site sees it, and the number of sites.
+
+    One aggregate over the sites: for each cell size, the mean over sites of how
+    many sites share the cell. A stray site changes neither.
+    """
+    sizes = F.array(*[F.lit(c) for c in ([cell_deg] if cell_deg else _CELL_SIZES)])
+    per_cell = (st.select("_slon", "_slat", F.explode(sizes).alias("c"))
+                .groupBy("c", F.floor(F.col("_slon") / F.col("c")).alias("x"), F.floor(F.col("_slat") / F.col("c")).alias("y"))
+                .agg(F.count(F.lit(1)).alias("n")))
+    rows = per_cell.groupBy("c").agg(F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("n")) / F.sum("n")).alias("mean")).collect()
+    if not rows:
+        return 1.0, 0
+    few = [r["c"] for r in rows if r["mean"] <= _SITES_PER_CELL]
+    return (max(few) if few else min(r["c"] for r in rows)), rows[0]["n"]
 
 
 def _window_bound_km(lon: Column, lat: Column, cx: Column, cy: Column, c: float, radius_km: float) -> Column:
@@ -226,110 +185,78 @@ def _window_bound_km(lon: Column, lat: Column, cx: Column, cy: Column, c: float,
     return F.when(inside_globe, F.least(b_lat, b_lon)).otherwise(F.lit(0.0))
 
 
-def _window_sites(st: DataFrame, c: float, site_struct_cols: Sequence[str]) -> DataFrame:
+def _cell(lon: str, lat: str, c: float) -> tuple[Column, Column]:
+    return F.floor(F.col(lon) / c).cast("long"), F.floor(F.col(lat) / c).cast("long")
+
+
+def _window_sites(st: DataFrame, c: float) -> DataFrame:
     """Each site repeated under the 9 cells whose 3x3 window contains it."""
     offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _WINDOW])
-    trig = ["_sphi", "_slam", "_scphi"]
-    return st.select("_slon", "_slat", *trig, *site_struct_cols, F.explode(offsets).alias("_o")).select(
-        "_slon", "_slat", *trig, *site_struct_cols,
-        (F.floor(F.col("_slon") / c) + F.col("_o.dx")).cast("long").alias("_cx"),
-        (F.floor(F.col("_slat") / c) + F.col("_o.dy")).cast("long").alias("_cy"),
-    )
+    x, y = _cell("_slon", "_slat", c)
+    return st.select(_entry().alias("_entry"), x.alias("_x"), y.alias("_y"), F.explode(offsets).alias("_o")).select(
+        "_entry", (F.col("_x") + F.col("_o.dx")).alias("_cx"), (F.col("_y") + F.col("_o.dy")).alias("_cy"))
 
 
-def _grid_level(cur, st, key, c, top, small, radius_m, site_key, site_cols, dist_col):
-    """Best site inside each point's 3x3 window at cell size ``c``, the
-    window-border bound, and whether the best is proven nearest (``_ok``)."""
-    site_struct_cols = [site_key, *site_cols]
-    s9 = _window_sites(st, c, site_struct_cols)
-    s9 = F.broadcast(s9) if small else s9.hint("merge")
-    p = cur.withColumns({
-        "_cx": F.floor(F.col("_lon") / c).cast("long"),
-        "_cy": F.floor(F.col("_lat") / c).cast("long"),
-    })
-    bound = F.lit(float("inf")) if top else _window_bound_km(
-        F.col("_lon"), F.col("_lat"), F.col("_cx"), F.col("_cy"), c, radius_m / 1000.0)
-    p = p.withColumn("_bound", bound)
-    j = p.join(s9, ["_cx", "_cy"], "left")
-    d = haversine_km("_lon", "_lat", "_slon", "_slat", radius_m)
-    cand = F.when(F.col("_slon").isNotNull(), F.struct(d.alias(dist_col), *[F.col(x) for x in site_struct_cols]))
-    lvl = j.groupBy(*key, "n_points", "_bound").agg(F.min(cand).alias("_best"))
-    ok = F.col("_best").isNotNull() & (F.col(f"_best.{dist_col}") < F.col("_bound") * (1.0 - _REL_MARGIN))
-    return lvl.withColumn("_ok", ok)
-
-
-def _nearest_cells(pts, st, point_lon, point_lat, site_key, site_cols, id_cols, c, radius_m, dist_col):
+def _by_cells(pts: DataFrame, st: DataFrame, keep: list[str], cell: float, radius_m: float) -> DataFrame:
     """Bounded site list: everything happens inside the point's own task.
 
-    Each cell carries the list of sites in its 3x3 window (9 entries per
-    site in total, so the broadcast is bounded by the site count); a point
-    looks up its cell, takes the closest candidate and keeps it when it beats
-    the window-border bound. The rare point the window cannot prove scans the
-    whole (size-checked) site array, evaluated only for that row.
+    Each cell carries the list of sites in its window, 9 entries per site in all. The
+    wider cells and the whole list are joined only to rows that need them (left
+    joins on NOT proven): proven rows carry no copy of them.
     """
-    cells = (
-        _window_sites(st, c, [site_key])
-        .groupBy("_cx", "_cy")
-        .agg(F.collect_list(F.struct("_sphi", "_slam", "_scphi", site_key)).alias("_cands"))
-    )
-    keep = list(id_cols or [])
-    p = ensure_parallelism(pts.select(*keep, F.col(point_lon).alias("_lon"), F.col(point_lat).alias("_lat")))
-    p = p.withColumns({
-        "_cx": F.floor(F.col("_lon") / c).cast("long"),
-        "_cy": F.floor(F.col("_lat") / c).cast("long"),
-        **_trig("_lon", "_lat", "_p"),
-    })
-    p = p.withColumn("_bound", _window_bound_km(F.col("_lon"), F.col("_lat"), F.col("_cx"), F.col("_cy"),
-                                                c, radius_m / 1000.0))
-    p = p.join(F.broadcast(cells), ["_cx", "_cy"], "left")
-    p = p.withColumn("_wbest", _cand_array_best("_cands", site_key))
-    p = p.withColumn("_ok", F.col("_wbest").isNotNull() & (
-        _km_from_term(F.col("_wbest._a"), radius_m) < F.col("_bound") * (1.0 - _REL_MARGIN)))
-    # The one-row site array is attached only where the window did not prove
-    # the answer (a left join on NOT _ok): proven rows carry no copy of it.
-    p = p.join(F.broadcast(_site_array(st, site_key)), on=~F.col("_ok"), how="left")
-    best = F.when(F.col("_ok"), F.col("_wbest")).otherwise(_cand_array_best("_sites", site_key))
-    out = p.select(*keep, best.alias("_best"))  # never NULL: there is at least one site
-    return _finish_lean(out, id_cols, st, site_key, site_cols, radius_m, dist_col)
-
-
-def _nearest_grid(pts, st, point_lon, point_lat, site_key, site_cols, id_cols,
-                  broadcast_max_rows, plan, radius_m, dist_col, fallback_max_sites=100_000):
-    levels, n_sites = plan
-    if 0 < n_sites <= fallback_max_sites:
-        return _nearest_cells(pts, st, point_lon, point_lat, site_key, site_cols, id_cols,
-                              levels[0], radius_m, dist_col)
-    keep = list(id_cols or [])
-    key = keep + ["_lon", "_lat"]
-    small = n_sites * len(_WINDOW) <= broadcast_max_rows
-    # One row per distinct (id, point): duplicates and hot spots collapse in
-    # the map-side partial aggregate; later steps keep this partitioning.
-    cur = (
-        pts.select(*keep, F.col(point_lon).alias("_lon"), F.col(point_lat).alias("_lat"))
-        .groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("n_points"))
-    )
-    if n_sites == 0:
-        levels = levels[-1:]  # nothing to search: one pass yields no rows
-    # Unbounded site list: coarsen 3x per level until every point is proven;
-    # each level is written once so both of its branches read the same rows.
+    p = pts.withColumns(_trig("_lon", "_lat", "_p"))
+    proven = F.lit(False)
+    best = None
+    for i, c in enumerate((cell, 9.0 * cell)):
+        lists = _window_sites(st, c).groupBy("_cx", "_cy").agg(F.collect_list("_entry").alias(f"_list{i}"))
+        lists = lists.withColumnsRenamed({"_cx": f"_kx{i}", "_cy": f"_ky{i}"})
+        x, y = _cell("_lon", "_lat", c)
+        p = p.withColumns({f"_x{i}": x, f"_y{i}": y})
+        on = (F.col(f"_x{i}") == F.col(f"_kx{i}")) & (F.col(f"_y{i}") == F.col(f"_ky{i}"))
+        p = p.join(F.broadcast(lists), on if i == 0 else on & ~F.col(f"_ok{i - 1}"), "left")
+        p = p.withColumn(f"_best{i}", _best_of(F.col(f"_list{i}")))
+        bound = _window_bound_km(F.col("_lon"), F.col("_lat"), F.col(f"_x{i}"), F.col(f"_y{i}"), c, radius_m / 1000.0)
+        ok = F.col(f"_best{i}").isNotNull() & (_km_from_term(F.col(f"_best{i}._a"), radius_m) < bound * (1.0 - _REL_MARGIN))
+        p = p.withColumn(f"_ok{i}", ok if i == 0 else F.col(f"_ok{i - 1}") | ok)
+        best = F.when(F.col("_ok0"), F.col("_best0")) if i == 0 else best.when(F.col(f"_ok{i}"), F.col(f"_best{i}"))
+    p = p.join(F.broadcast(_site_list(st)), ~F.col("_ok1"), "left")
+    return p.select(*keep, best.otherwise(_best_of(F.col("_sites"))).alias("_best"))
+
+
+def _by_levels(pts: DataFrame, st: DataFrame, keep: list[str], cell: float, radius_m: float) -> DataFrame:
+    """Unbounded site list: cells three times wider from level to level, by shuffled joins.
+
+    Equal points (of an id) are one row until the end. What a level proves is
+    final; only the unproven rows, written to the shared checkpoint folder, go on.
+    At the top the window spans the globe.
+    """
+    key = [*keep, "_lon", "_lat"]
+    cur = pts.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
     done: list[DataFrame] = []
-    for i, c in enumerate(levels):
-        top = i == len(levels) - 1
-        lvl = _grid_level(cur, st, key, c, top, small, radius_m, site_key, site_cols, dist_col)
+    c = cell
+    while True:
+        top = c >= 180.0
+        x, y = _cell("_lon", "_lat", c)
+        p = cur.withColumns({"_cx": x, "_cy": y, **_trig("_lon", "_lat", "_p")})
+        bound = F.lit(float("inf")) if top else _window_bound_km(
+            F.col("_lon"), F.col("_lat"), F.col("_cx"), F.col("_cy"), c, radius_m / 1000.0)
+        near = p.withColumn("_bound", bound).join(_window_sites(st, c).hint("merge"), ["_cx", "_cy"], "left")
+        cand = F.when(F.col("_entry").isNotNull(), F.struct(_hav_term(F.col("_entry")).alias("_a"), F.col("_entry._site").alias("_site")))
+        level = near.groupBy(*key, "_n", "_bound").agg(F.min(cand).alias("_best"))
+        ok = F.col("_best").isNotNull() & (_km_from_term(F.col("_best._a"), radius_m) < F.col("_bound") * (1.0 - _REL_MARGIN))
+        level = level.withColumn("_ok", F.lit(True) if top else ok)
+        done.append(level.where("_ok").select(*keep, "_best", "_n"))
         if top:
-            done.append(lvl.where(F.col("_best").isNotNull()))
             break
-        checkpoint_dir(lvl.sparkSession)
-        lvl = lvl.checkpoint(eager=True)  # cut lineage: used for both branches below
-        done.append(lvl.where("_ok"))
-        cur = lvl.where(~F.col("_ok")).select(*key, "n_points")
+        checkpoint_dir(level.sparkSession)
+        cur = level.where("not _ok").select(*key, "_n").checkpoint(eager=True)
         if cur.isEmpty():
             break
+        c *= 3.0
     out = done[0]
-    for d_ in done[1:]:
-        out = out.unionByName(d_)
-    return _finish(out.select(*key, "n_points", "_best"), id_cols, F.col("n_points"))
+    for d in done[1:]:
+        out = out.unionByName(d)
+    return out.select(*keep, "_best", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_i")).select(*keep, "_best")
 
 
 def site_load(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import warnings
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,14 +20,14 @@ STRATEGY_HINTS = {
 
 
 def token_counts(df: DataFrame, text_col: str, token_col: str = "token", sep: str = " ") -> DataFrame:
-    """Explode the tokens of ``text_col`` and count each one.
+    """Explode the tokens of ``text_col``, parted by the literal text ``sep``, and count each one.
 
     Empty tokens (from doubled or trailing separators) are dropped; a NULL
     field contributes nothing. Counting is partial per task before the
     shuffle, so a hot token costs one row per task, not one per occurrence.
     """
     return (
-        df.select(F.explode(F.split(F.col(text_col), sep)).alias(token_col))
+        df.select(F.explode(F.split(F.col(text_col), re.escape(sep))).alias(token_col))
         .where(F.col(token_col) != "")
         .groupBy(token_col)
         .agg(F.count(F.lit(1)).alias("count"))
@@ -38,12 +41,13 @@ def with_lookup(
     right_key: str,
     desc_col: str,
     strategy: str = "auto",
-    broadcast_max_rows: int = 1_000_000,
+    broadcast_max_bytes: int = 64 << 20,
 ) -> DataFrame:
     """Inner join of token counts to a code list; codes with no description drop.
 
-    ``strategy="broadcast"`` is honoured only after checking the lookup has at
-    most ``broadcast_max_rows`` rows; above that it falls back to the planner.
+    ``strategy="broadcast"`` first measures the lookup (one aggregate over it); if
+    its rows as text exceed ``broadcast_max_bytes`` it warns and leaves the
+    join to the planner.
     """
     if strategy not in STRATEGY_HINTS:
         raise ValueError(
@@ -52,8 +56,11 @@ def with_lookup(
     hint = STRATEGY_HINTS[strategy]
     left = counts
     if hint == "broadcast":
-        n = lookup.limit(broadcast_max_rows + 1).count()
-        lookup = F.broadcast(lookup) if n <= broadcast_max_rows else lookup
+        size = lookup.agg(F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("n")).first()["n"] or 0
+        if size <= broadcast_max_bytes:
+            lookup = F.broadcast(lookup)
+        else:
+            warnings.warn(f"lookup of {size} bytes exceeds broadcast_max_bytes; the planner chooses the join", stacklevel=2)
     elif hint is not None:
         left = counts.hint(hint)
     joined = left.join(lookup, left[left_key] == lookup[right_key])

@@ -31,15 +31,15 @@ def topk_share(
     period descending, then rank.
     """
     counts = df.groupBy(period_col, key_col).agg(F.count(F.lit(1)).alias(count_col))
-    by_period = Window.partitionBy(period_col)
-    ranked_w = by_period.orderBy(F.desc(count_col), F.asc_nulls_first(key_col))
-    ranked = (
-        counts.withColumn("_total", F.sum(count_col).over(by_period))
-        .withColumn("rank", F.row_number().over(ranked_w))
-        .where(F.col("rank") <= k)
-        .withColumn("share_pct", F.col(count_col) / F.col("_total") * F.lit(100.0))
-        .withColumn(out_share, F.format_number(F.col("share_pct"), 2))
-    )
+    # The total is an aggregate of its own: with no other window function beside
+    # the rank, each task keeps its k largest keys of a period before the shuffle.
+    totals = counts.groupBy(F.col(period_col).alias("_period")).agg(F.sum(count_col).alias("_total"))
+    place = F.row_number().over(
+        Window.partitionBy(period_col).orderBy(F.desc(count_col), F.asc_nulls_first(key_col)))
+    best = counts.withColumn("rank", place).where(F.col("rank") <= k)
+    share = F.col(count_col) / F.col("_total") * F.lit(100.0)
+    ranked = best.join(totals, best[period_col].eqNullSafe(totals["_period"])).select(
+        best["*"], share.alias("share_pct"), F.format_number(share, 2).alias(out_share))
     if lookup is not None:
         lk = lookup.select(
             F.col(lookup_key).alias("_lk"), F.col(label_col).alias(out_label)

@@ -5,36 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cityscan.functions.geo import EARTH_RADIUS_M
+from cityscan.operators.nearest import nearest_site
 
+# Shares of the largest keys of each period. Totals are a relation of their own,
+# so the rank is the only window function and is cut per task before the shuffle.
 TOPK_SHARE_SQL = """
-WITH grouped AS (
-    SELECT Year, Vict_Descent, COUNT(*) AS cnt
-    FROM {events}
-    GROUP BY Year, Vict_Descent
-),
-windowed AS (
-    SELECT Year, Vict_Descent, cnt,
-           SUM(cnt) OVER (PARTITION BY Year) AS total_per_year,
-           ROW_NUMBER() OVER (PARTITION BY Year ORDER BY cnt DESC, Vict_Descent ASC NULLS FIRST) AS rank
-    FROM grouped
-),
-ranked AS (
-    SELECT Year, Vict_Descent, cnt, rank,
-           cnt / total_per_year * 100.0D AS share_pct
-    FROM windowed
-    WHERE rank <= {k}
-)
-SELECT r.Year, l.Vict_Descent_Full, r.cnt AS Number_of_Victims,
-       FORMAT_NUMBER(r.share_pct, 2) AS percent, r.share_pct, r.rank
-FROM ranked r
-JOIN {lookup} l ON r.Vict_Descent = l.Vict_Descent
-ORDER BY r.Year DESC, r.rank
+SELECT best.period AS `{period}`, names.`{label}`, best.n AS `{count}`,
+       format_number(100.0D * best.n / whole.n, 2) AS `{percent}`,
+       100.0D * best.n / whole.n AS share_pct, best.place AS rank
+FROM (
+    SELECT period, code, n,
+           row_number() OVER (PARTITION BY period ORDER BY n DESC, code NULLS FIRST) AS place
+    FROM (SELECT `{period}` AS period, `{key}` AS code, count(1) AS n FROM {{events}} GROUP BY 1, 2)
+) best
+JOIN (SELECT `{period}` AS period, count(1) AS n FROM {{events}} GROUP BY 1) whole
+  ON whole.period <=> best.period
+JOIN {{lookup}} names ON names.`{key}` = best.code
+WHERE best.place <= {k}
+ORDER BY best.period DESC, best.place
 """
 
 
-def topk_share_sql(spark: SparkSession, events: DataFrame, lookup: DataFrame, k: int = 3) -> DataFrame:
-    """``events(Year, Vict_Descent)``, ``lookup(Vict_Descent, Vict_Descent_Full)``."""
-    return spark.sql(TOPK_SHARE_SQL.replace("{k}", str(int(k))), events=events, lookup=lookup)
+def topk_share_sql(spark: SparkSession, events: DataFrame, lookup: DataFrame, k: int = 3, period: str = "Year",
+                   key: str = "Vict_Descent", label: str = "Vict_Descent_Full", count: str = "Number_of_Victims",
+                   percent: str = "percent") -> DataFrame:
+    """``events(period, key)``, ``lookup(key, label)``; the same rows as ``operators.topk_share``."""
+    q = TOPK_SHARE_SQL.format(k=int(k), period=period, key=key, label=label, count=count, percent=percent)
+    return spark.sql(q, events=events, lookup=lookup)
 
 
 _HAV = """2.0D * {r_km}D * asin(sqrt(
@@ -51,11 +48,16 @@ NEAREST_SQL = """
 WITH s AS (
     SELECT s_suppkey, s_name, lon, lat FROM {sites} WHERE lon IS NOT NULL AND lat IS NOT NULL
 ),
+sizes AS (
+    -- of each cell size, how many sites share a site's cell on average
+    SELECT c, sum(n * n) / sum(n) AS mean
+    FROM (SELECT c, count(1) AS n
+          FROM s LATERAL VIEW explode(transform(sequence(0, 12), j -> 60.0D / pow(3.0D, j))) v AS c
+          GROUP BY c, floor(lon / c), floor(lat / c))
+    GROUP BY c
+),
 cell AS (
-    SELECT CASE WHEN count(*) > 1 AND (max(lon) - min(lon)) * (max(lat) - min(lat)) > 0
-                THEN least(greatest(sqrt(2.0D * (max(lon) - min(lon)) * (max(lat) - min(lat)) / count(*)), 1e-4D), 180.0D)
-                ELSE 1.0D END AS c
-    FROM s
+    SELECT coalesce(max(c) FILTER (WHERE mean <= 4.0D), min(c), 1.0D) AS c FROM sizes
 ),
 cells AS (
     SELECT cx, cy, collect_list(struct(slon, slat, s_suppkey, s_name)) AS cands
@@ -109,7 +111,7 @@ resolved AS (
 nearest AS (
     SELECT * FROM (
         SELECT c_custkey, b,
-               ROW_NUMBER() OVER (PARTITION BY c_custkey ORDER BY b.distance_km, b.s_suppkey) AS rn
+               ROW_NUMBER() OVER (PARTITION BY c_custkey ORDER BY b.distance_km, b.s_suppkey, b.s_name) AS rn
         FROM resolved
     ) WHERE rn = 1
 )
@@ -120,18 +122,38 @@ GROUP BY b.s_name
 ORDER BY number_of_points DESC, site
 """
 
+# The load of each site, from a relation that an earlier statement or operator made.
+LOAD_SQL = """
+SELECT s_name AS site, round(avg(distance_km), 6) AS average_distance, count(1) AS number_of_points
+FROM {nearest}
+GROUP BY s_name
+ORDER BY number_of_points DESC, site
+"""
+
+# A report on a staged relation: the busiest sites.
+BUSIEST_SQL = "SELECT site, average_distance, number_of_points FROM {load} ORDER BY number_of_points DESC, site LIMIT {k}"
+
+
+def busiest_sites_sql(spark: SparkSession, nearest: DataFrame, k: int = 20) -> DataFrame:
+    """Two statements in a chain: the load of each site of ``nearest(s_name, distance_km)``, then its top ``k``."""
+    load = spark.sql(LOAD_SQL, nearest=nearest)
+    return spark.sql(BUSIEST_SQL.replace("{k}", str(int(k))), load=load)
+
 
 def nearest_site_sql(spark: SparkSession, points: DataFrame, sites: DataFrame,
-                     radius_m: float = EARTH_RADIUS_M, max_sites: int = 100_000) -> DataFrame:
+                     radius_m: float = EARTH_RADIUS_M, broadcast_sites: int = 100_000) -> DataFrame:
     """``points(c_custkey, lon, lat)`` valid coordinates; ``sites(s_suppkey, s_name, lon, lat)``.
 
-    Same answers as ``nearest_site(..., id_cols=[c_custkey])``; the site list
-    must have at most ``max_sites`` rows (checked), beyond that use the
-    DataFrame grid path, which needs no site array.
+    Same answers as ``nearest_site(..., id_cols=[c_custkey])`` and ``site_load``. The
+    statement broadcasts the site list; above ``broadcast_sites`` sites
+    (counted) the nearest sites come from ``nearest_site`` as a staged relation.
     """
-    n = sites.limit(max_sites + 1).count()
-    if n > max_sites:
-        raise ValueError(f"{n} sites exceed max_sites={max_sites}; use operators.nearest_site")
+    sites = sites.where("lon between -180 and 180 and lat between -90 and 90")
+    n = sites.count()
+    if n > broadcast_sites:
+        near = nearest_site(points, sites, "lon", "lat", "lon", "lat", "s_suppkey", ["s_name"], ["c_custkey"],
+                            broadcast_sites=broadcast_sites, radius_m=radius_m)
+        return spark.sql(LOAD_SQL, nearest=near)
     r_km = repr(radius_m / 1000.0)
     hav_w = _HAV.format(r_km=r_km, lon1="pb.lon", lat1="pb.lat", lon2="y.slon", lat2="y.slat")
     hav_a = _HAV.format(r_km=r_km, lon1="c.lon", lat1="c.lat", lon2="x.slon", lat2="x.slat")

@@ -70,17 +70,15 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
 
 
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread CPU-heavy per-row work over the cluster's cores.
+    """Spread a table read from a few small files over the session's cores.
 
-    Large inputs already arrive in thousands of scan splits and pass through
-    untouched; a small input that lands in fewer splits than there are cores
-    (one small Parquet file is one split) gets a round-robin repartition.
+    For entry points that know their input to be small; operators never call it.
+    It looks at the number of files only and runs no job. Anything not read
+    from files, or read from at least as many files as cores, is returned as it is.
     """
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    files = len(df.inputFiles())
+    return df.repartition(want) if 0 < files < want else df
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -82,10 +82,34 @@ def read_delimited(
 
 
 def read_incidents(
-    spark: SparkSession, paths: str | Sequence[str], multiline: bool = False
+    spark: SparkSession, paths: str | Sequence[str], multiline: bool = False, corrupt_column: str | None = None
 ) -> DataFrame:
-    """Incident reports from one or more period files as one logical table."""
-    return read_delimited(spark, paths, INCIDENT_SCHEMA, multiline=multiline)
+    """Incident reports from one or more period files as one logical table.
+
+    A malformed cell is read as NULL. ``corrupt_column`` adds a column with the
+    whole text of such rows (NULL for good ones), see :func:`corrupt_rows`.
+    """
+    return read_delimited(spark, paths, INCIDENT_SCHEMA, multiline=multiline, corrupt_column=corrupt_column)
+
+
+def corrupt_rows(df: DataFrame, corrupt_column: str) -> DataFrame:
+    """One row: all rows read, and how many of them had a cell that did not parse."""
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count(corrupt_column).alias("n_corrupt"))
+
+
+def parse_delimited(lines: DataFrame, schema: T.StructType | str, line_col: str = "value", sep: str = ",",
+                    corrupt_column: str | None = None) -> DataFrame:
+    """Lines already in a column to typed columns, by the rules of :func:`read_delimited`.
+
+    Columns bind by position; short rows and cells that do not parse give NULL.
+    """
+    options = {"sep": sep, "mode": "PERMISSIVE"}
+    fields = schema if isinstance(schema, str) else ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    if corrupt_column:
+        fields += f", `{corrupt_column}` string"
+        options["columnNameOfCorruptRecord"] = corrupt_column
+    return lines.select(F.from_csv(line_col, fields, options).alias("_row")).select("_row.*")
 
 
 def union_periods(frames: Sequence[DataFrame]) -> DataFrame:
@@ -111,20 +135,14 @@ def read_code_lines(
     description at its first comma, as a one-column CSV read would. A line
     with no space gives a NULL description instead of an index error.
     """
-    lines = spark.read.text(paths)
-    text = F.col("value")
-    if truncate_at_comma:
-        text = F.split(text, ",", 2).getItem(0)
-    parts = F.split(text, " ", 2)
-    return lines.select(
-        F.get(parts, 0).alias(code_col), F.get(parts, 1).alias(desc_col)
-    )
+    return codes_from_lines(spark.read.text(paths), "value", code_col, desc_col, truncate_at_comma)
 
 
-def codes_from_lines(lines: DataFrame, line_col: str = "value",
-                     code_col: str = "Mocode", desc_col: str = "Description") -> DataFrame:
+def codes_from_lines(lines: DataFrame, line_col: str = "value", code_col: str = "Mocode",
+                     desc_col: str = "Description", truncate_at_comma: bool = False) -> DataFrame:
     """Same split as :func:`read_code_lines` for lines already in a column."""
-    parts = F.split(F.col(line_col), " ", 2)
+    text = F.split(F.col(line_col), ",", 2).getItem(0) if truncate_at_comma else F.col(line_col)
+    parts = F.split(text, " ", 2)
     return lines.select(F.get(parts, 0).alias(code_col), F.get(parts, 1).alias(desc_col))
 
 
@@ -162,7 +180,8 @@ def ingest_incidents(
     sampled bounds split even a dominant year over many tasks, each task
     writes one or two files instead of one per year, and rows land sorted
     by time (tight min/max statistics). ``False`` writes straight from the
-    scan tasks (no shuffle, many small files).
+    scan tasks (no shuffle, many small files). The bounds are sampled by a
+    pass of their own, so clustering reads and parses the CSVs twice.
     """
     clean = ingest_columns(read_incidents(spark, paths), ts_format)
     if clustered:

@@ -9,13 +9,10 @@ scheduled job; ``processing_time`` keeps it running.
 
 from __future__ import annotations
 
-import posixpath
-
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from cityscan.functions.clean import EVENT_TS_FORMAT
-from cityscan.session import checkpoint_dir
 from cityscan.sources.csv import INCIDENT_SCHEMA, ingest_columns
 
 
@@ -23,18 +20,20 @@ def start_incident_ingest(
     spark: SparkSession,
     source_dir: str,
     out_path: str,
-    checkpoint_location: str | None = None,
+    checkpoint_location: str,
     ts_format: str = EVENT_TS_FORMAT,
     processing_time: str | None = None,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start the stream; returns the running query (call ``awaitTermination``).
 
-    The checkpoint defaults to a folder under the session's shared
-    ``spark.checkpoint.dir``.
+    ``checkpoint_location`` must be a fixed shared folder that belongs to this
+    stream: a restart, also by another session, finds there which files are
+    done. A folder that changes from session to session (such as one under
+    ``SparkContext.getCheckpointDir()``) would lose files.
     """
-    if checkpoint_location is None:
-        checkpoint_location = posixpath.join(checkpoint_dir(spark), "incident-ingest")
+    if not checkpoint_location:
+        raise ValueError("checkpoint_location is required")
     reader = spark.readStream.schema(INCIDENT_SCHEMA).option("header", True).option("mode", "PERMISSIVE")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

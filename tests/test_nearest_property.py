@@ -30,7 +30,7 @@ def test_grid_equals_brute_force_globally(spark, sites, pts, cell, fallback):
     pdf = spark.createDataFrame([(str(i), x, y) for i, (x, y) in enumerate(pts)], "id string, lon double, lat double")
     got = {r.id: (r.skey, r.distance_km) for r in nearest_site(
         pdf, sdf, "lon", "lat", "lon", "lat", "skey", id_cols=["id"], method="grid", cell_deg=cell,
-        fallback_max_sites=fallback).collect()}
+        broadcast_sites=fallback).collect()}
     for i, (x, y) in enumerate(pts):
         d, k = min((_hav(x, y, sx, sy), j) for j, (sx, sy) in enumerate(sites))
         gk, gd = got[str(i)]

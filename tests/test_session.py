@@ -6,12 +6,16 @@ def test_checkpoint_dir_reuses_the_configured_folder(spark):
     assert first and checkpoint_dir(spark, fallback="/nonexistent/should-not-be-used") == first
 
 
-def test_ensure_parallelism_only_spreads_small_inputs(spark):
+def test_ensure_parallelism_only_spreads_few_files(spark, tmp_path):
     want = spark.sparkContext.defaultParallelism
-    one = spark.range(100, numPartitions=1)
+    spark.range(100, numPartitions=1).write.parquet(str(tmp_path / "one"))
+    one = spark.read.parquet(str(tmp_path / "one"))
     assert ensure_parallelism(one).rdd.getNumPartitions() == want
-    many = spark.range(100, numPartitions=want * 2)
+    spark.range(100, numPartitions=want * 2).write.parquet(str(tmp_path / "many"))
+    many = spark.read.parquet(str(tmp_path / "many"))
     assert ensure_parallelism(many) is many
+    made = spark.range(100, numPartitions=1)
+    assert ensure_parallelism(made) is made
 
 
 def test_materialize_keeps_rows_and_cuts_lineage(spark):

@@ -137,7 +137,7 @@ def _brute(pts, sites, by_id):
 def test_nearest_per_id_equals_brute_force(spark, method, fallback):
     pdf, sdf, pts, sites = _nearest_fixture(spark)
     out = nearest_site(pdf, sdf, "lon", "lat", "lon", "lat", "skey", ["name"], id_cols=["id"], method=method,
-                       cell_deg=0.02, fallback_max_sites=fallback).collect()
+                       cell_deg=0.02, broadcast_sites=fallback).collect()
     want = _brute(pts, sites, by_id=True)
     got = {r.id: (r.distance_km, r.skey) for r in out}
     assert set(got) == set(want)
@@ -150,7 +150,7 @@ def test_nearest_per_row_counts_every_row(spark, method, fallback):
     pdf, sdf, pts, sites = _nearest_fixture(spark)
     pdf = pdf.union(pdf.limit(5))  # duplicate rows count twice without id_cols
     near = nearest_site(pdf, sdf, "lon", "lat", "lon", "lat", "skey", ["name"], method=method, cell_deg=0.05,
-                        fallback_max_sites=fallback)
+                        broadcast_sites=fallback)
     load = site_load(near, ["skey"])
     assert load.agg(F.sum("number_of_points")).first()[0] == len(pts) + 5
     want = _brute(pts, sites, by_id=False)
@@ -169,7 +169,7 @@ def test_nearest_skips_null_coordinates_and_handles_no_sites(spark):
     empty = sdf.where("false")
     for m, fb in (("array", 100_000), ("grid", 100_000), ("grid", 0)):
         assert nearest_site(pdf, empty, "lon", "lat", "lon", "lat", "skey", id_cols=["id"], method=m,
-                            fallback_max_sites=fb).count() == 0
+                            broadcast_sites=fb).count() == 0
 
 
 def test_site_load_top_is_a_top_k(spark):
