@@ -5,7 +5,7 @@ from cityscan.operators.nearest import nearest_site, site_load
 from cityscan.operators.tokens import token_counts, with_lookup
 from cityscan.operators.topk import topk_share
 from cityscan.operators.within import points_in_zones, zone_cells
-from cityscan.operators.zones import correlation, extremes, zone_counts, zone_income, zone_rollup
+from cityscan.operators.zones import correlation, extremes, unique_zones, zone_counts, zone_income, zone_rollup
 
 __all__ = [
     "bucket_count",
@@ -19,6 +19,7 @@ __all__ = [
     "zone_cells",
     "correlation",
     "extremes",
+    "unique_zones",
     "zone_counts",
     "zone_income",
     "zone_rollup",

@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cityscan.functions.geo import point_in_polygon
-from cityscan.session import ensure_parallelism
 
 
 # Size model of one cell-table row: fixed columns, plus one edge struct.
@@ -76,19 +75,22 @@ def _span() -> "F.Column":
     return F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"))
 
 
-def grid_plan(zones: DataFrame, cell_deg: float | None = None, max_cells: int = 16) -> dict:
-    """One bounded aggregate over the zones: zone count, the cell size and
-    the grid levels that can occur.
+def grid_plan(zones: DataFrame, cell_deg: float | None = None, max_cells: int = 16, edges_col: str = "edges",
+              carry: Sequence[str] = ()) -> dict:
+    """One bounded aggregate over the zones: zone count, the cell size, the grid
+    levels that can occur and an upper estimate of the cell table's bytes.
 
     The default cell size is the median bbox span. Levels are derived from
     ``ceil(log2(span))`` classes, a superset of the exact levels (at most one
     spare levels per class); a spare level only adds a probe that matches nothing.
     """
     k = max(int(math.isqrt(max_cells)), 2)
+    text = F.octet_length(F.to_json(F.struct(*carry))) if carry else F.lit(0)
     r = zones.agg(
         F.count(F.lit(1)).alias("n"),
         F.percentile_approx(_span(), 0.5).alias("median"),
         F.collect_set(F.ceil(F.log2(F.greatest(_span(), F.lit(1e-300))))).alias("classes"),
+        F.sum(F.size(edges_col)).alias("edges"), F.sum(text).alias("text"),
     ).first()
     n = int(r["n"] or 0)
     if cell_deg is None:
@@ -101,7 +103,9 @@ def grid_plan(zones: DataFrame, cell_deg: float | None = None, max_cells: int =
         # the per-zone level computed on the executors
         for v in (e - 1, e, e + 1):
             levels.add(max(0, math.ceil(v - base)))
-    return {"n_zones": n, "cell_deg": cell_deg, "levels": sorted(levels), "k": k}
+    # at most k * k cells a zone; an edge stays in about two rows of k cells
+    size = k * k * (n * _ROW_BYTES + int(r["text"] or 0)) + 2 * k * int(r["edges"] or 0) * _EDGE_BYTES
+    return {"n_zones": n, "cell_deg": cell_deg, "levels": sorted(levels), "k": k, "bytes": size}
 
 
 def points_in_zones(
@@ -119,24 +123,19 @@ def points_in_zones(
 
     ``zones`` needs ``edges`` and ``min_x, min_y, max_x, max_y`` columns (see
     :func:`cityscan.sources.geojson.features_to_zones`). Output: all point
-    columns plus ``zone_cols``. The zone side is broadcast when its cell
-    table - measured by one aggregate over the zone dimension, after edge
-    clipping - is estimated within ``broadcast_max_bytes``; otherwise both
-    sides shuffle on the cell (AQE splits a skewed cell on the point side).
+    columns plus ``zone_cols``. Zones without edges hold no point. The zone side
+    is broadcast when its cell table, estimated by one aggregate over the zone
+    dimension, fits ``broadcast_max_bytes``; otherwise both sides shuffle on the
+    cell (AQE splits a skewed cell on the point side). The points are not touched
+    when the plan is built and keep their partitions.
     """
-    plan = grid_plan(zones, cell_deg, max_cells)
+    zones = zones.where(F.size(edges_col) > 0)
+    plan = grid_plan(zones, cell_deg, max_cells, edges_col, zone_cols)
     cell_deg, levels = plan["cell_deg"], plan["levels"]
-    carry = [*zone_cols, edges_col]
-    cells = zone_cells(zones, cell_deg, max_cells, carry, edges_col=edges_col)
-    # measured size of the (bounded) cell table: rows and clipped edges
-    size = cells.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size(edges_col)).alias("edges")).first()
-    est_bytes = int(size["rows"] or 0) * _ROW_BYTES + int(size["edges"] or 0) * _EDGE_BYTES
-    if est_bytes <= broadcast_max_bytes:
-        cells = F.broadcast(cells)
-    else:
-        cells = cells.hint("merge")  # too large to copy to every executor: shuffle both sides
+    cells = zone_cells(zones, cell_deg, max_cells, [*zone_cols, edges_col], edges_col=edges_col)
+    cells = F.broadcast(cells) if plan["bytes"] <= broadcast_max_bytes else cells.hint("merge")
     pcols = points.columns
-    p = ensure_parallelism(points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull()))
+    p = points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull())
     per_level = F.array(*[
         F.struct(
             F.lit(l).alias("_level"),

@@ -47,21 +47,41 @@ def zone_income(
     return out.drop("_zip", "_income", "_n")
 
 
+def unique_zones(zones: DataFrame, zone_key: str) -> DataFrame:
+    """One row per zone key.
+
+    Rows that repeat a zone are merged; a key whose rows differ in any other
+    column fails the query, so that no point or attribute counts twice. Rows
+    without a key go.
+    """
+    others = [c for c in zones.columns if c != zone_key]
+    state = F.xxhash64(F.to_json(F.struct(*others)))
+    one = zones.where(F.col(zone_key).isNotNull()).withColumn("_state", state).groupBy(zone_key).agg(
+        *[F.first(c).alias(c) for c in others], F.min("_state").alias("_lo"), F.max("_state").alias("_hi"))
+    said = F.concat(F.lit("zone has conflicting rows: "), F.col(zone_key).cast("string"))
+    key = F.when(F.col("_lo") != F.col("_hi"), F.raise_error(said)).otherwise(F.col(zone_key))
+    return one.select(*[key.alias(c) if c == zone_key else F.col(c) for c in zones.columns])
+
+
 def zone_counts(
     hits: DataFrame,
     zones: DataFrame,
     zone_key: str,
     attr_cols: Sequence[str],
     count_col: str = "crime_count",
+    keep_empty_zones: bool = False,
 ) -> DataFrame:
-    """Points per zone (zones with no point are absent), with zone attributes.
+    """Points per zone, with zone attributes; ``zones`` has one row per key (:func:`unique_zones`).
 
+    Zones with no point are absent, or counted 0 with ``keep_empty_zones``.
     Counting happens on the key alone (map-side partial hash aggregate); the
     attributes are joined back to the small per-zone result afterwards.
     """
     counts = hits.groupBy(zone_key).agg(F.count(F.lit(1)).alias(count_col))
     attrs = zones.select(zone_key, *[c for c in attr_cols if c != zone_key])
-    return counts.join(attrs, zone_key)
+    if not keep_empty_zones:
+        return counts.join(attrs, zone_key)
+    return attrs.join(counts, zone_key, "left").withColumn(count_col, F.coalesce(F.col(count_col), F.lit(0)))
 
 
 def zone_rollup(

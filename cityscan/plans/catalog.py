@@ -17,12 +17,14 @@ from cityscan.operators.nearest import nearest_site, site_load
 from cityscan.operators.tokens import token_counts, with_lookup
 from cityscan.operators.topk import topk_share
 from cityscan.operators.within import points_in_zones
-from cityscan.operators.zones import correlation, extremes, zone_counts, zone_income, zone_rollup
+from cityscan.operators.zones import correlation, extremes, unique_zones, zone_counts, zone_income, zone_rollup
 from cityscan.plans import inputs
 from cityscan.plans.inputs import table
 from cityscan.plans import sql as sqlq
-from cityscan.sources.csv import codes_from_lines, union_periods
-from cityscan.session import ensure_parallelism, materialize
+from cityscan.functions.clean import money_to_int
+from cityscan.session import ensure_parallelism
+from cityscan.sources.csv import INCIDENT_SCHEMA, INCOME_SCHEMA, codes_from_lines, parse_delimited, union_periods
+from cityscan.sources.geojson import features_to_zones, parse_features
 
 # ---------------------------------------------------------------- P1
 
@@ -128,7 +130,8 @@ def q_token_join_broadcast(spark: SparkSession, d: str) -> DataFrame:
 
 def _valid_customer_points(spark: SparkSession, d: str) -> DataFrame:
     p = inputs.customer_points(spark, d, specials=True)
-    return p.where(valid_coords("lon", "lat", drop_zero=True))
+    # the test tables are single files: spread the points over the cores
+    return ensure_parallelism(p).where(valid_coords("lon", "lat", drop_zero=True))
 
 
 def _nearest_query(spark: SparkSession, d: str, method: str) -> DataFrame:
@@ -155,10 +158,70 @@ def q_nearest_site_array(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_nearest_site_sql(spark: SparkSession, d: str) -> DataFrame:
-    pts = ensure_parallelism(_valid_customer_points(spark, d).select("c_custkey", "lon", "lat"))
+    pts = _valid_customer_points(spark, d).select("c_custkey", "lon", "lat")
     return sqlq.nearest_site_sql(spark, pts, inputs.supplier_sites(spark, d))
 
 
+def _load(near: DataFrame) -> DataFrame:
+    load = site_load(near, ["s_name"], avg_col="average_distance", count_col="number_of_points")
+    return load.select(F.col("s_name").alias("site"), F.round("average_distance", 6).alias("average_distance"), "number_of_points")
+
+
+def q_nearest_site_levels(spark: SparkSession, d: str) -> DataFrame:
+    """The path for more sites than may be broadcast: shuffled joins level by level."""
+    return _load(nearest_site(
+        _valid_customer_points(spark, d), inputs.supplier_sites(spark, d), "lon", "lat", "lon", "lat", "s_suppkey", ["s_name"],
+        id_cols=["c_custkey"], broadcast_sites=0))
+
+
+def q_nearest_site_skewed(spark: SparkSession, d: str) -> DataFrame:
+    return _load(nearest_site(
+        _valid_customer_points(spark, d), inputs.skewed_sites(spark, d), "lon", "lat", "lon", "lat", "s_suppkey", ["s_name"],
+        id_cols=["c_custkey"]))
+
+
+def q_nearest_site_dup(spark: SparkSession, d: str, broadcast_sites: int = 100_000) -> DataFrame:
+    """Site keys that repeat or are NULL, sites at one position, ids at several positions."""
+    pts = _valid_customer_points(spark, d).select((F.col("c_custkey") % 500).alias("id"), "lon", "lat")
+    near = nearest_site(pts, inputs.repeated_key_sites(spark, d), "lon", "lat", "lon", "lat", "key", ["s_name"], id_cols=["id"],
+                        broadcast_sites=broadcast_sites)
+    return near.select("id", "key", "s_name", F.round("distance_km", 6).alias("distance_km"))
+
+
+def q_nearest_site_dup_levels(spark: SparkSession, d: str) -> DataFrame:
+    return q_nearest_site_dup(spark, d, broadcast_sites=0)
+
+
+def q_busiest_sites_sql(spark: SparkSession, d: str) -> DataFrame:
+    """The twenty busiest sites, by SQL statements on staged relations."""
+    near = nearest_site(_valid_customer_points(spark, d), inputs.supplier_sites(spark, d), "lon", "lat", "lon", "lat",
+                        "s_suppkey", ["s_name"], id_cols=["c_custkey"])
+    return sqlq.busiest_sites_sql(spark, near, k=20)
+
+
+# ---------------------------------------------------------------- file parsing
+
+
+def q_csv_incidents(spark: SparkSession, d: str) -> DataFrame:
+    rows = parse_delimited(inputs.incident_lines(spark, d), INCIDENT_SCHEMA, corrupt_column="_bad")
+    return rows.select(
+        F.col("DR_NO").alias("dr_no"), F.col("Crm Cd Desc").alias("description"), F.col("Vict Age").alias("age"), F.col("LAT").alias("lat"),
+        F.col("LON").alias("lon"), year_of("DATE OCC").alias("year"), F.col("_bad").isNotNull().alias("corrupt"))
+
+
+def q_csv_semicolon(spark: SparkSession, d: str) -> DataFrame:
+    rows = parse_delimited(inputs.income_lines(spark, d), INCOME_SCHEMA, sep=";")
+    return rows.select(F.col("Zip Code").alias("zip"), F.col("Community").alias("community"),
+                       money_to_int("Estimated Median Income").alias("income"))
+
+
+def q_code_lines(spark: SparkSession, d: str) -> DataFrame:
+    lines = inputs.code_lines(spark, d)
+    cut = codes_from_lines(lines, truncate_at_comma=True).select(F.col("Mocode").alias("code"), F.col("Description").alias("description"))
+    whole = codes_from_lines(lines).select(F.col("Mocode").alias("code"), F.col("Description").alias("description"))
+    return whole.withColumn("cut", F.lit(False)).unionByName(cut.withColumn("cut", F.lit(True)))
+
+
 # ---------------------------------------------------------------- P5 / P6
 
 
@@ -182,11 +245,14 @@ def q_zone_income(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _per_zone(spark: SparkSession, d: str) -> DataFrame:
-    # zones are a bounded dimension: parse the GeoJSON once, reuse the written copy
-    blocks = materialize(_blocks_with_income(spark, d))
-    pts = inputs.customer_points(spark, d, specials=True).where(valid_coords("lon", "lat", drop_zero=False))
+    return _counted(spark, d, _blocks_with_income(spark, d))
+
+
+def _counted(spark: SparkSession, d: str, blocks: DataFrame, keep_empty_zones: bool = False) -> DataFrame:
+    blocks = unique_zones(blocks, "zone")
+    pts = ensure_parallelism(inputs.customer_points(spark, d, specials=True)).where(valid_coords("lon", "lat", drop_zero=False))
     hits = points_in_zones(pts.select("c_custkey", "lon", "lat"), blocks, "lon", "lat", zone_cols=["zone"])
-    per = zone_counts(hits, blocks, "zone", ["COMM", "POP20", "Income_per_block"])
+    per = zone_counts(hits, blocks, "zone", ["COMM", "POP20", "Income_per_block"], keep_empty_zones=keep_empty_zones)
     return per.select("zone", "COMM", F.col("POP20").alias("block_population"), "Income_per_block", "crime_count")
 
 
@@ -194,12 +260,39 @@ def q_points_in_zones(spark: SparkSession, d: str) -> DataFrame:
     return _per_zone(spark, d)
 
 
+def q_zones_with_empty(spark: SparkSession, d: str) -> DataFrame:
+    """Every zone, those without a point (and one without an area) counted 0."""
+    return _counted(spark, d, _blocks_with_income(spark, d), keep_empty_zones=True)
+
+
+def q_shapes(spark: SparkSession, d: str, broadcast_max_bytes: int = 256 << 20) -> DataFrame:
+    """Concave, slanted, holed and multi-part zones, as many as suppliers, from GeoJSON lines; points on their edges."""
+    zones = unique_zones(features_to_zones(parse_features(inputs.shape_texts(spark, d), {"zone": "bigint"}), id_col="zone"), "zone")
+    hits = points_in_zones(ensure_parallelism(inputs.lattice_points(spark, d)), zones, "lon", "lat", ["zone"],
+                           broadcast_max_bytes=broadcast_max_bytes)
+    return zone_counts(hits, zones, "zone", [], "n_points", keep_empty_zones=True)
+
+
+def q_shapes_shuffled(spark: SparkSession, d: str) -> DataFrame:
+    return q_shapes(spark, d, broadcast_max_bytes=0)
+
+
 def _rollup(spark: SparkSession, d: str) -> DataFrame:
     return zone_rollup(_per_zone(spark, d), "COMM", "block_population", "crime_count", "Income_per_block")
 
 
+def q_zone_rollup_dup(spark: SparkSession, d: str) -> DataFrame:
+    """Every zone listed twice: each point and each zone's population still count once."""
+    blocks = _blocks_with_income(spark, d)
+    per = _counted(spark, d, blocks.unionByName(blocks))
+    return _rollup_out(zone_rollup(per, "COMM", "block_population", "crime_count", "Income_per_block"))
+
+
 def q_zone_rollup(spark: SparkSession, d: str) -> DataFrame:
-    r = _rollup(spark, d)
+    return _rollup_out(_rollup(spark, d))
+
+
+def _rollup_out(r: DataFrame) -> DataFrame:
     return r.select("COMM", "total_population", "total_crime_count", "total_income",
                     F.round("crimes_per_person", 6).alias("crimes_per_person"),
                     F.round("income_per_capita", 6).alias("income_per_capita"))
@@ -237,7 +330,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nearest_site_array": q_nearest_site_array,
     "nearest_site_grid": q_nearest_site_grid,
     "nearest_site_sql": q_nearest_site_sql,
+    "nearest_site_levels": q_nearest_site_levels,
+    "nearest_site_skewed": q_nearest_site_skewed,
+    "nearest_site_dup": q_nearest_site_dup,
+    "nearest_site_dup_levels": q_nearest_site_dup_levels,
+    "busiest_sites_sql": q_busiest_sites_sql,
+    "csv_incidents": q_csv_incidents,
+    "csv_semicolon": q_csv_semicolon,
+    "code_lines": q_code_lines,
     "geojson_zones": q_geojson_zones,
+    "zones_with_empty": q_zones_with_empty,
+    "zone_rollup_dup": q_zone_rollup_dup,
+    "shapes": q_shapes,
+    "shapes_shuffled": q_shapes_shuffled,
     "zone_income": q_zone_income,
     "points_in_zones": q_points_in_zones,
     "zone_rollup": q_zone_rollup,

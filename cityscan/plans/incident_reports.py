@@ -21,7 +21,7 @@ from cityscan.operators.nearest import nearest_site, site_load
 from cityscan.operators.tokens import token_counts, with_lookup
 from cityscan.operators.topk import topk_share
 from cityscan.operators.within import points_in_zones
-from cityscan.operators.zones import correlation, extremes, zone_counts, zone_income, zone_rollup
+from cityscan.operators.zones import correlation, extremes, unique_zones, zone_counts, zone_income, zone_rollup
 from cityscan.session import materialize
 from cityscan.sources.csv import (
     DESCENT_SCHEMA,
@@ -108,7 +108,7 @@ def community_income_crime(spark: SparkSession, income_path: str, blocks_path: s
         .where(valid_coords("LON", "LAT", drop_zero=False))
     )
     feats = read_geojson(spark, blocks_path, BLOCK_PROPS, layout=geojson_layout)
-    blocks = features_to_zones(feats).where(F.col("CITY") == city)
+    blocks = unique_zones(features_to_zones(feats).where(F.col("CITY") == city), "zone_id")
     income = read_delimited(spark, income_path, INCOME_SCHEMA, sep=";")
     blocks = materialize(zone_income(blocks, income, "ZCTA20", "Zip Code", "Estimated Median Income", "HOUSING20"))
     hits = points_in_zones(crimes, blocks, "LON", "LAT", ["zone_id"])

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityscan.sources.geojson import feature_schema, features_to_zones
+from cityscan.sources.geojson import features_to_zones, parse_features
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,9 +93,7 @@ def zone_geojson_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parsed zones: properties as columns, ``edges`` and bbox."""
-    feats = zone_geojson_text(spark, sf_dir).select(
-        F.from_json("feature", feature_schema(ZONE_PROPS)).alias("f")
-    ).select("f.*")
+    feats = parse_features(zone_geojson_text(spark, sf_dir), ZONE_PROPS, "feature")
     return features_to_zones(feats, id_col="zone")
 
 
@@ -132,3 +130,89 @@ CODE_LINES = [
     "bolt Fastener",
     "zzz Unused",
 ]
+
+
+# ------------------------------------------------ text files rendered from tables
+
+
+def incident_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One incident CSV line per customer: quoted commas and quotes, short rows, bad numbers."""
+    k = F.col("c_custkey")
+    age = F.when(k % 11 == 3, F.lit("abc")).when(k % 11 == 5, F.lit("")).otherwise((k % 90).cast("string"))
+    text = F.when(k % 2 == 0, F.concat(F.lit('"AGGRAVATED ASSAULT, TYPE '), k.cast("string"), F.lit('"'))).otherwise(F.lit("THEFT"))
+    head = F.concat_ws(",", k.cast("string"), F.lit("x"), F.date_format(
+        F.timestamp_seconds(F.lit(1577836800) + k * 86400), "yyyy MMM dd hh:mm:ss a"), F.lit("930"), F.lit("1"), F.lit("Area"),
+        F.lit("5"), F.lit("1"), F.lit("230"), text, F.lit("0416 1822"), age)
+    rest = F.concat(F.lit("," * 14), F.lit(",34.5,-118.25"))
+    return table(spark, sf_dir, "customer").select(
+        F.when(k % 13 == 7, head).otherwise(F.concat(head, rest)).alias("value"))
+
+
+def income_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zip;community;income lines, one per customer; some without income, some with a bad zip."""
+    k = F.col("c_custkey")
+    zip_code = F.when(k % 17 == 4, F.lit("N/A")).otherwise((F.lit(90000) + k).cast("string"))
+    money = F.when(k % 5 == 0, F.lit("")).otherwise(F.concat(F.lit("$"), (k % 90 + 10).cast("string"), F.lit(",500")))
+    return table(spark, sf_dir, "customer").select(
+        F.concat_ws(";", zip_code, F.concat(F.lit("Town, "), (k % 7).cast("string")), money).alias("value"))
+
+
+def code_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code lines from parts: code, blank, a name with a comma; every ninth has no name."""
+    k = F.col("p_partkey")
+    name = F.concat(F.lit(" "), F.col("p_name"), F.lit(", more"))
+    return table(spark, sf_dir, "part").select(
+        F.concat(F.lpad(k.cast("string"), 6, "0"), F.when(k % 9 == 0, F.lit("")).otherwise(name)).alias("value"))
+
+
+# ------------------------------------------------ sites and zones of harder shape
+
+
+def skewed_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers crowded into a hundredth of the points' extent, and one stray site at (0, 0)."""
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    lon, lat = _lon_lat(F.col("s_suppkey"), 6151, 1013, 202600.0, 3571, 991, 165200.0)
+    crowd = s.select("s_suppkey", "s_name", lon.alias("lon"), lat.alias("lat"))
+    stray = s.where("s_suppkey = 1").select(
+        F.lit(0).cast("long").alias("s_suppkey"), F.lit("stray").alias("s_name"), F.lit(0.0).alias("lon"), F.lit(0.0).alias("lat"))
+    return crowd.unionByName(stray)
+
+
+def repeated_key_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Supplier sites whose key repeats (mod 7) or is NULL; pairs of suppliers share a position."""
+    k = F.col("s_suppkey")
+    lon, lat = _lon_lat(k - k % 2, 6151, 1013, 2026.0, 3571, 991, 1652.0)
+    key = F.when(k % 5 == 0, F.lit(None)).otherwise(k % 7).cast("long")
+    return table(spark, sf_dir, "supplier").select(key.alias("key"), "s_name", lon.alias("lon"), lat.alias("lat"))
+
+
+# All coordinates are multiples of 1/1024, so edge tests are exact.
+_UNIT = 1024.0
+
+
+def lattice_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(
+        "c_custkey", (F.lit(-118.0) + (k * 7919 % 256) / F.lit(_UNIT)).alias("lon"), (F.lit(34.0) + (k * 6007 % 256) / F.lit(_UNIT)).alias("lat"))
+
+
+def shape_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One GeoJSON feature per supplier, by key mod 5: an L, a diamond with a diamond hole, two
+    separate squares, a slanted triangle, and a feature without geometry."""
+    k = F.col("s_suppkey")
+    at = lambda dx, dy: F.format_string("[%s,%s]", F.col("ox") + F.lit(dx / _UNIT), F.col("oy") + F.lit(dy / _UNIT))
+    ring = lambda pts: F.concat(F.lit("["), F.concat_ws(",", *[at(*p) for p in [*pts, pts[0]]]), F.lit("]"))
+    ell = ring([(0, 0), (32, 0), (32, 16), (16, 16), (16, 32), (0, 32)])
+    diamond, hole = ring([(16, 0), (32, 16), (16, 32), (0, 16)]), ring([(16, 8), (8, 16), (16, 24), (24, 16)])
+    low, high = ring([(0, 0), (8, 0), (8, 8), (0, 8)]), ring([(16, 16), (32, 16), (32, 32), (16, 32)])
+    triangle = ring([(0, 0), (32, 16), (0, 32)])
+    wrap = lambda *parts: F.concat(F.lit("["), F.concat_ws(",", *parts), F.lit("]"))
+    geometry = lambda kind, c: F.concat(F.lit('{"type":"%s","coordinates":' % kind), c, F.lit("}"))
+    shape = (F.when(k % 5 == 0, geometry("Polygon", wrap(ell)))
+             .when(k % 5 == 1, geometry("Polygon", wrap(diamond, hole)))
+             .when(k % 5 == 2, geometry("MultiPolygon", wrap(wrap(low), wrap(high))))
+             .when(k % 5 == 3, geometry("MultiPolygon", wrap(wrap(triangle)))).otherwise(F.lit("null")))
+    base = table(spark, sf_dir, "supplier").select(
+        "s_suppkey", (F.lit(-118.0) + (k * 37 % 224) / F.lit(_UNIT)).alias("ox"), (F.lit(34.0) + (k * 53 % 224) / F.lit(_UNIT)).alias("oy"))
+    return base.select(F.concat(
+        F.lit('{"type":"Feature","properties":{"zone":'), k.cast("string"), F.lit('},"geometry":'), shape, F.lit("}")).alias("value"))

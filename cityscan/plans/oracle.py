@@ -133,7 +133,75 @@ SELECT CASE WHEN p_size < 18 THEN '0-17 Children' WHEN p_size < 25 THEN '18-24 Y
 FROM part WHERE contains(p_name, 'ring') GROUP BY 1
 """
 
+_SKEWED = f"""
+WITH pts AS (SELECT * FROM ({_CUST_POINTS}) c
+             WHERE lon IS NOT NULL AND lat IS NOT NULL AND lon <> 0 AND lat <> 0),
+sites AS (SELECT s_suppkey, s_name, -118.7e0 + ((s_suppkey * 6151) % 1013) / 202600.0e0 AS lon,
+                 33.7e0 + ((s_suppkey * 3571) % 991) / 165200.0e0 AS lat FROM supplier
+          UNION ALL SELECT 0, 'stray', 0.0e0, 0.0e0),
+ranked AS (SELECT p.c_custkey, s.s_name, {_HAV} AS d,
+                  row_number() OVER (PARTITION BY p.c_custkey ORDER BY {_HAV}, s.s_suppkey) AS rn
+           FROM pts p CROSS JOIN sites s)
+SELECT s_name AS site, round(avg(d), 6) AS average_distance, CAST(count(*) AS BIGINT) AS number_of_points
+FROM ranked WHERE rn = 1 GROUP BY s_name
+"""
+
+_DUP = f"""
+WITH pts AS (SELECT c_custkey % 500 AS id, lon, lat FROM ({_CUST_POINTS}) c
+             WHERE lon IS NOT NULL AND lat IS NOT NULL AND lon <> 0 AND lat <> 0),
+sites AS (SELECT CASE WHEN s_suppkey % 5 = 0 THEN NULL ELSE s_suppkey % 7 END AS key, s_name,
+                 -118.7e0 + (((s_suppkey - s_suppkey % 2) * 6151) % 1013) / 2026.0e0 AS lon,
+                 33.7e0 + (((s_suppkey - s_suppkey % 2) * 3571) % 991) / 1652.0e0 AS lat FROM supplier),
+ranked AS (SELECT p.id, s.key, s.s_name, {_HAV} AS d,
+                  row_number() OVER (PARTITION BY p.id ORDER BY {_HAV}, s.key NULLS FIRST, s.s_name) AS rn
+           FROM pts p CROSS JOIN sites s)
+SELECT id, CAST(key AS BIGINT) AS key, s_name, round(d, 6) AS distance_km FROM ranked WHERE rn = 1
+"""
+
+_SHAPES = """
+WITH z AS (SELECT s_suppkey AS zone, s_suppkey % 5 AS kind, -118.0e0 + (s_suppkey * 37 % 224) / 1024.0e0 AS ox,
+                  34.0e0 + (s_suppkey * 53 % 224) / 1024.0e0 AS oy FROM supplier),
+p AS (SELECT -118.0e0 + (c_custkey * 7919 % 256) / 1024.0e0 AS lon, 34.0e0 + (c_custkey * 6007 % 256) / 1024.0e0 AS lat FROM customer),
+j AS (SELECT zone, kind, (lon - ox) * 1024 AS x, (lat - oy) * 1024 AS y FROM z, p)
+SELECT z.zone, CAST(count(j.zone) AS BIGINT) AS n_points
+FROM z LEFT JOIN j ON j.zone = z.zone AND CASE z.kind
+  WHEN 0 THEN (x > 0 AND x < 32 AND y > 0 AND y < 16) OR (x > 0 AND x < 16 AND y > 0 AND y < 32)
+  WHEN 1 THEN abs(x - 16) + abs(y - 16) < 16 AND abs(x - 16) + abs(y - 16) > 8
+  WHEN 2 THEN (x > 0 AND x < 8 AND y > 0 AND y < 8) OR (x > 16 AND x < 32 AND y > 16 AND y < 32)
+  WHEN 3 THEN x > 0 AND y > x / 2 AND y < 32 - x / 2
+  ELSE false END
+GROUP BY z.zone
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "nearest_site_levels": _NEAREST,
+    "nearest_site_skewed": _SKEWED,
+    "nearest_site_dup": _DUP,
+    "nearest_site_dup_levels": _DUP,
+    "busiest_sites_sql": f"SELECT * FROM ({_NEAREST}) t ORDER BY number_of_points DESC, site LIMIT 20",
+    "csv_incidents": """
+        SELECT CAST(c_custkey AS VARCHAR) AS dr_no,
+               CASE WHEN c_custkey % 2 = 0 THEN 'AGGRAVATED ASSAULT, TYPE ' || c_custkey ELSE 'THEFT' END AS description,
+               CASE WHEN c_custkey % 11 IN (3, 5) THEN NULL ELSE CAST(c_custkey % 90 AS INTEGER) END AS age,
+               CASE WHEN c_custkey % 13 = 7 THEN NULL ELSE 34.5e0 END AS lat,
+               CASE WHEN c_custkey % 13 = 7 THEN NULL ELSE -118.25e0 END AS lon,
+               CAST(year(make_timestamp((1577836800 + c_custkey * 86400) * 1000000)) AS INTEGER) AS year,
+               c_custkey % 11 = 3 OR c_custkey % 13 = 7 AS corrupt
+        FROM customer""",
+    "csv_semicolon": """
+        SELECT CASE WHEN c_custkey % 17 = 4 THEN NULL ELSE CAST(90000 + c_custkey AS INTEGER) END AS zip,
+               'Town, ' || (c_custkey % 7) AS community,
+               CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE CAST((c_custkey % 90 + 10) * 1000 + 500 AS INTEGER) END AS income
+        FROM customer""",
+    "code_lines": """
+        SELECT lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS code,
+               CASE WHEN p_partkey % 9 = 0 THEN NULL WHEN t.cut THEN p_name ELSE p_name || ', more' END AS description, t.cut
+        FROM part CROSS JOIN (VALUES (false), (true)) t(cut)""",
+    "zones_with_empty": f"""
+        SELECT b.zone, b.COMM, b.POP20 AS block_population, b.Income_per_block, coalesce(t.crime_count, 0) AS crime_count
+        FROM ({_BLOCKS}) b LEFT JOIN ({_PER_ZONE}) t ON t.zone = b.zone""",
+    "shapes": _SHAPES,
+    "shapes_shuffled": _SHAPES,
     "bucket_count": _BUCKETS,
     "bucket_count_udf": _BUCKETS,
     "union_periods": """
@@ -166,6 +234,11 @@ ORACLE_SQL: dict[str, str] = {
                round(crimes_per_person, 6) AS crimes_per_person,
                round(income_per_capita, 6) AS income_per_capita
         FROM ({_ROLLUP}) r""",
+    "zone_rollup_dup": f"""
+        SELECT COMM, total_population, total_crime_count, total_income,
+               round(crimes_per_person, 6) AS crimes_per_person,
+               round(income_per_capita, 6) AS income_per_capita
+        FROM ({_ROLLUP}) r""",
     "zone_corr": _corr(_ROLLUP, "income_per_capita", "crimes_per_person", zero=False),
     "zone_corr_nullzero": _corr(_ROLLUP, "income_per_capita", "crimes_per_person", zero=True),
     "zone_corr_extremes": _corr(
