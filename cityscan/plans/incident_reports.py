@@ -108,9 +108,10 @@ def community_income_crime(spark: SparkSession, income_path: str, blocks_path: s
         .where(valid_coords("LON", "LAT", drop_zero=False))
     )
     feats = read_geojson(spark, blocks_path, BLOCK_PROPS, layout=geojson_layout)
-    blocks = unique_zones(features_to_zones(feats).where(F.col("CITY") == city), "zone_id")
+    blocks = features_to_zones(feats).where(F.col("CITY") == city)
     income = read_delimited(spark, income_path, INCOME_SCHEMA, sep=";")
-    blocks = materialize(zone_income(blocks, income, "ZCTA20", "Zip Code", "Estimated Median Income", "HOUSING20"))
+    blocks = zone_income(blocks, income, "ZCTA20", "Zip Code", "Estimated Median Income", "HOUSING20")
+    blocks = materialize(unique_zones(blocks, "zone_id"))  # zones are a bounded dimension: parse them once
     hits = points_in_zones(crimes, blocks, "LON", "LAT", ["zone_id"])
     per = zone_counts(hits, blocks, "zone_id", ["COMM", "POP20", "Income_per_block"])
     return zone_rollup(per, "COMM", "POP20", "crime_count", "Income_per_block")

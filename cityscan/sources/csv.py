@@ -94,7 +94,9 @@ def read_incidents(
 
 def corrupt_rows(df: DataFrame, corrupt_column: str) -> DataFrame:
     """One row: all rows read, and how many of them had a cell that did not parse."""
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count(corrupt_column).alias("n_corrupt"))
+    # counted by a data column: a raw CSV scan must not read the corrupt column alone
+    key = F.col(f"`{df.columns[0]}`")
+    return df.agg((F.count(key) + F.count(F.when(key.isNull(), 1))).alias("n_rows"), F.count(corrupt_column).alias("n_corrupt"))
 
 
 def parse_delimited(lines: DataFrame, schema: T.StructType | str, line_col: str = "value", sep: str = ",",

@@ -38,3 +38,11 @@ def test_year_in_matches_isin_and_pushes_down(spark, tmp_path):
     assert a == b and len(a) == 4
     plan = formatted_plan(df.where(year_in("ts", [2020, 2021])))
     assert "PushedFilters" in plan and "GreaterThanOrEqual(ts" in plan
+
+
+def test_year_in_parses_text_once(spark):
+    df = spark.createDataFrame([("2020 Jan 05 01:30:00 PM",), ("2022 Jan 05 01:30:00 PM",), (None,)], "t string")
+    out = df.where(year_in(parse_ts("t"), [2020, 2021]))
+    assert out.count() == 1
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("gettimestamp(") == 1

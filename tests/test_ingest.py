@@ -56,3 +56,19 @@ def test_unclustered_ingest_writes_the_same_rows(spark, tmp_path):
     ingest_incidents(spark, str(src / "a.csv"), b, clustered=False)
     rows = lambda p: sorted(tuple(r) for r in spark.read.parquet(p).select("DR_NO", "year", "ts_occ").collect())
     assert rows(a) == rows(b) and len(rows(a)) == 20
+
+
+def test_a_restart_in_another_session_loses_no_file(spark, tmp_path):
+    import pytest
+
+    src = tmp_path / "drop"
+    src.mkdir()
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    _write(src / "a.csv", [_row("1", "2020 Jan 05 01:30:00 PM", 30, 34.0, -118.2)])
+    start_incident_ingest(spark, str(src), out, ckpt).awaitTermination(120)
+    _write(src / "b.csv", [_row("2", "2020 Feb 05 01:30:00 PM", 30, 34.0, -118.2)])
+    other = spark.newSession()
+    start_incident_ingest(other, str(src), out, ckpt).awaitTermination(120)
+    assert sorted(r.DR_NO for r in other.read.parquet(out).collect()) == ["1", "2"]
+    with pytest.raises((TypeError, ValueError)):
+        start_incident_ingest(spark, str(src), out, "")

@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from cityscan.sources.csv import read_code_lines, read_delimited, read_incidents, union_periods, INCIDENT_SCHEMA
@@ -66,7 +68,8 @@ PROPS = {"COMM": "string", "POP20": "bigint", "ZCTA20": "string"}
 
 def _check_zones(z):
     rows = {r.COMM: r for r in z.collect()}
-    assert set(rows) == {"A", "B"}  # missing geometry dropped
+    assert set(rows) == {"A", "B", "C"}
+    assert rows["C"].edges is None and rows["C"].min_x is None and len({r.zone_id for r in rows.values()}) == 3
     assert len(rows["A"].edges) == 8 and len(rows["B"].edges) == 6
     assert (rows["B"].min_x, rows["B"].max_x) == (10.0, 21.0)
 
@@ -103,7 +106,39 @@ def test_geojson_feature_lines_layout_is_splittable_and_checked(spark, tmp_path)
     _check_zones(features_to_zones(read_geojson(spark, str(p), PROPS, layout="feature_lines")))
     compact = tmp_path / "compact.geojson"
     compact.write_text(json.dumps({"type": "FeatureCollection", "features": FEATURES}))
-    import pytest
-
-    with pytest.raises(ValueError):
-        read_geojson(spark, str(compact), PROPS, layout="feature_lines")
+    with pytest.raises(Exception, match="not one per line"):
+        read_geojson(spark, str(compact), PROPS, layout="feature_lines").collect()
+
+
+@pytest.mark.parametrize("layout,text", [
+    ("sequence", json.dumps(FEATURES[0]) + "\n" + json.dumps(FEATURES[1])[:90] + "\n"),
+    ("sequence", json.dumps({"type": "Point"}) + "\n"),
+    ("document", json.dumps({"type": "FeatureCollection", "features": FEATURES})[:-120]),
+    ("document", json.dumps({"type": "FeatureCollection"})),
+    ("feature_lines", '{"features": [\n' + json.dumps(FEATURES[0])[:100] + ",\n" + json.dumps(FEATURES[1]) + "\n]}"),
+])
+def test_geojson_malformed_input_fails(spark, tmp_path, layout, text):
+    p = tmp_path / "bad.geojson"
+    p.write_text(text)
+    with pytest.raises(Exception, match="malformed GeoJSON"):
+        read_geojson(spark, str(p), PROPS, layout=layout).collect()
+
+
+def test_geojson_malformed_coordinates_fail(spark, tmp_path):
+    p = tmp_path / "bad.ndjson"
+    p.write_text(json.dumps({"type": "Feature", "properties": {}, "geometry": {"type": "Polygon", "coordinates": "x"}}) + "\n")
+    with pytest.raises(Exception, match="malformed coordinates"):
+        features_to_zones(read_geojson(spark, str(p), PROPS, layout="sequence")).collect()
+
+
+def test_incident_corrupt_column_counts_bad_rows(spark, tmp_path):
+    from cityscan.sources.csv import corrupt_rows
+
+    names = [f.name for f in INCIDENT_SCHEMA.fields]
+    good, bad = [""] * len(names), [""] * len(names)
+    good[names.index("Vict Age")], bad[names.index("Vict Age")] = "30", "abc"
+    p = tmp_path / "i.csv"
+    p.write_text("\n".join(",".join(x) for x in (names, good, bad)) + "\n")
+    df = read_incidents(spark, str(p), corrupt_column="_bad")
+    assert tuple(corrupt_rows(df, "_bad").first()) == (2, 1)
+    assert [r["Vict Age"] for r in df.where("_bad is not null").collect()] == [None]

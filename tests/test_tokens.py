@@ -38,3 +38,21 @@ def test_nested_loop_strategy_is_refused(spark):
     df, lookup = _data(spark)
     with pytest.raises(ValueError):
         with_lookup(token_counts(df, "codes"), lookup, "token", "Mocode", "Description", strategy="nl")
+
+
+def test_separator_is_literal_text(spark):
+    df = spark.createDataFrame([("ab|cd|ab",), ("a.b",)], "t string")
+    assert {r.token: r["count"] for r in token_counts(df, "t", sep="|").collect()} == {"ab": 2, "cd": 1, "a.b": 1}
+    assert {r.token: r["count"] for r in token_counts(df, "t", sep=".").collect()} == {"ab|cd|ab": 1, "a": 1, "b": 1}
+
+
+def test_broadcast_that_is_not_honoured_warns(spark):
+    import warnings
+
+    counts = token_counts(spark.createDataFrame([("a b",)], "t string"), "t")
+    codes = spark.createDataFrame([("a", "first")], "c string, d string")
+    with warnings.catch_warnings(record=True) as said:
+        warnings.simplefilter("always")
+        out = with_lookup(counts, codes, "token", "c", "d", strategy="broadcast", broadcast_max_bytes=1)
+    assert any("exceeds broadcast_max_bytes" in str(w.message) for w in said)
+    assert [tuple(r) for r in out.collect()] == [("a", "first", 1)]

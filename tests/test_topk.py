@@ -35,3 +35,11 @@ def test_share_text_has_thousands_separator(spark):
     df = spark.createDataFrame(rows, "Year int, Vict_Descent string")
     out = topk_share(df, "Year", "Vict_Descent", 1).first()
     assert out.percent == "100.00" and out.share_pct == 100.0
+
+
+def test_rank_is_cut_before_the_shuffle(spark):
+    for df in (topk_share(_events(spark), "Year", "Vict_Descent", 3),
+               topk_share_sql(spark, _events(spark), _lookup(spark), 3)):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "WindowGroupLimit" in plan and "Partial" in plan

@@ -42,3 +42,20 @@ def test_rollup_ratios_zero_population_and_counts(spark):
     assert roll["C"].crimes_per_person is None and roll["C"].income_per_capita is None  # population 0
     assert roll["A"].crimes_per_person == 0.2 and roll["A"].income_per_capita == 2 * 52806 / 10
     assert roll["D"].total_income == 1000
+
+
+def test_a_zone_listed_twice_counts_once(spark):
+    import pytest
+
+    from cityscan.operators.zones import unique_zones, zone_counts
+
+    zones = spark.createDataFrame([(1, "A", 10), (1, "A", 10), (2, "B", 5), (None, "C", 1)], "zone int, COMM string, POP20 int")
+    hits = spark.createDataFrame([(1,), (1,), (1,)], "zone int")
+    one = unique_zones(zones, "zone")
+    assert sorted(r.zone for r in one.collect()) == [1, 2]
+    got = sorted(tuple(r) for r in zone_counts(hits, one, "zone", ["COMM", "POP20"], keep_empty_zones=True).collect())
+    assert got == [(1, "A", 10, 3), (2, "B", 5, 0)]
+    assert zone_counts(hits, one, "zone", ["COMM"]).count() == 1
+    clash = zones.unionByName(spark.createDataFrame([(2, "B", 6)], "zone int, COMM string, POP20 int"))
+    with pytest.raises(Exception, match="conflicting rows"):
+        unique_zones(clash, "zone").collect()
