@@ -156,7 +156,7 @@ class _Rows:
 
 
 def fit_weights(x: list[list[int]], y: np.ndarray, swapped: list[list[list[int]]], width: int,
-                penalty: float, l2: float, steps: int = 300) -> tuple[np.ndarray, float]:
+                penalty: float, l2: float, steps: int = 500) -> tuple[np.ndarray, float]:
     """Minimise mean log loss + l2 |w|^2 / 2 + penalty * mean (score change by a swap)^2, by Adam."""
     rows = _Rows(x, width)
     origin = np.repeat(np.arange(len(x)), [len(s) for s in swapped])
@@ -180,7 +180,7 @@ def fit_weights(x: list[list[int]], y: np.ndarray, swapped: list[list[list[int]]
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
           kinds=IDENTITY_TERMS, max_rows: int = 20_000, max_features: int = 4096, penalty: float = 10.0,
-          l2: float = 1e-4) -> ToxicityModel:
+          l2: float = 1e-5) -> ToxicityModel:
     """Fit on the labelled rows of ``docs``.
 
     All labelled rows are counted to choose ``max_features`` features; the fit
