@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from cityscan.llm.common import (
     WordHash, connected_components, mixed, n_buckets, shared_table, text_bytes, window_hashes, with_ids)
-from cityscan.llm.packed import ENTRY, Buckets, repeated
+from cityscan.llm.packed import ENTRY, Buckets, repeated_by_owner
 
 _MINHASHES = 8
 
@@ -178,12 +178,14 @@ def _between(rows: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     a = p.select(*[F.col(x).alias(f"a_{x}") for x in p.columns])
     b = p.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
     b = b.select(*[F.col(x).alias(f"b_{x}") for x in b.columns])
+    # Where a pair meets first, nothing before that place is common: what stands from
+    # there on bounds the overlap. So a similar pair passes at the first n-gram it shares.
     need = _bound(F.col("a_n") + F.col("b_n"), percent)
     pairs = a.join(b, (F.col("a_g") == F.col("b_g")) & (F.col("a_band") == F.col("b_band"))
                    & (F.col("a_comp") != F.col("b_comp"))
                    & ((F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_node") < F.col("b_node"))))
                    & (F.least("a_c", "b_c") >= need)
-                   & (F.least("a_at", "b_at") + F.least(F.col("a_c") - F.col("a_at"), F.col("b_c") - F.col("b_at")) >= need))
+                   & (F.least(F.col("a_c") - F.col("a_at"), F.col("b_c") - F.col("b_at")) >= need))
     return pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
 
 
@@ -197,9 +199,8 @@ def _labelled(docs: DataFrame, doc_id: str, text: str, k: int, percent: int) ->
 
     # documents that share enough of their smallest hashes with others
     buckets = n_buckets(named, 1.0, "__text")
-    shared = (named.select("__text").mapInArrow(_prefixes(k, percent, buckets), ENTRY)
-              .groupBy("bucket").applyInArrow(repeated, "__row long, at binary")
-              .groupBy("__row").agg(F.sum(F.length("at") / 4).alias("shared")))
+    prefixes = named.select("__text").mapInArrow(_prefixes(k, percent, buckets), ENTRY)
+    shared = repeated_by_owner(prefixes, buckets).select("__row", (F.length("at") / 4).alias("shared"))
     n = F.col("n")
     least = F.floor((n * percent + 99) / 100)
     left = shared_table(

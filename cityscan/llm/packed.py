@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 from cityscan.llm.common import mixed
 
@@ -53,21 +54,59 @@ class Buckets:
             names=["bucket", "hash", "doc", "pos", "known"])
 
 
-def repeated(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """The (doc, pos) of one bucket whose hash is known to be repeated or occurs more than once."""
-    passed = [not x for x in table.column("hash").to_pylist()]
-    through, table = table.filter(pa.array(passed)), table.filter(pa.array([not x for x in passed]))
-    joined = lambda t, name, kind: np.frombuffer(b"".join(t.column(name).to_pylist()), kind)
-    h, twice = joined(table, "hash", np.uint64), joined(table, "known", bool).copy()
-    order = np.argsort(h, kind="stable")
-    same = np.flatnonzero(h[order[1:]] == h[order[:-1]])
-    twice[order[same]] = True
-    twice[order[same + 1]] = True
-    d = np.concatenate((joined(table, "doc", np.int64)[twice], joined(through, "doc", np.int64)))
-    p = np.concatenate((joined(table, "pos", np.int32)[twice], joined(through, "pos", np.int32)))
-    order = np.argsort(d, kind="stable")
+def _cuts(key: np.ndarray) -> list[tuple[int, int]]:
+    """Where runs of equal values of a sorted array begin and end."""
+    if not len(key):
+        return []
+    ends = np.flatnonzero(np.diff(key)) + 1
+    return list(zip([0, *ends], [*ends, len(key)]))
+
+
+def _joined(t: pa.Table, name: str, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(t.column(name).to_pylist()), kind)
+
+
+#: What ``repeated`` gives: the repeated (owner, position), packed by a part of the owners.
+REPEATED = "part int, doc binary, pos binary"
+#: What ``by_owner`` gives: one row an owner, its positions packed in order.
+OWNERS = "__row long, at binary"
+
+
+def repeated(parts: int):
+    """For one bucket: the entries whose hash is known to be repeated or occurs more than once."""
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        passed = [not x for x in table.column("hash").to_pylist()]
+        through, table = table.filter(pa.array(passed)), table.filter(pa.array([not x for x in passed]))
+        h, twice = _joined(table, "hash", np.uint64), _joined(table, "known", bool).copy()
+        order = np.argsort(h, kind="stable")
+        same = np.flatnonzero(h[order[1:]] == h[order[:-1]])
+        twice[order[same]] = True
+        twice[order[same + 1]] = True
+        d = np.concatenate((_joined(table, "doc", np.int64)[twice], _joined(through, "doc", np.int64)))
+        p = np.concatenate((_joined(table, "pos", np.int32)[twice], _joined(through, "pos", np.int32)))
+        part = (mixed(d.view(np.uint64)) % np.uint64(parts)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        part, d, p = part[order], d[order], p[order]
+        cuts = _cuts(part)
+        return pa.table({"part": pa.array([int(part[a]) for a, _ in cuts], pa.int32()),
+                         "doc": pa.array([d[a:b].tobytes() for a, b in cuts], pa.binary()),
+                         "pos": pa.array([p[a:b].tobytes() for a, b in cuts], pa.binary())})
+
+    return run
+
+
+def by_owner(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """For one part of the owners: each owner's repeated positions."""
+    d, p = _joined(table, "doc", np.int64), _joined(table, "pos", np.int32)
+    order = np.lexsort((p, d))
     d, p = d[order], p[order]
-    ends = np.flatnonzero(np.diff(d)) + 1
-    cuts = list(zip([0, *ends], [*ends, len(d)])) if len(d) else []
+    cuts = _cuts(d)
     return pa.table({"__row": pa.array([int(d[a]) for a, _ in cuts], pa.int64()),
                      "at": pa.array([p[a:b].tobytes() for a, b in cuts], pa.binary())})
+
+
+def repeated_by_owner(entries: DataFrame, buckets: int) -> DataFrame:
+    """Packed entries (``ENTRY``) to one row an owner with its repeated positions."""
+    return (entries.groupBy("bucket").applyInArrow(repeated(buckets), REPEATED)
+            .groupBy("part").applyInArrow(by_owner, OWNERS))

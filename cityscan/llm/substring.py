@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cityscan.llm.common import WordHash, drop_table, n_buckets, shared_table, text_bytes, window_hashes, with_ids
-from cityscan.llm.packed import ENTRY, Buckets, repeated
+from cityscan.llm.packed import ENTRY, Buckets, repeated_by_owner
 
 #: A perfect difference set; every residue mod 21 is a difference of two members.
 PERIOD = 21
@@ -61,7 +61,7 @@ def _windows(buckets: int, width: int, window: int):
         for b in batches:
             for doc, text, at in zip(b.column("__row").to_pylist(), text_bytes(b.column("__text")), b.column("__at").to_pylist()):
                 w = text.split()
-                anchors = np.frombuffer(b"".join(at), np.int32)
+                anchors = np.frombuffer(at, np.int32)
                 # starts of the windows that hold an anchor
                 near = np.zeros(len(w) + 1, np.int32)
                 np.add.at(near, np.maximum(0, anchors - (window - width)), 1)
@@ -98,7 +98,7 @@ def _cleaned(window: int, kept: list[str]):
                 w = text.split() if text else []
                 left = w
                 if at:
-                    gone = covered(len(w), np.frombuffer(b"".join(at), np.int32), window)
+                    gone = covered(len(w), np.frombuffer(at, np.int32), window)
                     left = [x for x, g in zip(w, gone) if not g]
                 body = b" ".join(left)
                 n.append(len(w))
@@ -113,10 +113,9 @@ def _cleaned(window: int, kept: list[str]):
     return run
 
 
-def _marks(entries: DataFrame, name: str) -> DataFrame:
-    """``(row, at)``: the repeated positions, packed by row."""
-    found = entries.groupBy("bucket").applyInArrow(repeated, "__row long, at binary")
-    return shared_table(found.groupBy("__row").agg(F.collect_list("at").alias("__at")), name)
+def _marks(entries: DataFrame, buckets: int, name: str) -> DataFrame:
+    """``(row, at)``: the repeated positions of each row, packed."""
+    return shared_table(repeated_by_owner(entries, buckets).withColumnRenamed("at", "__at"), name)
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 35) -> DataFrame:
@@ -136,9 +135,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     d = docs.select(*kept, F.xxhash64(doc_id, text).alias("__row"), F.col(text).alias("__text"))
     words = d.select("__row", "__text")
     buckets = n_buckets(words, 0.8, "__text")
-    anchors = _marks(words.mapInArrow(_anchors(buckets, width), ENTRY), "substring-anchors")
+    anchors = _marks(words.mapInArrow(_anchors(buckets, width), ENTRY), buckets, "substring-anchors")
     near = with_ids(words, anchors.select("__row"), "__row").join(anchors, "__row")
-    marks = _marks(near.mapInArrow(_windows(buckets, width, window), ENTRY), "substring-windows")
+    marks = _marks(near.mapInArrow(_windows(buckets, width, window), ENTRY), buckets, "substring-windows")
     drop_table(anchors)
 
     schema = docs.select(*kept).schema
