@@ -87,5 +87,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_secret_scan": secret_scan.oracle_sql(),
+    "op3_mix_sources": mixing.ORACLE_SQL,
     "op10_decontaminate": decontam.ORACLE_SQL,
 }

@@ -111,3 +111,26 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     taken = (F.col("__epochs") * F.col("size") + F.col("__part")).cast("long").alias("taken")
     cols = [*kept, "size", F.col("source_size").cast("long").alias("source_size"), "target", taken]
     return whole.select(*cols).unionByName(at_edge.select(*cols))
+
+
+#: The same result in DuckDB SQL, with each source ordered as a whole.
+ORACLE_SQL = r"""
+  WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+                    length(coalesce(text, '')) AS chars, coalesce(doc_id::VARCHAR, '') AS id FROM documents),
+       k AS (SELECT *, -ln((('0x' || substr(md5('mix-1|' || id), 1, 13))::BIGINT::DOUBLE + 0.5e0) / 4503599627370496e0)
+                       / greatest(0.25e0, 1e0 - abs((chars - size + 1) / greatest(size, 1)::DOUBLE - 6e0) / 12e0) AS key FROM d),
+       s AS (SELECT source, sum(size)::BIGINT AS size FROM d GROUP BY source),
+       w AS (SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w FROM s),
+       l AS (SELECT *, (3 * size)::DOUBLE / w AS level FROM w),
+       o AS (SELECT *, coalesce(sum(3 * size) OVER (ORDER BY level, source NULLS LAST
+                                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS capped,
+                    sum(w) OVER (ORDER BY level, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open,
+                    sum(size) OVER () AS total FROM l),
+       t AS (SELECT *, (total - capped)::DOUBLE / open::DOUBLE AS t FROM o),
+       g AS (SELECT t AS lift FROM t WHERE t <= level ORDER BY level, source NULLS LAST LIMIT 1),
+       p AS (SELECT source, size AS source_size, least((3 * size)::DOUBLE, lift * w) AS target FROM t, g),
+       e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs FROM p),
+       r AS (SELECT k.doc_id, k.size, e.source_size, e.target, e.epochs, floor(e.target - e.epochs * e.source_size) AS rest,
+                    sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id ROWS UNBOUNDED PRECEDING) - k.size AS before
+             FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source)
+  SELECT doc_id, size, source_size, target, (epochs * size + greatest(0, least(size, rest - before)))::BIGINT AS taken FROM r"""
