@@ -118,21 +118,33 @@ def _rows(k: int):
             for text in text_bytes(b.column("__text")):
                 g = ngram_set(text, words, k)
                 nodes.append(_class(g)[0])
-                grams.append(g.view(np.int64))
+                grams.append(g.tobytes())
                 mins.append([int(mixed(g ^ s).min().view(np.int64)) for s in salts] if len(g) else [])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.int64()), pa.array(grams, pa.list_(pa.int64())), pa.array(mins, pa.list_(pa.int64()))],
+                [pa.array(nodes, pa.int64()), pa.array(grams, pa.binary()), pa.array(mins, pa.list_(pa.int64()))],
                 names=["node", "grams", "mins"])
 
     return run
 
 
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row an n-gram of a document: the set entries of the incidence matrix."""
+    for b in batches:
+        for at in range(0, b.num_rows, 256):
+            part = b.slice(at, 256)
+            grams = [np.frombuffer(g.as_py(), np.int64) for g in part.column("grams")]
+            node = np.repeat(part.column("node").to_numpy(), [len(g) for g in grams])
+            n = np.repeat([len(g) for g in grams], [len(g) for g in grams])
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(n, pa.int64()), pa.array(np.concatenate(grams))],
+                                             names=["node", "n", "g"])
+
+
 def _similar(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ok = []
             for x, y in zip(b.column("x"), b.column("y")):
-                x, y = x.values.to_numpy(), y.values.to_numpy()
+                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 ok.append(100 * both >= percent * (len(x) + len(y) - both))
             yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
@@ -160,7 +172,7 @@ def _leaders(rows: DataFrame) -> DataFrame:
 
 def _between(rows: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that share one of their rarest n-grams and pass all bounds."""
-    e = rows.select("node", "n", F.explode("grams").alias("g"))
+    e = rows.select("node", "grams").mapInArrow(_entries, "node long, n long, g long")
     common = e.groupBy("g").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     per = (e.join(common, "g").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "g"))).alias("s")))
     per = per.withColumn("c", F.size("s").cast("long"))
@@ -209,7 +221,7 @@ def _labelled(docs: DataFrame, doc_id: str, text: str, k: int, percent: int) ->
         .select(F.col("rep").alias("__id"), F.col("f1").alias("node"), "n",
                 (F.col("shared") / (n - least + 1 + F.floor(n / 10))).alias("share")), "ngram-left")
     rows = with_ids(named, left.select("__id").distinct(), "__id").select("__text").mapInArrow(
-        _rows(k), "node long, grams array<long>, mins array<long>")
+        _rows(k), "node long, grams binary, mins array<long>")
     rows = shared_table(rows.join(left.drop("__id"), "node").dropDuplicates(["node"]), "ngram-rows")
 
     near = shared_table(_verified(_leaders(rows), rows, percent), "ngram-links")
