@@ -39,6 +39,10 @@ def op5_ngram_join(spark: SparkSession, d: str) -> DataFrame:
     return ngram_join.similar_components(documents(spark, d).select("doc_id", "text"))
 
 
+def op5_ngram_links(spark: SparkSession, d: str) -> DataFrame:
+    return ngram_join.link_counts(documents(spark, d).select("doc_id", "text"))
+
+
 def op6_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
     out = substring.remove_repeats(documents(spark, d).select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mix_sources": op3_mix_sources,
     "op4_nearest": op4_nearest,
     "op5_ngram_join": op5_ngram_join,
+    "op5_ngram_links": op5_ngram_links,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_quality": op7_quality,
     "op8_language_id": op8_language_id,

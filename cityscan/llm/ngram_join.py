@@ -14,14 +14,19 @@ discard, in turn,
 
 Copies (equal sets) are one row of the matrix. Large groups of near copies are
 contracted first: documents that share a MinHash are compared with one of them,
-the one that shares most. What is linked so need not be paired again; pairs are
-made only between different components, so a group of thousands yields its links
-and not all its pairs, and none is lost that changes a component.
+the one that shares most. Candidate pairs are made only between the components so
+found; that is all that the final components need.
+
+The links themselves, all of them, are asked for by ``link_counts`` and ``links``.
+Those between the contracted components are at hand. Those inside one are entries of
+the product of its own rows: a component is dealt into cells of bounded size, by size
+band and hash, and each pair of cells that sizes allow is one block of the product.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +39,8 @@ from cityscan.llm.common import (
 from cityscan.llm.packed import ENTRY, Buckets, repeated_by_owner
 
 _MINHASHES = 8
+#: A cell has about so many n-grams and documents at most; a block of the product so many columns; a bundle of blocks so many n-grams.
+_CELL_GRAMS, _CELL_ROWS, _COLUMNS, _BUNDLE_GRAMS = 1 << 17, 512, 4096, 1 << 20
 
 
 def ngram_set(text: bytes | None, words: WordHash, k: int) -> np.ndarray:
@@ -163,6 +170,12 @@ def _bound(n: Column, percent: int) -> Column:
     return F.ceil(n * percent / F.lit(100.0 + percent) - 1e-9)
 
 
+def _band(n: Column, percent: int) -> Column:
+    """Sizes of a similar pair differ by the factor t at most, so they lie in the same or the next band
+    (a band is a little wider than t, so that rounding cannot part them)."""
+    return F.floor(F.log(n) / float(-np.log(percent / 100) * (1 + 1e-9)))
+
+
 def _leaders(rows: DataFrame) -> DataFrame:
     """Pairs (document, leader) of documents that share a MinHash; the leader shares most n-grams."""
     m = rows.select("node", "share", F.posexplode("mins").alias("i", "m"))
@@ -184,9 +197,7 @@ def _between(rows: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     p = shared_table(p, "ngram-columns")
     mixed_lists = p.groupBy("g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("g")
     p = shared_table(p.join(mixed_lists, "g", "left_semi"), "ngram-mixed")
-    # sizes of a pair differ by the factor t at most, so they lie in the same or the next band
-    # (a band is a little wider than t, so that rounding cannot part them)
-    p = p.withColumn("band", F.floor(F.log("n") / float(-np.log(percent / 100) * (1 + 1e-9))))
+    p = p.withColumn("band", _band(F.col("n"), percent))
     a = p.select(*[F.col(x).alias(f"a_{x}") for x in p.columns])
     b = p.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
     b = b.select(*[F.col(x).alias(f"b_{x}") for x in b.columns])
@@ -201,8 +212,121 @@ def _between(rows: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
 
 
-def _labelled(docs: DataFrame, doc_id: str, text: str, k: int, percent: int) -> DataFrame:
-    """``(__id, n, f1, comp, component)``: each row's class, and its component's label and smallest id."""
+#: The side of rows that meet each other; other blocks have a side 0 and a side 1.
+_OWN = 2
+
+
+def _block_links(a: list[np.ndarray], b: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers (i, j) of the similar pairs of ``a`` and ``b``: one block of the product.
+
+    Overlaps are summed over blocks of the n-grams that two rows at least hold. A row
+    leaves as soon as none of its pairs can reach its bound with the n-grams still to come.
+    """
+    na, nb = (np.array([len(g) for g in x]) for x in (a, b))
+    ga, gb = np.concatenate(a), np.concatenate(b)
+    if a is b:
+        shared, times = np.unique(ga, return_counts=True)
+        shared = shared[times > 1]
+    else:
+        shared = np.intersect1d(ga, gb)
+    sides = []
+    for g, n in ((ga, na), (gb, nb)):
+        at = np.minimum(np.searchsorted(shared, g), max(0, len(shared) - 1))
+        hit = np.flatnonzero(shared[at] == g) if len(shared) else np.zeros(0, np.int64)
+        row, col = np.repeat(np.arange(len(n)), n)[hit], at[hit]
+        order = np.argsort(col, kind="stable")
+        sides.append((row[order], col[order], np.bincount(row, minlength=len(n))))
+    (ra, ca, la), (rb, cb, lb) = sides
+    sums = np.zeros((len(a), len(b)), np.int64)
+    both = 100 + percent
+    least = -(-percent * (na[:, None] + nb[None, :]) // both)
+    for lo in range(0, len(shared), _COLUMNS):
+        alive = sums + np.minimum(la[:, None], lb[None, :]) >= least
+        ia, ib = np.flatnonzero(alive.any(1)), np.flatnonzero(alive.any(0))
+        if not len(ia):
+            break
+        dense = []
+        for row, col, left, kept in ((ra, ca, la, ia), (rb, cb, lb, ib)):
+            x, y = np.searchsorted(col, [lo, lo + _COLUMNS])
+            place = np.full(len(left), -1)
+            place[kept] = np.arange(len(kept))
+            r, c = place[row[x:y]], col[x:y] - lo
+            m = np.zeros((len(kept), _COLUMNS), np.float32)
+            m[r[r >= 0], c[r >= 0]] = 1
+            dense.append(m)
+            left -= np.bincount(row[x:y], minlength=len(left))
+        sums[np.ix_(ia, ib)] += (dense[0] @ dense[1].T).astype(np.int64)
+    similar = sums >= least
+    return np.nonzero(np.triu(similar, 1) if a is b else similar)
+
+
+def _product(percent: int, count: bool):
+    """For one bundle of blocks: the pairs ``(a, b)``, or the number of links of each node."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("block")
+        block, side = table.column("block").to_numpy(), table.column("side").to_numpy()
+        node, grams = table.column("node").to_numpy(), table.column("grams").to_pylist()
+        ends = np.flatnonzero(np.diff(block)) + 1
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for x, y in zip([0, *ends], [*ends, len(block)]):
+            own = side[x] == _OWN
+            ia, ib = (np.flatnonzero(side[x:y] == s) + x for s in ((_OWN, _OWN) if own else (0, 1)))
+            if not len(ia) or not len(ib):
+                continue
+            a = [np.frombuffer(grams[i], np.uint64) for i in ia]
+            i, j = _block_links(a, a if own else [np.frombuffer(grams[i], np.uint64) for i in ib], percent)
+            if count:
+                who, n = np.unique(np.concatenate((node[ia[i]], node[ib[j]])), return_counts=True)
+                found.append((who, n))
+            else:
+                p, q = node[ia[i]], node[ib[j]]
+                found.append((np.minimum(p, q), np.maximum(p, q)))
+        x, y = (np.concatenate(c) for c in zip(*found))
+        return pa.table({"node" if count else "a": pa.array(x, pa.int64()), "n" if count else "b": pa.array(y, pa.int64())})
+
+    return run
+
+
+def _within(rows: DataFrame, comps: DataFrame, percent: int, count: bool) -> DataFrame:
+    """All similar pairs ``(a, b)`` of one component, or ``(node, n)`` of them in each bundle."""
+    r = rows.select("node", "n", "grams", _band(F.col("n"), percent).alias("band")).join(comps, "node")
+    parts = shared_table(r.groupBy("comp", "band").agg(F.greatest(
+        F.ceil(F.sum("n") / _CELL_GRAMS), F.ceil(F.count(F.lit(1)) / _CELL_ROWS)).cast("int").alias("parts")), "ngram-cells")
+    for name, by in (("below", 1), ("above", -1)):
+        r = r.join(parts.select("comp", (F.col("band") + by).alias("band"), F.col("parts").alias(name)), ["comp", "band"], "left")
+    r = r.join(parts, ["comp", "band"]).withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+
+    def blocks(parts: str, of):
+        last = F.coalesce(F.col(parts), F.lit(0)) - 1
+        return F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), of)).otherwise(F.array())
+
+    def block(band, kind, x, y, side):
+        return F.struct(F.xxhash64("comp", band, F.lit(kind), x, y).alias("block"), side.cast("int").alias("side"))
+
+    part, band = F.col("part"), F.col("band")
+    r = r.select("node", "n", "grams", F.inline(F.concat(
+        blocks("parts", lambda j: block(band, 0, F.least(part, j), F.greatest(part, j),
+                                           F.when(part == j, _OWN).otherwise((part > j).cast("int")))),
+        blocks("below", lambda j: block(band, 1, part, j, F.lit(0))),
+        blocks("above", lambda j: block(band + 1, 1, j, part, F.lit(1))))))
+    total = r.agg(F.sum("n").alias("n")).first()["n"] or 0
+    spark = rows.sparkSession
+    bundles = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(total // _BUNDLE_GRAMS) + 1)
+    return r.withColumn("bundle", F.pmod("block", F.lit(bundles))).drop("n").groupBy("bundle").applyInArrow(
+        _product(percent, count), "node long, n long" if count else "a long, b long")
+
+
+class _Join(NamedTuple):
+    base: DataFrame  # (__id, n, f1, f2), a row a row of the documents
+    classes: DataFrame  # (f1, f2, n, rep), a row a set
+    rows: DataFrame  # (node, n, share, grams, mins) of the sets that may link
+    near: DataFrame  # (node, comp) by the links with leaders only
+    far: DataFrame  # all links (a, b) between different comps of near
+    comps: DataFrame  # (node, comp) by all links
+
+
+def _joined(docs: DataFrame, doc_id: str, text: str, k: int, percent: int) -> _Join:
     d = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text"))
     base = shared_table(d.mapInArrow(_sizes(k), d.schema["__id"].simpleString().replace("__id:", "__id ")
                                      + ", n long, f1 long, f2 long"), "ngram-sizes")
@@ -224,19 +348,24 @@ def _labelled(docs: DataFrame, doc_id: str, text: str, k: int, percent: int) ->
         _rows(k), "node long, grams binary, mins array<long>")
     rows = shared_table(rows.join(left.drop("__id"), "node").dropDuplicates(["node"]), "ngram-rows")
 
-    near = shared_table(_verified(_leaders(rows), rows, percent), "ngram-links")
-    comps = shared_table(connected_components(near), "ngram-components")
-    far = shared_table(_verified(_between(rows, comps, percent), rows, percent), "ngram-links")
+    led = shared_table(_verified(_leaders(rows), rows, percent), "ngram-links")
+    comps = near = shared_table(connected_components(led), "ngram-components")
+    far = shared_table(_verified(_between(rows, near, percent), rows, percent), "ngram-links")
     if not far.isEmpty():
-        comps = shared_table(connected_components(near.unionByName(far)), "ngram-components")
+        comps = shared_table(connected_components(led.unionByName(far)), "ngram-components")
+    return _Join(base, classes, rows, near, far, comps)
 
+
+def _labelled(join: _Join) -> DataFrame:
+    """``(__id, n, f1, comp, rep, component)``: each row's class and its smallest id, its component's label and smallest id."""
+    base, classes, comps = join.base, join.classes, join.comps
     labels = classes.join(comps, F.col("f1") == F.col("node"), "left").select(
         "f1", "f2", "n", "rep", F.coalesce("comp", "f1").alias("comp"), F.col("comp").isNotNull().alias("linked"))
     smallest = labels.where("linked").groupBy("comp").agg(F.min("rep").alias("least"))
     labels = labels.join(smallest, "comp", "left").select(
-        "f1", "f2", "comp", F.when(F.col("linked"), F.col("least")).otherwise(F.col("rep")).alias("component"))
+        "f1", "f2", "comp", "rep", F.when(F.col("linked"), F.col("least")).otherwise(F.col("rep")).alias("component"))
     return base.join(labels, ["f1", "f2"], "left").select(
-        "__id", "n", "f1", "comp",
+        "__id", "n", "f1", "comp", "rep",
         F.when((F.col("n") > 0) & F.col("__id").isNotNull(), F.col("component")).otherwise(F.col("__id")).alias("component"))
 
 
@@ -251,10 +380,44 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     id; equal texts under any ids are one component. A row without id has a size but no
     component (null). Runs are compared by 64-bit hashes. Other columns do not matter.
     """
-    return _labelled(docs, doc_id, text, k, percent).select(
+    return _labelled(_joined(docs, doc_id, text, k, percent)).select(
         F.col("__id").alias(doc_id), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
+def link_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 4, percent: int = 85) -> DataFrame:
+    """``(doc_id, n_shingles, component_id, class_id, representative_id, n_links)``, one row a row of ``docs``.
+
+    The first three as in ``similar_components``. Rows of equal sets of runs are one class:
+    class_id names it, representative_id is its smallest id. n_links is the exact number of
+    other classes that the class links with, so its sum over classes is twice the number
+    of links. A row without words or without id is in no class (null) and has no links.
+    Links are counted where they are found, so no row is made of each.
+    """
+    join = _joined(docs, doc_id, text, k, percent)
+    far = join.far.select(F.explode(F.array("a", "b")).alias("node")).withColumn("n", F.lit(1).cast("long"))
+    n = _within(join.rows, join.near, percent, True).unionByName(far).groupBy("node").agg(F.sum("n").alias("__links"))
+    free = (F.col("n") == 0) | F.col("__id").isNull()
+    out = _labelled(join).join(n, F.col("f1") == F.col("node"), "left")
+    return out.select(
+        F.col("__id").alias(doc_id), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"),
+        F.when(~free, F.col("f1")).alias("class_id"), F.when(~free, F.col("rep")).alias("representative_id"),
+        F.when(~free, F.coalesce("__links", F.lit(0))).otherwise(0).cast("long").alias("n_links"))
+
+
+def links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 4, percent: int = 85) -> DataFrame:
+    """``(class_a, class_b, representative_a, representative_b)``: every link once, class_a < class_b.
+
+    Classes and membership are those of ``link_counts``. The rows are as many as the links,
+    so a group of m near copies gives up to m (m - 1) / 2.
+    """
+    join = _joined(docs, doc_id, text, k, percent)
+    far = join.far.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    out = _within(join.rows, join.near, percent, False).unionByName(far)
+    for x in "ab":
+        out = out.join(join.classes.select(F.col("f1").alias(x), F.col("rep").alias(f"representative_{x}")), x)
+    return out.select(F.col("a").alias("class_a"), F.col("b").alias("class_b"), "representative_a", "representative_b")
+
+
 def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5,
                     percent: int = 80) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each component, one row of its smallest id.
@@ -262,7 +425,7 @@ def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Rows without words or without id link with nothing and stay. Columns are kept. Where
     ids repeat, the rows of an id are told apart by their n-gram sets, and of equal rows one stays.
     """
-    rows = shared_table(_labelled(docs, doc_id, text, k, percent), "ngram-labelled")
+    rows = shared_table(_labelled(_joined(docs, doc_id, text, k, percent)), "ngram-labelled")
     free = F.col("n").eqNullSafe(0) | F.col("__id").isNull()
     rows = rows.withColumn("__free", free)
     ids = rows.where("__id is not null").groupBy("__id").agg(

@@ -4,6 +4,7 @@ import hashlib
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from llm_rows import docs, empty, hard, prose  # noqa: F401
 
@@ -240,6 +241,56 @@ def test_components_equal_brute_force(docs, k, percent):
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute_components(rows, k, percent)
 
 
+def brute_links(rows, k, percent):
+    """{n-gram set: its smallest id}, and the links between different sets."""
+    sets = {}
+    for i, text in rows:
+        w = (text or "").lower().split()
+        s = frozenset(tuple(w[j:j + k]) for j in range(max(1, len(w) - k + 1))) if w else None
+        if s:
+            sets[s] = min(sets.get(s, i), i)
+    known = list(sets)
+    found = [(x, y) for i, x in enumerate(known) for y in known[:i] if 100 * len(x & y) >= percent * len(x | y)]
+    return sets, found
+
+
+@pytest.mark.parametrize("k,percent,cell", [(4, 85, 512), (4, 85, 4), (5, 80, 512), (5, 80, 3), (1, 50, 512), (1, 50, 5)])
+def test_links_equal_brute_force(docs, monkeypatch, k, percent, cell):
+    """Every link between different texts, also those inside one group of near copies, in one cell or in many."""
+    monkeypatch.setattr(ngram_join, "_CELL_ROWS", cell)
+    rows = near_copies()
+    sets, found = brute_links(rows, k, percent)
+    expect = sorted(tuple(sorted((sets[x], sets[y]))) for x, y in found)
+    got = ngram_join.links(docs(rows), k=k, percent=percent).collect()
+    assert sorted(tuple(sorted((r["representative_a"], r["representative_b"]))) for r in got) == expect and len(expect) > 200
+    n = Counter(i for pair in expect for i in pair)
+    out = ngram_join.link_counts(docs(rows), k=k, percent=percent).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out) == brute_components(rows, k, percent)
+    for r in out:
+        assert r["n_links"] == n[r["representative_id"]]
+        assert (r["class_id"] is None) == (r["n_shingles"] == 0)
+    assert len({r["class_id"] for r in out if r["class_id"] is not None}) == len(sets)
+
+
+def test_a_block_of_the_product_spans_many_columns(monkeypatch):
+    monkeypatch.setattr(ngram_join, "_COLUMNS", 16)
+    words = ngram_join.WordHash()
+    sets = [ngram_join.ngram_set((t or "").encode(), words, 4) for _, t in near_copies()]
+    sets = [s for s in sets if len(s)]
+    for a, b in ((sets, sets), (sets[:40], sets[40:])):
+        i, j = ngram_join._block_links(a, b, 85)
+        expect = {(x, y) for x in range(len(a)) for y in range(len(b)) if (a is not b or x < y)
+                  and 100 * len(np.intersect1d(a[x], b[y])) >= 85 * len(np.union1d(a[x], b[y]))}
+        assert set(zip(i.tolist(), j.tolist())) == expect
+
+
+def test_links_of_hard_rows(hard, empty):
+    out = ngram_join.link_counts(hard).collect()
+    assert len(out) == hard.count() and {r["n_links"] for r in out} == {0}
+    assert ngram_join.links(hard).count() == 0 and ngram_join.links(empty).count() == 0
+    assert ngram_join.link_counts(empty).count() == 0
+
+
 def test_representatives(hard, empty):
     out = ngram_join.representatives(hard)
     assert out.columns == hard.columns
