@@ -1,13 +1,14 @@
-"""Documents whose sets of word n-grams are similar: a blocked sparse product with size bounds.
+"""Documents whose sets of word n-grams are similar: prefix filtering, and a product inside groups.
 
 The incidence of documents by n-grams is a sparse 0/1 matrix; the overlap of two
-documents is an entry of its product with its transpose. The product is never made
-as a whole. A Jaccard similarity of t needs an overlap of at least t * n for either
+documents is an entry of its product with its transpose. The product is made only inside
+groups of near copies; elsewhere bounds take its place, and each pair that passes them is
+verified by intersecting both sets. A Jaccard similarity of t needs an overlap of at least t * n for either
 document of n n-grams, and of t / (1 + t) times the sum of both sizes. These bounds
 discard, in turn,
 
-1. documents: of the n-grams with the smallest hashes, a document's share in blocks of
-   the hash space is accumulated; whoever shares fewer than any partner must is gone;
+1. documents: of the n-grams with the smallest hashes, it is counted how many
+   occur in any other document; whoever shares fewer than any partner must is gone;
 2. columns: n-grams of one remaining document only, and all but the rarest few of each
    document (those that suffice to meet any partner once);
 3. pairs, by sizes, by numbers of shared n-grams and by place among them.
