@@ -91,3 +91,12 @@ def test_quality_hard_rows(hard, empty, spark):
     assert quality.train(empty, ratings).grades == [0]
     assert quality.rate(empty, model, 1).count() == 0
     assert out.where(F.col("tail_prob").isNull()).count() == 0
+
+
+def test_quality_reads_eight_thousand_rated_rows(spark, monkeypatch):
+    seen = []
+    fit = quality.fit_ordinal
+    monkeypatch.setattr(quality, "fit_ordinal", lambda lengths, *a: (seen.append(len(lengths)), fit(lengths, *a, steps=1))[1])
+    d = spark.range(7_500).selectExpr("id as doc_id", "concat('w', id % 50) as text", "id % 3 as grade")
+    quality.train(d.select("doc_id", "text"), d.select("doc_id", "grade"))
+    assert seen == [7_500]
