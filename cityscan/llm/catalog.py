@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityscan.llm import ann, decontam, langid, mixing, ngram_join, quality, secret_scan, substring, toxicity, warc
+from cityscan.llm import (
+    ann, decontam, langid, merkle, mixing, ngram_join, packing, quality, resample, secret_scan, substring, toxicity, warc,
+)
 from cityscan.llm.common import documents, held_out, shared_path
 
 
@@ -76,6 +78,24 @@ def op10_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     return decontam.contained(docs, items).drop("doc_key")
 
 
+def op11_resample(spark: SparkSession, d: str) -> DataFrame:
+    out = resample.resample(documents(spark, d).select("doc_id", "text"), documents(spark, d, "benchmark").select("text"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_merkle(spark: SparkSession, d: str) -> DataFrame:
+    """Where 7 divides the id's crc32, n_chars is tampered with: such rows must fail to verify."""
+    out = merkle.manifest(
+        documents(spark, d), ["doc_id", "source", "lang", "n_chars", "text"], "lang", "doc_id",
+        {"n_chars": F.col("n_chars") + 1}, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0)
+    return out.drop("lang")
+
+
+def op13_packing(spark: SparkSession, d: str) -> DataFrame:
+    pieces = packing.pack(documents(spark, d).select("doc_id", "source", "text"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_secret_scan": op2_secret_scan,
@@ -88,10 +108,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_warc": op9_warc,
     "op10_decontaminate": op10_decontaminate,
+    "op11_resample": op11_resample,
+    "op12_merkle": op12_merkle,
+    "op13_packing": op13_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_secret_scan": secret_scan.oracle_sql(),
     "op3_mix_sources": mixing.ORACLE_SQL,
     "op10_decontaminate": decontam.ORACLE_SQL,
+    "op11_resample": resample.ORACLE_SQL,
+    "op12_merkle": merkle.ORACLE_SQL,
 }

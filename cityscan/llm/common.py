@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cityscan.session import checkpoint_dir
@@ -93,6 +93,39 @@ def with_ids(df: DataFrame, ids: DataFrame, key: str | list[str], how: str = "le
     return df.join(checked_broadcast(ids), key, how)
 
 
+# ---------------------------------------------------------------- order
+
+
+def in_order(df: DataFrame, keys: list[Column], name: str, group: list[str] | None = None,
+             place: str = "place") -> DataFrame:
+    """``df`` with ``place``: how many rows of the same ``group`` (of all, if none) stand before it in order of ``keys``.
+
+    Rows are range-partitioned on group, keys and a number that every row has alone, so neither a
+    hot group nor equal rows meet in one task; only the partitions' sizes are added up. Equal rows
+    stand in any order.
+    """
+    group = group or []
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = shared_table(df.withColumn("__alone", F.monotonically_increasing_id()), f"{name}-rows")
+    order = [*[F.col(g).asc_nulls_first() for g in group], *keys, F.col("__alone")]
+    row = F.monotonically_increasing_id()
+    placed = shared_table(
+        rows.repartitionByRange(n, *order).sortWithinPartitions(*order).drop("__alone")
+        .withColumn("__part", F.shiftright(row, 33)).withColumn("__row", row.bitwiseAND(F.lit((1 << 33) - 1))), f"{name}-order")
+    drop_table(rows)
+    sizes = placed.groupBy("__part", *group).agg(F.count(F.lit(1)).alias("__n"), F.min("__row").alias("__first"))
+    earlier = Window.partitionBy(*group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(F.col("__part").alias("__p"), *[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], "__first",
+                          F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__start"))
+    same = F.col("__part") == F.col("__p")
+    for i, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(F.col(f"__g{i}"))
+    out = placed.join(starts, same).withColumn(place, F.col("__start") + F.col("__row") - F.col("__first"))
+    out = out.select(*df.columns, place)
+    out.table_path = placed.table_path
+    return out
+
+
 # ---------------------------------------------------------------- components
 
 
@@ -166,3 +199,15 @@ def text_bytes(column: pa.Array) -> Iterator[bytes | None]:
     """The UTF-8 bytes of each value of an Arrow string column, undecoded."""
     for x in column.cast(pa.large_binary()):
         yield x.as_py()
+
+
+#: CRC-32 of text in DuckDB SQL: ``crc_table`` by its rule, and the fold over the UTF-8 bytes of a column.
+CRC_TABLE_SQL = """SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+                      lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS crc_table"""
+
+
+def crc_sql(text: str) -> str:
+    """The unsigned CRC-32 of a VARCHAR expression, where ``crc_table`` is in scope."""
+    byte = f"('0x' || substr(hex(encode({text})), 2 * i - 1, 2))::BIGINT"
+    return f"""xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, octet_length(encode({text})) + 1), lambda i: {byte})),
+                   lambda a, b: xor(a >> 8, crc_table[(xor(a, b) & 255) + 1])), 4294967295)"""
