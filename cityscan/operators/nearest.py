@@ -1,15 +1,20 @@
 """P4: nearest site per point by great-circle distance, and the load per site.
 
-Exact, without an all-pairs join of points and sites. Sites are bucketed in
-square cells sized by how densely the sites lie (not by their extent, so one
-stray site does not coarsen the grid). A point looks at the sites of its 3x3 cell
-window and keeps the best one if it is closer than the window border, a proven
-lower bound for every site outside. The rest look at a nine times wider window,
-and what that does not prove either is compared with all sites.
-
-The result is the same however many sites there are; their measured number only
-decides how a point meets them: as lists in broadcast cells (``nearest_site``
-below ``broadcast_sites``) or, beyond that, by shuffled equi-joins on the cell, level by level.
+Exact, without an all-pairs join of points and sites and without a second look.
+Points and sites are unit vectors, so poles and the antimeridian are places like any
+other. The cube around the globe is cut into cells, each in eight while more than a few
+sites can be the nearest one of some point inside: fine cells where sites crowd,
+coarse ones elsewhere. A site cannot be the nearest in a cell if another one is nearer in
+all of it, that is, if the whole cell lies on the other one's side of the plane between
+them. What is left is the cell's list. Cells do not overlap, so a point meets exactly
+one list, by an equi-join on the cell, and its nearest site is on it.
+
+Sites at one position count as one (the first in tie order). While a cell has many
+candidates they are rows of a table and are ruled out by grouped maxima and a join; a cell with
+at most ``_BLOCK`` of them is finished in one task.
+
+The result is the same however many sites there are; the measured size of the lists only
+decides whether they are broadcast or shuffled.
 
 Ties in distance go to the smaller site key (NULL first), then to the smaller
 site attributes. The winner's own attributes are returned, so keys may repeat or
@@ -19,23 +24,35 @@ rows, NULL ids forming one group); without, one row per point.
 
 from __future__ import annotations
 
+import sys
 import warnings
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cityscan.functions.geo import EARTH_RADIUS_M
-from cityscan.session import checkpoint_dir
+from cityscan.session import materialize
 
-_REL_MARGIN = 1e-9  # keep a grid answer only when clearly inside the bound
+# Functions that run in Python workers are pickled by value, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Cell sizes tried, in degrees, and the mean number of sites a cell may hold.
-_CELL_SIZES = [60.0 / 3**j for j in range(13)]
-_SITES_PER_CELL = 4.0
+#: A cell with at most so many candidates is not cut further.
+_LEAF = 24
+#: A cell with at most so many candidates is finished in one task.
+_BLOCK = 4096
+#: The finest cells: 2 / 2**21 of the globe's radius, some six metres.
+_MAX_LEVEL = 21
+#: A site is ruled out only if it is farther by more than rounding could hide (dot products of unit vectors).
+_MARGIN = 2e-14
+#: Cells are taken a little larger than they are, for points that rounding puts on a border.
+_GROW = 1e-14
 
 
-def _site_frame(sites, site_lon, site_lat, site_key, site_cols):
+def site_frame(sites, site_lon, site_lat, site_key, site_cols):
     """Sites with usable coordinates; ``_site`` holds what is compared and returned, in tie order."""
     x, y = F.col(site_lon), F.col(site_lat)
     ok = x.between(-180.0, 180.0) & y.between(-90.0, 90.0)  # also drops NULL and NaN
@@ -101,15 +118,18 @@ def nearest_site(
     cell_deg: float | None = None,
     radius_m: float = EARTH_RADIUS_M,
     dist_col: str = "distance_km",
+    broadcast_max_bytes: int = 256 << 20,
 ) -> DataFrame:
     """Closest site for each point (or each id).
 
-    ``method="auto"`` or ``"grid"`` uses the cells. ``"array"`` compares every point
+    ``method="auto"`` or ``"grid"`` uses the cells (:func:`site_cells`). ``"array"`` compares every point
     with every site of a short list (a city's stations); above
-    ``broadcast_sites`` sites it warns and uses the cells. One aggregate over the
-    sites runs when the plan is built; the points are not touched.
+    ``broadcast_sites`` sites it warns and uses the cells. The cells are made when the plan is
+    built; the points are not touched. Their lists are broadcast if there are at most
+    ``broadcast_sites`` sites and the lists' bytes fit ``broadcast_max_bytes``, else
+    points and lists are shuffled by cell (AQE splits a hot cell on the point side).
 
-    Points with a NULL coordinate are skipped, as are sites without a valid one;
+    Points with a NULL or NaN coordinate are skipped, as are sites without a valid one;
     filter zero coordinates beforehand (:func:`cityscan.functions.valid_coords`).
     Output: ``id_cols``, ``site_key``, ``site_cols``, ``dist_col`` (km) and
     ``n_points`` (1: how many input rows the row stands for).
@@ -117,21 +137,21 @@ def nearest_site(
     if method not in ("auto", "array", "grid"):
         raise ValueError(f"method must be 'auto', 'array' or 'grid', not {method!r}")
     site_cols = [c for c in site_cols if c != site_key]
-    st = _site_frame(sites, site_lon, site_lat, site_key, site_cols)
-    cell, n_sites = _cell_size(st, cell_deg)
+    st = site_frame(sites, site_lon, site_lat, site_key, site_cols)
+    n_sites = st.count()
     keep = list(id_cols or [])
-    pts = points.where(F.col(point_lon).isNotNull() & F.col(point_lat).isNotNull()).select(
-        *keep, F.col(point_lon).alias("_lon"), F.col(point_lat).alias("_lat"))
+    usable = F.col(point_lon).isNotNull() & F.col(point_lat).isNotNull() & ~F.isnan(point_lon) & ~F.isnan(point_lat)
+    pts = points.where(usable).select(*keep, F.col(point_lon).alias("_lon"), F.col(point_lat).alias("_lat"))
     if n_sites == 0:
         best = pts.select(*keep, F.lit(None).cast(_best_type(st)).alias("_best")).where(F.lit(False))
-    elif n_sites > broadcast_sites:
-        if method == "array":
-            warnings.warn(f"{n_sites} sites exceed broadcast_sites; the grid is used", stacklevel=2)
-        best = _by_levels(pts, st, keep, cell, radius_m)
-    elif method == "array":
+    elif method == "array" and n_sites <= broadcast_sites:
         best = _by_array(pts, st, keep)
     else:
-        best = _by_cells(pts, st, keep, cell, radius_m)
+        if method == "array":
+            warnings.warn(f"{n_sites} sites exceed broadcast_sites; the grid is used", stacklevel=2)
+        cells = site_cells(st, cell_deg, n_sites)
+        levels, size = list_facts(cells)
+        best = _by_cells(pts, cells, keep, n_sites <= broadcast_sites and size <= broadcast_max_bytes, levels)
     return _finish(best, id_cols, site_key, site_cols, radius_m, dist_col)
 
 
@@ -152,111 +172,134 @@ def _by_array(pts: DataFrame, st: DataFrame, keep: list[str]) -> DataFrame:
     return p.select(*keep, _best_of(F.col("_sites")).alias("_best"))
 
 
-# Offsets of the 3x3 window around a cell.
-_WINDOW = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
+# ---------------------------------------------------------------- cells
 
 
-def _cell_size(st: DataFrame, cell_deg: float | None) -> tuple[float, int]:
-    """The widest cell that holds few sites, as a site sees it, and the number of sites.
+def _unit(phi: str, lam: str, cphi: str) -> list[Column]:
+    return [F.col(cphi) * F.cos(F.col(lam)), F.col(cphi) * F.sin(F.col(lam)), F.sin(F.col(phi))]
 
-    One aggregate over the sites: for each cell size, the mean over sites of how
-    many sites share the cell. A stray site changes neither.
-    """
-    sizes = F.array(*[F.lit(c) for c in ([cell_deg] if cell_deg else _CELL_SIZES)])
-    per_cell = (st.select("_slon", "_slat", F.explode(sizes).alias("c"))
-                .groupBy("c", F.floor(F.col("_slon") / F.col("c")).alias("x"), F.floor(F.col("_slat") / F.col("c")).alias("y"))
-                .agg(F.count(F.lit(1)).alias("n")))
-    rows = per_cell.groupBy("c").agg(F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("n")) / F.sum("n")).alias("mean")).collect()
-    if not rows:
-        return 1.0, 0
-    few = [r["c"] for r in rows if r["mean"] <= _SITES_PER_CELL]
-    return (max(few) if few else min(r["c"] for r in rows)), rows[0]["n"]
-
-
-def _window_bound_km(lon: Column, lat: Column, cx: Column, cy: Column, c: float, radius_km: float) -> Column:
-    """Lower bound on the distance from the point to anything outside its 3x3 window."""
-    x0, x1 = (cx - 1) * F.lit(c), (cx + 2) * F.lit(c)
-    y0, y1 = (cy - 1) * F.lit(c), (cy + 2) * F.lit(c)
-    dlat = F.least(lat - y0, y1 - lat)
-    dlon = F.least(lon - x0, x1 - lon)
-    inside_globe = (y0 >= -90.0) & (y1 <= 90.0) & (x0 >= -180.0) & (x1 <= 180.0) & (dlon < 90.0)
-    b_lat = F.radians(dlat) * F.lit(radius_km)
-    b_lon = F.asin(F.cos(F.radians(lat)) * F.sin(F.radians(dlon))) * F.lit(radius_km)
-    return F.when(inside_globe, F.least(b_lat, b_lon)).otherwise(F.lit(0.0))
-
-
-def _cell(lon: str, lat: str, c: float) -> tuple[Column, Column]:
-    return F.floor(F.col(lon) / c).cast("long"), F.floor(F.col(lat) / c).cast("long")
-
-
-def _window_sites(st: DataFrame, c: float) -> DataFrame:
-    """Each site repeated under the 9 cells whose 3x3 window contains it."""
-    offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _WINDOW])
-    x, y = _cell("_slon", "_slat", c)
-    return st.select(_entry().alias("_entry"), x.alias("_x"), y.alias("_y"), F.explode(offsets).alias("_o")).select(
-        "_entry", (F.col("_x") + F.col("_o.dx")).alias("_cx"), (F.col("_y") + F.col("_o.dy")).alias("_cy"))
-
-
-def _by_cells(pts: DataFrame, st: DataFrame, keep: list[str], cell: float, radius_m: float) -> DataFrame:
-    """Bounded site list: everything happens inside the point's own task.
-
-    Each cell carries the list of sites in its window, 9 entries per site in all. The
-    wider cells and the whole list are joined only to rows that need them (left
-    joins on NOT proven): proven rows carry no copy of them.
+
+#: The key of the cell of a point (_x, _y, _z), each -1 to 1, among those of ``_level``: its places on the axes, side by side.
+PLACE_SQL = " | ".join(
+    f"shiftleft(greatest(least(floor((_{axis} + 1.0D) * (pow(2.0D, _level) / 2.0D)), shiftleft(1L, _level) - 1L), 0L), {shift})"
+    for axis, shift in (("x", 2 * _MAX_LEVEL), ("y", _MAX_LEVEL), ("z", 0)))
+
+
+def _corners() -> list[tuple[int, int, int]]:
+    return [(0, 0, 0), *[(a, b, c) for a in (-1, 1) for b in (-1, 1) for c in (-1, 1)]]
+
+
+def _cut(rows: DataFrame) -> DataFrame:
+    """One cut: rows (level, ix, iy, iz, x, y, z, _entry) of cells to those of their eights.
+
+    A cell's rivals are the nearest candidates of its centre and of its corners, grouped maxima; a candidate
+    goes where the whole cell is nearer to one of them.
     """
-    p = pts.withColumns(_trig("_lon", "_lat", "_p"))
-    proven = F.lit(False)
-    best = None
-    for i, c in enumerate((cell, 9.0 * cell)):
-        lists = _window_sites(st, c).groupBy("_cx", "_cy").agg(F.collect_list("_entry").alias(f"_list{i}"))
-        lists = lists.withColumnsRenamed({"_cx": f"_kx{i}", "_cy": f"_ky{i}"})
-        x, y = _cell("_lon", "_lat", c)
-        p = p.withColumns({f"_x{i}": x, f"_y{i}": y})
-        on = (F.col(f"_x{i}") == F.col(f"_kx{i}")) & (F.col(f"_y{i}") == F.col(f"_ky{i}"))
-        p = p.join(F.broadcast(lists), on if i == 0 else on & ~F.col(f"_ok{i - 1}"), "left")
-        p = p.withColumn(f"_best{i}", _best_of(F.col(f"_list{i}")))
-        bound = _window_bound_km(F.col("_lon"), F.col("_lat"), F.col(f"_x{i}"), F.col(f"_y{i}"), c, radius_m / 1000.0)
-        ok = F.col(f"_best{i}").isNotNull() & (_km_from_term(F.col(f"_best{i}._a"), radius_m) < bound * (1.0 - _REL_MARGIN))
-        p = p.withColumn(f"_ok{i}", ok if i == 0 else F.col(f"_ok{i - 1}") | ok)
-        best = F.when(F.col("_ok0"), F.col("_best0")) if i == 0 else best.when(F.col(f"_ok{i}"), F.col(f"_best{i}"))
-    p = p.join(F.broadcast(_site_list(st)), ~F.col("_ok1"), "left")
-    return p.select(*keep, best.otherwise(_best_of(F.col("_sites"))).alias("_best"))
-
-
-def _by_levels(pts: DataFrame, st: DataFrame, keep: list[str], cell: float, radius_m: float) -> DataFrame:
-    """Unbounded site list: cells three times wider from level to level, by shuffled joins.
-
-    Equal points (of an id) are one row until the end. What a level proves is
-    final; only the unproven rows, written to the shared checkpoint folder, go on.
-    At the top the window spans the globe.
+    bits = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(c).alias("c")) for a in (0, 1) for b in (0, 1) for c in (0, 1)])
+    half = F.pow(F.lit(2.0), -F.col("level"))
+    kids = rows.withColumn("_o", F.explode(bits)).select(
+        (F.col("level") + 1).alias("level"), *[(F.col(f"i{n}") * 2 + F.col(f"_o.{o}")).alias(f"i{n}") for n, o in zip("xyz", "abc")],
+        "x", "y", "z", "_entry")
+    kids = kids.withColumn("h", half).withColumns({f"c{n}": (F.col(f"i{n}") * 2 + 1) * F.col("h") - 1.0 for n in "xyz"})
+    kids = kids.withColumn("h", F.col("h") + _GROW)
+    near = sum(F.pow(F.greatest(F.abs(F.col(f"c{n}")) - F.col("h"), F.lit(0.0)), 2) for n in "xyz")
+    far = sum(F.pow(F.abs(F.col(f"c{n}")) + F.col("h"), 2) for n in "xyz")
+    kids = kids.where((near <= 1.0 + 1e-12) & (far >= 1.0 - 1e-12))
+    at = ["level", "ix", "iy", "iz"]
+    dots = [sum(F.col(n) * (F.col(f"c{n}") + s * F.col("h")) for n, s in zip("xyz", corner)) for corner in _corners()]
+    rivals = kids.groupBy(*at).agg(*[F.max_by(F.struct("x", "y", "z"), d).alias(f"r{i}") for i, d in enumerate(dots)])
+    kids = kids.join(rivals, at)
+
+    def beaten(r: str) -> Column:
+        d = {n: F.col(f"{r}.{n}") - F.col(n) for n in "xyz"}
+        return sum(d[n] * F.col(f"c{n}") for n in "xyz") - F.col("h") * sum(F.abs(d[n]) for n in "xyz") > _MARGIN
+
+    gone = beaten("r0")
+    for i in range(1, len(dots)):
+        gone = gone | beaten(f"r{i}")
+    return kids.where(~gone).select(*at, "x", "y", "z", "_entry")
+
+
+def _finish_cell(level: int, cell: tuple[int, int, int], v: np.ndarray, deepest: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(level, key, candidates) of the final cells inside one cell with the candidates ``v``."""
+    corners = np.array(_corners(), float)
+    todo = [(level, cell, np.arange(len(v)))]
+    while todo:
+        level, cell, ids = todo.pop()
+        half = 2.0 ** -level
+        centre = (np.array(cell) * 2 + 1) * half - 1.0
+        wide = half + _GROW
+        away = np.maximum(np.abs(centre) - wide, 0.0)
+        if (away * away).sum() > 1.0 + 1e-12 or ((np.abs(centre) + wide) ** 2).sum() < 1.0 - 1e-12:
+            continue  # the globe does not pass here
+        c = v[ids]
+        rivals = np.unique((c @ (centre + corners * wide).T).argmax(axis=0))
+        d = c[rivals][:, None, :] - c[None, :, :]
+        ids = ids[~((d @ centre - wide * np.abs(d).sum(axis=2)) > _MARGIN).any(axis=0)]
+        if len(ids) <= _LEAF or level >= deepest:
+            x, y, z = cell
+            yield level, x << 2 * _MAX_LEVEL | y << _MAX_LEVEL | z, ids
+        else:
+            todo += [(level + 1, (2 * cell[0] + a, 2 * cell[1] + b, 2 * cell[2] + e), ids) for a in (0, 1) for b in (0, 1) for e in (0, 1)]
+
+
+def site_cells(sites: DataFrame, cell_deg: float | None = None, n_sites: int | None = None) -> DataFrame:
+    """Sites (:func:`site_frame`) to the cells of the globe: (_level, _key, _list of the sites that can be nearest there).
+
+    Written to the shared checkpoint folder. ``cell_deg``: the size below which cells are not cut. ``n_sites``, if
+    known, saves looking for cells with many candidates where there cannot be any.
     """
-    key = [*keep, "_lon", "_lat"]
-    cur = pts.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-    done: list[DataFrame] = []
-    c = cell
-    while True:
-        top = c >= 180.0
-        x, y = _cell("_lon", "_lat", c)
-        p = cur.withColumns({"_cx": x, "_cy": y, **_trig("_lon", "_lat", "_p")})
-        bound = F.lit(float("inf")) if top else _window_bound_km(
-            F.col("_lon"), F.col("_lat"), F.col("_cx"), F.col("_cy"), c, radius_m / 1000.0)
-        near = p.withColumn("_bound", bound).join(_window_sites(st, c).hint("merge"), ["_cx", "_cy"], "left")
-        cand = F.when(F.col("_entry").isNotNull(), F.struct(_hav_term(F.col("_entry")).alias("_a"), F.col("_entry._site").alias("_site")))
-        level = near.groupBy(*key, "_n", "_bound").agg(F.min(cand).alias("_best"))
-        ok = F.col("_best").isNotNull() & (_km_from_term(F.col("_best._a"), radius_m) < F.col("_bound") * (1.0 - _REL_MARGIN))
-        level = level.withColumn("_ok", F.lit(True) if top else ok)
-        done.append(level.where("_ok").select(*keep, "_best", "_n"))
-        if top:
-            break
-        checkpoint_dir(level.sparkSession)
-        cur = level.where("not _ok").select(*key, "_n").checkpoint(eager=True)
-        if cur.isEmpty():
+    deepest = _MAX_LEVEL
+    if cell_deg:
+        deepest = int(np.clip(np.ceil(np.log2(2.0 / np.radians(cell_deg))), 0, _MAX_LEVEL))
+    one = sites.groupBy("_slon", "_slat").agg(F.min("_site").alias("_site")).withColumns(_trig("_slon", "_slat", "_s"))
+    x, y, z = _unit("_sphi", "_slam", "_scphi")
+    zero = F.lit(0).cast("long")
+    rows = one.select(F.lit(0).alias("level"), zero.alias("ix"), zero.alias("iy"), zero.alias("iz"), x.alias("x"), y.alias("y"), z.alias("z"),
+                      _entry().alias("_entry"))
+    at = ["level", "ix", "iy", "iz"]
+    small = rows if n_sites is not None and n_sites <= _BLOCK else None
+    rows = rows if small is not None else materialize(rows)
+    while small is not rows:
+        # cells with many candidates are cut as tables, those with few go on to a task each
+        sizes = rows.groupBy(*at).agg(F.count(F.lit(1)).alias("_n"))
+        large = sizes.where((F.col("_n") > _BLOCK) & (F.col("level") < deepest)).drop("_n")
+        large = materialize(large)
+        if large.isEmpty():
+            small = rows if small is None else small.unionByName(rows)
             break
-        c *= 3.0
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out.select(*keep, "_best", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_i")).select(*keep, "_best")
+        done = rows.join(large, at, "left_anti")
+        small = done if small is None else small.unionByName(done)
+        rows = materialize(_cut(rows.join(large, at)))
+    entry = rows.schema["_entry"].dataType.simpleString()
+
+    def finish(table: pa.Table) -> pa.Table:
+        first = {n: table.column(n)[0].as_py() for n in at}
+        v = np.column_stack([table.column(n).to_numpy() for n in "xyz"])
+        cells = list(_finish_cell(first["level"], (first["ix"], first["iy"], first["iz"]), v, deepest))
+        sizes = np.cumsum([0, *[len(ids) for _, _, ids in cells]])
+        entries = table.column("_entry").combine_chunks().take(pa.array(np.concatenate([ids for _, _, ids in cells])))
+        lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), entries)
+        return pa.table([pa.array([c[0] for c in cells], pa.int32()), pa.array([c[1] for c in cells], pa.int64()), lists], ["_level", "_key", "_list"])
+
+    return materialize(small.groupBy(*at).applyInArrow(finish, f"_level int, _key long, _list array<{entry}>"))
+
+
+def list_facts(cells: DataFrame) -> tuple[list[int], int]:
+    """The levels in use, and an estimate of the lists' bytes."""
+    text = F.octet_length(F.to_json(F.element_at("_list", 1)["_site"]))
+    r = cells.agg(F.collect_set("_level"), F.sum(F.size("_list") * (F.lit(64) + text))).first()
+    return sorted(r[0] or []), int(r[1] or 0)
+
+
+def _by_cells(pts: DataFrame, cells: DataFrame, keep: list[str], broadcast: bool, levels: list[int]) -> DataFrame:
+    """Each point joined to its cell's list: one key a level in use, of which one has a cell."""
+    p = pts.withColumns(_trig("_lon", "_lat", "_p"))
+    p = p.withColumns(dict(zip(("_x", "_y", "_z"), _unit("_pphi", "_plam", "_pcphi"))))
+    p = p.select(*keep, "_pphi", "_plam", "_pcphi", "_x", "_y", "_z", F.explode(F.lit(levels)).alias("_level"))
+    p = p.select(*keep, "_pphi", "_plam", "_pcphi", "_level", F.expr(PLACE_SQL).alias("_key"))
+    found = p.join(F.broadcast(cells) if broadcast else cells.hint("merge"), ["_level", "_key"])
+    return found.select(*keep, _best_of(F.col("_list")).alias("_best"))
 
 
 def site_load(

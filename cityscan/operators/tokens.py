@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import re
+import uuid
 import warnings
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cityscan.session import checkpoint_dir
+
 # Join strategies a user can pick for the lookup join. "auto" leaves the
 # choice to the planner (a small lookup is broadcast by its size estimate);
 # the others force the named physical join.
@@ -67,3 +70,17 @@ def with_lookup(
     return joined.select(left[left_key], lookup[desc_col], left["count"]).orderBy(
         F.desc("count"), F.asc(left_key)
     )
+
+
+def save_bucketed(df: DataFrame, key: str, buckets: int = 64) -> DataFrame:
+    """``df`` written once as a table bucketed and sorted by ``key``, under the shared checkpoint folder.
+
+    Two such tables with as many buckets meet in a merge join, also again and again, without a shuffle or a
+    sort: ``with_lookup(save_bucketed(counts, ...), save_bucketed(lookup, ...), ..., strategy="merge")``.
+    A bucket is one file, so the table should hold one row a key, as counts and lookups do.
+    """
+    spark = df.sparkSession
+    name = f"bucketed_{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet").saveAsTable(name))
+    return spark.table(name)

@@ -4,21 +4,30 @@ Each zone is assigned a grid level fine enough that its bounding box covers
 at most ``max_cells`` cells (large zones go to coarser levels, so no zone
 explodes into many rows). A point gets one cell per level in use, so every
 (point, zone) pair meets in exactly one cell: no duplicates, no nested loop.
-Candidates are cut by bbox first, then by the exact edge test (strict
-*within*: boundary points belong to no zone).
+A cell that no edge of the zone touches lies in it as a whole, and needs no
+edge test, or outside, and has no row. In the others candidates are cut by bbox first,
+then by the exact edge test (strict *within*: boundary points belong to no zone).
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cityscan.functions.geo import point_in_polygon
+from cityscan.functions.geo import EDGE_TYPE, point_in_polygon
+from cityscan.session import materialize
 
 
+# Functions that run in Python workers are pickled by value, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Size model of one cell-table row: fixed columns, plus one edge struct.
 _ROW_BYTES = 96
 _EDGE_BYTES = 40
@@ -27,7 +36,7 @@ _EDGE_BYTES = 40
 def zone_cells(
     zones: DataFrame,
     cell_deg: float,
-    max_cells: int = 16,
+    max_cells: int = 36,
     carry: Sequence[str] = (),
     edges_col: str | None = None,
 ) -> DataFrame:
@@ -37,7 +46,8 @@ def zone_cells(
     need: a ray cast to +x from a point in the cell can only cross (or the
     point lie on) an edge whose y-range meets the cell's row band and which
     reaches the cell's left side. The band is widened by a margin, so the
-    clipping never drops a needed edge.
+    clipping never drops a needed edge. ``_whole`` says that the cell lies inside as a whole (no edge's
+    bounds meet it, and its centre is inside); cells outside go.
     """
     k = max(int(math.isqrt(max_cells)), 2)
     span = F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"))
@@ -68,6 +78,12 @@ def zone_cells(
             & (F.least(e["y1"], e["y2"]) <= y1)
             & (F.greatest(e["x1"], e["x2"]) >= x0),
         ))
+        x1 = (F.col("_cx") + 1) * c + m
+        touched = F.exists(edges_col, lambda e: F.least(e["x1"], e["x2"]) <= x1)
+        centre = point_in_polygon((F.col("_cx") + 0.5) * c, (F.col("_cy") + 0.5) * c, edges_col)
+        cells = cells.withColumn("_touched", touched)
+        cells = cells.withColumn("_whole", F.when(F.col("_touched"), F.lit(False)).otherwise(centre)).where("_touched or _whole")
+        cells = cells.withColumn(edges_col, F.when(F.col("_whole"), F.array().cast(EDGE_TYPE)).otherwise(F.col(edges_col))).drop("_touched")
     return cells.drop("_c")
 
 
@@ -75,12 +91,12 @@ def _span() -> "F.Column":
     return F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"))
 
 
-def grid_plan(zones: DataFrame, cell_deg: float | None = None, max_cells: int = 16, edges_col: str = "edges",
+def grid_plan(zones: DataFrame, cell_deg: float | None = None, max_cells: int = 36, edges_col: str = "edges",
               carry: Sequence[str] = ()) -> dict:
     """One bounded aggregate over the zones: zone count, the cell size, the grid
     levels that can occur and an upper estimate of the cell table's bytes.
 
-    The default cell size is the median bbox span. Levels are derived from
+    The default cell size is the median bbox span in as many parts as a side may have. Levels are derived from
     ``ceil(log2(span))`` classes, a superset of the exact levels (at most one
     spare levels per class); a spare level only adds a probe that matches nothing.
     """
@@ -95,7 +111,7 @@ def grid_plan(zones: DataFrame, cell_deg: float | None = None, max_cells: int =
     n = int(r["n"] or 0)
     if cell_deg is None:
         m = r["median"]
-        cell_deg = float(m) if m and m > 0 else 0.01
+        cell_deg = float(m) / (k - 1) if m and m > 0 else 0.01
     base = math.log2(cell_deg * (k - 1))
     levels = set()
     for e in r["classes"] or []:
@@ -108,6 +124,47 @@ def grid_plan(zones: DataFrame, cell_deg: float | None = None, max_cells: int =
     return {"n_zones": n, "cell_deg": cell_deg, "levels": sorted(levels), "k": k, "bytes": size}
 
 
+def _salted(p: DataFrame, cells: DataFrame, pcols: Sequence[str], sample: float) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Points and cells of a shuffled join with heavy cells split: a cell that a sample of the points says fills more
+    than half a partition gets that many salts; its points are dealt over them and its zone rows repeated for each."""
+    at = ["_level", "_cx", "_cy"]
+    parts = int(p.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    seen = (p.sample(sample, seed=1) if sample < 1.0 else p).groupBy(*at).agg(F.count(F.lit(1)).alias("_n"))
+    seen = materialize(seen)
+    total = seen.agg(F.sum("_n")).first()[0] or 0
+    # at most 2 * parts cells are that heavy, so the table is small whatever the points
+    heavy = F.broadcast(seen.where(F.col("_n") * 2 * parts > total).select(
+        *at, F.least(F.lit(parts), F.ceil(F.col("_n") * 2 * parts / F.lit(max(total, 1)))).cast("long").alias("_salts")))
+    own = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in pcols]) + F.spark_partition_id(), F.col("_salts"))
+    p = p.join(heavy, at, "left").withColumn("_salt", F.coalesce(own, F.lit(0).cast("long"))).drop("_salts")
+    last = F.coalesce(F.col("_salts"), F.lit(1).cast("long")) - 1
+    cells = cells.join(heavy, at, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), last))).drop("_salts")
+    return p, cells, [*at, "_salt"]
+
+
+def _within_batches(x: str, y: str, edges: str, keep: Sequence[str]):
+    """The rows of Arrow batches whose point is in its candidate zone: all edges of a batch in a few array operations."""
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            px, py = (b.column(c).to_numpy(zero_copy_only=False) for c in (x, y))
+            lists = b.column(edges)
+            offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            x1, y1, x2, y2 = (c.to_numpy(zero_copy_only=False) for c in lists.flatten().flatten())
+            row = np.repeat(np.arange(len(px)), np.diff(offsets))
+            ex, ey = px[row], py[row]
+            d = (x2 - x1) * (ey - y1) - (y2 - y1) * (ex - x1)
+            reach = (ey >= np.minimum(y1, y2)) & (ey <= np.maximum(y1, y2))
+            on = reach & (d == 0) & (ex >= np.minimum(x1, x2)) & (ex <= np.maximum(x1, x2))
+            crosses = reach & ((y1 > ey) != (y2 > ey)) & ((d > 0) == (y2 > y1))
+            n = np.bincount(row, crosses, len(px)).astype(np.int64)
+            inside = (n % 2 == 1) & (np.bincount(row, on, len(px)) == 0)
+            whole = b.column("_whole").to_numpy(zero_copy_only=False).astype(bool)
+            yield b.filter(pa.array(whole | inside)).select(list(keep))
+
+    return test
+
+
 def points_in_zones(
     points: DataFrame,
     zones: DataFrame,
@@ -116,8 +173,10 @@ def points_in_zones(
     zone_cols: Sequence[str],
     edges_col: str = "edges",
     cell_deg: float | None = None,
-    max_cells: int = 16,
+    max_cells: int = 36,
     broadcast_max_bytes: int = 256 << 20,
+    engine: str = "native",
+    skew_sample: float = 0.01,
 ) -> DataFrame:
     """Inner spatial join: every (point, zone) with the point strictly within.
 
@@ -125,15 +184,17 @@ def points_in_zones(
     :func:`cityscan.sources.geojson.features_to_zones`). Output: all point
     columns plus ``zone_cols``. Zones without edges hold no point. The zone side
     is broadcast when its cell table, estimated by one aggregate over the zone
-    dimension, fits ``broadcast_max_bytes``; otherwise both sides shuffle on the
-    cell (AQE splits a skewed cell on the point side). The points are not touched
-    when the plan is built and keep their partitions.
+    dimension, fits ``broadcast_max_bytes``; then the points are not touched when the plan is built
+    and keep their partitions. Otherwise both sides shuffle on the cell, and cells that a
+    ``skew_sample`` of the points finds heavy are salted (a pass over the points' coordinates).
+    ``engine="arrow"`` tests the edges of whole batches as arrays in Python workers instead of row by row.
     """
+    if engine not in ("native", "arrow"):
+        raise ValueError(f"engine must be 'native' or 'arrow', not {engine!r}")
     zones = zones.where(F.size(edges_col) > 0)
     plan = grid_plan(zones, cell_deg, max_cells, edges_col, zone_cols)
     cell_deg, levels = plan["cell_deg"], plan["levels"]
     cells = zone_cells(zones, cell_deg, max_cells, [*zone_cols, edges_col], edges_col=edges_col)
-    cells = F.broadcast(cells) if plan["bytes"] <= broadcast_max_bytes else cells.hint("merge")
     pcols = points.columns
     p = points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull())
     per_level = F.array(*[
@@ -145,8 +206,16 @@ def points_in_zones(
         for l in sorted(levels)
     ]) if levels else F.array().cast("array<struct<_level:int,_cx:bigint,_cy:bigint>>")
     p = p.withColumn("_cell", F.explode(per_level)).select(*pcols, "_cell.*")
-    j = p.join(cells, ["_level", "_cx", "_cy"])
+    if plan["bytes"] <= broadcast_max_bytes:
+        j = p.join(F.broadcast(cells), ["_level", "_cx", "_cy"])
+    else:
+        p, cells, at = _salted(p, cells, pcols, skew_sample)
+        j = p.join(cells.hint("merge"), at)
     x, y = F.col(lon), F.col(lat)
     in_box = (x > F.col("min_x")) & (x < F.col("max_x")) & (y > F.col("min_y")) & (y < F.col("max_y"))
-    j = j.where(in_box).where(point_in_polygon(x, y, F.col(edges_col)))
-    return j.select(*pcols, *zone_cols)
+    if engine == "native":
+        j = j.where(F.when(F.col("_whole"), F.lit(True)).when(in_box, point_in_polygon(x, y, F.col(edges_col))).otherwise(F.lit(False)))
+        return j.select(*pcols, *zone_cols)
+    out = j.select(*pcols, *zone_cols)
+    j = j.where(F.col("_whole") | in_box).select(*pcols, *zone_cols, x.cast("double").alias("_x"), y.cast("double").alias("_y"), F.col(edges_col).alias("_e"), "_whole")
+    return j.mapInArrow(_within_batches("_x", "_y", "_e", out.columns), out.schema)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cityscan.functions.clean import money_to_int
@@ -55,7 +55,7 @@ def unique_zones(zones: DataFrame, zone_key: str) -> DataFrame:
     without a key go.
     """
     others = [c for c in zones.columns if c != zone_key]
-    state = F.xxhash64(F.to_json(F.struct(*others)))
+    state = F.xxhash64(*others)
     one = zones.where(F.col(zone_key).isNotNull()).withColumn("_state", state).groupBy(zone_key).agg(
         *[F.first(c).alias(c) for c in others], F.min("_state").alias("_lo"), F.max("_state").alias("_hi"))
     said = F.concat(F.lit("zone has conflicting rows: "), F.col(zone_key).cast("string"))
@@ -119,9 +119,12 @@ def extremes(
 
     The low end sorts NULLs first (the default ascending order), so NULL
     values fill the "lowest" slots first; ``nulls_first_low=False`` skips
-    them to the end instead.
+    them to the end instead. ``df`` is planned and read once: both ends are kept in one pass.
     """
-    lo_key = F.asc_nulls_first(order_col) if nulls_first_low else F.asc_nulls_last(order_col)
-    low = df.orderBy(lo_key, *[F.asc(c) for c in tie_cols]).limit(k)
-    high = df.orderBy(F.desc_nulls_last(order_col), *[F.asc(c) for c in tie_cols]).limit(k)
-    return low.unionByName(high)
+    both = F.explode(F.array(F.lit(True), F.lit(False)))
+    ends = df.select("*", both.alias("__low")).withColumns({
+        "__up": F.when(F.col("__low"), F.col(order_col)), "__down": F.when(~F.col("__low"), F.col(order_col))})
+    up = F.asc_nulls_first("__up") if nulls_first_low else F.asc_nulls_last("__up")
+    # at either end the other end's key is constant; a task passes on its own k rows of each end only
+    order = Window.partitionBy("__low").orderBy(up, F.desc_nulls_last("__down"), *[F.asc(c) for c in tie_cols])
+    return ends.withColumn("__place", F.row_number().over(order)).where(F.col("__place") <= k).select(*df.columns)

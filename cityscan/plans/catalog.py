@@ -6,6 +6,7 @@ Spark derives from them). Doubles are rounded to 6 places at the end only.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from cityscan.functions.clean import valid_coords, year_in, year_of
 from cityscan.operators.buckets import bucket_count
 from cityscan.operators.nearest import nearest_site, site_load
-from cityscan.operators.tokens import token_counts, with_lookup
+from cityscan.operators.tokens import save_bucketed, token_counts, with_lookup
 from cityscan.operators.topk import topk_share
 from cityscan.operators.within import points_in_zones
 from cityscan.operators.zones import correlation, extremes, unique_zones, zone_counts, zone_income, zone_rollup
@@ -22,9 +23,9 @@ from cityscan.plans import inputs
 from cityscan.plans.inputs import table
 from cityscan.plans import sql as sqlq
 from cityscan.functions.clean import money_to_int
-from cityscan.session import ensure_parallelism
+from cityscan.session import checkpoint_dir, ensure_parallelism, materialize
 from cityscan.sources.csv import INCIDENT_SCHEMA, INCOME_SCHEMA, codes_from_lines, parse_delimited, union_periods
-from cityscan.sources.geojson import features_to_zones, parse_features
+from cityscan.sources.geojson import features_to_zones, parse_features, read_geojson
 
 # ---------------------------------------------------------------- P1
 
@@ -125,6 +126,12 @@ def q_token_join_broadcast(spark: SparkSession, d: str) -> DataFrame:
     return _token_query(spark, d, "broadcast")
 
 
+def q_token_join_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    """Counts and lookup as bucketed tables: a merge join without a shuffle."""
+    counts = save_bucketed(token_counts(table(spark, d, "part"), "p_name", token_col="Mocodes"), "Mocodes", 8)
+    return with_lookup(counts, save_bucketed(_code_lookup(spark), "Mocode", 8), "Mocodes", "Mocode", "Description", strategy="merge")
+
+
 # ---------------------------------------------------------------- P4
 
 
@@ -180,6 +187,26 @@ def q_nearest_site_skewed(spark: SparkSession, d: str) -> DataFrame:
         id_cols=["c_custkey"]))
 
 
+def _supplier_load(points: DataFrame, sites: DataFrame) -> DataFrame:
+    return _load(nearest_site(points, sites, "lon", "lat", "lon", "lat", "s_suppkey", ["s_name"], id_cols=["c_custkey"]))
+
+
+def q_nearest_site_city(spark: SparkSession, d: str) -> DataFrame:
+    return _supplier_load(_valid_customer_points(spark, d), inputs.city_sites(spark, d))
+
+
+def q_nearest_site_stacked(spark: SparkSession, d: str) -> DataFrame:
+    return _supplier_load(_valid_customer_points(spark, d), inputs.stacked_sites(spark, d))
+
+
+def q_nearest_site_globe(spark: SparkSession, d: str) -> DataFrame:
+    return _supplier_load(ensure_parallelism(inputs.globe_points(spark, d)), inputs.globe_sites(spark, d))
+
+
+def q_nearest_site_city_sql(spark: SparkSession, d: str) -> DataFrame:
+    return sqlq.nearest_site_sql(spark, _valid_customer_points(spark, d).select("c_custkey", "lon", "lat"), inputs.city_sites(spark, d))
+
+
 def q_nearest_site_dup(spark: SparkSession, d: str, broadcast_sites: int = 100_000) -> DataFrame:
     """Site keys that repeat or are NULL, sites at one position, ids at several positions."""
     pts = _valid_customer_points(spark, d).select((F.col("c_custkey") % 500).alias("id"), "lon", "lat")
@@ -233,6 +260,14 @@ def q_geojson_zones(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def q_geojson_ranges(spark: SparkSession, d: str) -> DataFrame:
+    """Documents of one line, written from the suppliers' shapes and read by byte ranges."""
+    path = inputs.shape_documents(spark, d, f"{checkpoint_dir(spark).rstrip('/')}/geojson-{uuid.uuid4().hex}")
+    zones = features_to_zones(read_geojson(spark, path, {"zone": "bigint"}, layout="ranges"), id_col="zone")
+    return zones.select("zone", F.coalesce(F.size("edges"), F.lit(0)).alias("n_edges"),
+                        *[F.round(c, 6).alias(c) for c in ("min_x", "min_y", "max_x", "max_y")])
+
+
 def _blocks_with_income(spark: SparkSession, d: str) -> DataFrame:
     zones = inputs.zones(spark, d).where(F.col("CITY") == "Los Angeles")
     return zone_income(zones, inputs.zip_income(spark, d),
@@ -248,10 +283,12 @@ def _per_zone(spark: SparkSession, d: str) -> DataFrame:
     return _counted(spark, d, _blocks_with_income(spark, d))
 
 
-def _counted(spark: SparkSession, d: str, blocks: DataFrame, keep_empty_zones: bool = False) -> DataFrame:
-    blocks = unique_zones(blocks, "zone")
-    pts = ensure_parallelism(inputs.customer_points(spark, d, specials=True)).where(valid_coords("lon", "lat", drop_zero=False))
-    hits = points_in_zones(pts.select("c_custkey", "lon", "lat"), blocks, "lon", "lat", zone_cols=["zone"])
+def _counted(spark: SparkSession, d: str, blocks: DataFrame, keep_empty_zones: bool = False, points: DataFrame | None = None,
+             **join) -> DataFrame:
+    blocks = materialize(unique_zones(blocks, "zone"))  # zones are a bounded dimension: parse them once
+    points = inputs.customer_points(spark, d, specials=True) if points is None else points
+    pts = ensure_parallelism(points).where(valid_coords("lon", "lat", drop_zero=False))
+    hits = points_in_zones(pts.select("c_custkey", "lon", "lat"), blocks, "lon", "lat", zone_cols=["zone"], **join)
     per = zone_counts(hits, blocks, "zone", ["COMM", "POP20", "Income_per_block"], keep_empty_zones=keep_empty_zones)
     return per.select("zone", "COMM", F.col("POP20").alias("block_population"), "Income_per_block", "crime_count")
 
@@ -265,11 +302,17 @@ def q_zones_with_empty(spark: SparkSession, d: str) -> DataFrame:
     return _counted(spark, d, _blocks_with_income(spark, d), keep_empty_zones=True)
 
 
-def q_shapes(spark: SparkSession, d: str, broadcast_max_bytes: int = 256 << 20) -> DataFrame:
+def q_points_in_zones_skewed(spark: SparkSession, d: str) -> DataFrame:
+    """A third of the points in one cell, and zones shuffled: the heavy cell is measured and salted."""
+    return _counted(spark, d, _blocks_with_income(spark, d), points=inputs.crowded_points(spark, d), broadcast_max_bytes=0, skew_sample=1.0)
+
+
+def q_shapes(spark: SparkSession, d: str, broadcast_max_bytes: int = 256 << 20, engine: str = "native") -> DataFrame:
     """Concave, slanted, holed and multi-part zones, as many as suppliers, from GeoJSON lines; points on their edges."""
-    zones = unique_zones(features_to_zones(parse_features(inputs.shape_texts(spark, d), {"zone": "bigint"}), id_col="zone"), "zone")
+    parsed = features_to_zones(parse_features(inputs.shape_texts(spark, d), {"zone": "bigint"}), id_col="zone")
+    zones = materialize(unique_zones(parsed, "zone"))
     hits = points_in_zones(ensure_parallelism(inputs.lattice_points(spark, d)), zones, "lon", "lat", ["zone"],
-                           broadcast_max_bytes=broadcast_max_bytes)
+                           broadcast_max_bytes=broadcast_max_bytes, engine=engine)
     return zone_counts(hits, zones, "zone", [], "n_points", keep_empty_zones=True)
 
 
@@ -277,6 +320,10 @@ def q_shapes_shuffled(spark: SparkSession, d: str) -> DataFrame:
     return q_shapes(spark, d, broadcast_max_bytes=0)
 
 
+def q_shapes_arrow(spark: SparkSession, d: str) -> DataFrame:
+    return q_shapes(spark, d, engine="arrow")
+
+
 def _rollup(spark: SparkSession, d: str) -> DataFrame:
     return zone_rollup(_per_zone(spark, d), "COMM", "block_population", "crime_count", "Income_per_block")
 
@@ -326,12 +373,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "token_join_merge": q_token_join_merge,
     "token_join_shuffle_hash": q_token_join_shuffle_hash,
     "token_join_broadcast": q_token_join_broadcast,
+    "token_join_bucketed": q_token_join_bucketed,
     "nearest_site": q_nearest_site,
     "nearest_site_array": q_nearest_site_array,
     "nearest_site_grid": q_nearest_site_grid,
     "nearest_site_sql": q_nearest_site_sql,
     "nearest_site_levels": q_nearest_site_levels,
     "nearest_site_skewed": q_nearest_site_skewed,
+    "nearest_site_city": q_nearest_site_city,
+    "nearest_site_city_sql": q_nearest_site_city_sql,
+    "nearest_site_stacked": q_nearest_site_stacked,
+    "nearest_site_globe": q_nearest_site_globe,
     "nearest_site_dup": q_nearest_site_dup,
     "nearest_site_dup_levels": q_nearest_site_dup_levels,
     "busiest_sites_sql": q_busiest_sites_sql,
@@ -339,10 +391,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_semicolon": q_csv_semicolon,
     "code_lines": q_code_lines,
     "geojson_zones": q_geojson_zones,
+    "geojson_ranges": q_geojson_ranges,
     "zones_with_empty": q_zones_with_empty,
     "zone_rollup_dup": q_zone_rollup_dup,
     "shapes": q_shapes,
     "shapes_shuffled": q_shapes_shuffled,
+    "shapes_arrow": q_shapes_arrow,
+    "points_in_zones_skewed": q_points_in_zones_skewed,
     "zone_income": q_zone_income,
     "points_in_zones": q_points_in_zones,
     "zone_rollup": q_zone_rollup,

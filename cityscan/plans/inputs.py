@@ -186,6 +186,56 @@ def repeated_key_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select(key.alias("key"), "s_name", lon.alias("lon"), lat.alias("lat"))
 
 
+def city_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every second supplier in one city, a hundredth of the points' extent; the others all over it."""
+    k = F.col("s_suppkey")
+    lon, lat = _lon_lat(k, 6151, 1013, 2026.0, 3571, 991, 1652.0)
+    city_lon, city_lat = F.lit(-118.45) + ((k * 6151) % 1013) / F.lit(202600.0), F.lit(34.0) + ((k * 3571) % 991) / F.lit(165200.0)
+    inside = k % 2 == 0
+    return table(spark, sf_dir, "supplier").select(
+        "s_suppkey", "s_name", F.when(inside, city_lon).otherwise(lon).alias("lon"), F.when(inside, city_lat).otherwise(lat).alias("lat"))
+
+
+def stacked_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth supplier at one position; the others all over the points' extent."""
+    k = F.col("s_suppkey")
+    lon, lat = _lon_lat(k, 6151, 1013, 2026.0, 3571, 991, 1652.0)
+    return table(spark, sf_dir, "supplier").select(
+        "s_suppkey", "s_name", F.when(k % 10 == 0, F.lit(-118.5)).otherwise(lon).alias("lon"),
+        F.when(k % 10 == 0, F.lit(34.0)).otherwise(lat).alias("lat"))
+
+
+def globe_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers all over the globe."""
+    k = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(
+        "c_custkey", (F.lit(-180.0) + (k * 7919 % 3601) / F.lit(10.0)).alias("lon"), (F.lit(-89.95) + (k * 6007 % 1799) / F.lit(10.0)).alias("lat"))
+
+
+def globe_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers around both poles and on both sides of the antimeridian."""
+    k = F.col("s_suppkey")
+    a, b = (k * 6151 % 3593) / F.lit(10.0), (k * 3571 % 991) / F.lit(1000.0)
+    near = k % 4
+    lon = F.when(near == 0, F.lit(-180.0) + a).when(near == 1, F.lit(-180.0) + a).when(near == 2, F.lit(179.0) + b).otherwise(F.lit(-180.0) + b)
+    lat = F.when(near == 0, F.lit(89.0) + b).when(near == 1, F.lit(-89.0) - b).otherwise(a / 4.0 - 44.0)
+    return table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", lon.alias("lon"), lat.alias("lat"))
+
+
+def shape_documents(spark: SparkSession, sf_dir: str, path: str, documents: int = 4) -> str:
+    """``shape_texts`` as FeatureCollection documents of one line each; returns the folder."""
+    texts = shape_texts(spark, sf_dir).withColumn("n", F.get_json_object("value", "$.properties.zone").cast("long"))
+    texts = texts.withColumn("doc", F.col("n") % documents)
+    first = texts.groupBy("doc").agg(F.min("n").alias("n")).withColumn("lead", F.lit(
+        '{"type":"FeatureCollection","crs":{"type":"name","properties":{"name":"a } \\" { b"}},"features":['))
+    rows = texts.join(first.select("doc", "n", "lead"), ["doc", "n"], "left").select(
+        "doc", "n", F.concat(F.coalesce("lead", F.lit(",")), F.col("value")).alias("value"))
+    ends = first.select("doc", F.lit((1 << 62)).cast("long").alias("n"), F.lit('],"note":{"features":"none"}}').alias("value"))
+    rows.unionByName(ends).repartition(documents, "doc").sortWithinPartitions("doc", "n").select("doc", "value").write.partitionBy("doc").option(
+        "lineSep", " ").text(path)
+    return path
+
+
 # All coordinates are multiples of 1/1024, so edge tests are exact.
 _UNIT = 1024.0
 
@@ -196,6 +246,15 @@ def lattice_points(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey", (F.lit(-118.0) + (k * 7919 % 256) / F.lit(_UNIT)).alias("lon"), (F.lit(34.0) + (k * 6007 % 256) / F.lit(_UNIT)).alias("lat"))
 
 
+def crowded_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer points of which a third stand at one place in zone 0."""
+    k = F.col("c_custkey")
+    p = customer_points(spark, sf_dir, specials=True)
+    crowd = k % 3 == 0
+    return p.select("c_custkey", F.when(crowd, F.lit(-118.69)).otherwise(F.col("lon")).alias("lon"),
+                    F.when(crowd, F.lit(33.71)).otherwise(F.col("lat")).alias("lat"))
+
+
 def shape_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One GeoJSON feature per supplier, by key mod 5: an L, a diamond with a diamond hole, two
     separate squares, a slanted triangle, and a feature without geometry."""

@@ -146,6 +146,42 @@ SELECT s_name AS site, round(avg(d), 6) AS average_distance, CAST(count(*) AS BI
 FROM ranked WHERE rn = 1 GROUP BY s_name
 """
 
+
+
+def _load_of(sites: str, points: str = f"SELECT * FROM ({_CUST_POINTS}) c WHERE lon IS NOT NULL AND lat IS NOT NULL AND lon <> 0 AND lat <> 0") -> str:
+    """Loads by a plain cross join of points and sites."""
+    return f"""
+        WITH pts AS ({points}), sites AS ({sites}),
+        ranked AS (SELECT p.c_custkey, s.s_name, {_HAV} AS d,
+                          row_number() OVER (PARTITION BY p.c_custkey ORDER BY {_HAV}, s.s_suppkey) AS rn
+                   FROM pts p CROSS JOIN sites s)
+        SELECT s_name AS site, round(avg(d), 6) AS average_distance, CAST(count(*) AS BIGINT) AS number_of_points
+        FROM ranked WHERE rn = 1 GROUP BY s_name"""
+
+
+_CITY = f"""
+SELECT s_suppkey, s_name,
+       CASE WHEN s_suppkey % 2 = 0 THEN -118.45e0 + ((s_suppkey * 6151) % 1013) / 202600.0e0 ELSE lon END AS lon,
+       CASE WHEN s_suppkey % 2 = 0 THEN 34.0e0 + ((s_suppkey * 3571) % 991) / 165200.0e0 ELSE lat END AS lat
+FROM ({_SUPP_SITES}) s
+"""
+
+_STACKED = f"""
+SELECT s_suppkey, s_name, CASE WHEN s_suppkey % 10 = 0 THEN -118.5e0 ELSE lon END AS lon,
+       CASE WHEN s_suppkey % 10 = 0 THEN 34.0e0 ELSE lat END AS lat FROM ({_SUPP_SITES}) s
+"""
+
+_GLOBE_POINTS = """
+SELECT c_custkey, -180.0e0 + (c_custkey * 7919 % 3601) / 10.0e0 AS lon, -89.95e0 + (c_custkey * 6007 % 1799) / 10.0e0 AS lat FROM customer
+"""
+
+_GLOBE = """
+SELECT s_suppkey, s_name,
+       CASE s_suppkey % 4 WHEN 2 THEN 179.0e0 + b WHEN 3 THEN -180.0e0 + b ELSE -180.0e0 + a END AS lon,
+       CASE s_suppkey % 4 WHEN 0 THEN 89.0e0 + b WHEN 1 THEN -89.0e0 - b ELSE a / 4.0e0 - 44.0e0 END AS lat
+FROM (SELECT *, (s_suppkey * 6151 % 3593) / 10.0e0 AS a, (s_suppkey * 3571 % 991) / 1000.0e0 AS b FROM supplier) t
+"""
+
 _DUP = f"""
 WITH pts AS (SELECT c_custkey % 500 AS id, lon, lat FROM ({_CUST_POINTS}) c
              WHERE lon IS NOT NULL AND lat IS NOT NULL AND lon <> 0 AND lat <> 0),
@@ -176,6 +212,10 @@ GROUP BY z.zone
 ORACLE_SQL: dict[str, str] = {
     "nearest_site_levels": _NEAREST,
     "nearest_site_skewed": _SKEWED,
+    "nearest_site_city": _load_of(_CITY),
+    "nearest_site_city_sql": _load_of(_CITY),
+    "nearest_site_stacked": _load_of(_STACKED),
+    "nearest_site_globe": _load_of(_GLOBE, _GLOBE_POINTS),
     "nearest_site_dup": _DUP,
     "nearest_site_dup_levels": _DUP,
     "busiest_sites_sql": f"SELECT * FROM ({_NEAREST}) t ORDER BY number_of_points DESC, site LIMIT 20",
@@ -202,6 +242,10 @@ ORACLE_SQL: dict[str, str] = {
         FROM ({_BLOCKS}) b LEFT JOIN ({_PER_ZONE}) t ON t.zone = b.zone""",
     "shapes": _SHAPES,
     "shapes_shuffled": _SHAPES,
+    "shapes_arrow": _SHAPES,
+    "points_in_zones_skewed": _PER_ZONE.replace(_CUST_POINTS, f"""
+        SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN -118.69e0 ELSE lon END AS lon,
+               CASE WHEN c_custkey % 3 = 0 THEN 33.71e0 ELSE lat END AS lat FROM ({_CUST_POINTS}) c"""),
     "bucket_count": _BUCKETS,
     "bucket_count_udf": _BUCKETS,
     "union_periods": """
@@ -219,6 +263,7 @@ ORACLE_SQL: dict[str, str] = {
     "token_join_merge": _TOKENS,
     "token_join_shuffle_hash": _TOKENS,
     "token_join_broadcast": _TOKENS,
+    "token_join_bucketed": _TOKENS,
     "nearest_site": _NEAREST,
     "nearest_site_array": _NEAREST,
     "nearest_site_grid": _NEAREST,
@@ -227,6 +272,12 @@ ORACLE_SQL: dict[str, str] = {
         SELECT zone, CAST(8 AS INTEGER) AS n_edges, round(ox, 6) AS min_x, round(oy, 6) AS min_y,
                round(ox + 0.08e0, 6) AS max_x, round(oy + 0.1e0, 6) AS max_y
         FROM ({_ZONES}) z""",
+    "geojson_ranges": """
+        SELECT zone, CAST(CASE kind WHEN 0 THEN 6 WHEN 1 THEN 8 WHEN 2 THEN 8 WHEN 3 THEN 3 ELSE 0 END AS INTEGER) AS n_edges,
+               CASE WHEN kind < 4 THEN round(ox, 6) END AS min_x, CASE WHEN kind < 4 THEN round(oy, 6) END AS min_y,
+               CASE WHEN kind < 4 THEN round(ox + 0.03125e0, 6) END AS max_x, CASE WHEN kind < 4 THEN round(oy + 0.03125e0, 6) END AS max_y
+        FROM (SELECT s_suppkey AS zone, s_suppkey % 5 AS kind, -118.0e0 + (s_suppkey * 37 % 224) / 1024.0e0 AS ox,
+                     34.0e0 + (s_suppkey * 53 % 224) / 1024.0e0 AS oy FROM supplier) t""",
     "zone_income": f"SELECT zone, COMM, POP20, Income_per_block, ZCTA20 FROM ({_BLOCKS}) b",
     "points_in_zones": _PER_ZONE,
     "zone_rollup": f"""

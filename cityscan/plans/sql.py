@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cityscan.functions.geo import EARTH_RADIUS_M
-from cityscan.operators.nearest import nearest_site
+from cityscan.operators.nearest import PLACE_SQL, list_facts, site_cells, site_frame
 
 # Shares of the largest keys of each period. Totals are a relation of their own,
 # so the rank is the only window function and is cut per task before the shuffle.
@@ -34,85 +34,32 @@ def topk_share_sql(spark: SparkSession, events: DataFrame, lookup: DataFrame, k:
     return spark.sql(q, events=events, lookup=lookup)
 
 
-_HAV = """2.0D * {r_km}D * asin(sqrt(
-    pow(sin(radians({lat2} - {lat1}) / 2), 2)
-    + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2)))"""
-
-# Exact nearest site in one statement: each cell carries the sites of its 3x3
-# window (a broadcast bounded by 9 x sites); a point takes the closest of its
-# cell's list and keeps it when it beats the window-border bound, else it
-# scans the broadcast site array, which is joined only to those rows. The
-# site list is a bounded dimension (size-checked). No point x site rows are
-# formed.
+# Exact nearest site in one statement, on the staged relation of cells and the
+# sites that can be nearest in them (operators.nearest.site_cells): a point has one
+# cell, found by an equi-join on level and place, and takes the closest of its list;
+# a window keeps one row an id. No point x site rows are formed.
 NEAREST_SQL = """
-WITH s AS (
-    SELECT s_suppkey, s_name, lon, lat FROM {sites} WHERE lon IS NOT NULL AND lat IS NOT NULL
-),
-sizes AS (
-    -- of each cell size, how many sites share a site's cell on average
-    SELECT c, sum(n * n) / sum(n) AS mean
-    FROM (SELECT c, count(1) AS n
-          FROM s LATERAL VIEW explode(transform(sequence(0, 12), j -> 60.0D / pow(3.0D, j))) v AS c
-          GROUP BY c, floor(lon / c), floor(lat / c))
-    GROUP BY c
-),
-cell AS (
-    SELECT coalesce(max(c) FILTER (WHERE mean <= 4.0D), min(c), 1.0D) AS c FROM sizes
-),
-cells AS (
-    SELECT cx, cy, collect_list(struct(slon, slat, s_suppkey, s_name)) AS cands
-    FROM (
-        SELECT s.s_suppkey, s.s_name, s.lon AS slon, s.lat AS slat,
-               CAST(floor(s.lon / (SELECT c FROM cell)) AS BIGINT) + o.dx AS cx,
-               CAST(floor(s.lat / (SELECT c FROM cell)) AS BIGINT) + o.dy AS cy
-        FROM s
-        LATERAL VIEW inline(array(
-            named_struct('dx', -1, 'dy', -1), named_struct('dx', -1, 'dy', 0), named_struct('dx', -1, 'dy', 1),
-            named_struct('dx', 0, 'dy', -1), named_struct('dx', 0, 'dy', 0), named_struct('dx', 0, 'dy', 1),
-            named_struct('dx', 1, 'dy', -1), named_struct('dx', 1, 'dy', 0), named_struct('dx', 1, 'dy', 1))) o AS dx, dy
-    ) GROUP BY cx, cy
-),
-p0 AS (
-    SELECT c_custkey, lon, lat, (SELECT c FROM cell) AS c
-    FROM {points}
-    WHERE lon IS NOT NULL AND lat IS NOT NULL
-),
-p AS (
-    SELECT *, CAST(floor(lon / c) AS BIGINT) AS cx, CAST(floor(lat / c) AS BIGINT) AS cy FROM p0
-),
-pb AS (
-    SELECT *,
-      CASE WHEN (cy - 1) * c >= -90.0D AND (cy + 2) * c <= 90.0D AND (cx - 1) * c >= -180.0D AND (cx + 2) * c <= 180.0D
-                AND least(lon - (cx - 1) * c, (cx + 2) * c - lon) < 90.0D
-           THEN least(radians(least(lat - (cy - 1) * c, (cy + 2) * c - lat)) * {r_km}D,
-                      asin(cos(radians(lat)) * sin(radians(least(lon - (cx - 1) * c, (cx + 2) * c - lon)))) * {r_km}D)
-           ELSE 0.0D END AS bound
-    FROM p
-),
-cand AS (
-    SELECT /*+ BROADCAST(w) */ pb.c_custkey, pb.lon, pb.lat, pb.bound,
-           array_min(transform(w.cands, y -> struct(
-               HAV_WINDOW AS distance_km, y.s_suppkey AS s_suppkey, y.s_name AS s_name))) AS best
-    FROM pb LEFT JOIN cells w ON pb.cx = w.cx AND pb.cy = w.cy
+WITH p AS (
+    SELECT c_custkey, radians(lat) AS phi, radians(lon) AS lam FROM {points}
+    WHERE lon IS NOT NULL AND lat IS NOT NULL AND NOT isnan(lon) AND NOT isnan(lat)
 ),
-site_list AS (
-    SELECT collect_list(struct(lon AS slon, lat AS slat, s_suppkey, s_name)) AS sites FROM s
+v AS (
+    SELECT *, cos(phi) AS cphi, cos(phi) * cos(lam) AS _x, cos(phi) * sin(lam) AS _y, sin(phi) AS _z FROM p
 ),
-proved AS (
-    SELECT *, best IS NOT NULL AND best.distance_km < bound * (1.0D - 1e-9D) AS ok FROM cand
+at AS (
+    SELECT *, PLACE AS place FROM v LATERAL VIEW explode(array(LEVELS)) l AS _level
 ),
-resolved AS (
-    SELECT /*+ BROADCAST(l) */ c.c_custkey,
-           CASE WHEN c.ok THEN c.best
-                ELSE array_min(transform(l.sites, x -> struct(
-                       HAV_ARRAY AS distance_km, x.s_suppkey AS s_suppkey, x.s_name AS s_name))) END AS b
-    FROM proved c LEFT JOIN site_list l ON NOT c.ok
+best AS (
+    SELECT /*+ HINT(c) */ at.c_custkey,
+           array_min(transform(c._list, s -> struct(
+               DISTANCE AS distance_km, s._site.k AS s_suppkey, s._site.c0 AS s_name))) AS b
+    FROM at JOIN {cells} c ON c._level = at._level AND c._key = at.place
 ),
 nearest AS (
     SELECT * FROM (
         SELECT c_custkey, b,
                ROW_NUMBER() OVER (PARTITION BY c_custkey ORDER BY b.distance_km, b.s_suppkey, b.s_name) AS rn
-        FROM resolved
+        FROM best
     ) WHERE rn = 1
 )
 SELECT b.s_name AS site, ROUND(AVG(b.distance_km), 6) AS average_distance,
@@ -121,6 +68,8 @@ FROM nearest
 GROUP BY b.s_name
 ORDER BY number_of_points DESC, site
 """
+_DISTANCE = """{km}D * asin(least(sqrt(pow(sin((s._sphi - at.phi) * 0.5D), 2)
+                   + at.cphi * s._scphi * pow(sin((s._slam - at.lam) * 0.5D), 2)), 1.0D))"""
 
 # The load of each site, from a relation that an earlier statement or operator made.
 LOAD_SQL = """
@@ -140,26 +89,17 @@ def busiest_sites_sql(spark: SparkSession, nearest: DataFrame, k: int = 20) -> D
     return spark.sql(BUSIEST_SQL.replace("{k}", str(int(k))), load=load)
 
 
-def nearest_site_sql(spark: SparkSession, points: DataFrame, sites: DataFrame,
-                     radius_m: float = EARTH_RADIUS_M, broadcast_sites: int = 100_000) -> DataFrame:
-    """``points(c_custkey, lon, lat)`` valid coordinates; ``sites(s_suppkey, s_name, lon, lat)``.
+def nearest_site_sql(spark: SparkSession, points: DataFrame, sites: DataFrame, radius_m: float = EARTH_RADIUS_M,
+                     broadcast_max_bytes: int = 256 << 20) -> DataFrame:
+    """``points(c_custkey, lon, lat)``; ``sites(s_suppkey, s_name, lon, lat)``.
 
-    Same answers as ``nearest_site(..., id_cols=[c_custkey])`` and ``site_load``. The
-    statement broadcasts the site list; above ``broadcast_sites`` sites
-    (counted) the nearest sites come from ``nearest_site`` as a staged relation.
+    Same answers as ``nearest_site(..., id_cols=[c_custkey])`` and ``site_load``. One statement at any
+    number of sites: the measured bytes of the cells' lists only choose its join hint.
     """
-    sites = sites.where("lon between -180 and 180 and lat between -90 and 90")
-    n = sites.count()
-    if n > broadcast_sites:
-        near = nearest_site(points, sites, "lon", "lat", "lon", "lat", "s_suppkey", ["s_name"], ["c_custkey"],
-                            broadcast_sites=broadcast_sites, radius_m=radius_m)
-        return spark.sql(LOAD_SQL, nearest=near)
-    r_km = repr(radius_m / 1000.0)
-    hav_w = _HAV.format(r_km=r_km, lon1="pb.lon", lat1="pb.lat", lon2="y.slon", lat2="y.slat")
-    hav_a = _HAV.format(r_km=r_km, lon1="c.lon", lat1="c.lat", lon2="x.slon", lat2="x.slat")
-    q = (NEAREST_SQL.replace("{r_km}", r_km)
-         .replace("HAV_WINDOW", hav_w).replace("HAV_ARRAY", hav_a))
-    out = spark.sql(q, points=points, sites=sites)
-    # with at least one site every point has an answer, so the query needs no
-    # NULL filter (it would be pushed into the join and double the work)
-    return out if n > 0 else out.where("false")
+    st = site_frame(sites, "lon", "lat", "s_suppkey", ["s_name"])
+    cells = site_cells(st, n_sites=st.count())
+    levels, size = list_facts(cells)
+    q = NEAREST_SQL.replace("DISTANCE", _DISTANCE.replace("{km}", repr(2 * radius_m / 1000.0)))
+    q = q.replace("PLACE", PLACE_SQL)
+    q = q.replace("LEVELS", ", ".join(map(str, levels)) or "0").replace("HINT(c)", "BROADCAST(c)" if size <= broadcast_max_bytes else "MERGE(c)")
+    return spark.sql(q, points=points, cells=cells)

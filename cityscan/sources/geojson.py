@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cityscan.functions.geo import edges_bbox, rings_to_edges
+from cityscan.sources.geojson_ranges import feature_texts
 
 _RINGS = "array<array<array<double>>>"
 _PARTS = "array<array<array<array<double>>>>"
@@ -76,17 +77,21 @@ def read_geojson(
     * ``"document"`` (default): FeatureCollection documents, parsed whole -
       each file is one record in one task, fine for city-sized files; its
       features are then spread over the cluster.
+    * ``"ranges"``: the same documents of any size, a single line included, read by
+      many tasks from byte ranges (:mod:`cityscan.sources.geojson_ranges`).
     * ``"sequence"``: one feature per line (GeoJSON text sequence); splits
       across tasks.
     * ``"feature_lines"``: a FeatureCollection written one feature per line
       (the usual GDAL layout), read as splittable text.
 
     In every layout a malformed or truncated document, line or feature fails the
-    query that reads it; nothing is dropped. No job runs here.
+    query that reads it; nothing is dropped. No job runs here, but for the ranges' states.
     """
     layout = layout or ("sequence" if newline_delimited else "document")
     if layout == "sequence":
         return parse_features(spark.read.text(paths), properties)
+    if layout == "ranges":
+        return parse_features(feature_texts(spark, paths), properties)
     if layout == "document":
         schema = f"type string, features array<struct<{feature_schema(properties)}>>, {_CORRUPT} string"
         docs = spark.read.schema(schema).option("multiLine", True).option("columnNameOfCorruptRecord", _CORRUPT).json(paths)

@@ -72,3 +72,35 @@ def test_a_restart_in_another_session_loses_no_file(spark, tmp_path):
     assert sorted(r.DR_NO for r in other.read.parquet(out).collect()) == ["1", "2"]
     with pytest.raises((TypeError, ValueError)):
         start_incident_ingest(spark, str(src), out, "")
+
+
+def test_bad_rows_are_kept_apart_and_a_restart_repeats_nothing(spark, tmp_path, monkeypatch):
+    import pytest
+
+    from cityscan.streaming import ingest
+
+    src = tmp_path / "drop"
+    src.mkdir()
+    out, bad, ckpt = (str(tmp_path / x) for x in ("out", "bad", "ckpt"))
+    good_row, broken = _row("1", "2020 Jan 05 01:30:00 PM", 30, 34.0, -118.2), _row("2", "2020 Jan 06 01:30:00 PM", "x7", 34.0, -118.2)
+    _write(src / "a.csv", [good_row, broken, "3,too short"])
+    run = lambda: ingest.start_incident_ingest_checked(spark, str(src), out, bad, ckpt).awaitTermination(120)
+    run()
+    _write(src / "b.csv", [_row("4", "2021 Feb 05 01:30:00 PM", 30, 34.0, -118.2), _row("5", "bad date", 30, "north", -118.2)])
+    with monkeypatch.context() as m:  # the second batch stops between its two writes
+        write = ingest.write_batch
+
+        def half(batch, batch_id, out_path, quarantine_path, ts_format):
+            write(batch, batch_id, out_path, str(tmp_path / "lost"), ts_format)
+            raise RuntimeError("stopped")
+
+        m.setattr(ingest, "write_batch", half)
+        with pytest.raises(Exception, match="stopped"):
+            run()
+    run()
+    run()  # nothing new
+    assert sorted(r.DR_NO for r in spark.read.parquet(out).collect()) == ["1", "4"]
+    rows = sorted(spark.read.parquet(bad).collect(), key=lambda r: r.line)
+    assert [r.line.split(",")[0] for r in rows] == ["2", "3", "5"]
+    assert rows[0].line == broken and rows[0].file.endswith("a.csv") and rows[2].file.endswith("b.csv")
+    assert rows[0].parsed["Vict Age"] is None and rows[0].parsed["LAT"] == 34.0 and rows[0].batch_id != rows[2].batch_id

@@ -56,3 +56,16 @@ def test_broadcast_that_is_not_honoured_warns(spark):
         out = with_lookup(counts, codes, "token", "c", "d", strategy="broadcast", broadcast_max_bytes=1)
     assert any("exceeds broadcast_max_bytes" in str(w.message) for w in said)
     assert [tuple(r) for r in out.collect()] == [("a", "first", 1)]
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    import __spark_entry__ as E
+    from conftest import SF0001, plan_text
+
+    df = E.queries()["token_join_bucketed"](spark, SF0001)
+    want = E.queries()["token_join_merge"](spark, SF0001).collect()
+    assert df.collect() == want
+    plan = plan_text(df)
+    below = plan[plan.index("SortMergeJoin"):]
+    below = below[: below.index("== Initial Plan ==")] if "== Initial Plan ==" in below else below
+    assert "Exchange" not in below

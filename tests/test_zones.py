@@ -59,3 +59,21 @@ def test_a_zone_listed_twice_counts_once(spark):
     clash = zones.unionByName(spark.createDataFrame([(2, "B", 6)], "zone int, COMM string, POP20 int"))
     with pytest.raises(Exception, match="conflicting rows"):
         unique_zones(clash, "zone").collect()
+
+
+def test_extremes_reads_its_input_once(spark):
+    from conftest import plan_text
+
+    from cityscan.operators.zones import extremes
+
+    rows = [(i, float(v) if v is not None else None) for i, v in enumerate([5, 3, None, 9, 1, 7, None, 3, 2, 8])]
+    df = spark.createDataFrame(rows, "k int, v double").repartition(3)
+    got = extremes(df, "v", 3, ["k"])
+    low = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[0]))[:3]
+    high = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))[:3]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(low + high, key=str)
+    last = sorted(rows, key=lambda r: (r[1] is None, r[1] or 0, r[0]))[:2]
+    assert sorted(map(tuple, extremes(df, "v", 2, ["k"], nulls_first_low=False).collect())) == sorted(last + sorted(rows, key=lambda r: -(r[1] or 0))[:2])
+    assert extremes(df, "v", 20).count() == 20 and extremes(df.limit(0), "v", 3).count() == 0
+    plan = plan_text(got)
+    assert plan.count("RoundRobin") <= 2 and "WindowGroupLimit" in plan  # the final and the initial plan name it once each
