@@ -18,8 +18,8 @@ drawn rows are range-partitioned, for their ranks.
 from __future__ import annotations
 
 import math
-import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cityscan.llm.common import CRC_TABLE_SQL, crc_sql, in_order, shared_table
+from cityscan.llm.common import CRC_TABLE_SQL, crc_sql, in_order, shared_table, text_bytes
 
 #: Fixed values of the query: buckets, run length, seed, least words, share drawn in percent.
 BUCKETS = 10_000
@@ -39,43 +39,55 @@ PERCENT = 10
 #: Thresholds whose counts one job takes: as many as give five halvings of the range.
 _HALVINGS = 5
 
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+#: Bytes of UTF-8 to bytes of words: A-Z in lower case, digits, a-z and all that is not ASCII kept, the rest blanks.
+_FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
-class _Buckets(dict):
-    """word -> bucket, remembered for the first ``limit`` distinct words."""
+def words_of(text: bytes | None) -> list[bytes]:
+    return text.translate(_FOLD).split() if text else []
 
-    limit = 1 << 18
 
-    def __init__(self, buckets: int):
-        self.buckets = buckets
+def features_of(words: list[bytes], runs: int) -> Iterator[bytes]:
+    """The features of more than one word, in order."""
+    for k in range(2, runs + 1):
+        for i in range(len(words) - k + 1):
+            yield b" ".join(words[i:i + k])
 
-    def __missing__(self, word: str) -> int:
-        b = zlib.crc32(word.encode()) % self.buckets
-        if len(self) < self.limit:
-            self[word] = b
-        return b
 
+class _Remembered(dict):
+    """feature -> a number of its bucket, worked out once for the first ``limit`` distinct features."""
 
-def _features(text: str | None, runs: int, known: _Buckets) -> tuple[int, np.ndarray]:
-    """The number of words, and the bucket of every feature."""
-    words = _WORD.findall(text.translate(_LOWER)) if text else []
-    out = [known[w] for w in words]
-    for k in range(2, runs + 1):
-        out += [zlib.crc32(" ".join(words[i:i + k]).encode()) % known.buckets for i in range(len(words) - k + 1)]
-    return len(words), np.array(out, np.int64)
+    limit = 1 << 18
+
+    def __init__(self, of_bucket: list[int]):
+        self.of_bucket = of_bucket
+
+    def __missing__(self, feature: bytes) -> int:
+        v = self.of_bucket[zlib.crc32(feature) % len(self.of_bucket)]
+        if len(self) < self.limit:
+            self[feature] = v
+        return v
 
 
 def bucket_counts(df: DataFrame, text: str = "text", buckets: int = BUCKETS, runs: int = RUNS) -> np.ndarray:
     """How many features of all texts fall into each bucket; the driver gets one number a bucket."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, n = _Buckets(buckets), np.zeros(buckets, np.int64)
+        n, seen = np.zeros(buckets, np.int64), Counter()
+
+        def add():
+            np.add.at(n, [zlib.crc32(f) % buckets for f in seen], list(seen.values()))
+            seen.clear()
+
         for batch in batches:
-            for t in batch.column(0):
-                ids, times = np.unique(_features(t.as_py(), runs, known)[1], return_counts=True)
-                n[ids] += times
+            for t in text_bytes(batch.column(0)):
+                words = words_of(t)
+                seen.update(words)
+                seen.update(features_of(words, runs))
+                if len(seen) > 1 << 18:
+                    add()
+        if seen:
+            add()
         has = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(has), pa.array(n[has])], ["bucket", "n"])
 
@@ -108,10 +120,14 @@ def score(docs: DataFrame, gain: np.ndarray, text: str = "text", doc_id: str = "
     schema = ", ".join(f"`{c}` {src.schema[c].dataType.simpleString()}" for c in kept)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Buckets(len(gain))
+        gain_of = _Remembered(gain.tolist())
         for batch in batches:
-            rows = [_features(t.as_py(), runs, known) for t in batch.column(batch.num_columns - 1)]
-            numbers = ([r[0] for r in rows], [len(r[1]) for r in rows], [int(gain[r[1]].sum()) for r in rows])
+            numbers = ([], [], [])
+            for t in text_bytes(batch.column(batch.num_columns - 1)):
+                words = words_of(t)
+                more = list(features_of(words, runs))
+                for column, v in zip(numbers, (len(words), len(words) + len(more), sum(map(gain_of.__getitem__, words + more)))):
+                    column.append(v)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], *[pa.array(x, pa.int64()) for x in numbers]],
                 [*batch.schema.names[:-1], "n_words", "n_features", "weight"])
