@@ -46,6 +46,26 @@ HEADLINE = [
     "zone_corr",
     "zone_corr_nullzero",
     "zone_corr_extremes",
+    "token_join_bucketed",
+    "nearest_site_levels",
+    "nearest_site_skewed",
+    "nearest_site_city",
+    "nearest_site_city_sql",
+    "nearest_site_stacked",
+    "nearest_site_globe",
+    "nearest_site_dup",
+    "nearest_site_dup_levels",
+    "busiest_sites_sql",
+    "csv_incidents",
+    "csv_semicolon",
+    "code_lines",
+    "geojson_ranges",
+    "zones_with_empty",
+    "zone_rollup_dup",
+    "shapes",
+    "shapes_shuffled",
+    "shapes_arrow",
+    "points_in_zones_skewed",
 ]
 
 

@@ -24,7 +24,7 @@ from cityscan.plans.inputs import table
 from cityscan.plans import sql as sqlq
 from cityscan.functions.clean import money_to_int
 from cityscan.session import checkpoint_dir, ensure_parallelism, materialize
-from cityscan.sources.csv import INCIDENT_SCHEMA, INCOME_SCHEMA, codes_from_lines, parse_delimited, union_periods
+from cityscan.sources.csv import INCIDENT_SCHEMA, INCOME_SCHEMA, codes_from_lines, parse_delimited, read_incidents, union_periods
 from cityscan.sources.geojson import features_to_zones, parse_features, read_geojson
 
 # ---------------------------------------------------------------- P1
@@ -230,7 +230,16 @@ def q_busiest_sites_sql(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_csv_incidents(spark: SparkSession, d: str) -> DataFrame:
-    rows = parse_delimited(inputs.incident_lines(spark, d), INCIDENT_SCHEMA, corrupt_column="_bad")
+    return _incident_rows(parse_delimited(inputs.incident_lines(spark, d), INCIDENT_SCHEMA, corrupt_column="_bad"))
+
+
+def q_csv_files(spark: SparkSession, d: str) -> DataFrame:
+    """The same cells by way of files: CSV with a header line each, read as one table."""
+    path = inputs.incident_files(spark, d, f"{checkpoint_dir(spark).rstrip('/')}/incidents-{uuid.uuid4().hex}")
+    return _incident_rows(read_incidents(spark, path).withColumn("_bad", F.lit(None))).drop("corrupt")
+
+
+def _incident_rows(rows: DataFrame) -> DataFrame:
     return rows.select(
         F.col("DR_NO").alias("dr_no"), F.col("Crm Cd Desc").alias("description"), F.col("Vict Age").alias("age"), F.col("LAT").alias("lat"),
         F.col("LON").alias("lon"), year_of("DATE OCC").alias("year"), F.col("_bad").isNotNull().alias("corrupt"))
@@ -339,6 +348,14 @@ def q_zone_rollup(spark: SparkSession, d: str) -> DataFrame:
     return _rollup_out(_rollup(spark, d))
 
 
+def q_zone_rollup_sql(spark: SparkSession, d: str) -> DataFrame:
+    """The zone pipeline as SQL statements on staged relations: blocks, points in them, the roll-up."""
+    blocks = materialize(sqlq.blocks_sql(spark, inputs.zones(spark, d), inputs.zip_income(spark, d), "Los Angeles"))
+    pts = ensure_parallelism(inputs.customer_points(spark, d, specials=True)).where(valid_coords("lon", "lat", drop_zero=False))
+    hits = points_in_zones(pts.select("lon", "lat"), blocks, "lon", "lat", zone_cols=["zone"])
+    return _rollup_out(sqlq.zone_rollup_sql(spark, hits, blocks))
+
+
 def _rollup_out(r: DataFrame) -> DataFrame:
     return r.select("COMM", "total_population", "total_crime_count", "total_income",
                     F.round("crimes_per_person", 6).alias("crimes_per_person"),
@@ -388,6 +405,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nearest_site_dup_levels": q_nearest_site_dup_levels,
     "busiest_sites_sql": q_busiest_sites_sql,
     "csv_incidents": q_csv_incidents,
+    "csv_files": q_csv_files,
     "csv_semicolon": q_csv_semicolon,
     "code_lines": q_code_lines,
     "geojson_zones": q_geojson_zones,
@@ -401,6 +419,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "zone_income": q_zone_income,
     "points_in_zones": q_points_in_zones,
     "zone_rollup": q_zone_rollup,
+    "zone_rollup_sql": q_zone_rollup_sql,
     "zone_corr": q_zone_corr,
     "zone_corr_nullzero": q_zone_corr_nullzero,
     "zone_corr_extremes": q_zone_corr_extremes,

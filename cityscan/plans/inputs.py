@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cityscan.sources.csv import INCIDENT_SCHEMA
 from cityscan.sources.geojson import features_to_zones, parse_features
 
 
@@ -148,6 +149,16 @@ def incident_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 13 == 7, head).otherwise(F.concat(head, rest)).alias("value"))
 
 
+def incident_files(spark: SparkSession, sf_dir: str, path: str, files: int = 3) -> str:
+    """``incident_lines`` as CSV files with a header line each; returns the folder."""
+    lines = incident_lines(spark, sf_dir).withColumn("part", F.pmod(F.xxhash64("value"), F.lit(files)).cast("int")).withColumn("n", F.lit(1))
+    header = ",".join(f.name for f in INCIDENT_SCHEMA.fields)
+    heads = spark.range(files, numPartitions=1).select(F.lit(header).alias("value"), F.col("id").cast("int").alias("part"), F.lit(0).alias("n"))
+    rows = lines.unionByName(heads).repartition(files, "part").sortWithinPartitions("part", "n")
+    rows.select("part", "value").write.partitionBy("part").text(path)
+    return path
+
+
 def income_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zip;community;income lines, one per customer; some without income, some with a bad zip."""
     k = F.col("c_custkey")

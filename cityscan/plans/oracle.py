@@ -209,6 +209,16 @@ FROM z LEFT JOIN j ON j.zone = z.zone AND CASE z.kind
 GROUP BY z.zone
 """
 
+_INCIDENTS = """
+        SELECT CAST(c_custkey AS VARCHAR) AS dr_no,
+               CASE WHEN c_custkey % 2 = 0 THEN 'AGGRAVATED ASSAULT, TYPE ' || c_custkey ELSE 'THEFT' END AS description,
+               CASE WHEN c_custkey % 11 IN (3, 5) THEN NULL ELSE CAST(c_custkey % 90 AS INTEGER) END AS age,
+               CASE WHEN c_custkey % 13 = 7 THEN NULL ELSE 34.5e0 END AS lat,
+               CASE WHEN c_custkey % 13 = 7 THEN NULL ELSE -118.25e0 END AS lon,
+               CAST(year(make_timestamp((1577836800 + c_custkey * 86400) * 1000000)) AS INTEGER) AS year,
+               c_custkey % 11 = 3 OR c_custkey % 13 = 7 AS corrupt
+        FROM customer"""
+
 ORACLE_SQL: dict[str, str] = {
     "nearest_site_levels": _NEAREST,
     "nearest_site_skewed": _SKEWED,
@@ -219,15 +229,8 @@ ORACLE_SQL: dict[str, str] = {
     "nearest_site_dup": _DUP,
     "nearest_site_dup_levels": _DUP,
     "busiest_sites_sql": f"SELECT * FROM ({_NEAREST}) t ORDER BY number_of_points DESC, site LIMIT 20",
-    "csv_incidents": """
-        SELECT CAST(c_custkey AS VARCHAR) AS dr_no,
-               CASE WHEN c_custkey % 2 = 0 THEN 'AGGRAVATED ASSAULT, TYPE ' || c_custkey ELSE 'THEFT' END AS description,
-               CASE WHEN c_custkey % 11 IN (3, 5) THEN NULL ELSE CAST(c_custkey % 90 AS INTEGER) END AS age,
-               CASE WHEN c_custkey % 13 = 7 THEN NULL ELSE 34.5e0 END AS lat,
-               CASE WHEN c_custkey % 13 = 7 THEN NULL ELSE -118.25e0 END AS lon,
-               CAST(year(make_timestamp((1577836800 + c_custkey * 86400) * 1000000)) AS INTEGER) AS year,
-               c_custkey % 11 = 3 OR c_custkey % 13 = 7 AS corrupt
-        FROM customer""",
+    "csv_incidents": _INCIDENTS,
+    "csv_files": f"SELECT * EXCLUDE (corrupt) FROM ({_INCIDENTS}) t",
     "csv_semicolon": """
         SELECT CASE WHEN c_custkey % 17 = 4 THEN NULL ELSE CAST(90000 + c_custkey AS INTEGER) END AS zip,
                'Town, ' || (c_custkey % 7) AS community,
@@ -285,6 +288,11 @@ ORACLE_SQL: dict[str, str] = {
                round(crimes_per_person, 6) AS crimes_per_person,
                round(income_per_capita, 6) AS income_per_capita
         FROM ({_ROLLUP}) r""",
+    "zone_rollup_sql": f"""
+        SELECT COMM, total_population, total_crime_count, total_income,
+               round(crimes_per_person, 6) AS crimes_per_person,
+               round(income_per_capita, 6) AS income_per_capita
+        FROM ({_ROLLUP}) r""",
     "zone_rollup_dup": f"""
         SELECT COMM, total_population, total_crime_count, total_income,
                round(crimes_per_person, 6) AS crimes_per_person,

@@ -83,6 +83,41 @@ ORDER BY number_of_points DESC, site
 BUSIEST_SQL = "SELECT site, average_distance, number_of_points FROM {load} ORDER BY number_of_points DESC, site LIMIT {k}"
 
 
+# Zones of each community with their points: population, points, income and the two ratios.
+ROLLUP_SQL = """
+WITH counted AS (
+    SELECT zone, count(1) AS crimes FROM {hits} GROUP BY zone
+),
+summed AS (
+    SELECT b.COMM, sum(b.POP20) AS total_population, sum(c.crimes) AS total_crime_count, sum(b.Income_per_block) AS total_income
+    FROM {blocks} b JOIN counted c ON c.zone = b.zone
+    GROUP BY b.COMM
+)
+SELECT *, try_divide(total_crime_count, total_population) AS crimes_per_person,
+       try_divide(total_income, total_population) AS income_per_capita
+FROM summed
+"""
+
+# Zones with the income of their zip code: malformed codes drop the zone, malformed income is NULL.
+BLOCKS_SQL = """
+SELECT z.*, z.HOUSING20 * i.income AS Income_per_block
+FROM {zones} z
+JOIN (SELECT Zip_Code, try_cast(regexp_replace(Estimated_Median_Income, '[$,]', '') AS INT) AS income FROM {incomes}) i
+  ON try_cast(z.ZCTA20 AS INT) = i.Zip_Code
+WHERE z.CITY = {city}
+"""
+
+
+def blocks_sql(spark: SparkSession, zones: DataFrame, incomes: DataFrame, city: str) -> DataFrame:
+    """``zones(zone, CITY, COMM, POP20, HOUSING20, ZCTA20, ...)`` joined to ``incomes(Zip_Code, Estimated_Median_Income)``, one row a zip."""
+    return spark.sql(BLOCKS_SQL.replace("{city}", ":city"), {"city": city}, zones=zones, incomes=incomes)
+
+
+def zone_rollup_sql(spark: SparkSession, hits: DataFrame, blocks: DataFrame) -> DataFrame:
+    """``hits(zone)``, a row a point, and ``blocks(zone, COMM, POP20, Income_per_block)``; the same rows as ``zone_rollup``."""
+    return spark.sql(ROLLUP_SQL, hits=hits, blocks=blocks)
+
+
 def busiest_sites_sql(spark: SparkSession, nearest: DataFrame, k: int = 20) -> DataFrame:
     """Two statements in a chain: the load of each site of ``nearest(s_name, distance_km)``, then its top ``k``."""
     load = spark.sql(LOAD_SQL, nearest=nearest)

@@ -29,8 +29,8 @@ def main() -> None:
     spark = build_session("local[8]", shuffle_partitions=8)
     print(f"# PLANS\n\nFinal adaptive plans at `{d}` on local[8] (generated by `tools/plan_report.py`).")
     print("Counts are operators in the final plan; scans list the columns read and the filters pushed.")
-    print("In the nearest_* keys, BroadcastNestedLoopJoin is the attach of the one-row site array (no point x site")
-    print("pairs), and SortAggregate is the de-duplication of the small site-attribute table (string columns).\n")
+    print("In nearest_site_array, BroadcastNestedLoopJoin is the attach of the one-row site array (no point x site")
+    print("pairs); SortAggregate is the reduction per id or position by structs with text.\n")
     for k, f in QUERIES.items():
         df = f(spark, d)
         df.collect()

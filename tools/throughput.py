@@ -17,9 +17,11 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from cityscan.operators.nearest import nearest_site, site_load  # noqa: E402
 from cityscan.operators.within import points_in_zones  # noqa: E402
+from cityscan.operators.zones import unique_zones  # noqa: E402
 from cityscan.plans import inputs  # noqa: E402
 from cityscan.plans.catalog import _blocks_with_income  # noqa: E402
 from cityscan.session import build_session, materialize  # noqa: E402
+from cityscan.sources.geojson import features_to_zones, parse_features  # noqa: E402
 
 
 def main() -> None:
@@ -34,7 +36,22 @@ def main() -> None:
     n = pts.count()
     sites = inputs.supplier_sites(spark, d)
     blocks = materialize(_blocks_with_income(spark, d))
+    lattice = materialize(li.select(k.alias("pid"), (F.lit(-118.0) + (k * 7919 % 256) / F.lit(1024.0)).alias("lon"),
+                                    (F.lit(34.0) + (k * 6007 % 256) / F.lit(1024.0)).alias("lat")).repartition(cores))
+    shapes = features_to_zones(parse_features(inputs.shape_texts(spark, d), {"zone": "bigint"}), id_col="zone")
+    shapes = materialize(unique_zones(shapes, "zone"))
+
+    def near(sites):
+        return lambda: site_load(nearest_site(pts, sites, "lon", "lat", "lon", "lat", "s_suppkey", ["s_name"]), ["s_name"])
+
+    def in_shapes(engine):
+        return lambda: points_in_zones(lattice, shapes, "lon", "lat", ["zone"], engine=engine).groupBy("zone").count()
+
     cases = {
+        "nearest_cells_city": near(inputs.city_sites(spark, d)),
+        "nearest_cells_stacked": near(inputs.stacked_sites(spark, d)),
+        "shapes_native": in_shapes("native"),
+        "shapes_arrow": in_shapes("arrow"),
         "nearest_cells": lambda: site_load(nearest_site(pts, sites, "lon", "lat", "lon", "lat", "s_suppkey",
                                                         ["s_name"], method="grid"), ["s_name"]),
         "nearest_array": lambda: site_load(nearest_site(pts, sites, "lon", "lat", "lon", "lat", "s_suppkey",
