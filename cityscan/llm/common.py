@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +18,8 @@ from cityscan.session import checkpoint_dir
 SPACE = " \t\n\x0b\f\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Rows of (id) that may be broadcast; about 24 bytes each. Larger sides are shuffled.
-BROADCAST_ROWS = 2_000_000
+#: Bytes of rows, measured, that may be broadcast. Larger sides are shuffled.
+BROADCAST_BYTES = 48 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
@@ -46,19 +47,36 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def shared_table(df: DataFrame, name: str) -> DataFrame:
+#: The tables written inside the innermost ``scratch_tables``.
+_scratch: list[list[DataFrame]] = []
+
+
+def shared_table(df: DataFrame, name: str, kept: bool = False) -> DataFrame:
     """Write ``df`` as Parquet under the cluster's shared checkpoint folder and read it back.
 
     Cuts the lineage: a lost executor rereads files, and the file sizes let
-    AQE plan the joins that follow.
+    AQE plan the joins that follow. ``kept``: not one of the enclosing ``scratch_tables``.
     """
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.table_path = path
+    if _scratch and not kept:
+        _scratch[-1].append(out)
     return out
 
 
+@contextmanager
+def scratch_tables() -> Iterator[None]:
+    """Deletes, at its end, the shared tables written inside. What is still to be read has to be ``kept``."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for table in _scratch.pop():
+            drop_table(table)
+
+
 def drop_table(table: DataFrame) -> None:
     """Delete a shared table that nothing still to be computed reads."""
     jvm = table.sparkSession._jvm
@@ -82,14 +100,25 @@ def n_buckets(df: DataFrame, bytes_per_row_byte: float, text_col: str = "text",
     return max(least, int(total * bytes_per_row_byte / bucket_bytes) + 1)
 
 
+def row_bytes(df: DataFrame) -> int:
+    """The bytes of all rows of a written table, some 32 a row besides its values."""
+    size = F.lit(32)
+    for f in df.schema.fields:
+        kind = f.dataType.typeName()
+        each = (F.octet_length(f.name) if kind in ("string", "binary") else F.size(f.name) * 16 if kind == "array"
+                else F.octet_length(F.to_json(f.name)) if kind in ("struct", "map") else F.lit(8))
+        size = size + F.coalesce(each, F.lit(0))
+    return int(df.agg(F.sum(size.cast("long")).alias("n")).first()["n"] or 0)
+
+
 def checked_broadcast(table: DataFrame) -> DataFrame:
-    """A written table, with the broadcast hint only if its counted rows fit ``BROADCAST_ROWS``."""
-    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+    """A written table, with the broadcast hint only if its measured bytes fit ``BROADCAST_BYTES``."""
+    return F.broadcast(table) if row_bytes(table) <= BROADCAST_BYTES else table
 
 
 def with_ids(df: DataFrame, ids: DataFrame, key: str | list[str], how: str = "left_semi") -> DataFrame:
     """Rows of ``df`` joined with the written table ``ids``, which is broadcast only if its
-    counted rows fit ``BROADCAST_ROWS``; beyond that both sides are shuffled."""
+    measured bytes fit ``BROADCAST_BYTES``; beyond that both sides are shuffled."""
     return df.join(checked_broadcast(ids), key, how)
 
 
@@ -97,8 +126,9 @@ def with_ids(df: DataFrame, ids: DataFrame, key: str | list[str], how: str = "le
 
 
 def in_order(df: DataFrame, keys: list[Column], name: str, group: list[str] | None = None,
-             place: str = "place") -> DataFrame:
-    """``df`` with ``place``: how many rows of the same ``group`` (of all, if none) stand before it in order of ``keys``.
+             place: str = "place", value: str | None = None) -> DataFrame:
+    """``df`` with ``place``: how many rows of the same ``group`` (of all, if none) stand before it in order of
+    ``keys``, or the sum of their ``value``.
 
     Rows are range-partitioned on group, keys and a number that every row has alone, so neither a
     hot group nor equal rows meet in one task; only the partitions' sizes are added up. Equal rows
@@ -113,14 +143,17 @@ def in_order(df: DataFrame, keys: list[Column], name: str, group: list[str] | No
         rows.repartitionByRange(n, *order).sortWithinPartitions(*order).drop("__alone")
         .withColumn("__part", F.shiftright(row, 33)).withColumn("__row", row.bitwiseAND(F.lit((1 << 33) - 1))), f"{name}-order")
     drop_table(rows)
-    sizes = placed.groupBy("__part", *group).agg(F.count(F.lit(1)).alias("__n"), F.min("__row").alias("__first"))
+    sizes = placed.groupBy("__part", *group).agg((F.sum(value) if value else F.count(F.lit(1))).alias("__n"), F.min("__row").alias("__first"))
     earlier = Window.partitionBy(*group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(F.col("__part").alias("__p"), *[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)], "__first",
                           F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__start"))
     same = F.col("__part") == F.col("__p")
     for i, g in enumerate(group):
         same = same & F.col(g).eqNullSafe(F.col(f"__g{i}"))
-    out = placed.join(starts, same).withColumn(place, F.col("__start") + F.col("__row") - F.col("__first"))
+    inside = F.col("__row") - F.col("__first")
+    if value:  # a part's rows, bounded by the range partition, in their order
+        inside = F.coalesce(F.sum(value).over(Window.partitionBy("__part", *group).orderBy("__row").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    out = placed.join(starts, same).withColumn(place, F.col("__start") + inside)
     out = out.select(*df.columns, place)
     out.table_path = placed.table_path
     return out
