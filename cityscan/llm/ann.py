@@ -30,6 +30,8 @@ from cityscan.llm.common import checked_broadcast, shared_table
 
 #: The curve's dimensions and bits of each (40 bits a key, so that 12 are left to part equal keys).
 DIMS, BITS = 8, 5
+#: About so many queries meet a block in one group.
+_ASKED = 4096
 
 
 def hilbert(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -107,13 +109,21 @@ def _keyed(curves: Curves, queries: bool):
 
 
 def _best(scores: np.ndarray, k: int) -> np.ndarray:
-    """Column numbers of the ``k`` largest of each row, in no order."""
+    """Column numbers of the ``k`` largest of each row, in no order; of equal scores the first columns.
+
+    Scores that differ by rounding only count as equal here; the final order has exact ones.
+    """
     if scores.shape[1] <= k:
         return np.tile(np.arange(scores.shape[1]), (len(scores), 1))
-    return np.argpartition(-scores, k - 1, axis=1)[:, :k]
+    least = -np.partition(-scores, k - 1, axis=1)[:, k - 1:k]
+    near = 1e-12 * np.maximum(1.0, np.abs(least))
+    above, equal = scores > least + near, np.abs(scores - least) <= near
+    room = k - above.sum(axis=1, keepdims=True)
+    return np.nonzero(above | (equal & (np.cumsum(equal, axis=1) <= room)))[1].reshape(len(scores), k)
 
 
 def _packed(q: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> pa.Table:
+    """The ``k`` best of each query; ``ids`` ascend, so that ties go to the smaller id."""
     at = _best(scores, k)
     return pa.table({"q": pa.array(q, pa.int64()), "ids": pa.array(list(ids[at]), pa.list_(pa.int64())),
                      "scores": pa.array(list(np.take_along_axis(scores, at, 1)), pa.list_(pa.float64()))})
@@ -126,6 +136,7 @@ def _exhaustive(q: np.ndarray, vectors: np.ndarray, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
+                b = b.sort_by("rep")
                 yield from _packed(q, b.column("rep").to_numpy(), vectors @ _matrix(b.column("vec")).T, k).to_batches()
 
     return run
@@ -134,7 +145,7 @@ def _exhaustive(q: np.ndarray, vectors: np.ndarray, k: int):
 def _block(k: int):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         asks = table.column("asks").combine_chunks()
-        have, want = table.filter(pa.compute.invert(asks)), table.filter(asks)
+        have, want = table.filter(pa.compute.invert(asks)).sort_by("rep"), table.filter(asks)
         if not len(have) or not len(want):
             return _packed(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 0)), k)
         x, ids = _matrix(have.column("vec")), have.column("rep").to_numpy()
@@ -234,7 +245,12 @@ def nearest(vectors: DataFrame, is_query, key: str = "vec_id", vector: str = "em
         F.greatest(F.lit(0), F.col("block") - window), F.least(F.lit(n_blocks - 1), F.col("block") + window))))
     want = want.join(checked_broadcast(shared_table(asked_points, "ann-asked")), "rep").select(
         "curve", "block", "rep", "vec", F.lit(True).alias("asks"))
-    near = (have.unionByName(want).groupBy("curve", "block").applyInArrow(_block(k + 1), _FOUND)
+    # a block's queries are dealt into groups of some _ASKED each, the block's points to every one of them
+    asks = shared_table(want.groupBy("curve", "block").agg(F.ceil(F.count(F.lit(1)) / _ASKED).cast("int").alias("groups")), "ann-groups")
+    want = want.join(checked_broadcast(asks), ["curve", "block"]).withColumn("group", F.pmod(F.xxhash64("rep"), "groups").cast("int")).drop("groups")
+    have = have.join(checked_broadcast(asks), ["curve", "block"]).withColumn(
+        "group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).drop("groups")
+    near = (have.unionByName(want).groupBy("curve", "block", "group").applyInArrow(_block(k + 1), _FOUND)
             .groupBy("q").applyInArrow(_merge(k + 4), "q long, id long"))
 
     # exact scores of the merged candidates, then copies and the order with ties
@@ -246,3 +262,17 @@ def nearest(vectors: DataFrame, is_query, key: str = "vec_id", vector: str = "em
            .join(queries.select(F.col("rep").alias("q"), F.col("id").alias("query_id")), "q").where("vec_id <> query_id"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return out.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+#: The exact neighbours in DuckDB SQL; the same rows where the index is one block, as it is up to 2,047 vectors.
+ORACLE_SQL = r"""
+  WITH v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS vec FROM embeddings
+             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding::DOUBLE[], lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+               AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+       l AS (SELECT len(vec) AS n FROM v GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
+       u AS (SELECT id, min(vec) AS vec FROM v, l WHERE len(vec) = l.n GROUP BY id),
+       s AS (SELECT q.id AS query_id, x.id AS vec_id,
+                    list_reduce(list_transform(range(1, len(q.vec) + 1), lambda i: x.vec[i] * q.vec[i]), lambda a, b: a + b) AS score
+             FROM u q JOIN u x ON x.id <> q.id WHERE q.id % 20 = 0)
+  SELECT query_id, rank, vec_id, score
+  FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s) t WHERE rank <= 20"""

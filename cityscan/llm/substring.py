@@ -147,3 +147,17 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     ids = marks.select("__row")
     return with_ids(d, ids, "__row", "left_anti").mapInArrow(clean, schema).unionByName(
         with_ids(d, ids, "__row").join(marks, "__row").mapInArrow(clean, schema))
+
+
+#: The query's rows in DuckDB SQL, for unique ids.
+ORACLE_SQL = r"""
+  WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+       p AS (SELECT r, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM d),
+       s AS (SELECT r, i, array_to_string(w[i:i + 34], ' ') AS win FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+       t AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY win) AS n FROM s) WHERE n > 1),
+       c AS (SELECT p.r, p.i, p.word, coalesce(max(CASE WHEN t.i IS NOT NULL THEN 1 END) OVER (
+                    PARTITION BY p.r ORDER BY p.i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW), 0) AS gone
+             FROM p LEFT JOIN t ON t.r = p.r AND t.i = p.i),
+       k AS (SELECT r, sum(gone)::BIGINT AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (gone = 0) AS kept FROM c GROUP BY r)
+  SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+  FROM d LEFT JOIN k USING (r)"""

@@ -235,3 +235,13 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         F.when(again, F.regexp_extract("said", "sha1:([0-9a-f]{40})", 1)).otherwise(F.col("digest")).alias("payload_digest"),
         F.col("type").alias("record_type"),
         F.when(again, page("refers")).alias("refers_to"))
+
+
+#: The query's rows in DuckDB SQL, from the pages themselves.
+ORACLE_SQL = r"""
+  WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+       q AS (SELECT *, octet_length(encode(h)) AS n, max(page_id) OVER (PARTITION BY h) AS last FROM p)
+  SELECT page_id, n::BIGINT AS payload_bytes, sha1(h) AS payload_digest,
+         CASE WHEN n >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+         CASE WHEN n >= 1000 AND page_id <> last THEN last END AS refers_to
+  FROM q"""

@@ -10,7 +10,7 @@ from cityscan.llm import catalog
 @pytest.mark.parametrize("name", sorted(catalog.ORACLE_SQL))
 def test_sql_gives_the_same_rows(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF0001}/{t}.parquet')")
     df = catalog.QUERIES[name](spark, SF0001)
     rel = con.sql(catalog.ORACLE_SQL[name])
