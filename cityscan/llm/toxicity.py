@@ -36,6 +36,9 @@ IDENTITY_TERMS = (
     ("disabled", "deaf", "blind", "autistic"),
 )
 
+#: The least weight of a label's rows, of all: a rare label is not smoothed away.
+LEAST_SHARE = 0.05
+
 _SPACE_BITS = 20
 _TOKEN = re.compile(r"\w+")
 
@@ -119,11 +122,13 @@ def _sample_rows(used: frozenset[int], kinds):
             ys, xs, cs = b.column("y").to_pylist(), [], []
             for text in _texts(b):
                 words = distinct_words(text)
-                xs.append(sorted(feature_set(words, features)))
-                cs.append([sorted(feature_set(w, features)) for w in swaps(words, kinds)])
+                x = feature_set(words, features)
+                xs.append(sorted(x))
+                # a swap is the features that it takes away, then those that it brings
+                cs.append([sorted(-1 - i for i in x - c) + sorted(c - x) for c in (feature_set(w, features) for w in swaps(words, kinds))])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ys, pa.int32()), pa.array(xs, pa.list_(pa.int32())),
-                 pa.array(cs, pa.list_(pa.list_(pa.int32())))], names=["y", "x", "swapped"])
+                 pa.array(cs, pa.list_(pa.list_(pa.int32())))], names=["y", "x", "changes"])
 
     return run
 
@@ -141,36 +146,40 @@ class ToxicityModel:
 
 
 class _Rows:
-    """Sparse 0/1 rows."""
+    """Sparse rows of 0, 1 and, for numbers below 0 (``-1 - i``), -1."""
 
     def __init__(self, rows: list[list[int]], width: int):
         self.width, self.n = width, len(rows)
         self.row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-        self.col = np.array([c for r in rows for c in r], np.int64)
+        col = np.array([c for r in rows for c in r], np.int64)
+        self.sign = np.where(col < 0, -1.0, 1.0)
+        self.col = np.where(col < 0, -1 - col, col)
 
     def dot(self, w):
-        return np.bincount(self.row, w[self.col], self.n)
+        return np.bincount(self.row, self.sign * w[self.col], self.n)
 
     def back(self, g):
-        return np.bincount(self.col, g[self.row], self.width)
+        return np.bincount(self.col, self.sign * g[self.row], self.width)
+
 
+def fit_weights(x: list[list[int]], y: np.ndarray, changes: list[list[list[int]]], width: int,
+                penalty: float, l2: float, steps: int = 500, times: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+    """Minimise mean log loss + l2 |w|^2 / 2 + penalty * mean (score change by a swap)^2, by Adam.
 
-def fit_weights(x: list[list[int]], y: np.ndarray, swapped: list[list[list[int]]], width: int,
-                penalty: float, l2: float, steps: int = 500) -> tuple[np.ndarray, float]:
-    """Minimise mean log loss + l2 |w|^2 / 2 + penalty * mean (score change by a swap)^2, by Adam."""
+    A row counts ``times`` in the mean of the loss (once, if not given).
+    """
     rows = _Rows(x, width)
-    origin = np.repeat(np.arange(len(x)), [len(s) for s in swapped])
-    flipped = _Rows([s for group in swapped for s in group], width)
-    w, bias = np.zeros(width), float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 1.5)))
+    swaps_ = _Rows([s for group in changes for s in group], width)
+    times = np.ones(len(y)) if times is None else times
+    times = times / max(times.sum(), 1.0)
+    w, bias = np.zeros(width), float(np.log(((times * y).sum() * len(y) + 0.5) / ((times * (1 - y)).sum() * len(y) + 1.5)))
     m, v = np.zeros(width + 1), np.zeros(width + 1)
     for step in range(1, steps + 1):
         z = rows.dot(w)
-        r = (1 / (1 + np.exp(-np.clip(z + bias, -500, 500))) - y) / max(1, len(y))
+        r = (1 / (1 + np.exp(-np.clip(z + bias, -500, 500))) - y) * times
         g = rows.back(r) + l2 * w
-        if len(origin):
-            d = z[origin] - flipped.dot(w)
-            e = 2 * penalty * d / len(d)
-            g += rows.back(np.bincount(origin, e, len(x))) - flipped.back(e)
+        if swaps_.n:
+            g += swaps_.back(2 * penalty * swaps_.dot(w) / swaps_.n)
         g = np.append(g, r.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         move = 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
@@ -185,7 +194,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
     All labelled rows are counted to choose ``max_features`` features; the fit
     itself reads about ``max_rows`` of them (a documented bound), chosen by a
-    hash of the id. A row without label is left out, a repeated label counts as
+    hash of the id: half for each label, or all of a label that has fewer, so a rare label is
+    not thinned out; rows count by the inverse of their label's share, a label's together at least ``LEAST_SHARE``. A row without label is left out, a repeated label counts as
     its largest, a null text has no features; no labelled rows give a score
     below 0.5 for every text.
     """
@@ -204,16 +214,22 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     best = counts.select("feature", chi.alias("chi")).orderBy(F.desc("chi"), "feature").limit(max_features)
     used = frozenset([r["feature"] for r in best.collect()] +
                      [i for kind in kinds for term in kind for i in word_features(term)])
-    share = min(1.0, max_rows / (n0 + n1))
-    sample = rows.where(F.pmod(F.xxhash64("__id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    few = min(n0, n1, max_rows // 2)
+    quota = {0: min(n0, max(max_rows // 2, max_rows - few)), 1: min(n1, max(max_rows // 2, max_rows - few))}
+    share = {0: quota[0] / n0, 1: quota[1] / n1}
+    of_label = F.when(F.col("y") == 1, int(share[1] * (1 << 53))).otherwise(int(share[0] * (1 << 53)))
+    sample = rows.where(F.pmod(F.xxhash64("__id"), F.lit(1 << 53)) < of_label)
     got = (sample.select("y", "text")
-           .mapInArrow(_sample_rows(used, kinds), "y int, x array<int>, swapped array<array<int>>").toArrow())
+           .mapInArrow(_sample_rows(used, kinds), "y int, x array<int>, changes array<array<int>>").toArrow())
     order = sorted(used)
     at = {f: i for i, f in enumerate(order)}
-    data = sorted(zip(got.column("x").to_pylist(), got.column("y").to_pylist(), got.column("swapped").to_pylist()))
+    at |= {-1 - f: -1 - i for f, i in at.items()}
+    data = sorted(zip(got.column("x").to_pylist(), got.column("y").to_pylist(), got.column("changes").to_pylist()))
     x = [[at[f] for f in r[0]] for r in data]
-    swapped = [[[at[f] for f in s] for s in r[2]] for r in data]
-    w, bias = fit_weights(x, np.array([r[1] for r in data], float), swapped, len(order), penalty, l2)
+    changes = [[[at[f] for f in s] for s in r[2]] for r in data]
+    y = np.array([r[1] for r in data], float)
+    each = [max(n, LEAST_SHARE * (n0 + n1)) / quota[k] for k, n in enumerate((n0, n1))]
+    w, bias = fit_weights(x, y, changes, len(order), penalty, l2, times=np.where(y == 1, each[1], each[0]))
     return ToxicityModel(bias, {f: float(v) for f, v in zip(order, w) if abs(v) > 1e-6})
 
 
