@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 
 from cityscan.llm.common import with_ids
 
+#: The least weight of a grade's rows, of all: a rare grade is not smoothed away.
+LEAST_SHARE = 0.05
+
 _BITS = 15
 _NEW = ("expected_grade", "tail_prob", "selected")
 _LETTERS, _DIGITS, _RUNS = re.compile(r"[^\W\d_]+"), re.compile(r"\d+"), re.compile(r"(.)\1+")
@@ -50,9 +53,10 @@ def text_features(text: str | None, tokens: _Tokens) -> tuple[np.ndarray, np.nda
     n = Counter(words)
     ids = np.array([i for w in n for i in tokens[w]] + [_REPEAT], np.int64)
     repeats = sum(a == b for a, b in zip(words, words[1:]))
-    share = np.bincount(ids, [c for w in n for c in [n[w]] * 3] + [repeats], 1 << _BITS) / len(words)
-    at = np.flatnonzero(share)
-    return at, np.sqrt(share[at])
+    at, place = np.unique(ids, return_inverse=True)
+    share = np.bincount(place, [c for w in n for c in [n[w]] * 3] + [repeats]) / len(words)
+    has = share > 0
+    return at[has], np.sqrt(share[has])
 
 
 @dataclass
@@ -69,14 +73,16 @@ class OrdinalModel:
 
 
 def fit_ordinal(lengths: np.ndarray, col: np.ndarray, val: np.ndarray, y: np.ndarray, grades: list[int],
-                l2: float = 1e-4, steps: int = 250) -> OrdinalModel:
+                times: np.ndarray | None = None, l2: float = 1e-4, steps: int = 250) -> OrdinalModel:
     """Maximum likelihood by Adam; thresholds are a first one plus exponentials, so they stay in order.
 
-    Row i has ``lengths[i]`` of the features ``col`` with values ``val``; ``y`` numbers its grade.
+    Row i has ``lengths[i]`` of the features ``col`` with values ``val``; ``y`` numbers its grade; it
+    counts ``times[i]`` times (once, if not given).
     """
     width, n, k = 1 << _BITS, len(y), len(grades)
     row = np.repeat(np.arange(n), lengths)
-    share = np.cumsum(np.bincount(y, minlength=k))[:-1] / n
+    part = np.full(n, 1 / n) if times is None else times / times.sum()
+    share = np.cumsum(np.bincount(y, part, minlength=k))[:-1]
     t = np.log(share / (1 - share))
     p = np.concatenate((np.zeros(width), [t[0]], np.log(np.maximum(np.diff(t), 1e-3))))
     m, v = np.zeros_like(p), np.zeros_like(p)
@@ -88,8 +94,8 @@ def fit_ordinal(lengths: np.ndarray, col: np.ndarray, val: np.ndarray, y: np.nda
         hi, lo = f[np.arange(n), y + 1], f[np.arange(n), y]
         prob = np.maximum(hi - lo, 1e-12)
         g = np.zeros_like(p)
-        g[:width] = np.bincount(col, val * (-(hi + lo - 1) / n)[row], width) + l2 * p[:width]
-        slope = f * (1 - f) / prob[:, None] / n
+        g[:width] = np.bincount(col, val * (-(hi + lo - 1) * part)[row], width) + l2 * p[:width]
+        slope = f * (1 - f) / prob[:, None] * part[:, None]
         dt = np.zeros(k + 1)
         np.add.at(dt, y + 1, -slope[np.arange(n), y + 1])
         np.add.at(dt, y, slope[np.arange(n), y])
@@ -112,9 +118,20 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array([g[1].astype(np.float32) for g in got], pa.list_(pa.float32()))], names=["grade", "ids", "values"])
 
 
+def _shares(counts: dict[int, int], most: int) -> dict[int, float]:
+    """The part of each grade's rows to read: as large as ``most`` rows allow in all, but a rare grade's rows first."""
+    left, out = most, {}
+    for i, (g, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        out[g] = min(1.0, left / (len(counts) - i) / n)
+        left -= out[g] * n
+    return out
+
+
 def train(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str = "text", grade: str = "grade",
           max_rows: int = 8_000) -> OrdinalModel:
-    """Fit on about ``max_rows`` rated rows (a documented bound), chosen by a hash of the id.
+    """Fit on about ``max_rows`` rated rows (a documented bound), chosen by a hash of the id: as many of each
+    grade, or all of a grade that has fewer; rows count by the inverse of their grade's share, a grade's together
+    at least ``LEAST_SHARE``.
 
     Rows without a grade are left out and a repeated rating counts as its
     smallest. With fewer than two grades every text gets that grade (0 if none).
@@ -123,8 +140,11 @@ def train(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str
              .groupBy(F.col(doc_id).alias("__id")).agg(F.min(grade).cast("int").alias("grade")))
     rows = with_ids(docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("text")), rated, "__id", "inner")
     counts = {r["grade"]: r["count"] for r in rows.groupBy("grade").count().collect()}
-    share = min(1.0, max_rows / max(1, sum(counts.values())))
-    sample = rows.where(F.pmod(F.xxhash64("__id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    share = _shares(counts, max_rows)
+    of_grade = F.lit(0).cast("long")
+    for g, s in share.items():
+        of_grade = F.when(F.col("grade") == g, int(s * (1 << 53))).otherwise(of_grade)
+    sample = rows.where(F.pmod(F.xxhash64("__id"), F.lit(1 << 53)) < of_grade)
     got = sample.select("grade", "text").mapInArrow(_features, "grade int, ids array<int>, values array<float>").toArrow()
     y = got.column("grade").to_numpy()
     grades = [int(g) for g in np.unique(y)]
@@ -132,7 +152,9 @@ def train(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str
         return OrdinalModel(grades or [0], np.zeros(1 << _BITS), np.zeros(0))
     ids, values = got.column("ids").combine_chunks(), got.column("values").combine_chunks()
     lengths = np.diff(ids.offsets.to_numpy())
-    return fit_ordinal(lengths, ids.values.to_numpy(), values.values.to_numpy(), np.searchsorted(grades, y), grades)
+    total = sum(counts.values())
+    times = np.array([max(counts[g], LEAST_SHARE * total) / (share[g] * counts[g]) for g in y.tolist()])
+    return fit_ordinal(lengths, ids.values.to_numpy(), values.values.to_numpy(), np.searchsorted(grades, y), grades, times)
 
 
 def rate(docs: DataFrame, model: OrdinalModel, select_grade: int, text: str = "text", least: float = 0.5) -> DataFrame:
