@@ -14,7 +14,8 @@ where the target is met.
 No source is sorted as a whole. Keys fall into bins of equal width in ln(key);
 a bin holds less than 0.05 % of a source whatever the weights are. Words are
 added up by (source, bin) before the shuffle, the bin in which the target is
-met follows from those sums, and only its documents are sorted.
+met follows from those sums, and only its documents are sorted, by a range
+partition: rows that share an id, and with it key and bin, are not one task's either.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cityscan.llm.common import BROADCAST_ROWS, shared_table, split_words
+from cityscan.llm.common import checked_broadcast, in_order, shared_table, split_words
 
 #: Weights of the sources in turn, the most epochs, the key's seed.
 WEIGHTS = (5, 2, 1)
@@ -97,16 +98,14 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
         .select(F.col("s2").alias("__s"), F.col("total").alias("source_size"), "target",
                 F.col("epochs").alias("__epochs"), F.col("rest").alias("__rest"),
                 F.col("edge.bin").alias("__edge"), F.col("edge.before").alias("__before")), "mix-targets")
-    small = info.count() <= BROADCAST_ROWS // 10
-    d = d.join(F.broadcast(info) if small else info, F.col("__source").eqNullSafe(F.col("__s")))
+    d = d.join(checked_broadcast(info), F.col("__source").eqNullSafe(F.col("__s")))
 
     whole = d.where(F.col("__edge").isNull() | (F.col("__bin") != F.col("__edge")))
     whole = whole.withColumn("__part", F.when(F.col("__edge").isNull() | (F.col("__bin") > F.col("__edge")), F.lit(0))
                              .otherwise(F.col("size")).cast("long"))
-    order = Window.partitionBy("__source").orderBy("__key", doc_id, F.xxhash64(text))
-    at_edge = d.where(F.col("__bin") == F.col("__edge"))
-    before = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size")
-    room = F.col("__rest") - F.col("__before") - before
+    at_edge = in_order(d.where(F.col("__bin") == F.col("__edge")).withColumn("__hash", F.xxhash64(text)),
+                       [F.col("__key"), F.col(doc_id).asc_nulls_first(), F.col("__hash")], "mix-edge", ["__source"], "__earlier", "size")
+    room = F.col("__rest") - F.col("__before") - F.col("__earlier")
     at_edge = at_edge.withColumn("__part", F.greatest(F.lit(0), F.least(F.col("size"), room)).cast("long"))
     taken = (F.col("__epochs") * F.col("size") + F.col("__part")).cast("long").alias("taken")
     cols = [*kept, "size", F.col("source_size").cast("long").alias("source_size"), "target", taken]
