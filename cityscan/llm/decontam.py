@@ -51,6 +51,15 @@ def least_shared(n: Column, percent: int = LEAST_PERCENT) -> Column:
     return F.ceil(n * percent / F.lit(100.0)).cast("long")
 
 
+def document_runs(words: Column, of, short: list[int]) -> Column:
+    """A document's shingles, and its runs of each of the ``short`` lengths that items have."""
+    n, out = F.size(words), [shingles(words, of)]
+    for m in short:
+        runs = shingles(words, lambda *run, m=m: of(*run[:m], *[F.lit(None).cast("string")] * (SHINGLE_WORDS - m)), m)
+        out.append(F.when(n > m, runs).otherwise(F.slice(runs, 1, 0)))
+    return F.concat(*out) if short else out[0]
+
+
 def item_shingles(items: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
     """``(item key, item_id, shingle, m)``: the distinct shingles of each item and their number."""
     s = items.select(F.xxhash64(item_id, text).alias(_ITEM), F.col(item_id).alias("item_id"), lower_words(F.col(text)).alias("w"))
@@ -77,14 +86,16 @@ def contained(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: s
     """``(doc_id, item_id, n_item, n_shared, doc key)`` of every item found in a document.
 
     A document or item without words (null, empty) takes part in nothing. An item of
-    fewer than five words is one shingle and is found only where it is the whole
-    text. Rows that repeat an id and a text count once; rows that share only
+    fewer than five words is one run of words, and a document's runs of as many words are compared
+    with it. Rows that repeat an id and a text count once; rows that share only
     the id are rows of their own.
     """
     d = docs.select(F.xxhash64(doc_id, text).alias(_KEY), F.col(doc_id).alias("doc_id"), F.col(text).alias("__text"))
     known = shared_table(item_shingles(items, item_id, item_text), "decontam-items")
     probe = shared_table(sketches(known, percent), "decontam-sketches")
-    grams = d.select(_KEY, lower_words(F.col("__text")).alias("w")).select(_KEY, shingles(F.col("w"), F.xxhash64).alias("s"))
+    lengths = known.select(F.size(F.split("shingle", " ")).alias("k")).where(F.col("k") < SHINGLE_WORDS).distinct()
+    short = sorted(r["k"] for r in lengths.collect())  # 1 to 4
+    grams = d.select(_KEY, lower_words(F.col("__text")).alias("w")).select(_KEY, document_runs(F.col("w"), F.xxhash64, short).alias("s"))
     grams = grams.select(_KEY, F.size("s").alias("n"), F.explode_outer("s").alias("hash"))
     found = (grams.join(checked_broadcast(probe), "hash").where("n >= need").select(_KEY, _ITEM).distinct())
     found = shared_table(found, "decontam-candidates")
@@ -93,7 +104,7 @@ def contained(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: s
     keys = shared_table(found.select(_KEY).distinct(), "decontam-documents")
     texts = with_ids(d, keys, _KEY).distinct()
     words = texts.select(_KEY, "doc_id", lower_words(F.col("__text")).alias("w")).select(
-        _KEY, "doc_id", F.explode_outer(F.array_distinct(shingles(F.col("w"), as_text))).alias("shingle"))
+        _KEY, "doc_id", F.explode_outer(F.array_distinct(document_runs(F.col("w"), as_text, short))).alias("shingle"))
     hits = words.join(checked_broadcast(known), "shingle").groupBy(_KEY, "doc_id", _ITEM, "item_id").agg(
         F.count(F.lit(1)).alias("n_shared"), F.max("m").alias("n_item"))
     hits = hits.join(checked_broadcast(found), [_KEY, _ITEM], "left_semi")
@@ -117,8 +128,12 @@ ORACLE_SQL = r"""
               FROM (SELECT doc_id, text, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM d WHERE len(w) > 0)),
        bs AS (SELECT DISTINCT item_id, text, array_to_string(w[i:i+4], ' ') AS s
               FROM (SELECT item_id, text, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM b WHERE len(w) > 0)),
+       k AS (SELECT DISTINCT len(w) AS k FROM b WHERE len(w) BETWEEN 1 AND 4),
+       es AS (SELECT * FROM ds UNION
+              SELECT doc_id, text, array_to_string(w[i:i + k - 1], ' ')
+              FROM (SELECT doc_id, text, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, k WHERE len(w) > k)),
        m AS (SELECT item_id, text, count(*) AS n FROM bs GROUP BY ALL)
   SELECT doc_id, item_id, n_item, n_shared
-  FROM (SELECT ds.doc_id, ds.text AS t, bs.item_id, bs.text AS u, any_value(m.n)::BIGINT AS n_item, count(*)::BIGINT AS n_shared
-        FROM ds JOIN bs USING (s) JOIN m ON m.item_id = bs.item_id AND m.text = bs.text GROUP BY ALL)
+  FROM (SELECT es.doc_id, es.text AS t, bs.item_id, bs.text AS u, any_value(m.n)::BIGINT AS n_item, count(*)::BIGINT AS n_shared
+        FROM es JOIN bs USING (s) JOIN m ON m.item_id = bs.item_id AND m.text = bs.text GROUP BY ALL)
   WHERE n_shared * 100 >= n_item * 80"""

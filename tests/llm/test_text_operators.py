@@ -92,8 +92,14 @@ def five(text):
     return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
 
 
+def runs_as_long(text, item):
+    """All runs of a text's words that are as long as the shingles of the item."""
+    w = [x for x in re.split(r"[\x20\x09-\x0D]+", (text or "").lower()) if x]
+    return {tuple(w[i:i + k]) for k in {len(s) for s in item} for i in range(len(w) - k + 1)}
+
+
 def test_contained_equals_brute_force(docs, spark):
-    items = [(i, " ".join(prose(50 + i, 5 + 7 * i))) for i in range(8)] + [(20, None), (21, ""), (22, "w1"), (23, "A b C")]
+    items = [(i, " ".join(prose(50 + i, 5 + 7 * i))) for i in range(8)] + [(20, None), (21, ""), (22, "w1"), (23, "A b C"), (24, "four words in all"), (25, "b C x")]
     texts = []
     for i, (_, t) in enumerate(items):
         w = (t or "").split()
@@ -103,14 +109,14 @@ def test_contained_equals_brute_force(docs, spark):
             if len(changed) > 12:
                 changed[len(w) // 2] = "other"
             texts.append(" ".join(prose(970 + i, 40) + changed).upper())
-    texts += ["a B c", "w1", "w1 w2", "", None, "x a b c y"]
+    texts += ["a B c", "w1", "w1 w2", "", None, "x a b c y", "so Four WORDS in  all of", "four words in", "y a b c x", "a b c"]
     rows = list(enumerate(texts))
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = {(r["doc_id"], r["item_id"], r["n_item"], r["n_shared"]) for r in decontam.contained(docs(rows), bench).collect()}
     expect = set()
     for d, t in rows:
         for i, u in items:
-            both = len(five(t) & five(u))
+            both = len(runs_as_long(t, five(u)) & five(u))
             if five(u) and 100 * both >= 80 * len(five(u)):
                 expect.add((d, i, len(five(u)), both))
     assert got == expect and len(expect) > 30
