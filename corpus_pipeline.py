@@ -12,31 +12,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cityscan.llm import decontam, langid, mixing, ngram_join, secret_scan
-from cityscan.llm.common import shared_table
+from cityscan.llm.common import drop_table, scratch_tables, shared_table
 
 #: A text less like the nearest language's profile than this is rejected; prose scores 0.35 or more.
 LEAST_LANGUAGE_SCORE = 0.2
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the languages of the corpus; texts without letters or unlike every language go."""
+    """Documents in one of the languages of the corpus; texts without letters or unlike every language go.
+
+    So null and empty texts go. All columns come back as they were, also ones named like the prediction's.
+    """
     profiles = langid.learn_profiles(docs)
-    named = langid.identify(docs.select("*", F.col("text").alias("__whole")), profiles, text="__whole")
-    return named.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
+    named = langid.identify(docs.select(F.struct("*").alias("__doc"), F.col("text").alias("__whole")), profiles, text="__whole")
+    return named.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select("__doc.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a Jaccard similarity of 0.8 of five-word shingles: the smallest id."""
+    """One document of each group linked by a Jaccard similarity of 0.8 of five-word shingles: the smallest id.
+
+    Texts without words and rows without id stay.
+    """
     return ngram_join.representatives(docs, k=5, percent=80)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item; texts without words hold none."""
     return decontam.without_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, each secret replaced by a mark and n_chars counted anew."""
+    """All documents, each secret replaced by a mark and n_chars counted anew; a null text stays null."""
     found = secret_scan.scan(docs, out="__spans")
     text = secret_scan.redact(F.col("text"), F.col("__spans"))
     changed = F.size("__spans") > 0
@@ -46,7 +52,10 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, with their words, their source's size and target, and the words taken."""
+    """The documents that the mix takes, with their words, their source's size and target, and the words taken.
+
+    Texts without words go. Columns named size, source_size, target or taken are replaced.
+    """
     return mixing.mix(docs).where("taken > 0")
 
 
@@ -58,14 +67,17 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("mix", mix),
 ]
 
-#: SQL has no form for the learned language profiles; tests compare run() with brute force.
+#: SQL has no form for the learned language profiles; tests/llm compares run() with a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i + 1 < len(STAGES):
-            docs = shared_table(docs, f"pipeline-{name}")
-    return docs
+    for name, stage in STAGES[:-1]:
+        with scratch_tables():  # what the stage wrote for itself, and its predecessor's rows, go once its own are written
+            out = stage(spark, docs, sf_dir)
+            rows = shared_table(out, f"pipeline-{name}", kept=True)
+        if hasattr(docs, "table_path"):
+            drop_table(docs)
+        docs = rows
+    return STAGES[-1][1](spark, docs, sf_dir)
