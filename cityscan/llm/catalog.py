@@ -116,6 +116,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op2_secret_scan": secret_scan.oracle_sql(),
     "op3_mix_sources": mixing.ORACLE_SQL,
+    "op4_nearest": ann.ORACLE_SQL,
+    "op5_ngram_join": ngram_join.ORACLE_SQL,
+    "op6_substring_dedup": substring.ORACLE_SQL,
+    "op9_warc": warc.ORACLE_SQL,
     "op10_decontaminate": decontam.ORACLE_SQL,
     "op11_resample": resample.ORACLE_SQL,
     "op12_merkle": merkle.ORACLE_SQL,

@@ -1,21 +1,26 @@
-"""Documents whose sets of word n-grams are similar: prefix filtering, and a product inside groups.
+"""Documents whose sets of word n-grams are similar: a blocked sparse matrix product.
 
 The incidence of documents by n-grams is a sparse 0/1 matrix; the overlap of two
-documents is an entry of its product with its transpose. The product is made only inside
-groups of near copies; elsewhere bounds take its place, and each pair that passes them is
-verified by intersecting both sets. A Jaccard similarity of t needs an overlap of at least t * n for either
-document of n n-grams, and of t / (1 + t) times the sum of both sizes. These bounds
-discard, in turn,
+documents is an entry of its product with its transpose. Rows are dealt into blocks, and
+the product is made block by block, overlaps being accumulated over blocks of columns. A
+Jaccard similarity of t needs an overlap of at least t * n for either document of n
+n-grams, and of t / (1 + t) times the sum of both sizes. These bounds discard, in turn,
 
-1. documents: of the n-grams with the smallest hashes, it is counted how many
+1. rows: of the n-grams with the smallest hashes, it is counted how many
    occur in any other document; whoever shares fewer than any partner must is gone;
-2. columns: n-grams of one remaining document only, and all but the rarest few of each
-   document (those that suffice to meet any partner once);
-3. pairs, by sizes, by numbers of shared n-grams and by place among them.
+2. columns that no pair needs to meet in: n-grams of one remaining document only, and all but the
+   rarest few of each document (those that suffice to meet any partner once);
+3. parts of blocks: a row takes part in the product with another block only if one of its few
+   columns has a row there, of such a size and with so many shared n-grams from there on that the bound can be met;
+4. pairs, inside the product: an entry is dropped as soon as its sum and what is still to
+   come stay below its bound.
+
+A row is sent once to each block that it may have a link in, however many rows it meets
+there, and every link is an entry of such a product.
 
 Copies (equal sets) are one row of the matrix. Large groups of near copies are
-contracted first: documents that share a MinHash are compared with one of them,
-the one that shares most. Candidate pairs are made only between the components so
+contracted first: documents that share a MinHash are multiplied with one of them,
+the one that shares most. The other blocks need entries only between the components so
 found; that is all that the final components need.
 
 The links themselves, all of them, are asked for by ``link_counts`` and ``links``.
@@ -147,26 +152,6 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              names=["node", "n", "g"])
 
 
-def _similar(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ok = []
-            for x, y in zip(b.column("x"), b.column("y")):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    return run
-
-
-def _verified(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose exact overlap reaches the threshold."""
-    x = rows.select(F.col("node").alias("a"), F.col("grams").alias("x"))
-    y = rows.select(F.col("node").alias("b"), F.col("grams").alias("y"))
-    return pairs.join(x, "a").join(y, "b").mapInArrow(_similar(percent), "a long, b long")
-
-
 def _bound(n: Column, percent: int) -> Column:
     return F.ceil(n * percent / F.lit(100.0 + percent) - 1e-9)
 
@@ -177,40 +162,68 @@ def _band(n: Column, percent: int) -> Column:
     return F.floor(F.log(n) / float(-np.log(percent / 100) * (1 + 1e-9)))
 
 
-def _leaders(rows: DataFrame) -> DataFrame:
-    """Pairs (document, leader) of documents that share a MinHash; the leader shares most n-grams."""
-    m = rows.select("node", "share", F.posexplode("mins").alias("i", "m"))
-    lead = m.groupBy("i", "m").agg(F.max_by("node", F.struct("share", F.negate("node"))).alias("b"))
-    return m.join(lead, ["i", "m"]).where("node <> b").select(F.col("node").alias("a"), "b").distinct()
+def _parts() -> Column:
+    """How many cells hold the rows of a group, by their n-grams and their number."""
+    return F.greatest(F.ceil(F.sum("n") / _CELL_GRAMS), F.ceil(F.count(F.lit(1)) / _CELL_ROWS)).cast("int").alias("parts")
 
 
-def _between(rows: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that share one of their rarest n-grams and pass all bounds."""
+def _with_leaders(rows: DataFrame, percent: int) -> DataFrame:
+    """The links ``(a, b)`` of documents with leaders: of those that share a MinHash, the one that shares most n-grams.
+
+    A leader's followers, dealt into cells, are multiplied with it.
+    """
+    m = rows.select("node", "n", "share", F.posexplode("mins").alias("i", "m"))
+    lead = m.groupBy("i", "m").agg(F.max_by("node", F.struct("share", F.negate("node"))).alias("lead"))
+    follow = shared_table(m.join(lead, ["i", "m"]).where("node <> lead").select("node", "n", "lead").distinct(), "ngram-followers")
+    cells = follow.join(follow.groupBy("lead").agg(_parts()), "lead").select(
+        "node", "lead", F.xxhash64("lead", F.pmod(F.xxhash64("node"), "parts")).alias("block"))
+    asked = cells.select("node", "block", F.lit(0).alias("side")).unionByName(
+        cells.select(F.col("lead").alias("node"), "block", F.lit(1).alias("side")).distinct())
+    return _entries_of(shared_table(asked, "ngram-asked"), rows, percent, "pairs")
+
+
+def _between(rows: DataFrame, comps: DataFrame, percent: int, give: str) -> DataFrame:
+    """The links ``(a, b)`` between different components; as a ``forest``, pairs that connect what they connect."""
     e = rows.select("node", "grams").mapInArrow(_entries, "node long, n long, g long")
     common = e.groupBy("g").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     per = (e.join(common, "g").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "g"))).alias("s")))
     per = per.withColumn("c", F.size("s").cast("long"))
     least = F.floor((F.col("n") * percent + 99) / 100)
     per = per.where(F.col("c") >= least).withColumn("few", F.slice("s", F.lit(1), (F.col("c") - least + 1).cast("int")))
-    per = per.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    p = per.select("node", "n", "c", "comp", F.posexplode("few").alias("at", "s")).select(
-        "node", "n", "c", "comp", "at", F.col("s.g").alias("g"))
+    per = per.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")).withColumn("band", _band(F.col("n"), percent))
+
+    # blocks of rows: by size band and smallest hash, which near copies mostly share, so that
+    # a row and its partners lie in few blocks; a large family over several
+    per = per.join(rows.select("node", F.element_at("mins", 1).alias("family")), "node")
+    per = shared_table(per.select("node", "n", "c", "comp", "band", "family", "few"), "ngram-few")
+    cells = per.groupBy("band", "family").agg(_parts())
+    blocks = per.groupBy("band").agg(_parts().alias("blocks"))
+    cell = F.pmod(F.xxhash64("node"), "parts")
+    homes = per.join(cells, ["band", "family"]).join(F.broadcast(blocks), "band").select(  # a row a band: log of the sizes' ratio
+        "node", "n", "c", "comp", "band", F.xxhash64("band", F.pmod(F.xxhash64("family", cell), "blocks")).alias("home"), "few")
+    p = homes.select("node", "n", "c", "comp", "band", "home", F.posexplode("few").alias("at", "s")).select(
+        "node", "n", "comp", "band", "home", F.col("s.g").alias("g"), (F.col("c") - F.col("at")).alias("rest"))
     p = shared_table(p, "ngram-columns")
     mixed_lists = p.groupBy("g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("g")
     p = shared_table(p.join(mixed_lists, "g", "left_semi"), "ngram-mixed")
-    p = p.withColumn("band", _band(F.col("n"), percent))
-    a = p.select(*[F.col(x).alias(f"a_{x}") for x in p.columns])
-    b = p.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
-    b = b.select(*[F.col(x).alias(f"b_{x}") for x in b.columns])
-    # Where a pair meets first, nothing before that place is common: what stands from
-    # there on bounds the overlap. So a similar pair passes at the first n-gram it shares.
-    need = _bound(F.col("a_n") + F.col("b_n"), percent)
-    pairs = a.join(b, (F.col("a_g") == F.col("b_g")) & (F.col("a_band") == F.col("b_band"))
-                   & (F.col("a_comp") != F.col("b_comp"))
-                   & ((F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_node") < F.col("b_node"))))
-                   & (F.least("a_c", "b_c") >= need)
-                   & (F.least(F.col("a_c") - F.col("a_at"), F.col("b_c") - F.col("b_at")) >= need))
-    return pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+
+    # which blocks a column meets; where a pair meets first, nothing before that place is
+    # common: what stands from there on bounds the overlap
+    met = p.groupBy("g", "band", "home").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("n").alias("least_n"), F.max("rest").alias("most"))
+    met = met.withColumnRenamed("home", "other").withColumn("band", F.explode(F.array(*[F.col("band") + i for i in (-1, 0, 1)])))
+    need = _bound(F.col("n") + F.col("least_n"), percent)
+    asked = p.join(met, ["g", "band"]).where(
+        ((F.col("lo") != F.col("hi")) | (F.col("lo") != F.col("comp"))) & (F.least("rest", "most") >= need))
+    asked = asked.select("node", "home", "other").distinct().select(
+        "node", F.xxhash64(F.least("home", "other"), F.greatest("home", "other")).alias("block"),
+        F.when(F.col("home") == F.col("other"), _OWN).otherwise((F.col("home") > F.col("other")).cast("int")).alias("side"))
+    links = _entries_of(shared_table(asked, "ngram-asked"), rows, percent, give)
+    if give == "forest":
+        return links
+    comp = comps.withColumnRenamed("comp", "of")
+    for x in "ab":  # entries inside a component are not asked for here
+        links = links.join(comp.withColumnsRenamed({"node": x, "of": f"of_{x}"}), x, "left")
+    return links.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
 
 
 #: The side of rows that meet each other; other blocks have a side 0 and a side 1.
@@ -261,8 +274,25 @@ def _block_links(a: list[np.ndarray], b: list[np.ndarray], percent: int) -> tupl
     return np.nonzero(np.triu(similar, 1) if a is b else similar)
 
 
-def _product(percent: int, count: bool):
-    """For one bundle of blocks: the pairs ``(a, b)``, or the number of links of each node."""
+def _forest(p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that connect what the links (p, q) connect: each node with the first one of its component."""
+    nodes, at = np.unique(np.concatenate((p, q)), return_inverse=True)
+    a, b, label = at[:len(p)], at[len(p):], np.arange(len(nodes))
+    while True:
+        least = label.copy()
+        np.minimum.at(least, a, label[b])
+        np.minimum.at(least, b, label[a])
+        least = least[least]
+        if (least == label).all():
+            break
+        label = least
+    other = label != np.arange(len(nodes))
+    return nodes[label[other]], nodes[other]
+
+
+def _product(percent: int, give: str):
+    """For one bundle of blocks: all ``pairs`` (a, b), a ``forest`` of pairs, or the ``counts`` of each node's links."""
+    count = give == "counts"
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("block")
@@ -273,27 +303,45 @@ def _product(percent: int, count: bool):
         for x, y in zip([0, *ends], [*ends, len(block)]):
             own = side[x] == _OWN
             ia, ib = (np.flatnonzero(side[x:y] == s) + x for s in ((_OWN, _OWN) if own else (0, 1)))
-            if not len(ia) or not len(ib):
-                continue
-            a = [np.frombuffer(grams[i], np.uint64) for i in ia]
-            i, j = _block_links(a, a if own else [np.frombuffer(grams[i], np.uint64) for i in ib], percent)
-            if count:
-                who, n = np.unique(np.concatenate((node[ia[i]], node[ib[j]])), return_counts=True)
-                found.append((who, n))
-            else:
-                p, q = node[ia[i]], node[ib[j]]
-                found.append((np.minimum(p, q), np.maximum(p, q)))
+            for i0 in range(0, len(ia), _CELL_ROWS):
+                rows_a = ia[i0:i0 + _CELL_ROWS]
+                a = [np.frombuffer(grams[i], np.uint64) for i in rows_a]
+                for j0 in range(i0 if own else 0, len(ib), _CELL_ROWS):
+                    rows_b = ib[j0:j0 + _CELL_ROWS]
+                    same = own and i0 == j0
+                    i, j = _block_links(a, a if same else [np.frombuffer(grams[k], np.uint64) for k in rows_b], percent)
+                    p, q = node[rows_a[i]], node[rows_b[j]]
+                    if count:
+                        found.append(np.unique(np.concatenate((p, q)), return_counts=True))
+                    elif give == "pairs":
+                        found.append((np.minimum(p, q), np.maximum(p, q)))
+                    else:
+                        found.append(_forest(p, q))
         x, y = (np.concatenate(c) for c in zip(*found))
         return pa.table({"node" if count else "a": pa.array(x, pa.int64()), "n" if count else "b": pa.array(y, pa.int64())})
 
     return run
 
 
+def _in_bundles(blocks: DataFrame, percent: int, give: str) -> DataFrame:
+    """The product of blocks(block, side, node, n, grams), several a task."""
+    total = blocks.agg(F.sum("n").alias("n")).first()["n"] or 0
+    bundles = max(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(total // _BUNDLE_GRAMS) + 1)
+    return blocks.withColumn("bundle", F.pmod("block", F.lit(bundles))).drop("n").groupBy("bundle").applyInArrow(
+        _product(percent, give), "node long, n long" if give == "counts" else "a long, b long")
+
+
+def _entries_of(asked: DataFrame, rows: DataFrame, percent: int, give: str) -> DataFrame:
+    """The links ``(a, b)`` of the blocks ``asked(node, block, side)``, each once: all ``pairs``, or a ``forest``
+    that connects what they connect."""
+    blocks = asked.join(rows.select("node", "n", "grams"), "node").select("block", "side", "node", "n", "grams")
+    return _in_bundles(blocks, percent, give).distinct()
+
+
 def _within(rows: DataFrame, comps: DataFrame, percent: int, count: bool) -> DataFrame:
     """All similar pairs ``(a, b)`` of one component, or ``(node, n)`` of them in each bundle."""
     r = rows.select("node", "n", "grams", _band(F.col("n"), percent).alias("band")).join(comps, "node")
-    parts = shared_table(r.groupBy("comp", "band").agg(F.greatest(
-        F.ceil(F.sum("n") / _CELL_GRAMS), F.ceil(F.count(F.lit(1)) / _CELL_ROWS)).cast("int").alias("parts")), "ngram-cells")
+    parts = shared_table(r.groupBy("comp", "band").agg(_parts()), "ngram-cells")
     for name, by in (("below", 1), ("above", -1)):
         r = r.join(parts.select("comp", (F.col("band") + by).alias("band"), F.col("parts").alias(name)), ["comp", "band"], "left")
     r = r.join(parts, ["comp", "band"]).withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
@@ -311,11 +359,7 @@ def _within(rows: DataFrame, comps: DataFrame, percent: int, count: bool) -> Dat
                                            F.when(part == j, _OWN).otherwise((part > j).cast("int")))),
         blocks("below", lambda j: block(band, 1, part, j, F.lit(0))),
         blocks("above", lambda j: block(band + 1, 1, j, part, F.lit(1))))))
-    total = r.agg(F.sum("n").alias("n")).first()["n"] or 0
-    spark = rows.sparkSession
-    bundles = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(total // _BUNDLE_GRAMS) + 1)
-    return r.withColumn("bundle", F.pmod("block", F.lit(bundles))).drop("n").groupBy("bundle").applyInArrow(
-        _product(percent, count), "node long, n long" if count else "a long, b long")
+    return _in_bundles(r.select("block", "side", "node", "n", "grams"), percent, "counts" if count else "pairs")
 
 
 class _Join(NamedTuple):
@@ -323,11 +367,11 @@ class _Join(NamedTuple):
     classes: DataFrame  # (f1, f2, n, rep), a row a set
     rows: DataFrame  # (node, n, share, grams, mins) of the sets that may link
     near: DataFrame  # (node, comp) by the links with leaders only
-    far: DataFrame  # all links (a, b) between different comps of near
+    far: DataFrame  # all links (a, b) between different comps of near; as a forest, pairs that connect what they do
     comps: DataFrame  # (node, comp) by all links
 
 
-def _joined(docs: DataFrame, doc_id: str, text: str, k: int, percent: int) -> _Join:
+def _joined(docs: DataFrame, doc_id: str, text: str, k: int, percent: int, give: str = "forest") -> _Join:
     d = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text"))
     base = shared_table(d.mapInArrow(_sizes(k), d.schema["__id"].simpleString().replace("__id:", "__id ")
                                      + ", n long, f1 long, f2 long"), "ngram-sizes")
@@ -349,9 +393,9 @@ def _joined(docs: DataFrame, doc_id: str, text: str, k: int, percent: int) -> _J
         _rows(k), "node long, grams binary, mins array<long>")
     rows = shared_table(rows.join(left.drop("__id"), "node").dropDuplicates(["node"]), "ngram-rows")
 
-    led = shared_table(_verified(_leaders(rows), rows, percent), "ngram-links")
+    led = shared_table(_with_leaders(rows, percent), "ngram-links")
     comps = near = shared_table(connected_components(led), "ngram-components")
-    far = shared_table(_verified(_between(rows, near, percent), rows, percent), "ngram-links")
+    far = shared_table(_between(rows, near, percent, give), "ngram-links")
     if not far.isEmpty():
         comps = shared_table(connected_components(led.unionByName(far)), "ngram-components")
     return _Join(base, classes, rows, near, far, comps)
@@ -394,7 +438,7 @@ def link_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
     of links. A row without words or without id is in no class (null) and has no links.
     Links are counted where they are found, so no row is made of each.
     """
-    join = _joined(docs, doc_id, text, k, percent)
+    join = _joined(docs, doc_id, text, k, percent, "pairs")
     far = join.far.select(F.explode(F.array("a", "b")).alias("node")).withColumn("n", F.lit(1).cast("long"))
     n = _within(join.rows, join.near, percent, True).unionByName(far).groupBy("node").agg(F.sum("n").alias("__links"))
     free = (F.col("n") == 0) | F.col("__id").isNull()
@@ -411,7 +455,7 @@ def links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int =
     Classes and membership are those of ``link_counts``. The rows are as many as the links,
     so a group of m near copies gives up to m (m - 1) / 2.
     """
-    join = _joined(docs, doc_id, text, k, percent)
+    join = _joined(docs, doc_id, text, k, percent, "pairs")
     far = join.far.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     out = _within(join.rows, join.near, percent, False).unionByName(far)
     for x in "ab":
@@ -448,3 +492,18 @@ def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
            .dropDuplicates(["__id", "__f1"]))
     return (once.select(*docs.columns).unionByName(again.where("__n = 0").select(*docs.columns))
             .unionByName(one.select(*docs.columns)))
+
+
+#: ``similar_components`` in DuckDB SQL, for unique ids.
+ORACLE_SQL = r"""
+  WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+       s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
+             FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 3) + 1)) AS i FROM d WHERE len(w) > 0)),
+       n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+       j AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+       l AS MATERIALIZED (SELECT a, b FROM j JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * j.n >= 85 * (x.n + y.n - j.n)),
+       e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+       c AS (SELECT doc_id AS id, doc_id AS root FROM d UNION SELECT e.b, c.root FROM c JOIN e ON e.a = c.id WHERE c.root < e.b)
+  SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, r.root AS component_id
+  FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT id, min(root) AS root FROM c GROUP BY id) r ON r.id = d.doc_id"""
