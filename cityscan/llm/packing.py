@@ -24,11 +24,13 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cityscan.llm.common import in_order, shared_table, text_bytes, with_ids
@@ -48,43 +50,128 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class _Chunks(dict):
-    """Chunk between ASCII white space -> its ids as little-endian bytes; the first ``limit`` distinct ones are kept.
+#: Letters and a run of these marks after them are encoded apart: the splitter parts them always.
+_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 
-    The vocabulary's normalizer and splitter never join text across white space, so a text's ids are its chunks'.
+
+class Vocabulary:
+    """Texts to ids by way of their distinct chunks between ASCII white space, each encoded once while it is remembered.
+
+    That holds for vocabularies whose normalizer and splitter lower the case and never join text across white space
+    (tried out on a few words at the start; with others every text is encoded as a whole). Unknown chunks are
+    encoded many at once, which costs less than one by one; words of small letters alone skip the normalizer and the splitter,
+    which leave them as they are. Two generations of ``limit`` chunks are kept: what the younger one meets
+    again stays. A text that might hold a special token, whose case matters, is encoded as it is.
     """
 
-    limit = 1 << 18
+    limit = 1 << 17
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, chunk: bytes) -> bytes:
-        ids = np.array(self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self) < self.limit:
-            self[chunk] = ids
-        return ids
+        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.young, self.old = {"": b""}, {}
+        self.letters = Tokenizer(self.tokenizer.model)
+        self.letters.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+        tried = "Reading", "of", "a", "zqxjk", "dé", "12.", "it's", "a,"
+        apart = [i for w in tried for i in self._ids(w.lower())]
+        self.by_chunk = apart == self._ids(" \n".join(tried))
+        self.by_chunk &= [i for w in tried[:5] for i in self._ids(w.lower())] == self.letters.encode(" ".join(tried[:5]).lower()).ids
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Puts all ``chunks`` into the younger generation."""
+        young, old, new, apart = self.young, self.old, {}, []
+        for c in chunks:
+            if c in young:
+                continue
+            if c in old:
+                young[c] = old[c]
+            else:
+                core = c.rstrip(_MARKS)
+                if len(core) < len(c) and core.isalpha():
+                    apart.append((c, core, c[len(core):]))
+                    for part in apart[-1][1:]:
+                        if part not in young:
+                            new[part] = None
+                else:
+                    new[c] = None
+        width = np.dtype(self.kind).itemsize
+        plain = [c for c in new if c.isalpha() and c.islower() and is_normalized("NFC", c)]
+        for at in range(0, len(plain), 1024):
+            part = plain[at:at + 1024]
+            found = self.letters.encode(" ".join(part), add_special_tokens=False)
+            self._remember(part, found.ids, np.searchsorted(found.word_ids, np.arange(len(part) + 1)) * width)
+        rest = list(new.keys() - set(plain))
+        for at in range(0, len(rest), 1024):
+            part = rest[at:at + 1024]
+            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            starts = np.cumsum([0, *[len(t) + 1 for t in part]])
+            self._remember(part, found.ids, np.searchsorted(np.array([o[0] for o in found.offsets], np.int64), starts) * width)
+        for c, core, marks in apart:
+            young[c] = young[core] + young[marks]
+
+    def _remember(self, chunks: list[str], ids: list[int], cuts: np.ndarray) -> None:
+        body, cuts = np.array(ids, self.kind).tobytes(), cuts.tolist()
+        for c, i, j in zip(chunks, cuts, cuts[1:]):
+            self.young[c] = body[i:j]
+
+    def encode(self, texts: list[bytes | None]) -> list[bytes]:
+        """The ids of each text as little-endian numbers of ``kind``."""
+        special = {i: t for i, t in enumerate(texts) if t and (b"<|" in t or not self.by_chunk)}
+        low = pa.array([t.lower() if t and i not in special else b"" for i, t in enumerate(texts)], pa.large_binary())
+        split = pc.ascii_split_whitespace(low.cast(pa.large_string()))
+        chunks = split.flatten().dictionary_encode()
+        known = chunks.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.young) + len(known) > self.limit:
+            self.young, self.old = {"": b""}, self.young
+        self._learn(known)
+        each = [self.young[c] for c in known]
+        size = np.array([len(x) for x in each], np.int64)
+        lists = pa.LargeListArray.from_arrays(np.append(0, np.cumsum(size)), pa.array(np.frombuffer(b"".join(each), np.uint8)))
+        body = memoryview(np.ascontiguousarray(lists.take(chunks.indices).flatten().to_numpy()))
+        place = np.append(0, np.cumsum(size[chunks.indices.to_numpy()]))[split.offsets.to_numpy() - split.offsets[0].as_py()].tolist()
+        out = [bytes(body[i:j]) for i, j in zip(place, place[1:])]
+        for i, t in special.items():
+            out[i] = np.array(self._ids(t.decode()), self.kind).tobytes()
+        return out
+
+
+def _slices(column: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, list[bytes | None]]]:
+    """A text column in parts of bounded bytes: where each starts, and its texts."""
+    start, part, n = 0, [], 0
+    for i, t in enumerate(text_bytes(column)):
+        part.append(t)
+        n += len(t or b"")
+        if n >= most:
+            yield start, part
+            start, part, n = i + 1, [], 0
+    if part:
+        yield start, part
 
 
 def tokenize(docs: DataFrame, text: str, source: str, vocabulary: str, end_id: int) -> DataFrame:
-    """``docs`` without the text, with __source, __tokens, __ids (little-endian 32 bits), and __task and __at: how many
-    tokens of the source stand before the row in its task."""
+    """``docs`` without the text, with __source, __tokens, __ids (little-endian, 16 bits each if all ids fit, else 32),
+    and __task and __at: how many tokens of the source stand before the row in its task."""
     kept = [c for c in docs.columns if c != text]
     src = docs.select(*kept, F.col(source).cast("string").alias("__source"), F.col(text).cast("string").alias("__text"))
-    end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks, task, served = _Chunks(vocabulary), TaskContext.get().partitionId(), {}
+        known, task, served = Vocabulary(vocabulary), TaskContext.get().partitionId(), {}
+        end = np.array([end_id], known.kind).tobytes()
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):  # few rows a batch: texts can be long
-                part = batch.slice(start, 256)
+            for start, texts in _slices(batch.column(batch.num_columns - 1)):
+                part = batch.slice(start, len(texts))
                 ids, at, n = [], [], []
-                for name, t in zip(part.column(part.num_columns - 2).to_pylist(), text_bytes(part.column(part.num_columns - 1))):
-                    ids.append(b"".join([chunks[w] for w in t.split()] if t else []) + end)
-                    n.append(len(ids[-1]) // 4)
+                texts = known.encode(texts)
+                for name, t in zip(part.column(part.num_columns - 2).to_pylist(), texts):
+                    ids.append(t + end)
+                    n.append(len(ids[-1]) // len(end))
                     at.append(served.get(name, 0))
                     served[name] = at[-1] + n[-1]
                 yield pa.RecordBatch.from_arrays(
@@ -101,52 +188,57 @@ class Rounds:
     def __init__(self, tokens: list[int], window: int, least_run: int):
         self.tokens, self.window, self.run, self.total = tokens, window, least_run, sum(tokens)
         self.last = -(-self.total // window) - 1 if self.total else 0
-        self.state = lru_cache(maxsize=4096)(self._state)
+        self.whole = self.total // window * window
+        self.served = lru_cache(maxsize=8192)(self._served)
+        self.starts = lru_cache(maxsize=8192)(self._starts)
 
-    def served(self, queue: int, k: int) -> int:
-        """Tokens of the queue before round ``k``: whole runs of the credit of k rounds, all after the last."""
-        t = self.tokens[queue]
+    def _served(self, k: int) -> list[int]:
+        """By queue, the tokens before round ``k``: whole runs of the credit of k rounds, all after the last."""
         if k > self.last:
-            return t
-        return min(t, self.window * k * t // (self.total * self.run) * self.run)
+            return self.tokens
+        credit, least = self.window * k, self.total * self.run
+        return [min(t, credit * t // least * self.run) for t in self.tokens]
+
+    def _starts(self, k: int) -> list[int]:
+        """By queue, the place in the stream where its run of round ``k`` starts."""
+        served, after, out = self.served(k), self.served(k + 1), []
+        at = sum(served)
+        for a, b in zip(served, after):
+            out.append(at)
+            at += b - a
+        return out
 
     def round_of(self, queue: int, token: int) -> int:
         """The round in which the queue's token of that number is served."""
         runs = token // self.run + 1
         return min(self.last, -(-runs * self.run * self.total // (self.window * self.tokens[queue])) - 1)
 
-    def _state(self, k: int) -> tuple[list[int], list[int]]:
-        """Tokens served before round ``k`` by queue, and the place in the stream where each queue's run of the round starts."""
-        served = [self.served(q, k) for q in range(len(self.tokens))]
-        starts, at = [], sum(served)
-        for q, s in enumerate(served):
-            starts.append(at)
-            at += self.served(q, k + 1) - s
-        return served, starts
-
     def pieces(self, queue: int, first: int, n: int) -> Iterator[tuple[int, int, int, int]]:
         """(token, length, sequence, offset) of each piece of a document whose ``n`` tokens start at ``first``."""
-        at, stop = first, first + n
+        at, stop, window = first, first + n, self.window
         k = self.round_of(queue, at)
         while at < stop:
-            while self.served(queue, k + 1) <= at:
+            upto = self.served(k + 1)[queue]
+            if upto <= at:
                 k += 1
-            served, starts = self.state(k)
-            place = starts[queue] + at - served[queue]
-            upto = min(stop, self.served(queue, k + 1))
+                continue
+            place = self.starts(k)[queue] + at - self.served(k)[queue]
+            upto = min(stop, upto)
             while at < upto:
-                sequence, offset, room = self.sequence_of(place)
-                length = min(room, upto - at)
+                if place < self.whole:
+                    sequence, offset = divmod(place, window)
+                    length = min(window - offset, upto - at)
+                else:
+                    sequence, offset, room = self.sequence_of(place)
+                    length = min(room, upto - at)
                 yield at - first, length, sequence, offset
                 at += length
                 place += length
+            k += 1
 
     def sequence_of(self, place: int) -> tuple[int, int, int]:
-        """The sequence of a place in the stream, the offset there and the tokens up to its end."""
-        whole = self.total // self.window
-        if place < whole * self.window:
-            return place // self.window, place % self.window, self.window - place % self.window
-        rest, into, sequence = self.total - whole * self.window, place - whole * self.window, whole
+        """The sequence of a place after the last whole window, the offset there and the tokens up to its end."""
+        rest, into, sequence = self.total - self.whole, place - self.whole, self.whole // self.window
         while True:
             size = 1 << (rest.bit_length() - 1)
             if into < size:
@@ -187,6 +279,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
                 row, found, ids = [], [], []
                 whole = list(text_bytes(part.column(3)))
                 for i, (n, q, at) in enumerate(zip(*(part.column(c).to_pylist() for c in (2, 4, 5)))):
+                    whole[i] = np.frombuffer(whole[i], f"<u{len(whole[i]) // n}").astype("<u4").tobytes()
                     for p in rounds.pieces(q, at, n):
                         row.append(i)
                         found.append(p)
@@ -207,17 +300,10 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
 def _starts(sums: DataFrame) -> DataFrame:
     """``(__task, __name, __queue, __start)``: how many tokens of its queue stand before a task's ones of a source.
 
-    Ordered by queue, source and task; the running sums are taken part by part and then over the parts.
+    Ordered by queue, source and task.
     """
-    placed = in_order(sums, [F.col("__source").asc_nulls_first(), F.col("__task")], "packing-order", ["__queue"])
-    placed = placed.withColumn("__part4k", F.floor(F.col("place") / 4096))
-    parts = placed.groupBy("__queue", "__part4k").agg(F.sum("n").alias("m"))
-    over = Window.partitionBy("__queue").orderBy("__part4k").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("__queue", "__part4k", F.coalesce(F.sum("m").over(over), F.lit(0)).alias("__before"))
-    inside = Window.partitionBy("__queue", "__part4k").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    out = placed.withColumn("__in", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(parts, ["__queue", "__part4k"])
-    return out.select("__task", F.coalesce(F.concat(F.lit("="), "__source"), F.lit("-")).alias("__name"), "__queue",
-                      (F.col("__before") + F.col("__in")).alias("__start"))
+    placed = in_order(sums, [F.col("__source").asc_nulls_first(), F.col("__task")], "packing-order", ["__queue"], "__start", "n")
+    return placed.select("__task", F.coalesce(F.concat(F.lit("="), "__source"), F.lit("-")).alias("__name"), "__queue", "__start")
 
 
 def assemble(pieces: DataFrame, window: int = WINDOW, pad_id: int = 0) -> DataFrame:

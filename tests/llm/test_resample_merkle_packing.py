@@ -331,10 +331,23 @@ def test_packing_query(spark):
     assert sorted((*[p[k] for k in key], zlib.crc32(p["ids"])) for p in full) == sorted((*[p[k] for k in key], p["ids_crc32"]) for p in out)
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.text(st.one_of(st.characters(codec="utf-8"), st.sampled_from(" \t\n'<|>s.é́Σσ\x1c\x85\xa0 İA9")), max_size=40))
-def test_ids_of_chunks_are_the_ids_of_the_text(text):
-    chunks = packing._Chunks(packing.default_vocabulary()) if not hasattr(packing, "_seen") else packing._seen
-    packing._seen = chunks
-    got = np.frombuffer(b"".join(chunks[w] for w in text.encode().split()), "<u4").tolist()
-    assert got == chunks.tokenizer.encode(text, add_special_tokens=False).ids
+TEXTS = st.text(st.one_of(st.characters(codec="utf-8"), st.sampled_from(" \t\n\r\x0b\x0c'<|>s.,a!Ie\u0301\u0307\u0338=\u03a3\u03c3\x1c\x85\xa0 \u0130A9")), max_size=40)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(TEXTS, max_size=6))
+def test_ids_of_chunks_are_the_ids_of_the_text(texts):
+    known = VOCABULARY.setdefault("v", packing.Vocabulary(packing.default_vocabulary()) if not VOCABULARY else None)
+    known.limit = 20  # chunks are forgotten and learned again
+    got = [np.frombuffer(x, known.kind).tolist() for x in known.encode([t.encode() for t in texts])]
+    assert got == [known.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_special_tokens_and_null_texts():
+    known = packing.Vocabulary(packing.default_vocabulary())
+    text = "a<|endoftext|>b <|startoftext|> x"
+    assert known.encode([None, b"", text.encode()])[:2] == [b"", b""]
+    assert np.frombuffer(known.encode([text.encode()])[0], known.kind).tolist() == known.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+VOCABULARY = {}
