@@ -44,6 +44,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _LEAF = 24
 #: A cell with at most so many candidates is finished in one task.
 _BLOCK = 4096
+#: Cells are cut no further once the cuts list a site so many times, on average, those of the cells of a few levels aside.
+_REPEAT = 256
+_COARSE = 4
+#: But a longer list is always cut.
+_LONG = 16 * _LEAF
+#: So many of its candidates, on average, say how a cell with more than ``_BLOCK`` is cut.
+_PIVOTS = 4096
 #: The finest cells: 2 / 2**21 of the globe's radius, some six metres.
 _MAX_LEVEL = 21
 #: A site is ruled out only if it is farther by more than rounding could hide (dot products of unit vectors).
@@ -189,58 +196,103 @@ def _corners() -> list[tuple[int, int, int]]:
     return [(0, 0, 0), *[(a, b, c) for a in (-1, 1) for b in (-1, 1) for c in (-1, 1)]]
 
 
-def _cut(rows: DataFrame) -> DataFrame:
-    """One cut: rows (level, ix, iy, iz, x, y, z, _entry) of cells to those of their eights.
+def _cut(rows: DataFrame, large: DataFrame, deepest: int) -> DataFrame:
+    """One cut: rows (level, ix, iy, iz, x, y, z, _entry) of the ``large`` cells (with ``_n`` candidates) to those of finer cells.
 
-    A cell's rivals are the nearest candidates of its centre and of its corners, grouped maxima; a candidate
-    goes where the whole cell is nearer to one of them.
+    Some ``_PIVOTS`` candidates of a cell, taken by hash, stand for all of them: they say how finely it is cut, and
+    a candidate goes where the whole finer cell is nearer to one of them. So a cell's candidates need not
+    meet: they are dealt over tasks of some ``_BLOCK`` each, to which the pivots are repeated.
     """
-    bits = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(c).alias("c")) for a in (0, 1) for b in (0, 1) for c in (0, 1)])
-    half = F.pow(F.lit(2.0), -F.col("level"))
-    kids = rows.withColumn("_o", F.explode(bits)).select(
-        (F.col("level") + 1).alias("level"), *[(F.col(f"i{n}") * 2 + F.col(f"_o.{o}")).alias(f"i{n}") for n, o in zip("xyz", "abc")],
-        "x", "y", "z", "_entry")
-    kids = kids.withColumn("h", half).withColumns({f"c{n}": (F.col(f"i{n}") * 2 + 1) * F.col("h") - 1.0 for n in "xyz"})
-    kids = kids.withColumn("h", F.col("h") + _GROW)
-    near = sum(F.pow(F.greatest(F.abs(F.col(f"c{n}")) - F.col("h"), F.lit(0.0)), 2) for n in "xyz")
-    far = sum(F.pow(F.abs(F.col(f"c{n}")) + F.col("h"), 2) for n in "xyz")
-    kids = kids.where((near <= 1.0 + 1e-12) & (far >= 1.0 - 1e-12))
     at = ["level", "ix", "iy", "iz"]
-    dots = [sum(F.col(n) * (F.col(f"c{n}") + s * F.col("h")) for n, s in zip("xyz", corner)) for corner in _corners()]
-    rivals = kids.groupBy(*at).agg(*[F.max_by(F.struct("x", "y", "z"), d).alias(f"r{i}") for i, d in enumerate(dots)])
-    kids = kids.join(rivals, at)
-
-    def beaten(r: str) -> Column:
-        d = {n: F.col(f"{r}.{n}") - F.col(n) for n in "xyz"}
-        return sum(d[n] * F.col(f"c{n}") for n in "xyz") - F.col("h") * sum(F.abs(d[n]) for n in "xyz") > _MARGIN
+    chunks = F.ceil(F.col("_n") / F.lit(_BLOCK)).cast("long")
+    rows = rows.join(large, at).withColumn("_h", F.xxhash64("level", "x", "y", "z"))
+    # the hash deals twice: its low part the pivots, its high part the tasks
+    pivots = rows.where(F.pmod("_h", F.lit(1 << 20)) * F.col("_n") < F.lit(_PIVOTS << 20)).select(
+        *[F.col(n).alias(f"p_{n}") for n in (*at, "x", "y", "z")], F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("p_chunk"))
+    entry = rows.schema["_entry"].dataType.simpleString()
+    rows = rows.select(*at, F.pmod(F.shiftright("_h", 20), chunks).alias("_chunk"), "_n", "x", "y", "z", "_entry")
+
+    def cut(table: pa.Table, picked: pa.Table) -> pa.Table:
+        out = {n: [] for n in at}
+        taken = []
+        if table.num_rows:
+            first = {n: table.column(n)[0].as_py() for n in [*at, "_n"]}
+            v = np.column_stack([table.column(n).to_numpy() for n in "xyz"])
+            r = np.column_stack([picked.column(f"p_{n}").to_numpy() for n in "xyz"])
+            enough = max(_LEAF, _BLOCK * len(r) // (2 * first["_n"]))
+            for level, cell, ids in _split_cell(first["level"], (first["ix"], first["iy"], first["iz"]), v, r, enough, deepest):
+                taken.append(ids)
+                for n, value in zip(at, (level, *cell)):
+                    out[n].append(np.full(len(ids), value))
+        ids = np.concatenate([*taken, np.zeros(0, np.int64)])
+        cells = [pa.array(np.concatenate([*out[n], np.zeros(0)]).astype(np.int64)) for n in at]
+        cells[0] = cells[0].cast(pa.int32())
+        rest = [table.column(n).combine_chunks().take(pa.array(ids)) for n in ("x", "y", "z", "_entry")]
+        return pa.table([*cells, *rest], [*at, "x", "y", "z", "_entry"])
+
+    schema = f"level int, ix long, iy long, iz long, x double, y double, z double, _entry {entry}"
+    return rows.groupBy(*at, "_chunk").cogroup(pivots.groupBy(*[f"p_{n}" for n in at], "p_chunk")).applyInArrow(cut, schema)
+
+
+def _not_beaten(c: np.ndarray, rivals: np.ndarray, centre: np.ndarray, wide: float) -> np.ndarray:
+    """Which of the sites ``c`` have a place in the cell where no rival is nearer, as far as two rivals at a time can tell.
+
+    Where a place between two rivals is nearer than a site, so is one of the two. So a site behind the line
+    between them goes, though neither beats it in all of the cell; the place taken is that nearest the site.
+    """
+    left = np.arange(len(c))
+    for r in rivals:
+        d = r - c[left]
+        left = left[~(d @ centre - wide * np.abs(d).sum(axis=1) > _MARGIN)]
+    for i, j in [(i, j) for i in range(len(rivals)) for j in range(i)]:
+        if len(left) <= _LEAF:
+            break
+        s, side = c[left], rivals[j] - rivals[i]
+        part = np.clip(((s - rivals[i]) @ side) / max(side @ side, 1e-300), 0.0, 1.0)
+        d = rivals[i] + part[:, None] * side - s
+        left = left[~(d @ centre - wide * np.abs(d).sum(axis=1) > _MARGIN)]
+    return left
 
-    gone = beaten("r0")
-    for i in range(1, len(dots)):
-        gone = gone | beaten(f"r{i}")
-    return kids.where(~gone).select(*at, "x", "y", "z", "_entry")
 
+def _split_cell(level: int, cell: tuple[int, int, int], v: np.ndarray, pivots: np.ndarray | None, enough: int,
+                deepest: int) -> Iterator[tuple[int, tuple[int, int, int], np.ndarray]]:
+    """(level, cell, candidates) of the cells inside one cell in which at most ``enough`` pivots can be the nearest of
+    all pivots; the candidates are those of ``v`` that no pivot beats.
 
-def _finish_cell(level: int, cell: tuple[int, int, int], v: np.ndarray, deepest: int) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(level, key, candidates) of the final cells inside one cell with the candidates ``v``."""
+    Without ``pivots``, ``v`` are the pivots, else at least one level is cut. Where many sites lie in line, each is, as
+    seen from far away, the nearest in a strip, and ever finer cells would list the same sites over and over. So a cell
+    is cut no further once the cuts that led to it have, on average, listed each site ``_REPEAT`` times and its list is not long.
+    """
     corners = np.array(_corners(), float)
-    todo = [(level, cell, np.arange(len(v)))]
-    while todo:
-        level, cell, ids = todo.pop()
+    eight = [(a, b, e) for a in (0, 1) for b in (0, 1) for e in (0, 1)]
+
+    def prune(level, cell, picked, ids):
         half = 2.0 ** -level
         centre = (np.array(cell) * 2 + 1) * half - 1.0
         wide = half + _GROW
         away = np.maximum(np.abs(centre) - wide, 0.0)
         if (away * away).sum() > 1.0 + 1e-12 or ((np.abs(centre) + wide) ** 2).sum() < 1.0 - 1e-12:
-            continue  # the globe does not pass here
-        c = v[ids]
-        rivals = np.unique((c @ (centre + corners * wide).T).argmax(axis=0))
-        d = c[rivals][:, None, :] - c[None, :, :]
-        ids = ids[~((d @ centre - wide * np.abs(d).sum(axis=2)) > _MARGIN).any(axis=0)]
-        if len(ids) <= _LEAF or level >= deepest:
-            x, y, z = cell
-            yield level, x << 2 * _MAX_LEVEL | y << _MAX_LEVEL | z, ids
-        else:
-            todo += [(level + 1, (2 * cell[0] + a, 2 * cell[1] + b, 2 * cell[2] + e), ids) for a in (0, 1) for b in (0, 1) for e in (0, 1)]
+            return None  # the globe does not pass here
+        if len(picked):
+            c = points[picked]
+            rivals = c[np.unique((c @ (centre + corners * wide).T).argmax(axis=0))]
+            picked = picked[_not_beaten(c, rivals, centre, wide)]
+            ids = picked if pivots is None else ids[_not_beaten(v[ids], rivals, centre, wide)]
+        return level, cell, picked, ids
+
+    points = v if pivots is None else pivots
+    todo = [(1.0, prune(level, cell, np.arange(len(points)), np.arange(len(v))))]
+    while todo:
+        times, (at, cell, picked, ids) = todo.pop()
+        if (len(picked) <= (enough if times <= _REPEAT else max(enough, _LONG)) or at >= deepest) and (pivots is None or at > level):
+            if len(ids):
+                yield at, cell, ids
+            continue
+        parts = [prune(at + 1, (2 * cell[0] + a, 2 * cell[1] + b, 2 * cell[2] + e), picked, ids) for a, b, e in eight]
+        parts = [p for p in parts if p]
+        if at >= _COARSE:
+            times *= sum(len(p[2]) for p in parts) / max(len(picked), 1)
+        todo += [(times, p) for p in parts]
 
 
 def site_cells(sites: DataFrame, cell_deg: float | None = None, n_sites: int | None = None) -> DataFrame:
@@ -261,26 +313,25 @@ def site_cells(sites: DataFrame, cell_deg: float | None = None, n_sites: int | N
     small = rows if n_sites is not None and n_sites <= _BLOCK else None
     rows = rows if small is not None else materialize(rows)
     while small is not rows:
-        # cells with many candidates are cut as tables, those with few go on to a task each
+        # cells with many candidates are cut by many tasks, those with few go on to a task each
         sizes = rows.groupBy(*at).agg(F.count(F.lit(1)).alias("_n"))
-        large = sizes.where((F.col("_n") > _BLOCK) & (F.col("level") < deepest)).drop("_n")
-        large = materialize(large)
+        large = materialize(sizes.where((F.col("_n") > _BLOCK) & (F.col("level") < deepest)))
         if large.isEmpty():
             small = rows if small is None else small.unionByName(rows)
             break
         done = rows.join(large, at, "left_anti")
         small = done if small is None else small.unionByName(done)
-        rows = materialize(_cut(rows.join(large, at)))
+        rows = materialize(_cut(rows, large, deepest))
     entry = rows.schema["_entry"].dataType.simpleString()
 
     def finish(table: pa.Table) -> pa.Table:
         first = {n: table.column(n)[0].as_py() for n in at}
         v = np.column_stack([table.column(n).to_numpy() for n in "xyz"])
-        cells = list(_finish_cell(first["level"], (first["ix"], first["iy"], first["iz"]), v, deepest))
+        cells = list(_split_cell(first["level"], (first["ix"], first["iy"], first["iz"]), v, None, _LEAF, deepest))
         sizes = np.cumsum([0, *[len(ids) for _, _, ids in cells]])
         entries = table.column("_entry").combine_chunks().take(pa.array(np.concatenate([ids for _, _, ids in cells])))
         lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), entries)
-        return pa.table([pa.array([c[0] for c in cells], pa.int32()), pa.array([c[1] for c in cells], pa.int64()), lists], ["_level", "_key", "_list"])
+        return pa.table([pa.array([c[0] for c in cells], pa.int32()), pa.array([x << 2 * _MAX_LEVEL | y << _MAX_LEVEL | z for _, (x, y, z), _ in cells], pa.int64()), lists], ["_level", "_key", "_list"])
 
     return materialize(small.groupBy(*at).applyInArrow(finish, f"_level int, _key long, _list array<{entry}>"))
 

@@ -108,3 +108,19 @@ def test_ties_nulls_and_bad_coordinates(spark):
     for bound in (100_000, 0):
         got = {r.id: (r.k, r.n) for r in nearest_site(points, sites, "lon", "lat", "lon", "lat", "k", ["n"], id_cols=["id"], broadcast_sites=bound).collect()}
         assert got == {1: (None, "z"), 2: (3, "a")}
+
+
+@pytest.mark.parametrize("block", [4096, 200])
+def test_sites_in_line_are_not_listed_over_and_over(spark, monkeypatch, block):
+    # a crowd in rows: seen from afar each site at its border is the nearest in a strip, and so in ever finer cells
+    monkeypatch.setattr(nearest, "_BLOCK", block)
+    places = [(-118.7 + (k * 6151 % 1013) / 202600.0, 33.7 + (k * 3571 % 991) / 165200.0) for k in range(12000)] + [(0.0, 0.0)]
+    if block < 4096:
+        places = places[:1500]
+    cells = site_cells(site_frame(_sites(spark, places), "lon", "lat", "skey", []))
+    sizes = [r[0] for r in cells.select(F.size("_list")).collect()]
+    assert max(sizes) <= 16 * nearest._LEAF and sum(sizes) <= 40 * len(places)
+    rnd = random.Random(3)
+    points = [(-118.7 + rnd.random() / 2, 33.7 + rnd.random() / 2) for _ in range(60)] + [(-118.699, 33.701), (60.0, -30.0)]
+    if block < 4096:
+        _check(places, points, _answers(spark, places, points))
