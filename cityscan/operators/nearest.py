@@ -51,6 +51,8 @@ _COARSE = 4
 _LONG = 16 * _LEAF
 #: So many of its candidates, on average, say how a cell with more than ``_BLOCK`` is cut.
 _PIVOTS = 4096
+#: ``method="array"`` compares with at most so many sites: above, its work would grow with points times sites.
+_ARRAY = 1024
 #: The finest cells: 2 / 2**21 of the globe's radius, some six metres.
 _MAX_LEVEL = 21
 #: A site is ruled out only if it is farther by more than rounding could hide (dot products of unit vectors).
@@ -130,8 +132,8 @@ def nearest_site(
     """Closest site for each point (or each id).
 
     ``method="auto"`` or ``"grid"`` uses the cells (:func:`site_cells`). ``"array"`` compares every point
-    with every site of a short list (a city's stations); above
-    ``broadcast_sites`` sites it warns and uses the cells. The cells are made when the plan is
+    with every site of a short list (a city's stations); above 1024 sites (or
+    ``broadcast_sites``, if fewer) it warns and uses the cells, whose lists are short again. The cells are made when the plan is
     built; the points are not touched. Their lists are broadcast if there are at most
     ``broadcast_sites`` sites and the lists' bytes fit ``broadcast_max_bytes``, else
     points and lists are shuffled by cell (AQE splits a hot cell on the point side).
@@ -151,11 +153,11 @@ def nearest_site(
     pts = points.where(usable).select(*keep, F.col(point_lon).alias("_lon"), F.col(point_lat).alias("_lat"))
     if n_sites == 0:
         best = pts.select(*keep, F.lit(None).cast(_best_type(st)).alias("_best")).where(F.lit(False))
-    elif method == "array" and n_sites <= broadcast_sites:
+    elif method == "array" and n_sites <= min(broadcast_sites, _ARRAY):
         best = _by_array(pts, st, keep)
     else:
         if method == "array":
-            warnings.warn(f"{n_sites} sites exceed broadcast_sites; the grid is used", stacklevel=2)
+            warnings.warn(f"{n_sites} sites exceed {min(broadcast_sites, _ARRAY)}; the grid is used", stacklevel=2)
         cells = site_cells(st, cell_deg, n_sites)
         levels, size = list_facts(cells)
         best = _by_cells(pts, cells, keep, n_sites <= broadcast_sites and size <= broadcast_max_bytes, levels)

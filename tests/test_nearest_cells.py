@@ -124,3 +124,11 @@ def test_sites_in_line_are_not_listed_over_and_over(spark, monkeypatch, block):
     points = [(-118.7 + rnd.random() / 2, 33.7 + rnd.random() / 2) for _ in range(60)] + [(-118.699, 33.701), (60.0, -30.0)]
     if block < 4096:
         _check(places, points, _answers(spark, places, points))
+
+
+def test_array_of_many_sites_uses_the_cells(spark):
+    places = _layout("uniform", nearest._ARRAY + 1)
+    points = places[::40] + [(1.0, 2.0)]
+    with pytest.warns(UserWarning, match="the grid is used"):
+        got = _answers(spark, places, points, method="array")
+    _check(places, points, got)
