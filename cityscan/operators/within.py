@@ -32,6 +32,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _ROW_BYTES = 96
 _EDGE_BYTES = 40
 
+#: A task of a shuffled join meets some so many (point, zone row) pairs of a cell, up to ``_MAX_TASKS`` tasks.
+_PAIRS = 20_000_000
+_MAX_TASKS = 10_000
+
 
 def zone_cells(
     zones: DataFrame,
@@ -125,21 +129,27 @@ def grid_plan(zones: DataFrame, cell_deg: float | None = None, max_cells: int =
 
 
 def _salted(p: DataFrame, cells: DataFrame, pcols: Sequence[str], sample: float) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Points and cells of a shuffled join with heavy cells split: a cell that a sample of the points says fills more
-    than half a partition gets that many salts; its points are dealt over them and its zone rows repeated for each."""
+    """Points and cells of a shuffled join, dealt by the pairs that meet in a cell: its points, by a sample, times its zone rows.
+
+    There are as many tasks as give each some ``_PAIRS`` pairs (at least the session's). A cell of more than half a
+    task's pairs gets that many salts; its points are dealt over them and its zone rows repeated for each. Both sides come
+    partitioned, as sides of few bytes and many pairs would else be put together into few tasks."""
     at = ["_level", "_cx", "_cy"]
     parts = int(p.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     seen = (p.sample(sample, seed=1) if sample < 1.0 else p).groupBy(*at).agg(F.count(F.lit(1)).alias("_n"))
-    seen = materialize(seen)
-    total = seen.agg(F.sum("_n")).first()[0] or 0
+    rows = cells.groupBy(*at).agg(F.count(F.lit(1)).alias("_m"))
+    seen = materialize(seen.join(rows, at).select(*at, (F.col("_n") * F.col("_m")).cast("double").alias("_n")))
+    total = seen.agg(F.sum("_n")).first()[0] or 0.0
+    parts = int(min(max(parts, math.ceil(total / sample / _PAIRS)), _MAX_TASKS))
     # at most 2 * parts cells are that heavy, so the table is small whatever the points
     heavy = F.broadcast(seen.where(F.col("_n") * 2 * parts > total).select(
-        *at, F.least(F.lit(parts), F.ceil(F.col("_n") * 2 * parts / F.lit(max(total, 1)))).cast("long").alias("_salts")))
+        *at, F.least(F.lit(parts), F.ceil(F.col("_n") * 2 * parts / F.lit(max(total, 1.0)))).cast("long").alias("_salts")))
     own = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in pcols]) + F.spark_partition_id(), F.col("_salts"))
     p = p.join(heavy, at, "left").withColumn("_salt", F.coalesce(own, F.lit(0).cast("long"))).drop("_salts")
     last = F.coalesce(F.col("_salts"), F.lit(1).cast("long")) - 1
     cells = cells.join(heavy, at, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), last))).drop("_salts")
-    return p, cells, [*at, "_salt"]
+    at = [*at, "_salt"]
+    return p.repartition(parts, *at), cells.repartition(parts, *at), at
 
 
 def _within_batches(x: str, y: str, edges: str, keep: Sequence[str]):
@@ -185,8 +195,8 @@ def points_in_zones(
     columns plus ``zone_cols``. Zones without edges hold no point. The zone side
     is broadcast when its cell table, estimated by one aggregate over the zone
     dimension, fits ``broadcast_max_bytes``; then the points are not touched when the plan is built
-    and keep their partitions. Otherwise both sides shuffle on the cell, and cells that a
-    ``skew_sample`` of the points finds heavy are salted (a pass over the points' coordinates).
+    and keep their partitions. Otherwise both sides shuffle on the cell, in as many tasks as the pairs in the cells take,
+    and cells that a ``skew_sample`` of the points finds heavy are salted (a pass over the points' coordinates).
     ``engine="arrow"`` tests the edges of whole batches as arrays in Python workers instead of row by row.
     """
     if engine not in ("native", "arrow"):

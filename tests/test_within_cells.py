@@ -56,3 +56,15 @@ def test_a_hot_cell_is_dealt_over_many_tasks(spark):
     assert keys[-1] == "_salt" and c.where("_level = 0 and _cx = 0 and _cy = 0").select("_salt").distinct().count() >= len(n)
     same = points_in_zones(pts, z, "x", "y", ["zone"], broadcast_max_bytes=0, skew_sample=1.0)
     assert same.groupBy("zone").count().orderBy("zone").collect() == points_in_zones(pts, z, "x", "y", ["zone"]).groupBy("zone").count().orderBy("zone").collect()
+
+
+def test_tasks_of_a_shuffled_join_follow_its_pairs(spark, monkeypatch):
+    # few points, few bytes, many pairs: every point meets every zone in one cell
+    edges = [(0.0, 0.0, 9.0, 4.0), (9.0, 4.0, 0.0, 9.0), (0.0, 9.0, 0.0, 0.0)]
+    z = spark.range(60).select(F.col("id").alias("zone"), (F.col("id") * 0.0).alias("min_x"), F.lit(0.0).alias("min_y"), (F.col("id") * 0.0 + 9.0).alias("max_x"),
+                               F.lit(9.0).alias("max_y"), F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(("x1", "y1", "x2", "y2"), e)]) for e in edges]).alias("edges"))
+    pts = spark.range(400).select("id", (F.col("id") % 5 + 0.5).alias("x"), F.lit(4.0).alias("y"))
+    monkeypatch.setattr(within, "_PAIRS", 1000)
+    hits = points_in_zones(pts, z, "x", "y", ["zone"], cell_deg=9.0, broadcast_max_bytes=0, skew_sample=1.0)
+    sizes = [r["count"] for r in hits.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 400 * 60 and max(sizes) <= 6000 and hits.rdd.getNumPartitions() >= 20
