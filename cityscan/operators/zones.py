@@ -119,7 +119,7 @@ def extremes(
 
     The low end sorts NULLs first (the default ascending order), so NULL
     values fill the "lowest" slots first; ``nulls_first_low=False`` skips
-    them to the end instead. ``df`` is planned and read once: both ends are kept in one pass.
+    them to the end instead. The low end comes first. ``df`` is planned and read once: both ends are kept in one pass.
     """
     both = F.explode(F.array(F.lit(True), F.lit(False)))
     ends = df.select("*", both.alias("__low")).withColumns({
@@ -127,4 +127,5 @@ def extremes(
     up = F.asc_nulls_first("__up") if nulls_first_low else F.asc_nulls_last("__up")
     # at either end the other end's key is constant; a task passes on its own k rows of each end only
     order = Window.partitionBy("__low").orderBy(up, F.desc_nulls_last("__down"), *[F.asc(c) for c in tie_cols])
-    return ends.withColumn("__place", F.row_number().over(order)).where(F.col("__place") <= k).select(*df.columns)
+    ends = ends.withColumn("__place", F.row_number().over(order)).where(F.col("__place") <= k)
+    return ends.orderBy(F.desc("__low"), "__place").select(*df.columns)
