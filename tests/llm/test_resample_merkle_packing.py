@@ -2,14 +2,16 @@
 
 import hashlib
 import math
+import os
 import re
+import shutil
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from conftest import SF0001
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 from llm_rows import DOC_SCHEMA, docs, empty, hard, prose  # noqa: F401
 from pyspark.sql import functions as F
@@ -350,4 +352,38 @@ def test_special_tokens_and_null_texts():
     assert np.frombuffer(known.encode([text.encode()])[0], known.kind).tolist() == known.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.text(st.sampled_from("a\u0130\u0131\u00e9\u00c9\u017f\u00df\u03c3\u03a39\u0301'"), max_size=3), st.text(st.sampled_from(",.!=<'"), max_size=2)), max_size=8))
+@example([("\u0130", ",")])
+def test_marks_after_any_letter_are_encoded_as_in_the_text(chunks):
+    known = VOCABULARY.setdefault("v", packing.Vocabulary(packing.default_vocabulary()) if not VOCABULARY else None)
+    text = " ".join(core + marks for core, marks in chunks)
+    assert np.frombuffer(known.encode([text.encode()])[0], known.kind).tolist() == known.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_words_are_encoded_once_and_apart_from_their_marks():
+    known, seen = packing.Vocabulary(packing.default_vocabulary()), []
+    of_words = known._of_words
+    known._of_words = lambda words: seen.extend(words) or of_words(words)
+    for text in b"reshon theble, reshon.", b"theble!! (reshon) Theble ofrere", b"ofrere, of":
+        assert np.frombuffer(known.encode([text])[0], known.kind).tolist() == known.tokenizer.encode(text.decode(), add_special_tokens=False).ids
+    assert sorted(seen) == ["of", "ofrere", "reshon", "theble"]
+
+
+def test_words_told_apart_without_marked_last_ids():
+    known = packing.Vocabulary(packing.default_vocabulary())
+    known.last[:] = False
+    text = "reshon theble d\u00e9o, reshon."
+    assert np.frombuffer(known.encode([text.encode()])[0], known.kind).tolist() == known.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_a_vocabulary_is_kept_until_its_file_changes(tmp_path):
+    path = shutil.copy(packing.default_vocabulary(), str(tmp_path / "v.json"))
+    first = packing.vocabulary_of(path)
+    first.encode([b"reshon"])
+    assert packing.vocabulary_of(path) is first and "reshon" in packing.vocabulary_of(path).young
+    os.utime(path, ns=(1, 1))
+    assert packing.vocabulary_of(path) is not first
+
+
 VOCABULARY = {}
