@@ -70,14 +70,19 @@ def zone_counts(
     attr_cols: Sequence[str],
     count_col: str = "crime_count",
     keep_empty_zones: bool = False,
+    hits_col: str | None = None,
 ) -> DataFrame:
     """Points per zone, with zone attributes; ``zones`` has one row per key (:func:`unique_zones`).
 
+    ``hits_col`` names the number of points that a row of ``hits`` stands for (``count_col`` of
+    :func:`cityscan.operators.within.points_in_zones`); without it each stands for one.
+
     Zones with no point are absent, or counted 0 with ``keep_empty_zones``.
     Counting happens on the key alone (map-side partial hash aggregate); the
     attributes are joined back to the small per-zone result afterwards.
     """
-    counts = hits.groupBy(zone_key).agg(F.count(F.lit(1)).alias(count_col))
+    number = F.count(F.lit(1)) if hits_col is None else F.sum(hits_col)
+    counts = hits.groupBy(zone_key).agg(number.alias(count_col))
     attrs = zones.select(zone_key, *[c for c in attr_cols if c != zone_key])
     if not keep_empty_zones:
         return counts.join(attrs, zone_key)

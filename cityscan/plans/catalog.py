@@ -321,8 +321,8 @@ def q_shapes(spark: SparkSession, d: str, broadcast_max_bytes: int = 256 << 20,
     parsed = features_to_zones(parse_features(inputs.shape_texts(spark, d), {"zone": "bigint"}), id_col="zone")
     zones = materialize(unique_zones(parsed, "zone"))
     hits = points_in_zones(ensure_parallelism(inputs.lattice_points(spark, d)), zones, "lon", "lat", ["zone"],
-                           broadcast_max_bytes=broadcast_max_bytes, engine=engine)
-    return zone_counts(hits, zones, "zone", [], "n_points", keep_empty_zones=True)
+                           broadcast_max_bytes=broadcast_max_bytes, engine=engine, count_col="n")
+    return zone_counts(hits, zones, "zone", [], "n_points", keep_empty_zones=True, hits_col="n")
 
 
 def q_shapes_shuffled(spark: SparkSession, d: str) -> DataFrame:

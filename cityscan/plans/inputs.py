@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cityscan.session import ensure_parallelism
 from cityscan.sources.csv import INCIDENT_SCHEMA
 from cityscan.sources.geojson import features_to_zones, parse_features
 
@@ -282,7 +283,8 @@ def shape_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(k % 5 == 1, geometry("Polygon", wrap(diamond, hole)))
              .when(k % 5 == 2, geometry("MultiPolygon", wrap(wrap(low), wrap(high))))
              .when(k % 5 == 3, geometry("MultiPolygon", wrap(wrap(triangle)))).otherwise(F.lit("null")))
-    base = table(spark, sf_dir, "supplier").select(
+    # few bytes, much text: made by all cores, and once (a filter on an exploded column is not pushed below the exchange)
+    base = ensure_parallelism(table(spark, sf_dir, "supplier").select("s_suppkey")).select(
         "s_suppkey", (F.lit(-118.0) + (k * 37 % 224) / F.lit(_UNIT)).alias("ox"), (F.lit(34.0) + (k * 53 % 224) / F.lit(_UNIT)).alias("oy"))
-    return base.select(F.concat(
-        F.lit('{"type":"Feature","properties":{"zone":'), k.cast("string"), F.lit('},"geometry":'), shape, F.lit("}")).alias("value"))
+    return base.select(F.explode(F.array(F.concat(
+        F.lit('{"type":"Feature","properties":{"zone":'), k.cast("string"), F.lit('},"geometry":'), shape, F.lit("}")))).alias("value"))
