@@ -131,3 +131,7 @@ def test_counts_down_a_tree_are_those_of_the_pairs(spark, monkeypatch, engine, k
     assert hits.columns == ["zone", "n"]
     assert {r.zone: r.n for r in hits.groupBy("zone").agg(F.sum("n").alias("n")).collect()} == want
     assert trees and trees[0].count() > 30
+
+
+def test_shapes_arrow_counts_points_without_listing_pairs(spark, monkeypatch, tmp_path):
+    _never_lists_pairs(spark, monkeypatch, tmp_path, "shapes_arrow")
