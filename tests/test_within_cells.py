@@ -135,3 +135,7 @@ def test_counts_down_a_tree_are_those_of_the_pairs(spark, monkeypatch, engine, k
 
 def test_shapes_arrow_counts_points_without_listing_pairs(spark, monkeypatch, tmp_path):
     _never_lists_pairs(spark, monkeypatch, tmp_path, "shapes_arrow")
+
+
+def test_shapes_shuffled_counts_points_without_listing_pairs(spark, monkeypatch, tmp_path):
+    _never_lists_pairs(spark, monkeypatch, tmp_path, "shapes_shuffled")
